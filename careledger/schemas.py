@@ -240,8 +240,7 @@ WATERMARKS = {
 }
 
 # Refresh every org-unit column instead of the reference's shorter list.
-ORGUNIT_REFRESH_ALL = tuple(
-    f.name
-    for f in TABLES["orgunits"].schema
-    if f.name not in ("id", "datasource_id", *WATERMARKS.values())
+ORGUNIT_REFRESH_ALL = TABLES["orgunits"].refreshed + (
+    "shortname", "parentid", "openingdate", "closeddate", "_fetchedat", "leaf",
+    *(f"oulevel{i}id" for i in LEVELS),
 )
