@@ -8,11 +8,11 @@ from careledger.queries.base import AS_OF, query, view
 _COLUMNS = {
     "category": {
         "economy_gro_e": "ECONOMY [größe]", "large_gro_e": "LARGE [größe]", "medium_gro_e": "MEDIUM [größe]",
-        "economy_gro_e_2": "economy (größe)", "large_gro_e_2": "large (größe)",
-        "medium_gro_e_2": "medium (größe)",
+        "economy_gro_e_2": "economy (Größe)", "large_gro_e_2": "large (Größe)",
+        "medium_gro_e_2": "medium (Größe)",
     },
     "attribute": {
-        "promo_gro_e": "promo (größe)", "small_gro_e": "small (größe)", "standard_gro_e": "standard (größe)",
+        "promo_gro_e": "promo (Größe)", "small_gro_e": "small (Größe)", "standard_gro_e": "standard (Größe)",
     },
 }
 

@@ -68,7 +68,7 @@ def _ethiopian_date(spark, sf_dir):
 
 @query("iso_text", """
     SELECT event_id, CAST(date_trunc('second', ts) AS VARCHAR) AS at_second,
-        epoch_ms(ts) AS at_millisecond,
+        epoch_ms(date_trunc('millisecond', ts)) AS at_millisecond,
         CAST(CAST(ts AS DATE) AS VARCHAR) AS on_day,
         CASE WHEN event_type <> 'error' THEN CAST(CAST(ts AS DATE) AS VARCHAR) END AS on_day_or_null
     FROM {events}""")
