@@ -20,12 +20,12 @@ def strip(text: Column) -> Column:
 
 def number(stripped: Column) -> Column:
     """The stripped text as a double, NULL when it is not numeric."""
-    plain = F.when(stripped.rlike(NUMBER), F.replace(stripped, F.lit("_"), F.lit("")).try_cast("double"))
+    plain = F.replace(stripped, F.lit("_"), F.lit("")).try_cast("double")
     infinite = F.when(stripped.startswith("-"), F.lit(float("-inf"))).otherwise(F.lit(float("inf")))
     return (
-        F.when(stripped.rlike(NOT_A_NUMBER), F.lit(float("nan")))
+        F.when(stripped.rlike(NUMBER), plain)
+        .when(stripped.rlike(NOT_A_NUMBER), F.lit(float("nan")))
         .when(stripped.rlike(INFINITE), infinite)
-        .otherwise(plain)
     )
 
 

@@ -31,9 +31,12 @@ def flatten(staged: DataFrame, roots: list[str] | DataFrame | None = None) -> Da
     )
     for i in LEVELS:
         level_id = F.col(f"oulevel{i}id")
+        # Empty levels and a unit's own level have nothing to look up: a key no id can be
+        # equal to keeps them apart from each other instead of in one large group.
+        key = F.when(level_id.isin("") | (level_id == F.col("id")), F.concat(F.lit("/"), "id")).otherwise(level_id)
         found = names.select("__id", "__ds", F.col("__name").alias("__found"))
         units = units.join(
-            found, (level_id == F.col("__id")) & (F.col("datasource_id") == F.col("__ds")), "left"
+            found, (key == F.col("__id")) & (F.col("datasource_id") == F.col("__ds")), "left"
         ).withColumn(
             f"oulevel{i}name",
             F.when(level_id == F.col("id"), F.col("name")).otherwise(F.col("__found")),
@@ -54,6 +57,7 @@ def within(units: DataFrame, roots: list[str] | DataFrame, path: str = "oupath")
         wanted = roots.toDF("__segment")
         found = (
             units.select("id", "datasource_id", F.explode(F.split(path, "/")).alias("__segment"))
+            .filter("__segment <> ''")
             .join(wanted, "__segment", "left_semi")
             .select("id", "datasource_id")
         )

@@ -91,30 +91,37 @@ def insert_absent(target: DataFrame, updates: DataFrame, keys: Sequence[str]) ->
     )
 
 
-def replace_links(
-    links: DataFrame, fresh: DataFrame, owners: DataFrame, owner_key: str
-) -> DataFrame:
+def replace_links(links: DataFrame, fresh: DataFrame, owners: DataFrame) -> DataFrame:
     """Links with those of the given owners dropped and the fresh ones added.
 
-    owners has one column, the ids whose links belong to the context being refreshed.
+    The columns of owners are the link columns that say whose link it is.
     """
-    owned = owners.toDF(owner_key).distinct()
-    kept = links.join(owned, owner_key, "left_anti")
+    kept = links.join(owners.distinct(), owners.columns, "left_anti")
     keys = [c for c in links.columns if not c.startswith("_")]
     added = fresh.select(*links.columns)
     survivors = kept.join(added.select(*keys), keys, "left_anti").select(*links.columns)
     return survivors.unionByName(added)
 
 
-def combo_owners(entities: DataFrame, combo_type: str) -> DataFrame:
-    """Ids of one context: entities of a combo type."""
-    return entities.filter(F.col("combo_type") == combo_type).select("id")
+def combo_owners(entities: DataFrame, combo_type: str, key: str) -> DataFrame:
+    """Entities of one combo type, their id under the name it has in the links."""
+    return entities.filter(F.col("combo_type") == combo_type).select(
+        F.col("id").alias(key), *_source_of(entities)
+    )
+
+
+def option_combo_owners(
+    option_combos: DataFrame, combos: DataFrame, combo_type: str, key: str
+) -> DataFrame:
+    """Option combos whose category combo is of one type."""
+    of_type = combo_owners(combos, combo_type, "categorycombo_id")
+    return option_combos.join(of_type, of_type.columns, "left_semi").select(
+        F.col("id").alias(key), *_source_of(option_combos)
+    )
 
 
-def option_combo_owners(option_combos: DataFrame, combos: DataFrame, combo_type: str) -> DataFrame:
-    """Ids of option combos whose category combo is of one type."""
-    of_type = combo_owners(combos, combo_type).withColumnRenamed("id", "categorycombo_id")
-    return option_combos.join(of_type, "categorycombo_id", "left_semi").select("id")
+def _source_of(df: DataFrame) -> list[str]:
+    return [c for c in df.columns if c == "datasource_id"]
 
 
 def _all(conditions: Sequence[Column]) -> Column:

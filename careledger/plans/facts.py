@@ -33,27 +33,23 @@ def load_completeness(wh: Warehouse, responses: DataFrame, as_of: dt.datetime) -
 
 
 def load_rates(wh: Warehouse, responses: DataFrame, as_of: dt.datetime) -> None:
-    _load(
-        wh, responses, "grid", "reporting_rates", as_of, payloads.grid_rows, None,
-        usable=lambda cells: cells.filter("usable"),
-        rejected=lambda cells: cells.filter("not usable"),
-        shape=pivot_rates,
-    )
+    _load(wh, responses, "grid", "reporting_rates", as_of, payloads.grid_rows, None, pivot_rates)
 
 
 def _load(
     wh: Warehouse, responses: DataFrame, kind: str, table: str, as_of: dt.datetime,
     parse: Callable[[DataFrame], DataFrame], order: list[str] | None,
-    usable: Callable[[DataFrame], DataFrame] = lambda rows: rows,
-    rejected: Callable[[DataFrame], DataFrame] | None = None,
     shape: Callable[[DataFrame], DataFrame] = lambda rows: rows,
 ) -> None:
     # Bodies are parsed once; the log below reads three narrow columns of the result.
     decoded, staged = wh.stage(decode(responses, kind))
     rows = parse(decoded)
-    rejects = rejected(rows) if rejected else None
+    bad = F.lit(False) if "usable" not in rows.columns else ~F.col("usable")
+    for key in TABLES[table].keys:
+        bad = bad | F.col(key).isNull()
+    rejects = rows.filter(bad)
     fine = settled_requests(decoded, rejects).filter("ok")
-    wh.merge(table, shape(usable(rows).join(fine, "request_id", "left_semi")), order=order)
+    wh.merge(table, shape(rows.join(fine, "request_id", "left_semi")), order=order)
     moved = advance(
         wh.read("orgunits"), finished_units(decoded, rejects), WATERMARKS[table], as_of.date()
     )
@@ -84,7 +80,7 @@ def clean_ghosts(
     _, ghosts = split_ghosts(values, elements, combos, split_combos)
     haunted, staged = wh.stage(ghosts.groupBy(*columns).agg(F.count("*").alias("ghosts")))
     if not haunted.isEmpty():
-        affected = values.join(haunted, columns, "left_semi").select(*values.columns)
+        affected = wh.in_partitions("datavalues", values, haunted)
         kept, _ = split_ghosts(affected, elements, combos, split_combos)
         emptied = haunted.join(
             affected.groupBy(*columns).agg(F.count("*").alias("all")), columns

@@ -10,10 +10,10 @@ from pyspark.sql import functions as F
 from careledger.operators.dimensions import build_dimension
 from careledger.operators.hierarchy import flatten
 from careledger.operators.merge import (
-    combo_owners, newer, option_combo_owners, replace_links,
+    combo_owners, keep_last, newer, option_combo_owners, replace_links,
 )
 from careledger.operators.quality import require_successes
-from careledger.schemas import ORGUNIT_REFRESH_ALL
+from careledger.schemas import ORGUNIT_REFRESH_ALL, TABLES
 from careledger.sources import payloads
 from careledger.sources.landing import check_pages, decode
 from careledger.sources.warehouse import Warehouse
@@ -57,8 +57,8 @@ def load_combos(wh: Warehouse, responses: DataFrame, combo_type: str) -> None:
         ("category_categoryoptions", "categories", "category_id"),
     ):
         if not found[links].isEmpty():
-            owners = combo_owners(wh.read(owner), combo_type)
-            wh.replace(links, _refreshed_links(wh.read(links), found[links], owners, key))
+            owners = combo_owners(wh.read(owner), combo_type, key)
+            _refresh_links(wh, links, found[links], owners)
     wh.delete(staged)
 
 
@@ -70,21 +70,18 @@ def load_option_combos(wh: Warehouse, responses: DataFrame, combo_type: str) ->
     links = "categoryoptioncombo_options"
     if not found[links].isEmpty():
         owners = option_combo_owners(
-            wh.read("categoryoptioncombos"), wh.read("categorycombos"), combo_type
+            wh.read("categoryoptioncombos"), wh.read("categorycombos"), combo_type,
+            "categoryoptioncombo_id",
         )
-        fresh = _refreshed_links(wh.read(links), found[links], owners, "categoryoptioncombo_id")
-        wh.replace(links, fresh)
+        _refresh_links(wh, links, found[links], owners)
     wh.delete(staged)
 
 
-def _refreshed_links(
-    links: DataFrame, found: DataFrame, owners: DataFrame, key: str
-) -> DataFrame:
-    """Replace links within the sources found; other sources keep theirs."""
+def _refresh_links(wh: Warehouse, table: str, found: DataFrame, owners: DataFrame) -> None:
+    """Replace the links of the owners in the sources found; other sources keep theirs."""
     sources = found.select("datasource_id").distinct()
-    mine = links.join(sources, "datasource_id", "left_semi").select(*links.columns)
-    others = links.join(sources, "datasource_id", "left_anti").select(*links.columns)
-    return others.unionByName(replace_links(mine, found, owners, key))
+    mine = owners.join(sources, "datasource_id", "left_semi").select(*owners.columns)
+    wh.replace(table, replace_links(wh.read(table), found, mine))
 
 
 def build_dimensions(wh: Warehouse, source: str, combo_type: str, as_of: dt.datetime) -> None:
@@ -111,7 +108,7 @@ def load_org_units(wh: Warehouse, responses: DataFrame) -> None:
     """
     decoded, staged = wh.stage(decode(responses, "orgunits"))
     check_pages(decoded, strict=True)
-    units = payloads.org_units(decoded).drop("seq")
+    units = keep_last(payloads.org_units(decoded), TABLES["stg_orgunits"].keys, ["seq"]).drop("seq")
     if not units.isEmpty():
         sources = units.select("datasource_id").distinct()
         assigned = payloads.org_unit_assignments(decoded, wh.read("datasets"))

@@ -7,7 +7,8 @@ from collections.abc import Mapping
 
 from pyspark.sql import DataFrame
 
-from careledger.plans import facts, metadata
+from careledger.operators.periods import missing_periods
+from careledger.plans import facts, metadata, work
 from careledger.sources.warehouse import Warehouse
 
 # What each source is set up to load.
@@ -44,3 +45,37 @@ def data_run(
         facts.load_completeness(wh, landed["completeness"], as_of)
     facts.prepare_rebuild(wh, "reporting_rates", source, rebuild_rates)
     facts.load_rates(wh, landed["grid"], as_of)
+
+
+def plan_requests(
+    wh: Warehouse, source: str, elements: list[str], default_start: str, as_of: dt.datetime,
+    roots: list[str] | None = None, full_values: bool = False,
+    full_completeness: bool = False, full_rates: bool = False,
+) -> dict[str, DataFrame]:
+    """The requests due now, by kind of response.
+
+    The work list of the rates is written to the shared folder, because batching reads it
+    twice; it has to stay there as long as the requests are in use.
+    """
+    units = wh.read("orgunits")
+    plan_inputs = (
+        units, wh.read("dataset_orgunits", source), wh.read("datasets"), wh.read("periods", source),
+        source, as_of,
+    )
+    rates, _ = wh.stage(work.reporting_work(*plan_inputs, full=full_rates, roots=roots))
+    requests = {
+        "values": work.value_requests(
+            work.value_work(units, source, default_start, as_of, full_values,
+                            ETHIOPIAN_CALENDAR.get(source, False)),
+            elements,
+        ),
+        "periods": work.period_requests(
+            missing_periods(wh.read("datavalues", source), wh.read("periods", source))
+        ),
+        "grid": work.reporting_requests(rates),
+    }
+    if LOADS_COMPLETENESS.get(source, True):
+        requests["completeness"] = work.completeness_requests(
+            work.completeness_work(*plan_inputs, full=full_completeness, roots=roots)
+        )
+    return requests

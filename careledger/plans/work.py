@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Callable
 from itertools import combinations
 
 from pyspark.sql import Column, DataFrame
@@ -12,6 +13,7 @@ from careledger.functions.calendar import ethiopian_date
 from careledger.functions.periods import PERIOD_TYPES
 from careledger.functions.text import split_ids
 from careledger.operators.hierarchy import within
+from careledger.operators.nested import unnest
 from careledger.operators.numbering import batch_rows, chunks
 from careledger.operators.periods import typed_periods
 from careledger.operators.watermarks import stale
@@ -156,25 +158,44 @@ def reporting_requests(work: DataFrame, batch_size: int = UNITS_PER_BATCH) -> Da
             union("periods").alias("periods"),
         )
     )
-    metrics = F.flatten(
-        F.transform("ds", lambda d: F.array(*[F.concat(d, F.lit(f".{m}")) for m in GRID_METRICS]))
-    )
-    return _requests(batches, GRID_DATASETS, GRID_PERIODS, "batch", "ou").select(
-        "batch", F.array_join(metrics, ";").alias("dx"), "ou", F.array_join("pe", ";").alias("pe")
+    def metrics(dataset: Column) -> Column:
+        return F.array(*[F.concat(dataset, F.lit(f".{m}")) for m in GRID_METRICS])
+
+    return _requests(
+        batches.select(
+            "batch", "ou",
+            _joined_chunks("datasets", GRID_DATASETS, ";", lambda ds: F.flatten(F.transform(ds, metrics))).alias("dx"),
+            _joined_chunks("periods", GRID_PERIODS, ";").alias("pe"),
+        ),
+        "dx", "pe",
     )
 
 
 def completeness_requests(work: DataFrame) -> DataFrame:
     """One row per registration request of one unit: data set and period lists."""
-    return _requests(work, REGISTRATION_DATASETS, REGISTRATION_PERIODS, "orgunit").select(
-        "orgunit", F.array_join("ds", ",").alias("dataset"), F.array_join("pe", ",").alias("period")
+    return _requests(
+        work.select(
+            "orgunit",
+            _joined_chunks("datasets", REGISTRATION_DATASETS, ",").alias("dataset"),
+            _joined_chunks("periods", REGISTRATION_PERIODS, ",").alias("period"),
+        ),
+        "dataset", "period",
     )
 
 
-def _requests(work: DataFrame, dataset_size: int, period_size: int, *keep: str) -> DataFrame:
-    """Every chunk of data sets with every chunk of periods, row by row."""
-    by_dataset = work.select(*keep, "periods", F.explode(chunks(F.col("datasets"), dataset_size)).alias("ds"))
-    return by_dataset.select(*keep, "ds", F.explode(chunks(F.col("periods"), period_size)).alias("pe"))
+def _joined_chunks(
+    ids: str, size: int, separator: str, spell: Callable[[Column], Column] = lambda chunk: chunk
+) -> Column:
+    """The chunks of an id array, each joined to one request parameter."""
+    return F.transform(chunks(F.col(ids), size), lambda c: F.array_join(spell(c), separator))
+
+
+def _requests(work: DataFrame, first: str, second: str) -> DataFrame:
+    """Every text of one array column with every text of the other, row by row."""
+    return unnest(
+        unnest(work.withColumnsRenamed({first: "__first", second: "__second"}), "__first", first),
+        "__second", second,
+    ).drop("__first", "__second")
 
 
 def period_requests(missing: DataFrame) -> DataFrame:

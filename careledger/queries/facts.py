@@ -155,8 +155,8 @@ def _links_replace(spark, sf_dir):
     fresh = part.filter("p_type < 'N'").select(
         category, F.col("p_brand").alias("categoryoption_id"), F.lit("new").alias("_origin")
     ).distinct()
-    owners = combo_owners(view(spark, sf_dir, "cat"), "category")
-    return replace_links(links, fresh, owners, "category_id")
+    owners = combo_owners(view(spark, sf_dir, "cat"), "category", "category_id")
+    return replace_links(links, fresh, owners)
 
 
 @query("option_links_replace", """
@@ -176,8 +176,8 @@ def _option_links_replace(spark, sf_dir):
     fresh = option_combos.filter("categorycombo_id < 'Brand#2'").select(
         F.col("id").alias("categoryoptioncombo_id"), F.lit("fresh").alias("categoryoption_id")
     )
-    owners = option_combo_owners(option_combos, combos, "category")
-    return replace_links(view(spark, sf_dir, "coc_opt"), fresh, owners, "categoryoptioncombo_id")
+    owners = option_combo_owners(option_combos, combos, "category", "categoryoptioncombo_id")
+    return replace_links(view(spark, sf_dir, "coc_opt"), fresh, owners)
 
 
 @query("tracked_assignments", """

@@ -11,6 +11,7 @@ from careledger.functions.text import (
 )
 from careledger.functions.values import number, parse_value, strip
 from careledger.operators.merge import keep_last
+from careledger.operators.nested import unnest
 from careledger.sources.landing import seq
 
 
@@ -24,8 +25,9 @@ def _fetched() -> Column:
 
 def _elements(decoded: DataFrame, array: str) -> DataFrame:
     """One row per element of a payload array, with its arrival order."""
-    return decoded.select(
-        "request_id", "source", "page", "fetched_at", F.posexplode(f"payload.{array}").alias("pos", "e")
+    return unnest(
+        decoded.select("request_id", "source", "page", "fetched_at", F.col(f"payload.{array}").alias("array")),
+        "array", "e", "pos",
     )
 
 
@@ -92,7 +94,7 @@ def periods(decoded: DataFrame, requested: DataFrame | None = None) -> DataFrame
     """Periods the server resolved to dates; with requested, only the ids asked for."""
     resolved = (
         decoded.select(
-            "request_id", "source", "page", "fetched_at", F.explode("payload.metaData.items").alias("id", "e")
+            "request_id", "source", "page", "fetched_at", F.explode_outer("payload.metaData.items").alias("id", "e")
         )
         .filter(F.col("e.startDate").isNotNull())
         .select(
@@ -129,8 +131,8 @@ def org_unit_assignments(decoded: DataFrame, datasets: DataFrame) -> DataFrame:
     """(data set, org unit) links to data sets the warehouse tracks for the same source."""
     tracked = datasets.select(F.col("id").alias("dataset_id"), "datasource_id")
     return (
-        _elements(decoded, "organisationUnits")
-        .select(F.col("e.id").alias("orgunit_id"), _fetched(), _source(), F.explode("e.dataSets").alias("d"))
+        unnest(_elements(decoded, "organisationUnits"), "e.dataSets", "d")
+        .select(F.col("e.id").alias("orgunit_id"), _fetched(), _source(), "d")
         .select(F.col("d.id").alias("dataset_id"), "orgunit_id", "_fetchedat", "datasource_id")
         .join(tracked, ["dataset_id", "datasource_id"], "left_semi")
         .groupBy("dataset_id", "orgunit_id", "datasource_id")
@@ -188,7 +190,7 @@ def dataset_elements(decoded: DataFrame) -> DataFrame:
     """Distinct (data set, data element) links found in data element responses."""
     return (
         decoded.select(
-            F.explode("payload.dataSetElements.dataSet.id").alias("dataset_id"),
+            F.explode_outer("payload.dataSetElements.dataSet.id").alias("dataset_id"),
             F.col("payload.id").alias("dataelement_id"), _fetched(), _source(),
         )
         .filter(F.col("dataset_id") != "")
@@ -225,12 +227,8 @@ def category_combos(decoded: DataFrame, combo_type: str) -> dict[str, DataFrame]
     An entity seen more than once keeps its last occurrence.
     """
     combos = decoded.filter(F.col("payload.id").isNotNull())
-    categories = combos.select(
-        "*", F.posexplode("payload.categories").alias("cat_pos", "cat")
-    )
-    options = categories.select(
-        "*", F.posexplode("cat.categoryOptions").alias("opt_pos", "opt")
-    )
+    categories = unnest(combos, "payload.categories", "cat", "cat_pos")
+    options = unnest(categories, "cat.categoryOptions", "opt", "opt_pos")
     key = ["id", "combo_type", "datasource_id"]
     arrival = [F.col("fetched_at"), F.col("request_id"), F.col("page")]
 
@@ -263,7 +261,7 @@ def option_combos(decoded: DataFrame) -> dict[str, DataFrame]:
         iso_timestamp_ms(F.col("e.lastUpdated")).alias("lastupdated"),
         _fetched(), _source(), seq("pos").alias("seq"),
     )
-    options = found.select("*", F.explode("e.categoryOptions").alias("opt"))
+    options = unnest(found, "e.categoryOptions", "opt")
     return {
         "categoryoptioncombos": keep_last(combos, ["id", "datasource_id"], ["seq"]).drop("seq"),
         "categoryoptioncombo_options": _links(

@@ -75,10 +75,7 @@ class Warehouse:
         if not updates.isEmpty():
             target = self.read(name)
             if table.partitions:
-                touched = self._touched(updates, table)
-                old = target.filter(touched) if isinstance(touched, Column) else target.join(
-                    touched, list(table.partitions), "left_semi"
-                ).select(*target.columns)
+                old = self.in_partitions(name, target, updates)
                 small = self._size(staged) <= BROADCAST_BYTES
                 merged = upsert(old, updates, table.keys, refreshed, condition, small_updates=small)
                 self.overwrite_partitions(name, merged)
@@ -86,6 +83,22 @@ class Warehouse:
                 self.replace(name, upsert(target, updates, table.keys, refreshed, condition))
         self.delete(staged)
 
+    def in_partitions(self, name: str, df: DataFrame, other: DataFrame) -> DataFrame:
+        """Rows of df in the partitions that occur in another frame: by a filter that
+        prunes partitions or, for very many of them, by a join."""
+        source_column, period_column = columns = TABLES[name].partitions
+        values = other.select(*columns).distinct()
+        rows = values.limit(LISTED_PARTITIONS + 1).collect()
+        if len(rows) > LISTED_PARTITIONS:
+            return df.join(values, list(columns), "left_semi").select(*df.columns)
+        periods: dict[str, list[str]] = {}
+        for source, period in rows:
+            periods.setdefault(source, []).append(period)
+        listed = F.lit(False)
+        for source, ids in periods.items():
+            listed = listed | ((F.col(source_column) == source) & F.col(period_column).isin(ids))
+        return df.filter(listed)
+
     def overwrite_partitions(self, name: str, df: DataFrame) -> None:
         """Replace the partitions that occur in df; df may be read from them.
 
@@ -104,9 +117,11 @@ class Warehouse:
 
     def drop_partitions(self, name: str, partitions: Iterable[Row]) -> None:
         """Delete partition folders, given leading partition values."""
-        columns = TABLES[name].partitions
+        escape = self.spark.sparkContext._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils
         for row in partitions:
-            folder = "/".join(f"{c}={row[c]}" for c in columns if c in row)
+            folder = "/".join(
+                f"{c}={escape.escapePathName(row[c])}" for c in TABLES[name].partitions if c in row
+            )
             self.delete(f"{self.root}/{name}/{folder}")
 
     def drop_source(self, name: str, source: str) -> None:
@@ -125,22 +140,6 @@ class Warehouse:
 
     # --- helpers ---
 
-    def _touched(self, updates: DataFrame, table: Table) -> Column | DataFrame:
-        """Which partitions the updates fall in: a filter that prunes, or, for very many,
-        a frame to join with."""
-        values = updates.select(*table.partitions).distinct()
-        rows = values.limit(LISTED_PARTITIONS + 1).collect()
-        if len(rows) > LISTED_PARTITIONS:
-            return values
-        by_source: dict[str, list[str]] = {}
-        for source, period in rows:
-            by_source.setdefault(source, []).append(period)
-        touched = F.lit(False)
-        source_column, period_column = table.partitions
-        for source, periods in by_source.items():
-            touched = touched | ((F.col(source_column) == source) & F.col(period_column).isin(periods))
-        return touched
-
     def _snapshot(self, name: str) -> str | None:
         done = [n for n, finished in self._snapshots(name) if finished]
         return f"{self.root}/{name}/snapshot-{max(done):08d}" if done else None
