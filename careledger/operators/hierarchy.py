@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from careledger.functions.text import path_level, touches
@@ -13,38 +13,45 @@ def flatten(staged: DataFrame, roots: list[str] | DataFrame | None = None) -> Da
     """Id and name of the ancestor at each level of the path.
 
     A level below the unit has id '' and name NULL. Names come from the unfiltered units
-    of the same source. A unit's own name is at hand, so the lookup table holds only units
-    that are an ancestor of another: a small part of the tree, the same for all levels.
+    of the same source.
+
+    Units with the same ancestors share one chain of names, and there are only as many
+    chains as units with children. Names are looked up per chain, and the units meet
+    their chain in one join, not in one join per level.
     """
     units = within(staged, roots, "path") if roots is not None else staged
+    levels = {i: path_level(F.col("path"), i) for i in LEVELS}
+    above = F.array(*[F.when(level == F.col("id"), "").otherwise(level) for level in levels.values()])
     units = units.select(
-        "*", *[path_level(F.col("path"), i).alias(f"oulevel{i}id") for i in LEVELS]
+        "*",
+        *[level.alias(f"oulevel{i}id") for i, level in levels.items()],
+        F.when(F.col("path").isNotNull(), F.array_join(above, "/")).alias("__chain"),
+    )
+    steps = (
+        units.select("datasource_id", "__chain").distinct()
+        .select("datasource_id", "__chain", F.posexplode(F.split("__chain", "/")).alias("__pos", "__id"))
+        .filter("__id <> ''")
     )
-    ancestors = (
-        units.select("id", "datasource_id", F.explode(F.array(*[f"oulevel{i}id" for i in LEVELS])).alias("a"))
-        .filter((F.col("a") != "") & (F.col("a") != F.col("id")))
-        .select(F.col("a").alias("id"), "datasource_id")
-        .distinct()
+    names = staged.select(
+        F.col("id").alias("__id"), "datasource_id", F.col("name").alias("__name")
     )
-    names = staged.join(ancestors, ["id", "datasource_id"], "left_semi").select(
-        F.col("id").alias("__id"), F.col("datasource_id").alias("__ds"), F.col("name").alias("__name")
+    chains = (
+        steps.join(names, ["__id", "datasource_id"])
+        .groupBy("datasource_id", "__chain")
+        .agg(*[
+            F.max(F.when(F.col("__pos") == i - 1, F.col("__name"))).alias(f"__name{i}") for i in LEVELS
+        ])
     )
-    for i in LEVELS:
-        level_id = F.col(f"oulevel{i}id")
-        # Empty levels and a unit's own level have nothing to look up: a key no id can be
-        # equal to keeps them apart from each other instead of in one large group.
-        key = F.when(level_id.isin("") | (level_id == F.col("id")), F.concat(F.lit("/"), "id")).otherwise(level_id)
-        found = names.select("__id", "__ds", F.col("__name").alias("__found"))
-        units = units.join(
-            found, (key == F.col("__id")) & (F.col("datasource_id") == F.col("__ds")), "left"
-        ).withColumn(
-            f"oulevel{i}name",
-            F.when(level_id == F.col("id"), F.col("name")).otherwise(F.col("__found")),
-        ).drop("__id", "__ds", "__found")
-    return units.withColumnRenamed("path", "oupath").select(
-        "id", "datasource_id", "code", "name", "shortname", "parentid", "oupath", "level",
-        "openingdate", "closeddate", "lastupdated", "_fetchedat", "leaf",
-        *[c for i in LEVELS for c in (f"oulevel{i}id", f"oulevel{i}name")],
+
+    def level_name(i: int) -> Column:
+        own = F.col(f"oulevel{i}id") == F.col("id")
+        return F.when(own, F.col("name")).otherwise(F.col(f"__name{i}")).alias(f"oulevel{i}name")
+
+    return units.join(chains, ["datasource_id", "__chain"], "left").select(
+        "id", "datasource_id", "code", "name", "shortname", "parentid",
+        F.col("path").alias("oupath"), "level", "openingdate", "closeddate", "lastupdated",
+        "_fetchedat", "leaf",
+        *[c for i in LEVELS for c in (F.col(f"oulevel{i}id"), level_name(i))],
     )
 
 

@@ -28,16 +28,16 @@ def settled_requests(decoded: DataFrame, rejects: DataFrame | None = None) -> Da
     )
 
 
-def finished_units(decoded: DataFrame, rejects: DataFrame | None = None) -> DataFrame:
+def finished_units(decoded: DataFrame, settled: DataFrame) -> DataFrame:
     """Org units every request of which is fine, with or without rows in the answers.
 
-    A response that covers several units lists their ids separated by semicolons.
+    settled is what settled_requests says about the same responses. A response that covers several units lists their ids separated by semicolons.
     """
     requested = decoded.select(
         "request_id", F.col("source").alias("datasource_id"), F.explode(F.split("orgunit", ";")).alias("id")
     ).distinct()
     return (
-        requested.join(settled_requests(decoded, rejects), "request_id")
+        requested.join(settled.select("request_id", "ok"), "request_id")
         .groupBy("id", "datasource_id")
         .agg(F.bool_and("ok").alias("ok"))
         .filter("ok")

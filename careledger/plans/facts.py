@@ -41,20 +41,21 @@ def _load(
     parse: Callable[[DataFrame], DataFrame], order: list[str] | None,
     shape: Callable[[DataFrame], DataFrame] = lambda rows: rows,
 ) -> None:
-    # Bodies are parsed once; the log below reads three narrow columns of the result.
+    # Bodies are parsed once, and rows are checked once for the short log of requests.
     decoded, staged = wh.stage(decode(responses, kind))
     rows = parse(decoded)
     bad = F.lit(False) if "usable" not in rows.columns else ~F.col("usable")
     for key in TABLES[table].keys:
         bad = bad | F.col(key).isNull()
-    rejects = rows.filter(bad)
-    fine = settled_requests(decoded, rejects).filter("ok")
+    settled, staged_log = wh.stage(settled_requests(decoded, rows.filter(bad)))
+    fine = settled.filter("ok")
     wh.merge(table, shape(rows.join(fine, "request_id", "left_semi")), order=order)
     moved = advance(
-        wh.read("orgunits"), finished_units(decoded, rejects), WATERMARKS[table], as_of.date()
+        wh.read("orgunits"), finished_units(decoded, settled), WATERMARKS[table], as_of.date()
     )
     wh.replace("orgunits", moved)
     wh.delete(staged)
+    wh.delete(staged_log)
 
 
 def load_periods(wh: Warehouse, responses: DataFrame, source: str) -> None:

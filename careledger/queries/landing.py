@@ -118,7 +118,8 @@ def _grid_payload(spark, sf_dir):
     HAVING bool_and(o_orderpriority < '4')""")
 def _finished_units(spark, sf_dir):
     decoded = decode(grid_responses(spark, sf_dir), "grid")
-    return finished_units(decoded, payloads.grid_rows(decoded).filter("not usable"))
+    rejects = payloads.grid_rows(decoded).filter("not usable")
+    return finished_units(decoded, settled_requests(decoded, rejects))
 
 
 def period_responses(spark: SparkSession, sf_dir: str) -> DataFrame:

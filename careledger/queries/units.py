@@ -6,7 +6,9 @@ from pyspark.sql import functions as F
 
 from careledger.operators.hierarchy import flatten, within
 from careledger.operators.merge import upsert
-from careledger.operators.watermarks import advance, finished_units, reset, stale
+from careledger.operators.watermarks import (
+    advance, finished_units, reset, settled_requests, stale,
+)
 from careledger.plans.work import value_work
 from careledger.queries.base import AS_OF, query, table, view
 from careledger.schemas import LEVELS, TABLES
@@ -136,7 +138,9 @@ def _order_log(spark, sf_dir):
     FROM {ou} o LEFT JOIN done d ON o.id = d.id""")
 def _advance(spark, sf_dir):
     units = view(spark, sf_dir, "ou").select("id", "datasource_id", "dv_downloadedat")
-    moved = advance(units, finished_units(_order_log(spark, sf_dir)), "dv_downloadedat", AS_OF.date())
+    log = _order_log(spark, sf_dir)
+    done = finished_units(log, settled_requests(log))
+    moved = advance(units, done, "dv_downloadedat", AS_OF.date())
     return moved.withColumn("dv_downloadedat", F.col("dv_downloadedat").cast("string"))
 
 

@@ -71,16 +71,16 @@ class Warehouse:
         if order is not None:
             updates = keep_last(updates, table.keys, order)
         updates = updates.select(*[c for c in table.schema.names if c in updates.columns])
+        if not table.partitions:
+            merged = upsert(self.read(name), updates, table.keys, refreshed, condition)
+            return self.replace(name, merged)
+        # Used three times below: for the partitions, the size and the merge itself.
         updates, staged = self.stage(updates)
         if not updates.isEmpty():
-            target = self.read(name)
-            if table.partitions:
-                old = self.in_partitions(name, target, updates)
-                small = self._size(staged) <= BROADCAST_BYTES
-                merged = upsert(old, updates, table.keys, refreshed, condition, small_updates=small)
-                self.overwrite_partitions(name, merged)
-            else:
-                self.replace(name, upsert(target, updates, table.keys, refreshed, condition))
+            old = self.in_partitions(name, self.read(name), updates)
+            small = self._size(staged) <= BROADCAST_BYTES
+            merged = upsert(old, updates, table.keys, refreshed, condition, small_updates=small)
+            self.overwrite_partitions(name, merged)
         self.delete(staged)
 
     def in_partitions(self, name: str, df: DataFrame, other: DataFrame) -> DataFrame:

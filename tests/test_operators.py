@@ -137,7 +137,7 @@ def test_watermark_moves_for_finished_units_only(spark, as_of):
         "request_id string, source string, orgunit string, failed boolean")
     rejects = spark.createDataFrame([("r5",), ("r5",)], "request_id string")
     assert got(settled_requests(log, rejects).filter("ok"), "request_id") == [("r1",), ("r3",)]
-    done = finished_units(log, rejects)
+    done = finished_units(log, settled_requests(log, rejects))
     assert got(done) == [("u1", "s"), ("u3", "s"), ("u4", "s")]
     units = spark.createDataFrame(
         [("u1", "s", None), ("u1", "t", None), ("u2", "s", dt.date(2024, 1, 1))], "id string, datasource_id string, w date")
