@@ -24,7 +24,7 @@ HEADLINE = (
     "missing_periods", "reporting_pivot", "work_reporting", "work_completeness", "manifest_reporting",
     "manifest_completeness", "batch_rows", "category_dimension", "explode_values", "grid_payload",
     "element_payload", "combo_entities", "finished_units", "load_values", "load_rates",
-    "incremental_values", "clean_ghosts", "metadata_run", "data_run",
+    "incremental_values", "clean_ghosts",
 )
 
 

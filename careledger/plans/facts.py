@@ -22,25 +22,27 @@ from careledger.sources import payloads
 from careledger.sources.landing import decode
 from careledger.sources.warehouse import Warehouse
 
+Counts = dict[str, int]
 
-def load_values(wh: Warehouse, responses: DataFrame, as_of: dt.datetime) -> None:
+
+def load_values(wh: Warehouse, responses: DataFrame, as_of: dt.datetime) -> Counts:
     """Of several values of one key in a load, the one updated last counts."""
-    _load(wh, responses, "values", "datavalues", as_of, payloads.data_values, ["lastupdated", "seq"])
+    return _load(wh, responses, "values", "datavalues", as_of, payloads.data_values, ["lastupdated", "seq"])
 
 
-def load_completeness(wh: Warehouse, responses: DataFrame, as_of: dt.datetime) -> None:
-    _load(wh, responses, "completeness", "dataset_completeness", as_of, payloads.completeness, ["seq"])
+def load_completeness(wh: Warehouse, responses: DataFrame, as_of: dt.datetime) -> Counts:
+    return _load(wh, responses, "completeness", "dataset_completeness", as_of, payloads.completeness, ["seq"])
 
 
-def load_rates(wh: Warehouse, responses: DataFrame, as_of: dt.datetime) -> None:
-    _load(wh, responses, "grid", "reporting_rates", as_of, payloads.grid_rows, None, pivot_rates)
+def load_rates(wh: Warehouse, responses: DataFrame, as_of: dt.datetime) -> Counts:
+    return _load(wh, responses, "grid", "reporting_rates", as_of, payloads.grid_rows, None, pivot_rates)
 
 
 def _load(
     wh: Warehouse, responses: DataFrame, kind: str, table: str, as_of: dt.datetime,
     parse: Callable[[DataFrame], DataFrame], order: list[str] | None,
     shape: Callable[[DataFrame], DataFrame] = lambda rows: rows,
-) -> None:
+) -> Counts:
     # Bodies are parsed once, and rows are checked once for the short log of requests.
     decoded, staged = wh.stage(decode(responses, kind))
     rows = parse(decoded)
@@ -49,13 +51,15 @@ def _load(
         bad = bad | F.col(key).isNull()
     settled, staged_log = wh.stage(settled_requests(decoded, rows.filter(bad)))
     fine = settled.filter("ok")
-    wh.merge(table, shape(rows.join(fine, "request_id", "left_semi")), order=order)
+    merged = wh.merge(table, shape(rows.join(fine, "request_id", "left_semi")), order=order)
     moved = advance(
         wh.read("orgunits"), finished_units(decoded, settled), WATERMARKS[table], as_of.date()
     )
     wh.replace("orgunits", moved)
+    tally = settled.agg(F.count("*"), F.count_if(~F.col("ok"))).first()
     wh.delete(staged)
     wh.delete(staged_log)
+    return {"rows": merged, "requests": tally[0], "failed": tally[1]}
 
 
 def load_periods(wh: Warehouse, responses: DataFrame, source: str) -> None:

@@ -8,7 +8,7 @@ from careledger.operators.numbering import batch_rows
 from careledger.operators.periods import missing_periods
 from careledger.plans.work import (
     attribute_combo_ids, category_combo_ids, completeness_requests, completeness_work, period_requests,
-    reporting_requests, reporting_work,
+    reporting_requests, reporting_work, value_requests, value_work,
 )
 from careledger.queries.base import AS_OF, query, table, view
 
@@ -109,6 +109,13 @@ def _manifest_periods(spark, sf_dir):
     return period_requests(missing_periods(used, view(spark, sf_dir, "periods")))
 
 
+@query("manifest_values", """
+    SELECT id AS orgunit, 'DE1,DE2' AS dataelement, '1995-01-01' AS since FROM {ou} WHERE leaf AND datasource_id = 'hmis'""")
+def _manifest_values(spark, sf_dir):
+    work = value_work(view(spark, sf_dir, "ou"), "hmis", "1995-01-01", AS_OF, full=True)
+    return value_requests(work, ["DE1", "DE2"])
+
+
 @query("batch_rows", """
     WITH keys AS (SELECT concat('r', o_orderkey) AS request_id FROM {orders})
     SELECT request_id, (row_number() OVER (ORDER BY substr(md5(request_id), 1, 3), request_id) - 1) // 7 AS batch

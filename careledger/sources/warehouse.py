@@ -64,24 +64,30 @@ class Warehouse:
         self, name: str, updates: DataFrame,
         condition: Callable[[str, str], Column] | None = None,
         order: Sequence[str] | None = None, refreshed: Sequence[str] | None = None,
-    ) -> None:
-        """Upsert by the table's key and refresh rule. No updates, no change."""
+    ) -> int | None:
+        """Upsert by the table's key and refresh rule. No updates, no change.
+
+        For a fact table, gives the number of rows merged.
+        """
         table = TABLES[name]
         refreshed = table.refreshed if refreshed is None else refreshed
         if order is not None:
             updates = keep_last(updates, table.keys, order)
         updates = updates.select(*[c for c in table.schema.names if c in updates.columns])
         if not table.partitions:
-            merged = upsert(self.read(name), updates, table.keys, refreshed, condition)
-            return self.replace(name, merged)
+            self.replace(name, upsert(self.read(name), updates, table.keys, refreshed, condition))
+            return None
         # Used three times below: for the partitions, the size and the merge itself.
         updates, staged = self.stage(updates)
-        if not updates.isEmpty():
+        count = updates.count()
+        if count:
             old = self.in_partitions(name, self.read(name), updates)
             small = self._size(staged) <= BROADCAST_BYTES
             merged = upsert(old, updates, table.keys, refreshed, condition, small_updates=small)
-            self.overwrite_partitions(name, merged)
+            # With few updates the old rows stay in the tasks that read them.
+            self.overwrite_partitions(name, merged, rebalance=not small)
         self.delete(staged)
+        return count
 
     def in_partitions(self, name: str, df: DataFrame, other: DataFrame) -> DataFrame:
         """Rows of df in the partitions that occur in another frame: by a filter that
@@ -99,16 +105,17 @@ class Warehouse:
             listed = listed | ((F.col(source_column) == source) & F.col(period_column).isin(ids))
         return df.filter(listed)
 
-    def overwrite_partitions(self, name: str, df: DataFrame) -> None:
+    def overwrite_partitions(self, name: str, df: DataFrame, rebalance: bool = True) -> None:
         """Replace the partitions that occur in df; df may be read from them.
 
         Rebalancing sends a partition to as many tasks as its size needs, so a period
         with a third of all rows is split. Rows are sorted for min/max skipping.
         """
         table = TABLES[name]
+        if rebalance:
+            df = df.hint("rebalance", *[F.col(c) for c in table.partitions])
         (
-            df.hint("rebalance", *[F.col(c) for c in table.partitions])
-            .sortWithinPartitions(*table.partitions, *table.sort)
+            df.sortWithinPartitions(*table.partitions, *table.sort)
             .write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
             .partitionBy(*table.partitions)

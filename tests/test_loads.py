@@ -8,6 +8,7 @@ from pyspark.errors import UnsupportedOperationException
 from pyspark.sql import functions as F
 
 from careledger.plans import facts, metadata, runs
+from careledger.plans.checks import check_table
 from careledger.schemas import ENVELOPE, TABLES
 from careledger.sources import payloads
 from careledger.sources.landing import check_pages, decode, read_landing
@@ -57,7 +58,7 @@ def got(df, *columns):
 
 def test_values_and_watermarks(spark, wh):
     units(spark, wh, "u1", "u2", "u3", "u4", "u5", "u6")
-    facts.load_values(wh, landed(
+    counts = facts.load_values(wh, landed(
         spark,
         ("r1", "u1", values(value("u1", value=" 7 ", followUp=True), value("u1", element="t", value="yes"))),
         ("r2", "u2", values()),
@@ -66,6 +67,7 @@ def test_values_and_watermarks(spark, wh):
         ("r5", "u5", values(value("u5"), value("u5", element=None))),
         ("r6", "u6", {}),
     ), NOON)
+    assert counts == {"rows": 2, "requests": 6, "failed": 3}
     assert got(wh.read("datavalues"), "orgunit", "dataelement", "value_string", "value_double", "followup") == [
         ("u1", "e", None, 7.0, True), ("u1", "t", "yes", None, None)]
     today = dt.date(2024, 3, 10)
@@ -295,3 +297,13 @@ def test_assignments_of_tracked_sets_only(spark):
     tracked = spark.createDataFrame([("known", "hmis"), ("other", "phem")], "id string, datasource_id string")
     links = payloads.org_unit_assignments(decode(landed(spark, ("o", "", body)), "orgunits"), tracked)
     assert got(links, "dataset_id", "orgunit_id") == [("known", "a")]
+
+
+def test_table_check(spark, wh):
+    metadata.seed_sources(wh, [("hmis", "Health", "u", "d")], NOON)
+    fill(wh, "datasets", spark.createDataFrame(
+        [("d", "hmis", "x" * 12), ("d", "hmis", "ok"), (None, "phem", "ok")],
+        "id string, datasource_id string, categorycombo_id string"))
+    assert got(check_table(wh, "datasets").filter("n > 0"), "check", "column_name", "n") == [
+        ("duplicate key", None, 1), ("null in key", None, 1), ("too long", "categorycombo_id", 1),
+        ("unknown source", "datasource_id", 1)]
