@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -25,6 +27,11 @@ def iso_timestamp_ms(text: Column) -> Column:
     return F.coalesce(F.substring(text, 1, 23).try_cast("timestamp_ntz"), iso_timestamp(text))
 
 
+def moment(as_of: dt.datetime) -> Column:
+    """A Python time as it reads, whatever zone the driver is in."""
+    return F.lit(as_of.isoformat(sep=" ")).cast("timestamp_ntz")
+
+
 def is_true(text: Column) -> Column:
     """TRUE for the text "true" in any case, FALSE for anything else and for NULL."""
     return F.coalesce(F.lower(text) == "true", F.lit(False))

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from careledger.functions.names import number_clashes, safe_name
+from careledger.functions.text import moment
 
 # Columns of the dimension that no category may be named after.
 RESERVED = (
@@ -89,11 +90,11 @@ def build_dimension(
     dimension = combos.join(pivoted, "categoryoptioncombo_id").select(
         "datasource_id", "categoryoptioncombo_id", "categoryoptioncombo_name",
         "categoryoptioncombo_code", *names.values(), "categorycombo_id",
-        F.lit(as_of).cast("timestamp_ntz").alias("_builtat"),
+        moment(as_of).alias("_builtat"),
     )
     name_map = spark.createDataFrame(
         list(names.items()), "original_name string, safe_name string"
     ).select(
-        "*", F.lit(as_of).cast("timestamp_ntz").alias("_builtat"), F.lit(source).alias("datasource_id")
+        "*", moment(as_of).alias("_builtat"), F.lit(source).alias("datasource_id")
     )
     return dimension, name_map

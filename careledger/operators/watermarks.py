@@ -7,13 +7,15 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from careledger.functions.text import moment
+
 
 def stale(watermark: str, as_of: dt.datetime, days: int = 4) -> Column:
     """TRUE for a missing watermark or one set more than so many days ago.
 
     The watermark is a date and counts from midnight.
     """
-    limit = F.lit(as_of - dt.timedelta(days=days)).cast("timestamp_ntz")
+    limit = moment(as_of - dt.timedelta(days=days))
     return F.col(watermark).isNull() | (F.col(watermark).cast("timestamp_ntz") < limit)
 
 

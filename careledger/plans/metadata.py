@@ -7,6 +7,7 @@ import datetime as dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from careledger.functions.text import moment
 from careledger.operators.dimensions import build_dimension
 from careledger.operators.hierarchy import flatten
 from careledger.operators.merge import (
@@ -131,4 +132,4 @@ def seed_sources(
 ) -> None:
     """Register sources given as (id, title, url, description); known ids stay as they are."""
     rows = wh.spark.createDataFrame(sources, "id string, title string, url string, description string")
-    wh.merge("datasource", rows.withColumn("lastupdated", F.lit(as_of)), refreshed=())
+    wh.merge("datasource", rows.withColumn("lastupdated", moment(as_of).cast("timestamp")), refreshed=())

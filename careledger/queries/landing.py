@@ -178,7 +178,7 @@ def _completeness_payload(spark, sf_dir):
 
 
 def orgunit_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every staged unit as one page, assigned to a tracked and an unknown data set."""
+    """Every staged unit as one page, assigned to its parent's data set and an unknown one."""
     units = view(spark, sf_dir, "staged").filter("datasource_id = 'hmis'")
     body = F.to_json(F.struct(
         F.expr("named_struct('page', 1, 'pageCount', 1)").alias("pager"),
@@ -188,7 +188,7 @@ def orgunit_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.when(F.col("parentid").isNotNull(), F.struct(F.col("parentid").alias("id"))).alias("parent"),
             "path", "level", F.lit("1990-01-01T00:00:00.000").alias("openingDate"),
             F.lit("2001-06-01T10:11:12.131").alias("lastUpdated"),
-            F.expr("""array(named_struct('id', concat('DS.', right(name, 1))), named_struct('id', 'unknown'))""")
+            F.expr("""array(named_struct('id', concat('DS.', parentid)), named_struct('id', 'unknown'))""")
             .alias("dataSets"),
         )).alias("organisationUnits"),
     ))
@@ -209,14 +209,15 @@ def _orgunit_payload(spark, sf_dir):
 
 
 def tracked_sets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return view(spark, sf_dir, "staged").filter("datasource_id = 'hmis' AND right(name, 1) < '5'").select(
-        F.expr("concat('DS.', right(name, 1))").alias("id"), "datasource_id"
-    ).distinct()
+    """One data set per nation; those of the regions are not tracked."""
+    return view(spark, sf_dir, "staged").filter("datasource_id = 'hmis' AND level = 2").select(
+        F.concat(F.lit("DS."), "id").alias("id"), "datasource_id"
+    )
 
 
 @query("assignment_payload", """
-    SELECT concat('DS.', right(name, 1)) AS dataset_id, id AS orgunit_id, datasource_id FROM {staged}
-    WHERE datasource_id = 'hmis' AND right(name, 1) < '5'""")
+    SELECT concat('DS.', parentid) AS dataset_id, id AS orgunit_id, datasource_id FROM {staged}
+    WHERE datasource_id = 'hmis' AND level = 3""")
 def _assignment_payload(spark, sf_dir):
     decoded = decode(orgunit_responses(spark, sf_dir), "orgunits")
     return payloads.org_unit_assignments(decoded, tracked_sets(spark, sf_dir)).drop("_fetchedat")

@@ -59,7 +59,9 @@ def _incremental_values(spark, sf_dir):
     folder = f"{shared_dir(spark)}/landing-{uuid.uuid4().hex}"
     answers = landing.value_responses(spark, sf_dir)
     for landed in ("fetched_at < '2024-01-16'", "fetched_at >= '2024-01-16'"):
-        answers.filter(landed).write.mode("append").json(folder)
+        answers.filter(landed).write.mode("append").option(
+            "timestampNTZFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
+        ).json(folder)
         load_new(wh, folder, AS_OF, checkpoint=f"{folder}-progress")
     return _values(wh)
 

@@ -68,7 +68,7 @@ def _ethiopian_date(spark, sf_dir):
 
 @query("iso_text", """
     SELECT event_id, CAST(date_trunc('second', ts) AS VARCHAR) AS at_second,
-        epoch_ms(date_trunc('millisecond', ts)) AS at_millisecond,
+        strftime(ts, '%Y-%m-%d %H:%M:%S.%g') AS at_millisecond,
         CAST(CAST(ts AS DATE) AS VARCHAR) AS on_day,
         CASE WHEN event_type <> 'error' THEN CAST(CAST(ts AS DATE) AS VARCHAR) END AS on_day_or_null
     FROM {events}""")
@@ -77,7 +77,7 @@ def _iso_text(spark, sf_dir):
     return table(spark, sf_dir, "events").select(
         "event_id",
         text.iso_timestamp(iso).cast("string").alias("at_second"),
-        F.unix_millis(text.iso_timestamp_ms(iso).cast("timestamp")).alias("at_millisecond"),
+        F.date_format(text.iso_timestamp_ms(iso), "yyyy-MM-dd HH:mm:ss.SSS").alias("at_millisecond"),
         text.iso_date(iso).cast("string").alias("on_day"),
         text.iso_date(text.blank_to_null(F.when(F.col("event_type") == "error", "").otherwise(iso)))
         .cast("string").alias("on_day_or_null"),

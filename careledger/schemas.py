@@ -118,8 +118,8 @@ def _name_map() -> Table:
     )
 
 
-# The reference layout keeps one copy of most tables per source; here a datasource_id
-# column (a partition column for the facts) takes the place of the table-name prefix.
+# Sources share the tables: a datasource_id column (a partition column for the facts)
+# takes the place of one copy of a table per source.
 TABLES = {
     "datasource": Table(
         "id string, title string, url string, description string, lastupdated timestamp",
@@ -239,7 +239,7 @@ WATERMARKS = {
     "reporting_rates": "rr_downloadedat",
 }
 
-# Refresh every org-unit column instead of the reference's shorter list.
+# Every org-unit column but the keys and watermarks, for a full refresh.
 ORGUNIT_REFRESH_ALL = TABLES["orgunits"].refreshed + (
     "shortname", "parentid", "openingdate", "closeddate", "_fetchedat", "leaf",
     *(f"oulevel{i}id" for i in LEVELS),

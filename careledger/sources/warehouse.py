@@ -17,8 +17,8 @@ from careledger.operators.merge import keep_last, upsert
 from careledger.schemas import TABLES, Table
 from careledger.session import shared_dir
 
-# Updates whose parquet files are at most this large are broadcast in a fact merge.
-BROADCAST_BYTES = 16 * 1024 * 1024
+# Updates measured at no more than this in memory are broadcast in a fact merge.
+BROADCAST_BYTES = 64 * 1024 * 1024
 # More touched partitions than this are found by a join instead of a listed filter.
 LISTED_PARTITIONS = 5000
 
@@ -79,10 +79,10 @@ class Warehouse:
             return None
         # Used three times below: for the partitions, the size and the merge itself.
         updates, staged = self.stage(updates)
-        count = updates.count()
+        count, size = self._measure(updates)
         if count:
             old = self.in_partitions(name, self.read(name), updates)
-            small = self._size(staged) <= BROADCAST_BYTES
+            small = size <= BROADCAST_BYTES
             merged = upsert(old, updates, table.keys, refreshed, condition, small_updates=small)
             # With few updates the old rows stay in the tasks that read them.
             self.overwrite_partitions(name, merged, rebalance=not small)
@@ -169,8 +169,13 @@ class Warehouse:
     def _exists(self, path: str) -> bool:
         return self._fs(path).exists(self._path(path))
 
-    def _size(self, path: str) -> int:
-        return self._fs(path).getContentSummary(self._path(path)).getLength()
+    def _measure(self, df: DataFrame) -> tuple[int, int]:
+        """Rows, and their bytes in memory: text by its length, 16 bytes for any field."""
+        texts = [F.coalesce(F.octet_length(c), F.lit(0)) for c, kind in df.dtypes if kind == "string"]
+        count, text = df.agg(
+            F.count("*"), F.coalesce(F.sum(sum(texts, F.lit(0))), F.lit(0))
+        ).first()
+        return count, text + count * 16 * len(df.columns)
 
 
 def merge_catalog_table(

@@ -103,7 +103,7 @@ def test_rates(spark, wh):
     grid = lambda *rows: {"rows": list(rows)}
     facts.load_rates(wh, landed(
         spark,
-        ("b1", "u1;u2", grid(["d.EXPECTED_REPORTS", "u1", "202401", "4"], ["d.ACTUAL_REPORTS", "u1", "202401", "3.0"])),
+        ("b1", "u1;u2", grid(["d.EXPECTED_REPORTS", "u1", "202401", 4], ["d.ACTUAL_REPORTS", "u1", "202401", "3.0"])),
         ("b1", "u1;u2", grid(["d.ACTUAL_REPORTS", "u1", "202401", "2"], ["d.OTHER", "u2", "202401", "2"]), 2, "ok", NOON),
         ("b2", "u3", grid(["d.EXPECTED_REPORTS", "u3", "202401", "4"], ["nodot", "u3", "202401", "1"])),
         ("b3", "u4", grid(["d.EXPECTED_REPORTS", "u4", "202401", "four"])),
@@ -178,7 +178,7 @@ def test_elements_newer_only_and_failure_gate(spark, wh):
 
 def page(number, count, *ids, **more):
     return {"pager": {"page": number, "pageCount": count}, "organisationUnits": [
-        {"id": i, "name": i.upper(), "path": f"/{'/'.join(ids[:ids.index(i) + 1])}", "leaf": "True", **more} for i in ids]}
+        {"id": i, "name": i.upper(), "path": f"/{'/'.join(ids[:ids.index(i) + 1])}", "leaf": i != "b" or "True", **more} for i in ids]}
 
 
 def test_org_units_need_all_pages(spark, wh):

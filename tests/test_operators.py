@@ -42,9 +42,9 @@ def test_ghosts(spark, ghost_tables):
     values, elements, combos = ghost_tables
     for name, df in (("v", values), ("e", elements), ("c", combos)):
         df.createOrReplaceTempView(name)
-    reference = spark.sql("""SELECT * FROM v WHERE EXISTS (SELECT 1 FROM e JOIN c
+    as_written = spark.sql("""SELECT * FROM v WHERE EXISTS (SELECT 1 FROM e JOIN c
         ON e.categorycombo_id = c.categorycombo_id WHERE e.id = v.dataelement AND c.id = v.categoryoptioncombo)""")
-    assert got(kept) == got(reference)
+    assert got(kept) == got(as_written)
 
 
 def test_ghosts_with_listed_combos(ghost_tables):
