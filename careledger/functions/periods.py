@@ -20,3 +20,14 @@ def period_type(period_id: Column) -> Column:
     return F.coalesce(
         *[F.when(period_id.rlike(pattern), F.lit(name)) for name, pattern in PERIOD_TYPES.items()]
     )
+
+
+# Every non-empty set of period types as the sum of its bits.
+ALL_TYPE_SETS = range(1, 2 ** len(PERIOD_TYPES))
+
+
+def type_bit(period_type: Column) -> Column:
+    """A bit per period type, so that a set of types is one number."""
+    return F.coalesce(
+        *[F.when(period_type == name, F.lit(1 << i)) for i, name in enumerate(PERIOD_TYPES)]
+    )

@@ -4,13 +4,12 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable
-from itertools import combinations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from careledger.functions.calendar import ethiopian_date
-from careledger.functions.periods import PERIOD_TYPES
+from careledger.functions.periods import ALL_TYPE_SETS, type_bit
 from careledger.functions.text import split_ids
 from careledger.operators.hierarchy import within
 from careledger.operators.nested import unnest
@@ -104,38 +103,34 @@ def _work_lists(
     if not full:
         first = as_of.date() - dt.timedelta(days=LOOK_BACK_DAYS)
         periods = periods.filter(F.col("start_date") >= F.lit(first))
-    by_type = typed_periods(periods).groupBy("periodtype").agg(F.collect_set("id").alias("ids"))
+    typed = typed_periods(periods)
     sets = (
         datasets.filter(F.col("datasource_id") == source)
-        .select(F.col("id").alias("dataset_id"), "periodtype")
-        .join(by_type.select("periodtype"), "periodtype", "left_semi")
+        .join(typed.select("periodtype").distinct(), "periodtype", "left_semi")
+        .select(F.col("id").alias("dataset_id"), type_bit(F.col("periodtype")).alias("bit"))
     )
     units = due.select(F.col("id").alias("orgunit_id"))
     per_unit = (
         assignments.select("dataset_id", "orgunit_id")
         .join(units, "orgunit_id", "left_semi")
         .join(sets, "dataset_id")
-        .groupBy("orgunit_id")
+        .groupBy(F.col("orgunit_id").alias("orgunit"))
         .agg(
             F.sort_array(F.collect_set("dataset_id")).alias("datasets"),
-            F.sort_array(F.collect_set("periodtype")).alias("types"),
+            F.bit_or("bit").alias("types"),
         )
     )
-    return per_unit.join(_period_lists(by_type), "types").select(
-        F.col("orgunit_id").alias("orgunit"), "datasets", "periods"
-    )
+    return per_unit.join(_period_lists(typed), "types").select("orgunit", "datasets", "periods")
 
 
-def _period_lists(by_type: DataFrame) -> DataFrame:
+def _period_lists(typed: DataFrame) -> DataFrame:
     """The sorted period list of every set of period types: 31 rows at most."""
-    names = sorted(PERIOD_TYPES)
-    sets = [(list(c),) for n in range(1, len(names) + 1) for c in combinations(names, n)]
+    every = F.array(*[F.lit(types) for types in ALL_TYPE_SETS])
+    holding = F.filter(every, lambda types: types.bitwiseAND(type_bit(F.col("periodtype"))) != 0)
     return (
-        by_type.sparkSession.createDataFrame(sets, "types array<string>")
-        .select("types", F.explode("types").alias("periodtype"))
-        .join(by_type, "periodtype")
+        typed.select("id", F.explode(holding).alias("types"))
         .groupBy("types")
-        .agg(F.sort_array(F.flatten(F.collect_list("ids"))).alias("periods"))
+        .agg(F.sort_array(F.collect_set("id")).alias("periods"))
     )
 
 

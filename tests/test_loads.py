@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from careledger.plans import facts, metadata, runs
 from careledger.plans.checks import check_table
+from careledger.plans.work import reporting_work
 from careledger.schemas import ENVELOPE, TABLES
 from careledger.sources import payloads
 from careledger.sources.landing import check_pages, decode, read_landing
@@ -282,6 +283,10 @@ def test_requests_of_a_source(spark, wh):
     assert {r.dx for r in grid} == {"d.EXPECTED_REPORTS;d.ACTUAL_REPORTS;d.ACTUAL_REPORTS_ON_TIME"}
     assert {r.pe for r in grid} == {"202312;202402"}
     assert {r.dataset for r in requests["completeness"].collect()} == {"d"}
+    work = reporting_work(
+        wh.read("orgunits"), wh.read("dataset_orgunits"), wh.read("datasets"), wh.read("periods"), "hmis", NOON)
+    plan = work._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin [types" in plan and "SortMergeJoin" not in plan
     assert "completeness" not in runs.plan_requests(wh, "phem", ["e"], "2020-01-01", NOON)
 
 
