@@ -27,9 +27,9 @@ def merge_combos(root: Column, elements: Column) -> tuple[Column, Column]:
 
 def split_metric(dx: Column) -> tuple[Column, Column]:
     """(data set, metric) of 'dataset.METRIC'; both NULL unless there is exactly one dot."""
-    parts = F.split(dx, r"\.")
-    well_formed = F.size(parts) == 2
-    return F.when(well_formed, parts[0]), F.when(well_formed, parts[1])
+    dots = F.char_length(dx) - F.char_length(F.replace(dx, F.lit("."), F.lit("")))
+    before, after = F.substring_index(dx, ".", 1), F.substring_index(dx, ".", -1)
+    return F.when(dots == 1, before), F.when(dots == 1, after)
 
 
 def metric_slot(metric: Column) -> Column:

@@ -13,9 +13,16 @@ NOT_A_NUMBER = r"(?i)\A[+-]?nan\z"
 INFINITE = r"(?i)\A[+-]?inf(inity)?\z"
 
 
+# The characters that count as white space around a value.
+WHITE_SPACE = (
+    "\t\n\v\f\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006"
+    "\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+)
+
+
 def strip(text: Column) -> Column:
-    """Remove all Unicode white space around the text, not only blanks."""
-    return F.regexp_replace(text, r"(?U)\A\s+|\s+\z", "")
+    """Remove all white space around the text, not only blanks."""
+    return F.btrim(text, F.lit(WHITE_SPACE))
 
 
 def number(stripped: Column) -> Column:

@@ -138,7 +138,8 @@ def reporting_requests(work: DataFrame, batch_size: int = UNITS_PER_BATCH) -> Da
     """One row per grid request: dx, ou and pe lists joined by semicolons.
 
     A batch asks for all its units, the union of their data sets and the union of their
-    periods, so a unit may be asked about data sets it has not been assigned.
+    periods, so a unit may be asked about data sets it has not been assigned. Batching reads
+    the work list twice: write a large one out first.
     """
 
     def union(lists: str) -> Column:

@@ -10,7 +10,7 @@ from careledger.plans.work import (
     attribute_combo_ids, category_combo_ids, completeness_requests, completeness_work, period_requests,
     reporting_requests, reporting_work, value_requests, value_work,
 )
-from careledger.queries.base import AS_OF, query, table, view
+from careledger.queries.base import AS_OF, query, scratch_warehouse, table, view
 
 _TYPED = r"""CASE WHEN regexp_full_match(p.id, '\d{4}W\d{1,2}') THEN 'Weekly'
     WHEN regexp_full_match(p.id, '\d{6}') THEN 'Monthly' WHEN regexp_full_match(p.id, '\d{4}Q\d') THEN 'Quarterly'
@@ -85,7 +85,9 @@ def _work_completeness_same(spark, sf_dir):
     pes AS (SELECT batch, g, string_agg(id, ';' ORDER BY id) AS pe FROM pen GROUP BY batch, g)
     SELECT batch, dx, ou, pe FROM dxs JOIN ous USING (batch) JOIN pes USING (batch)""")
 def _manifest_reporting(spark, sf_dir):
-    return reporting_requests(reporting_work(*_inputs(spark, sf_dir), "hmis", AS_OF, full=True))
+    # Batching reads the work list twice, so it is written once in between.
+    work, _ = scratch_warehouse(spark).stage(reporting_work(*_inputs(spark, sf_dir), "hmis", AS_OF, full=True))
+    return reporting_requests(work)
 
 
 @query("manifest_completeness", f"""
