@@ -25,4 +25,17 @@ SQL = {
         ), lowest AS (SELECT u, min(r) AS component_id FROM reach GROUP BY u)
         SELECT doc_id, CAST(len(s) AS BIGINT) AS n_shingles, component_id, doc_id = component_id AS kept
         FROM sets JOIN lowest ON doc_id = u""",
+    "op4_pivot_topk": """
+        WITH fit AS (
+            SELECT vec_id, [CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT) FOR x IN embedding] AS v
+            FROM embeddings WHERE len(embedding) > 0
+                AND len([x FOR x IN embedding IF x IS NOT NULL AND isfinite(x)]) = len(embedding)
+        ), scored AS (
+            SELECT q.vec_id AS query_id, c.vec_id,
+                CAST(list_sum([p[1] * p[2] FOR p IN list_zip(q.v, c.v)]) AS BIGINT) AS score
+            FROM fit q JOIN fit c ON q.vec_id <> c.vec_id WHERE q.vec_id % 50 = 0
+        )
+        SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INT) AS rank,
+            vec_id, score
+        FROM scored QUALIFY rank <= 5""",
 }

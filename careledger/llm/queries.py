@@ -4,10 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from careledger.llm import neardup, oracles
-from careledger.llm.common import table
+from careledger.llm import neardup, oracles, packing, topk
+from careledger.llm.common import staged, table
+
+TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = dict(oracles.SQL)
@@ -21,3 +25,19 @@ def query(fn: Callable[[SparkSession, str], DataFrame]):
 @query
 def op8_minhash_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(table(spark, sf_dir, "documents"), percent=85)
+
+
+@query
+def op4_pivot_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(table(spark, sf_dir, "embeddings"), F.pmod(F.col("vec_id"), F.lit(50)) == 0)
+
+
+@query
+def op6_shortest_pack_first(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = staged(packing.pieces(table(spark, sf_dir, "documents"), TOKENIZER), "pieces")
+    # The digest before the joins, so that they don't move the ids.
+    packed = packing.pack(cut.withColumn("ids_crc32", F.crc32("ids")).drop("ids"))
+    return packed.select(
+        "doc_id", "start", F.col("length").cast("bigint").alias("length"), "ids_crc32",
+        "doc_tokens", "sequence_id", "offset",
+    )
