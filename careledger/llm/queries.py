@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from careledger.llm import neardup, oracles, packing, topk
+from careledger.llm import neardup, oracles, packing, token_scan, topk
 from careledger.llm.common import staged, table
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -41,3 +41,10 @@ def op6_shortest_pack_first(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "start", F.col("length").cast("bigint").alias("length"), "ids_crc32",
         "doc_tokens", "sequence_id", "offset",
     )
+
+
+@query
+def op3_separator_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    blocks, order = token_scan.write_stream(table(spark, sf_dir, "documents"), TOKENIZER)
+    counted = token_scan.count_tokens(blocks)
+    return order.join(counted, ["file_id", "place"]).select("doc_id", "n_tokens", "file_id", "place", "first_token")

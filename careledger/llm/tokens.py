@@ -27,12 +27,13 @@ class Encoder:
 
     Byte-level tokenizers split a text before each space that follows a word, so the ids of a chunk
     between spaces don't depend on what surrounds it and are remembered. Other tokenizers, and texts
-    for which this doesn't hold, are encoded whole.
+    for which this doesn't hold, are encoded whole. ordinary: strings of special tokens in a text are text.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, ordinary: bool = False):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer = Tokenizer.from_file(path)
+        self.tokenizer.encode_special_tokens = ordinary
         with open(path, encoding="utf-8") as f:
             form = json.load(f)
         before = form.get("pre_tokenizer") or {}
@@ -40,7 +41,7 @@ class Encoder:
             before.get("type") == "ByteLevel" and not before.get("add_prefix_space", True)
             and before.get("use_regex", True) and not form.get("normalizer")
         )
-        self.special = [t["content"] for t in form.get("added_tokens", [])]
+        self.special = [] if ordinary else [t["content"] for t in form.get("added_tokens", [])]
         vocabulary = self.tokenizer.get_vocab()
         self.spaced = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
         self.spaced[[i for token, i in vocabulary.items() if token.startswith("Ġ")]] = True
