@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from careledger.llm import neardup, oracles, packing, token_scan, topk
+from careledger.llm import neardup, oracles, packing, pii, token_scan, topk
 from careledger.llm.common import staged, table
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -48,3 +48,13 @@ def op3_separator_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     blocks, order = token_scan.write_stream(table(spark, sf_dir, "documents"), TOKENIZER)
     counted = token_scan.count_tokens(blocks)
     return order.join(counted, ["file_id", "place"]).select("doc_id", "n_tokens", "file_id", "place", "first_token")
+
+
+@query
+def op2_pii_boosted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = pii.find(docs, pii.fit(docs))
+    return found.select(
+        "doc_id", *(F.size(f"_{k}").cast("bigint").alias(f"n_{k}") for k in pii.KINDS),
+        F.sha2(pii.listed(base_only=True), 256).alias("base_sha256"), pii.listed(base_only=False).alias("spans"),
+    )
