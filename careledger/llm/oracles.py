@@ -1,5 +1,10 @@
 """SQL that gives the rows of a query, where SQL can express it."""
 
+from careledger.llm.decontaminate import (
+    _LOOSE, _NAMES, _NUMBERS, _PLAIN, _SIGNS, _UNITS, LITERALS, NAME, NUMBER, UNIT, WINDOW,
+)
+
+_NAMES_SQL = _NAMES.replace("'", "''")
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 SQL = {
@@ -38,4 +43,42 @@ SQL = {
         SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INT) AS rank,
             vec_id, score
         FROM scored QUALIFY rank <= 5""",
+    "op7_template_decontamination": f"""
+        WITH texts AS (
+            SELECT 'd' AS side, doc_id AS id, coalesce(text, '') AS t FROM documents
+            UNION ALL SELECT 'b', item_id, coalesce(text, '') FROM benchmark
+        ), marked AS (
+            SELECT side, id, regexp_replace(lower(regexp_replace(t, '{_NAMES_SQL}', '\\1{NAME}\\2', 'g')),
+                '{_NUMBERS}', ' {NUMBER}\\1 ', 'g') AS t FROM texts
+        ), valued AS (
+            SELECT side, id, regexp_replace(regexp_replace(regexp_replace(regexp_replace(t, '{_SIGNS}', ' {UNIT}sign ', 'g'),
+                '{_UNITS}', '{NUMBER}\\1 {UNIT}\\2 \\3', 'g'), '{_LOOSE}', ' \\1', 'g'), '{_PLAIN}', ' ', 'g') AS t FROM marked
+        ), words AS (
+            SELECT side, id, [x FOR x IN string_split(t, ' ') IF x <> ''] AS w FROM valued
+        ), forms AS (
+            SELECT side, id, w, [CASE WHEN ord(x) BETWEEN 1 AND 3 THEN x[1] ELSE x END FOR x IN w] AS k FROM words
+        ), sizes AS (SELECT DISTINCT least(len(w), {WINDOW}) AS size FROM forms WHERE side = 'b' AND len(w) >= {LITERALS}),
+        cut AS (
+            SELECT side, id, size, len(w) AS n, unnest(range(1, len(w) - size + 2)) AS p, w, k
+            FROM forms, sizes WHERE len(w) >= size AND (side = 'd' OR least(len(w), {WINDOW}) = size)
+        ), shown AS (
+            SELECT side, id, size, p, array_to_string(k[p:p + size - 1], ' ') AS template,
+                [x FOR x IN w[p:p + size - 1] IF ord(x) BETWEEN 1 AND 3] AS slots FROM cut
+        ), met AS (
+            SELECT d.id AS doc_id, b.id AS item_id, d.p - b.p AS shift, b.p AS item_at, b.slots AS theirs, d.slots AS own
+            FROM shown d JOIN shown b ON d.side = 'd' AND b.side = 'b' AND d.size = b.size AND d.template = b.template
+            WHERE b.size - len(b.slots) >= {LITERALS}
+        ), slot_pairs AS (
+            SELECT DISTINCT doc_id, item_id, shift, theirs[i] AS a, own[i] AS c
+            FROM (SELECT *, unnest(range(1, len(theirs) + 1)) AS i FROM met)
+        ), judged AS (
+            SELECT doc_id, item_id, shift, count(*) AS n, count(DISTINCT a) = count(*) AS steady FROM slot_pairs GROUP BY ALL
+        ), alignments AS (
+            SELECT m.doc_id, m.item_id, m.shift, bool_or(len(m.theirs) = 0) AS literal,
+                coalesce(any_value(j.n), 0) AS n, coalesce(any_value(j.steady), true) AS steady
+            FROM met m LEFT JOIN judged j USING (doc_id, item_id, shift) GROUP BY ALL
+        )
+        SELECT m.doc_id, m.item_id, count(DISTINCT m.item_at) AS n_windows, max(a.n) AS n_slots
+        FROM met m JOIN alignments a USING (doc_id, item_id, shift) WHERE a.literal OR a.steady
+        GROUP BY m.doc_id, m.item_id""",
 }

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from careledger.llm import neardup, oracles, packing, pii, token_scan, topk
+from careledger.llm import decontaminate, neardup, oracles, packing, pii, token_scan, topk
 from careledger.llm.common import staged, table
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -58,3 +58,8 @@ def op2_pii_boosted(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", *(F.size(f"_{k}").cast("bigint").alias(f"n_{k}") for k in pii.KINDS),
         F.sha2(pii.listed(base_only=True), 256).alias("base_sha256"), pii.listed(base_only=False).alias("spans"),
     )
+
+
+@query
+def op7_template_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
