@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from careledger.llm import decontaminate, neardup, oracles, packing, pii, token_scan, topk
+from careledger.llm import decontaminate, neardup, oracles, packing, pii, token_scan, topk, toxicity
 from careledger.llm.common import staged, table
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -63,3 +63,10 @@ def op2_pii_boosted(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op7_template_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query
+def op1_ordinal_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
+    return docs.select("doc_id", toxicity.graded(model).alias("g")).select("doc_id", "g.*")
