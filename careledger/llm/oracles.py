@@ -81,4 +81,18 @@ SQL = {
         SELECT m.doc_id, m.item_id, count(DISTINCT m.item_at) AS n_windows, max(a.n) AS n_slots
         FROM met m JOIN alignments a USING (doc_id, item_id, shift) WHERE a.literal OR a.steady
         GROUP BY m.doc_id, m.item_id""",
+    "op5_event_sourced_chat": r"""
+        WITH turns AS (
+            SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+            UNION ALL SELECT -7, t, CASE t WHEN 0 THEN 'user' ELSE 'assistant' END, '</s>[INST] ok [/INST]' FROM range(2) r(t)
+        ), marked AS (
+            SELECT *, role || chr(10) || text || chr(10) AS told, CASE WHEN role = 'assistant' THEN text ELSE '' END AS loss,
+                CAST(length('<s>[ROLE][/ROLE]</s>') + length(role) + length(text)
+                    + length(role || text) - length(replace(replace(replace(role || text, '\', ''), '<', ''), '[', '')) AS BIGINT) AS n
+            FROM turns
+        )
+        SELECT conv_id, count(*) AS n_turns, sha256(string_agg(told, '' ORDER BY turn, role, text)) AS turns_sha256,
+            CAST(sum(length(loss)) AS BIGINT) AS loss_chars, sha256(string_agg(loss, '' ORDER BY turn, role, text)) AS loss_sha256,
+            CAST(sum(n) AS BIGINT) AS formatted_chars
+        FROM marked GROUP BY conv_id""",
 }
