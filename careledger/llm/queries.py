@@ -8,7 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from careledger.llm import chat, decontaminate, neardup, oracles, packing, pii, token_scan, topk, toxicity
+from careledger.llm import (
+    chat, decontaminate, licences, neardup, oracles, packing, pages, pii, token_scan, topk, toxicity,
+)
 from careledger.llm.common import staged, table
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -81,3 +83,16 @@ def op5_event_sourced_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
         "FROM (SELECT explode(array(0L, 1L)) AS t)"
     )
     return chat.digests(chat.render(chat.messages(chat.log_of(turns.union(hostile)))))
+
+
+@query
+def op9_block_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = table(spark, sf_dir, "pages").select("page_id", "url", pages.extracted("html").alias("text"))
+    return found.withColumn("n_chars", F.length("text").cast("bigint"))
+
+
+@query
+def op10_licence_paragraphs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = licences.fit(docs)
+    return docs.select("doc_id", F.explode_outer(licences.licences(model)).alias("hit")).select("doc_id", "hit.*")
