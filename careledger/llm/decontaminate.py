@@ -113,6 +113,8 @@ def _none(texts: DataFrame, items: DataFrame) -> DataFrame:
 
 
 def clean(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of docs that hold no item, with all their columns."""
-    gone = contaminated(docs, benchmark, id_col, text_col).select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(gone, F.col(id_col).eqNullSafe(F.col("_gone")), "left_anti")
+    """The rows of docs that hold no item, with all their columns; rows without an id are told apart by text."""
+    key = F.coalesce(F.col(id_col).cast("string"), F.concat(F.lit("text "), F.sha2(text_of(text_col), 256)))
+    gone = contaminated(docs.select(key.alias("_key"), text_col), benchmark, "_key", text_col)
+    gone = gone.select(F.col("doc_id").alias("_gone")).distinct()
+    return docs.join(gone, key == F.col("_gone"), "left_anti")

@@ -7,9 +7,9 @@ pass. Bands of the signature are bucket keys. Inside a bucket, candidate edges a
 around one centre, never all pairs; every edge is confirmed on the full sets.
 
 A star alone may miss a link between two members that are both unlike the centre. So buckets
-whose members do not yet form one component go on to further rounds, with the next 2, 4, 8 ...
-members as centres, until each bucket is one component or each of its pairs was compared.
-Identical sets are one node throughout, so copies cost one row each and no edge.
+whose members do not yet form one component go on to further rounds, with the next 1, 2, 4, 8 ...
+members as centres, until each bucket is one component or each of its pairs was compared or
+excluded by a bound: shingles that a set has alone can't be common to a link. Identical sets are one node throughout, so copies cost one row each and no edge.
 
 Defined results: a null or blank text has an empty set and is linked with nothing; rows with
 one doc_id are one document, whatever their texts; rows without a doc_id are never a group's
@@ -160,17 +160,20 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             sets = shingle_sets(texts[part.start : part.stop], hashes)
             yield pa.RecordBatch.from_arrays([
                 pa.array([_node(s) for s in sets], pa.binary()),
-                pa.array([s.tobytes() for s in sets], pa.binary()),
+                pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64())),
             ], ["node", "items"])
 
 
+def _arrays(column: pa.ListArray) -> list[np.ndarray]:
+    flat, ends = column.values.to_numpy().view(np.uint64), column.offsets.to_numpy()
+    return [flat[a:b] for a, b in zip(ends[:-1], ends[1:])]
+
+
 def _confirm(percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            left, right = (batch.column(i).to_pylist() for i in (2, 3))
             linked = []
-            for a, b in zip(left, right):
-                x, y = np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64)
+            for x, y in zip(_arrays(batch.column(2)), _arrays(batch.column(3))):
                 common = len(np.intersect1d(x, y, assume_unique=True))
                 linked.append(100 * common >= percent * (len(x) + len(y) - common))
             yield pa.RecordBatch.from_arrays(
@@ -180,19 +183,21 @@ def _confirm(percent: int):
     return run
 
 
-def _compare(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
-    """u, v, linked for each pair of nodes, from the full sets of their documents."""
-    wanted = staged(
-        pairs.select(F.explode(F.array("u", "v")).alias("node")).distinct()
-        .join(nodes.select("node", "id"), "node").select("id").distinct(), "wanted",
-    )
+def _sets_of(docs: DataFrame, nodes: DataFrame, some: DataFrame) -> DataFrame:
+    """node, items for the nodes in some; items is the sorted set. Staged."""
+    wanted = staged(some.distinct().join(nodes.select("node", "id"), "node").select("id").distinct(), "wanted")
     if wanted.count() <= BROADCAST_IDS:
         wanted = F.broadcast(wanted)
-    sets = staged(
+    return staged(
         docs.join(wanted, docs["doc_id"] == wanted["id"], "left_semi").select("text")
-        .mapInArrow(_sets, "node binary, items binary")
+        .mapInArrow(_sets, "node binary, items array<bigint>")
         .where("node IS NOT NULL").groupBy("node").agg(F.first("items").alias("items")), "sets",
     )
+
+
+def _compare(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
+    """u, v, linked for each pair of nodes, from the full sets of their documents."""
+    sets = _sets_of(docs, nodes, pairs.select("u").union(pairs.select("v")).toDF("node"))
     left = sets.select(F.col("node").alias("u"), F.col("items").alias("left"))
     right = sets.select(F.col("node").alias("v"), F.col("items").alias("right"))
     return (
@@ -201,8 +206,27 @@ def _compare(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, percent: int)
     )
 
 
-def _near(n: str, m: str, percent: int) -> str:
-    return f"100 * least({n}, {m}) >= {percent} * greatest({n}, {m})"
+def _own_items(docs: DataFrame, nodes: DataFrame, some: DataFrame) -> DataFrame:
+    """node, own: how many items of its set no other of these nodes has, where there are any."""
+    items = _sets_of(docs, nodes, some).select("node", F.explode("items").alias("item"))
+    alone = items.groupBy("item").agg(F.count("*").alias("n"), F.min("node").alias("node")).where("n = 1")
+    return alone.groupBy("node").agg(F.count("*").alias("own"))
+
+
+def _members(rows: DataFrame, found: DataFrame | None) -> DataFrame:
+    """rows with comp, the component that the links found so far put their node in."""
+    if found is None or not any_row(found):
+        return rows.withColumn("comp", F.col("node"))
+    comps = staged(components(found), "comps").withColumnRenamed("node", "at")
+    return rows.join(comps, F.col("node") == F.col("at"), "left").drop("at").withColumn("comp", F.coalesce("comp", "node"))
+
+
+def _undecided(rows: DataFrame, first: int) -> DataFrame:
+    """The rows of buckets that hold several components and members not compared with all others. Staged."""
+    live = rows.groupBy("key").agg(
+        F.min("comp").alias("low"), F.max("comp").alias("high"), F.max("rank").alias("last"),
+    ).where(f"low <> high AND last > {first}").select("key")
+    return staged(rows.join(live, "key"), "undecided")
 
 
 def links(docs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame | None:
@@ -215,52 +239,53 @@ def links(docs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame | None:
     weight = shared.groupBy("node").agg(F.sum("size").alias("weight"))
     # The node that shares most comes first: the origin of a group of variants.
     ordered = key.orderBy(F.desc("weight"), "node")
-    open_ = staged(
+    members = staged(
         shared.join(weight, "node").select(
             "key", "node", "n", F.row_number().over(ordered).alias("rank"),
             F.first("node").over(ordered).alias("centre"), F.first("n").over(ordered).alias("m"),
         ), "members",
     )
-    pairs = (
-        open_.where(f"rank > 1 AND {_near('n', 'm', percent)}")
-        .select(F.col("centre").alias("u"), F.col("node").alias("v")).distinct()
+    pairs = staged(
+        members.where(f"rank > 1 AND 100 * least(n, m) >= {percent} * greatest(n, m)")
+        .select(F.col("centre").alias("u"), F.col("node").alias("v")).distinct(), "pairs",
     )
-    open_ = open_.select("key", "node", "n", "rank")
-    found, tried, first, width = None, None, 1, 1
+    if not any_row(pairs):
+        return None
+    found = staged(_compare(docs, nodes, pairs, percent), "compared").where("linked").select("u", "v")
+    tried, first, width = pairs, 1, 1
+    left = _undecided(_members(members.select("key", "node", "n", "rank"), found), first)
+    if not any_row(left):
+        return found
+    # What a set has alone among the undecided can't be common to a link: common <= n - own. That
+    # excludes most pairs of variants that differ too much, and nodes that fit no partner at all.
+    own = staged(_own_items(docs, nodes, left.select("node")), "own").withColumnRenamed("node", "at")
+    left = (
+        left.join(own, F.col("node") == F.col("at"), "left").drop("at")
+        .withColumn("most", F.col("n") - F.coalesce("own", F.lit(0))).where(f"100 * most >= {percent} * n")
+        .drop("own", "comp")
+    )
+    left = staged(left, "left")
     while True:
-        pairs = staged(pairs, "pairs")
-        if any_row(pairs):
-            compared = staged(_compare(docs, nodes, pairs, percent), "compared")
-            linked = compared.where("linked").select("u", "v")
-            found = linked if found is None else found.union(linked)
-            tried = pairs if tried is None else tried.union(pairs)
-        first, width = first + width, width * 2
-        labelled = open_
-        if found is not None and any_row(found):
-            comps = staged(components(found), "comps").withColumnRenamed("node", "at")
-            labelled = open_.join(comps, F.col("node") == F.col("at"), "left").drop("at")
-        else:
-            labelled = open_.withColumn("comp", F.lit(None).cast("binary"))
-        labelled = labelled.withColumn("comp", F.coalesce("comp", "node"))
-        live = labelled.groupBy("key").agg(
-            F.min("comp").alias("low"), F.max("comp").alias("high"), F.max("rank").alias("last"),
-        ).where(f"low <> high AND last > {first}").select("key")
-        labelled = staged(labelled.join(live, "key"), "open")
-        if not any_row(labelled):
+        left = _undecided(_members(left, found), first)
+        if not any_row(left):
             return found
-        open_ = labelled.drop("comp")
-        centres = labelled.where(f"rank BETWEEN {first} AND {first + width - 1}").select(
-            "key", F.col("node").alias("u"), F.col("n").alias("m"), F.col("rank").alias("at"),
-            F.col("comp").alias("own"),
+        centres = left.where(f"rank BETWEEN {first + 1} AND {first + width}").select(
+            "key", F.col("node").alias("u"), F.col("n").alias("m"), F.col("most").alias("cap"),
+            F.col("rank").alias("at"), F.col("comp").alias("own"),
         )
-        pairs = (
-            labelled.join(centres, "key")
-            .where(f"rank > at AND comp <> own AND {_near('n', 'm', percent)}")
-            .select("u", F.col("node").alias("v")).distinct()
+        # A centre is compared with all members of other components that are not yet behind it.
+        pairs = staged(
+            left.join(centres, "key").where(
+                f"rank > at AND comp <> own AND 100 * least(most, cap) >= {percent} * (n + m - least(most, cap))"
+            ).select("u", F.col("node").alias("v")).distinct()
+            .join(tried, ["u", "v"], "left_anti")
+            .join(tried.select(F.col("u").alias("v"), F.col("v").alias("u")), ["u", "v"], "left_anti"), "pairs",
         )
-        if tried is not None:
-            pairs = pairs.join(tried, ["u", "v"], "left_anti")
-            pairs = pairs.join(tried.select(F.col("u").alias("v"), F.col("v").alias("u")), ["u", "v"], "left_anti")
+        if any_row(pairs):
+            found = found.union(staged(_compare(docs, nodes, pairs, percent), "compared").where("linked").select("u", "v"))
+            tried = tried.union(pairs)
+        left = left.drop("comp")
+        first, width = first + width, width * 2
 
 
 def near_duplicates(
@@ -302,7 +327,18 @@ def near_duplicates(
 
 
 def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = 80) -> DataFrame:
-    """The rows of docs that near_duplicates keeps, with all their columns; rows without an id stay
-    where they are the only ones with their set."""
-    out = near_duplicates(docs, id_col, text_col, percent).where("NOT kept").select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(out, F.col(id_col).eqNullSafe(F.col("_gone")), "left_anti")
+    """The rows of docs that near_duplicates keeps, with all their columns. Of rows that repeat a doc_id the one
+    with the greatest text stays; rows without a doc_id can't be told apart and stay."""
+    gone = near_duplicates(docs, id_col, text_col, percent).where("doc_id IS NOT NULL AND NOT kept")
+    kept = docs.join(gone.select(F.col("doc_id").alias("_gone")).distinct(), F.col(id_col) == F.col("_gone"), "left_anti")
+    repeated = kept.where(F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias("_again")).count().where("count > 1").select("_again")
+    repeated = staged(repeated, "repeated")
+    if not any_row(repeated):
+        return kept
+    again = F.col(id_col) == F.col("_again")
+    order = Window.partitionBy(id_col).orderBy(F.desc(text_col))
+    first = (
+        kept.join(repeated, again, "left_semi").withColumn("_place", F.row_number().over(order))
+        .where("_place = 1").drop("_place")
+    )
+    return kept.join(repeated, again, "left_anti").unionByName(first)

@@ -28,6 +28,8 @@ from careledger.llm.tokens import WIDTH, Encoder
 
 MAX_TOKENS = 1024
 END_ID = 0
+# Counts by task and length up to which they are sent to every task; beyond, the pieces are shuffled.
+BROADCAST_COUNTS = 500_000
 # Pieces in one output batch, and their bytes of ids.
 _ROWS, _BYTES = 4_000, 8_000_000
 
@@ -136,6 +138,8 @@ def pack(cut_up: DataFrame, max_tokens: int = MAX_TOKENS) -> DataFrame:
         slots(shortest_pack_first(histogram, max_tokens)),
         "of int, low bigint, high bigint, sequence bigint, offset bigint",
     )
+    if counts.count() <= BROADCAST_COUNTS:
+        first = F.broadcast(first)
     ranked = cut_up.join(first, ["part", "length"]).withColumn("rank", F.col("rank") + F.col("first"))
     return (
         ranked.join(F.broadcast(places), (F.col("length") == F.col("of")) & F.col("rank").between(F.col("low"), F.col("high")))
