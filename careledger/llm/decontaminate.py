@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from careledger.llm.common import text_of
+from careledger.llm.common import staged, text_of
 
 WINDOW = 8
 LITERALS = 4
@@ -36,63 +36,80 @@ UNITS = (
 )
 NAME, NUMBER, UNIT = "\u0001", "\u0002", "\u0003"
 # A capital inside a sentence starts a name.
-_NAMES = r"([\p{Ll}\p{N},;:]['’]? )(\p{Lu}\p{L}+)"
+_NAMES = r"([\p{Ll}\p{N},;:]['’]? )(\p{Lu}\p{Ll}+)"
 _NUMBERS = r"([0-9]+(?:[.,:/][0-9]+)*)"
 _UNITS = NUMBER + r"([0-9.,:/]+) +(" + "|".join(UNITS) + r")([^\p{L}\p{N}]|$)"
-_SIGNS = r"[%€$£°]"
-_PLAIN = r"[^\p{L}\p{N}" + NAME + NUMBER + UNIT + r".,:/]+"
+# Signs count as units only next to a number.
+_BEHIND = NUMBER + r"([0-9.,:/]+) *[%€$£°]"
+_BEFORE = r"[€$£] *" + NUMBER
 _LOOSE = r"[.,:/]+([^0-9]|$)"
-
-
-def tokens(text: Column) -> Column:
-    """Words and placeholders; a placeholder is its type's character, then its value."""
-    out = F.regexp_replace(text, _NAMES, "$1" + NAME + "$2")
-    out = F.regexp_replace(F.lower(out), _NUMBERS, f" {NUMBER}$1 ")
-    out = F.regexp_replace(out, "(" + _SIGNS + ")", f" {UNIT}sign ")
-    out = F.regexp_replace(out, _UNITS, f"{NUMBER}$1 {UNIT}$2 $3")
-    out = F.regexp_replace(out, _LOOSE, " $1")
-    return F.filter(F.split(F.regexp_replace(out, _PLAIN, " "), " "), lambda t: t != "")
+_PLAIN = r"[^\p{L}\p{N}" + NAME + NUMBER + UNIT + r".,:/]+"
+_PLAIN_WORDS = r"[^\p{L}\p{N}" + NAME + r"]+"
+
+
+def canonical(text: Column) -> Column:
+    """The text with placeholders for names, and for numbers and units where it has digits."""
+    out = F.lower(F.regexp_replace(text, _NAMES, "$1" + NAME + "$2"))
+    numbered = F.regexp_replace(out, _NUMBERS, f" {NUMBER}$1 ")
+    numbered = F.regexp_replace(numbered, _BEHIND, f"{NUMBER}$1 {UNIT}sign ")
+    numbered = F.regexp_replace(numbered, _BEFORE, f" {UNIT}sign {NUMBER}")
+    numbered = F.regexp_replace(numbered, _UNITS, f"{NUMBER}$1 {UNIT}$2 $3")
+    return F.when(text.rlike("[0-9]"), F.regexp_replace(numbered, _LOOSE, " $1")).otherwise(out)
+
+
+def with_tokens(rows: DataFrame, text: Column) -> DataFrame:
+    """rows with _tokens (words and placeholders; a placeholder is its type's character, then its
+    value) and _kinds (hashes of the tokens without values)."""
+    rows = rows.withColumn("_canonical", canonical(text))
+    numbered, named = F.contains("_canonical", F.lit(NUMBER)), F.contains("_canonical", F.lit(NAME))
+    rows = rows.withColumn("_tokens", F.array_remove(
+        F.when(numbered, F.split("_canonical", _PLAIN)).otherwise(F.split("_canonical", _PLAIN_WORDS)), "",
+    ))
+    return rows.withColumn("_kinds", F.when(numbered | named, F.transform(
+        "_tokens", lambda t: F.xxhash64(F.when(_is_slot(t), F.substring(t, 1, 1)).otherwise(t)),
+    )).otherwise(F.transform("_tokens", lambda t: F.xxhash64(t)))).drop("_canonical")
 
 
 def _is_slot(token: Column) -> Column:
     return F.ascii(token).between(1, 3)
 
 
+def _slots(at: Column, size: int) -> Column:
+    return F.filter(F.slice("_tokens", at, size), _is_slot)
+
+
 def windows(rows: DataFrame, size: int, keep: list[str]) -> DataFrame:
-    """keep, at, template (hash), slots (values in order): the windows of rows' column _tokens."""
-    kinds = F.transform("_tokens", lambda t: F.xxhash64(F.when(_is_slot(t), F.substring(t, 1, 1)).otherwise(t)))
-    some = F.exists("_tokens", _is_slot)
-    out = rows.where(F.size("_tokens") >= size).withColumns({"_kinds": kinds, "_some": some})
-    each = F.transform(F.sequence(F.lit(1), F.size("_tokens") - (size - 1)), lambda i: F.struct(
-        F.xxhash64(F.slice("_kinds", i, size)).alias("template"),
-        F.when(F.col("_some"), F.filter(F.slice("_tokens", i, size), _is_slot)).alias("slots"),
-    ))
-    return out.select(*keep, F.posexplode(each).alias("at", "w")).select(*keep, "at", "w.template", "w.slots")
+    """keep, at (from 0), template (hash) of the windows of rows' column _kinds."""
+    each = F.transform(
+        F.sequence(F.lit(1), F.size("_kinds") - (size - 1)), lambda i: F.xxhash64(F.slice("_kinds", i, size)),
+    )
+    return rows.where(F.size("_kinds") >= size).select(*keep, F.posexplode(each).alias("at", "template"))
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                  item_col: str = "item_id", item_text: str = "text") -> DataFrame:
     """doc_id, item_id, n_windows (different windows of the item found), n_slots: documents that
     hold an item, verbatim or with other values."""
-    items = benchmark.select(F.col(item_col).alias("item_id"), tokens(text_of(item_text)).alias("_tokens"))
+    items = with_tokens(benchmark.select(F.col(item_col).alias("item_id"), text_of(item_text).alias("_t")), F.col("_t"))
     items = items.withColumn("_size", F.least(F.size("_tokens"), F.lit(WINDOW))).where(F.col("_size") >= LITERALS)
-    texts = docs.select(F.col(id_col).alias("doc_id"), tokens(text_of(text_col)).alias("_tokens"))
+    plain = docs.select(F.col(id_col).alias("doc_id"), text_of(text_col).alias("_t"))
+    texts = with_tokens(plain, F.col("_t"))
     found = None
     for size in range(LITERALS, WINDOW + 1):
-        known = windows(items.where(F.col("_size") == size), size, ["item_id"]).select(
-            "item_id", "template", F.col("at").alias("item_at"), F.coalesce("slots", F.array().cast("array<string>")).alias("item_slots"),
+        known = windows(items.where(F.col("_size") == size), size, ["item_id", "_tokens"]).select(
+            "item_id", "template", F.col("at").alias("item_at"), _slots(F.col("at") + 1, size).alias("item_slots"),
         ).where(size - F.size("item_slots") >= LITERALS)
         n = known.count()
         if n == 0:
             continue
         known = F.broadcast(known) if n <= BROADCAST_WINDOWS else known
-        part = windows(texts, size, ["doc_id"]).join(known, "template")
+        part = windows(texts, size, ["doc_id"]).join(known, "template").withColumn("size", F.lit(size))
         found = part if found is None else found.union(part)
     if found is None:
         return _none(texts, items)
-    pairs = F.arrays_zip(F.col("item_slots").alias("item"), F.coalesce("slots", F.array().cast("array<string>")).alias("own"))
-    aligned = found.withColumn("shift", F.col("at") - F.col("item_at")).select(
-        "doc_id", "item_id", "shift", "item_at", F.explode_outer(pairs).alias("slot"),
+    found = staged(found, "met")
+    aligned = _values(plain, found).withColumn("shift", F.col("at") - F.col("item_at")).select(
+        "doc_id", "item_id", "shift", "item_at", F.explode_outer("pairs").alias("slot"),
     ).groupBy("doc_id", "item_id", "shift").agg(
         F.collect_set("item_at").alias("hits"), F.collect_set("slot").alias("slots"),
         F.max(F.when(F.col("slot").isNull(), 1).otherwise(0)).alias("literal"),
@@ -104,6 +121,27 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     )
 
 
+def _values(docs: DataFrame, found: DataFrame) -> DataFrame:
+    """found with pairs: the values (item, own) that stand in the same slot. Texts are read again only for
+    documents that met a window with placeholders."""
+    slotted = found.where(F.size("item_slots") > 0)
+    wanted = staged(slotted.select(F.col("doc_id").alias("_id")).distinct(), "wanted")
+    bare = found.where(F.size("item_slots") == 0).withColumn("pairs", F.expr("CAST(NULL AS array<struct<item:string,own:string>>)"))
+    columns = ["doc_id", "item_id", "at", "item_at", "pairs"]
+    n = wanted.count()
+    if n == 0:
+        return bare.select(*columns)
+    wanted = F.broadcast(wanted) if n <= BROADCAST_WINDOWS else wanted
+    again = with_tokens(docs.join(wanted, F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi"), F.col("_t"))
+    # Rows may share a doc_id: the window must be there in this row's text.
+    there = F.expr("xxhash64(slice(_kinds, at + 1, size)) = template")
+    valued = slotted.join(again.withColumnRenamed("doc_id", "_id"), F.col("doc_id").eqNullSafe(F.col("_id"))).where(there)
+    pairs = F.arrays_zip(F.col("item_slots").alias("item"), F.expr(
+        "filter(slice(_tokens, at + 1, size), t -> ascii(t) BETWEEN 1 AND 3)"
+    ).alias("own"))
+    return bare.select(*columns).union(valued.withColumn("pairs", pairs).select(*columns))
+
+
 def _none(texts: DataFrame, items: DataFrame) -> DataFrame:
     spark = texts.sparkSession
     kinds = (texts.schema["doc_id"].dataType.simpleString(), items.schema["item_id"].dataType.simpleString())

@@ -1,7 +1,7 @@
 """SQL that gives the rows of a query, where SQL can express it."""
 
 from careledger.llm.decontaminate import (
-    _LOOSE, _NAMES, _NUMBERS, _PLAIN, _SIGNS, _UNITS, LITERALS, NAME, NUMBER, UNIT, WINDOW,
+    _BEFORE, _BEHIND, _LOOSE, _NAMES, _NUMBERS, _PLAIN, _UNITS, LITERALS, NAME, NUMBER, UNIT, WINDOW,
 )
 
 _NAMES_SQL = _NAMES.replace("'", "''")
@@ -51,7 +51,8 @@ SQL = {
             SELECT side, id, regexp_replace(lower(regexp_replace(t, '{_NAMES_SQL}', '\\1{NAME}\\2', 'g')),
                 '{_NUMBERS}', ' {NUMBER}\\1 ', 'g') AS t FROM texts
         ), valued AS (
-            SELECT side, id, regexp_replace(regexp_replace(regexp_replace(regexp_replace(t, '{_SIGNS}', ' {UNIT}sign ', 'g'),
+            SELECT side, id, regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(t,
+                '{_BEHIND}', '{NUMBER}\\1 {UNIT}sign ', 'g'), '{_BEFORE}', ' {UNIT}sign {NUMBER}', 'g'),
                 '{_UNITS}', '{NUMBER}\\1 {UNIT}\\2 \\3', 'g'), '{_LOOSE}', ' \\1', 'g'), '{_PLAIN}', ' ', 'g') AS t FROM marked
         ), words AS (
             SELECT side, id, [x FOR x IN string_split(t, ' ') IF x <> ''] AS w FROM valued
