@@ -20,8 +20,13 @@ def stale(watermark: str, as_of: dt.datetime, days: int = 4) -> Column:
 
 
 def settled_requests(decoded: DataFrame, rejects: DataFrame | None = None) -> DataFrame:
-    """(request_id, ok): a request is fine when all its responses and rows are."""
-    log = decoded.groupBy("request_id").agg(F.bool_and(~F.col("failed")).alias("ok"))
+    """(request_id, ok): a request is fine when all its responses and rows are, and, where the
+    responses say how many belong to it, all of them are there. Without an id it never is."""
+    fine = F.bool_and(~F.col("failed")) & F.col("request_id").isNotNull()
+    if "responses" in decoded.columns:
+        expected = F.coalesce(F.max("responses"), F.lit(0))
+        fine = fine & (F.count_distinct(F.coalesce("page", F.lit(0))) >= expected)
+    log = decoded.groupBy("request_id").agg(fine.alias("ok"))
     if rejects is None:
         return log
     bad = rejects.select("request_id").distinct().withColumn("__bad", F.lit(True))

@@ -1,8 +1,9 @@
 """Loading facts: values, reporting rates, completeness and periods.
 
 Each job takes landed responses, merges what is fine and moves the watermark of the
-units whose requests all succeeded. A request with a failed response or an unreadable
-row adds nothing and moves nothing.
+units whose requests all succeeded. A request with a failed or missing response or an
+unreadable row adds nothing and moves nothing; its answers are kept, and count again
+when a later load brings the rest or a retry.
 """
 
 from __future__ import annotations
@@ -13,13 +14,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from careledger.functions.text import flag
 from careledger.operators.ghosts import split_ghosts
 from careledger.operators.periods import missing_periods
 from careledger.operators.rates import pivot_rates
 from careledger.operators.watermarks import advance, finished_units, reset, settled_requests
 from careledger.schemas import TABLES, WATERMARKS
 from careledger.sources import payloads
-from careledger.sources.landing import decode
+from careledger.sources.landing import decode, latest_answers
 from careledger.sources.warehouse import Warehouse
 
 Counts = dict[str, int]
@@ -43,23 +45,73 @@ def _load(
     parse: Callable[[DataFrame], DataFrame], order: list[str] | None,
     shape: Callable[[DataFrame], DataFrame] = lambda rows: rows,
 ) -> Counts:
-    # Bodies are parsed once, and rows are checked once for the short log of requests.
-    decoded, staged = wh.stage(decode(responses, kind))
-    rows = parse(decoded)
-    bad = F.lit(False) if "usable" not in rows.columns else ~F.col("usable")
-    for key in TABLES[table].keys:
-        bad = bad | F.col(key).isNull()
-    settled, staged_log = wh.stage(settled_requests(decoded, rows.filter(bad)))
-    fine = settled.filter("ok")
-    merged = wh.merge(table, shape(rows.join(fine, "request_id", "left_semi")), order=order)
-    moved = advance(
-        wh.read("orgunits"), finished_units(decoded, settled), WATERMARKS[table], as_of.date()
-    )
-    wh.replace("orgunits", moved)
-    tally = settled.agg(F.count("*"), F.count_if(~F.col("ok"))).first()
-    wh.delete(staged)
-    wh.delete(staged_log)
-    return {"rows": merged, "requests": tally[0], "failed": tally[1]}
+    folders = []
+
+    def stage(df: DataFrame) -> DataFrame:
+        staged, folder = wh.stage(df)
+        folders.append(folder)
+        return staged
+
+    try:
+        answers, waiting = _with_pending(wh, table, responses, stage)
+        # Bodies are parsed once, and rows are checked once for the short log of requests.
+        decoded = stage(decode(answers, kind))
+        rows = parse(decoded)
+        bad = F.lit(False) if "usable" not in rows.columns else ~F.col("usable")
+        for key in TABLES[table].keys:
+            bad = bad | F.col(key).isNull()
+        for column in TABLES[table].partitions:
+            if column in rows.columns:
+                bad = bad | (F.col(column) == "")
+        settled = stage(settled_requests(decoded, rows.filter(bad)))
+        fine = settled.filter("ok")
+        merged = wh.merge(table, shape(rows.join(fine, "request_id", "left_semi")), order=order)
+        done = stage(finished_units(decoded, settled))
+        wh.update("orgunits", lambda units: advance(units, done, WATERMARKS[table], as_of.date()))
+        tally = settled.agg(F.count("*"), F.count_if(~F.col("ok"))).first()
+        _keep_pending(wh, table, answers, settled, waiting, tally[1])
+        return {"rows": merged, "requests": tally[0], "failed": tally[1]}
+    finally:
+        for folder in folders:
+            wh.delete(folder)
+
+
+def _with_pending(
+    wh: Warehouse, table: str, responses: DataFrame, stage: Callable[[DataFrame], DataFrame],
+) -> tuple[DataFrame, DataFrame | None]:
+    """The last answer of each page, of these responses and of earlier ones of the same requests; and
+    the kept answers of all other requests."""
+    if "responses" not in responses.columns:
+        responses = responses.withColumn("responses", F.lit(None).cast("int"))
+    responses = stage(responses)
+    if not wh.exists(f"pending_{table}"):
+        return latest_answers(responses), None
+    pending = wh.read(f"pending_{table}")
+    now = responses.select("request_id").distinct()
+    earlier = pending.join(now, "request_id", "left_semi").select(*responses.columns)
+    waiting = pending.join(now, "request_id", "left_anti").select(*responses.columns)
+    return stage(latest_answers(responses.unionByName(earlier))), waiting
+
+
+def _keep_pending(
+    wh: Warehouse, table: str, answers: DataFrame, settled: DataFrame, waiting: DataFrame | None, failed: int,
+) -> None:
+    """Keep the answers of requests that are not fine yet."""
+    if waiting is None and not failed:
+        return
+    unsettled = settled.filter("NOT ok AND request_id IS NOT NULL").select("request_id")
+    kept = answers.join(unsettled, "request_id", "left_semi").select(*answers.columns)
+    wh.replace(f"pending_{table}", kept if waiting is None else waiting.unionByName(kept))
+
+
+def load_periods_of(source: str) -> Callable[[Warehouse, DataFrame, dt.datetime], None]:
+    """load_periods for one source, in the form that load_new takes."""
+
+    def load(wh: Warehouse, responses: DataFrame, as_of: dt.datetime) -> None:
+        load_periods(wh, responses, source)
+
+    load.__name__ = f"load_periods_{source}"
+    return load
 
 
 def load_periods(wh: Warehouse, responses: DataFrame, source: str) -> None:
@@ -96,8 +148,9 @@ def clean_ghosts(
     wh.delete(staged)
 
 
-def prepare_rebuild(wh: Warehouse, table: str, source: str, full: bool) -> None:
-    """Empty a fact table for a source and forget its watermark; nothing unless full."""
-    if full:
+def prepare_rebuild(wh: Warehouse, table: str, source: str, full: bool | str) -> None:
+    """Empty a fact table for a source and forget its watermark; nothing unless full, a switch that
+    may be given as text."""
+    if flag(full):
         wh.drop_source(table, source)
-        wh.replace("orgunits", reset(wh.read("orgunits"), WATERMARKS[table], source))
+        wh.update("orgunits", lambda units: reset(units, WATERMARKS[table], source))

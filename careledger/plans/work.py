@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from careledger.functions.calendar import ethiopian_date
 from careledger.functions.periods import ALL_TYPE_SETS, type_bit
-from careledger.functions.text import split_ids
+from careledger.functions.text import flag, split_ids
 from careledger.operators.hierarchy import within
 from careledger.operators.nested import unnest
 from careledger.operators.numbering import batch_rows, chunks
@@ -28,20 +28,23 @@ GRID_METRICS = ("EXPECTED_REPORTS", "ACTUAL_REPORTS", "ACTUAL_REPORTS_ON_TIME")
 
 def value_work(
     orgunits: DataFrame, source: str, default_start: str, as_of: dt.datetime,
-    full: bool = False, ethiopian: bool = False,
+    full: bool | str = False, ethiopian: bool = False, dated: bool = False,
 ) -> DataFrame:
     """(orgunit, since) for the leaf units whose values are due.
 
-    A full run takes every leaf from the default start.
+    A full run takes every leaf from the default start. An Ethiopian since, which a request
+    needs, is no date to compare with: with dated, since_date has the Gregorian one.
     """
+    full = flag(full)
     leaves = orgunits.filter((F.col("datasource_id") == source) & F.col("leaf"))
     since: Column = F.lit(default_start)
     if not full:
         leaves = leaves.filter(stale("dv_downloadedat", as_of))
         since = F.coalesce(F.col("dv_downloadedat").cast("string"), since)
     since = F.substring(since, 1, 10)
+    dates = [since.try_cast("date").alias("since_date")] if dated else []
     return leaves.select(
-        F.col("id").alias("orgunit"), (ethiopian_date(since) if ethiopian else since).alias("since")
+        F.col("id").alias("orgunit"), (ethiopian_date(since) if ethiopian else since).alias("since"), *dates
     )
 
 
@@ -55,7 +58,8 @@ def changed_values(
 ) -> DataFrame:
     """Landed values of the units at work that changed since their watermark,
     limited to tracked data elements (a frame with an id column)."""
-    due = work.select("orgunit", F.col("since").try_cast("date").cast("timestamp_ntz").alias("__since"))
+    since = F.col("since_date") if "since_date" in work.columns else F.col("since").try_cast("date")
+    due = work.select("orgunit", since.cast("timestamp_ntz").alias("__since"))
     changed = values.join(due, "orgunit").filter(F.col("lastupdated") >= F.col("__since"))
     if elements is not None:
         tracked = elements.select(F.col("id").alias("dataelement"))
@@ -100,7 +104,7 @@ def _work_lists(
     """
     if roots is not None:
         due = within(due, roots)
-    if not full:
+    if not flag(full):
         first = as_of.date() - dt.timedelta(days=LOOK_BACK_DAYS)
         periods = periods.filter(F.col("start_date") >= F.lit(first))
     typed = typed_periods(periods)

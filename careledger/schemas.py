@@ -14,7 +14,7 @@ LEVELS = range(1, 9)
 # Columns every landed response row carries: one row per request that was answered or failed.
 ENVELOPE = """
     request_id string, source string, orgunit string, page int,
-    status string, fetched_at timestamp_ntz, body string
+    status string, fetched_at timestamp_ntz, body string, responses int
 """
 
 _REF = "struct<id: string>"

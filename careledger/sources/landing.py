@@ -1,7 +1,8 @@
 """Landed responses: one row per answered or failed request, with the JSON body as text.
 
 All responses of one unit of work (a facility, a batch of facilities, a crawl) share a
-request_id and succeed or fail together; page numbers them within it.
+request_id and succeed or fail together; page numbers them within it, and responses says
+how many there should be (NULL: as many as there are).
 """
 
 from __future__ import annotations
@@ -9,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from careledger.operators.merge import keep_last
 from careledger.schemas import ENVELOPE, PAYLOADS
 
 _CORRUPT = "_corrupt"
@@ -20,7 +22,18 @@ def read_landing(spark: SparkSession, path: str) -> DataFrame:
 
 
 def stream_landing(spark: SparkSession, path: str, **options: str) -> DataFrame:
-    return spark.readStream.schema(ENVELOPE).options(**options).json(path)
+    """The same as a stream. No file is too old to be read: by default the source would drop files
+    more than a week older than the newest one."""
+    return spark.readStream.schema(ENVELOPE).options(**{"maxFileAge": "365000d", **options}).json(path)
+
+
+def latest_answers(responses: DataFrame) -> DataFrame:
+    """The last answer of each page of a request: a retry takes the place of what failed."""
+    keys = ["request_id", "page"]
+    # Ids are counted first, so that bodies are only moved where something was answered twice.
+    if responses.groupBy(*keys).count().filter("count > 1").isEmpty():
+        return responses
+    return keep_last(responses, keys, ["fetched_at"])
 
 
 def decode(responses: DataFrame, kind: str) -> DataFrame:

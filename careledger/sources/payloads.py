@@ -216,7 +216,7 @@ def _links(rows: DataFrame, **ids: str) -> DataFrame:
     """Distinct links between the two named id columns."""
     return (
         rows.select(*[F.col(path).alias(name) for name, path in ids.items()], _fetched(), _source())
-        .groupBy(*ids, "datasource_id")
+        .dropna(subset=list(ids)).groupBy(*ids, "datasource_id")
         .agg(F.max("_fetchedat").alias("_fetchedat"))
     )
 
@@ -234,7 +234,9 @@ def category_combos(decoded: DataFrame, combo_type: str) -> dict[str, DataFrame]
 
     def entities(rows: DataFrame, node: str, *positions: str) -> DataFrame:
         order = F.struct(*arrival, *[F.col(p) for p in positions]).alias("seq")
-        return keep_last(rows.select(*_entity(node, combo_type), order), key, ["seq"]).drop("seq")
+        # Without an id there is nothing to keep a row under.
+        named = rows.select(*_entity(node, combo_type), order).filter("id IS NOT NULL")
+        return keep_last(named, key, ["seq"]).drop("seq")
 
     return {
         "categorycombos": entities(combos, "payload"),
@@ -263,7 +265,7 @@ def option_combos(decoded: DataFrame) -> dict[str, DataFrame]:
     )
     options = unnest(found, "e.categoryOptions", "opt")
     return {
-        "categoryoptioncombos": keep_last(combos, ["id", "datasource_id"], ["seq"]).drop("seq"),
+        "categoryoptioncombos": keep_last(combos.filter("id IS NOT NULL"), ["id", "datasource_id"], ["seq"]).drop("seq"),
         "categoryoptioncombo_options": _links(
             options, categoryoptioncombo_id="e.id", categoryoption_id="opt.id"
         ),

@@ -1,15 +1,20 @@
 """Warehouse tables as parquet folders.
 
 Small tables are written whole, each time to a new snapshot folder; readers take the
-newest one Spark has finished (its _SUCCESS file is there). Fact tables are partitioned
-by source and period, and a merge rewrites only the partitions its updates touch.
+newest one that was marked as done after its last file. A writer claims the number of its
+snapshot first, so two writers never share one, and update() starts over when another
+one was faster. Fact tables are partitioned by source and period, and a merge rewrites
+only the partitions its updates touch.
 """
 
 from __future__ import annotations
 
+import re
+import time
 import uuid
 from collections.abc import Callable, Iterable, Sequence
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
@@ -19,8 +24,14 @@ from careledger.session import shared_dir
 
 # Updates measured at no more than this in memory are broadcast in a fact merge.
 BROADCAST_BYTES = 64 * 1024 * 1024
-# More touched partitions than this are found by a join instead of a listed filter.
-LISTED_PARTITIONS = 5000
+# Snapshots of a table that are kept for readers who started earlier.
+KEPT_SNAPSHOTS = 8
+_DONE = "_DONE"
+_SNAPSHOT = re.compile(r"(snapshot|claim)-(\d+)")
+
+
+class ConcurrentWrite(RuntimeError):
+    """Another writer changed the table in between."""
 
 
 class Warehouse:
@@ -48,17 +59,37 @@ class Warehouse:
 
     # --- writing ---
 
-    def replace(self, name: str, df: DataFrame) -> None:
+    def replace(self, name: str, df: DataFrame, base: int | None = None) -> None:
         """Write the whole table as the next snapshot. The old one can still be read,
-        so df may be computed from it."""
-        number = max([n for n, _ in self._snapshots(name)], default=0) + 1
+        so df may be computed from it. With base, the snapshot df was computed from, raise
+        ConcurrentWrite if a newer one is there or being written."""
+        number = self._claim(name, base)
         df.write.mode("overwrite").parquet(f"{self.root}/{name}/snapshot-{number:08d}")
+        self._touch(f"{self.root}/{name}/snapshot-{number:08d}/{_DONE}")
+        self.expire(name, KEPT_SNAPSHOTS)
+
+    def update(self, name: str, change: Callable[[DataFrame], DataFrame], attempts: int = 5) -> None:
+        """Replace a table by a function of itself; again from the newer table when another writer
+        was faster."""
+        for attempt in range(attempts):
+            base = self._newest(name)
+            try:
+                return self.replace(name, change(self.read(name)), base)
+            except ConcurrentWrite:
+                if attempt == attempts - 1:
+                    raise
+                time.sleep(2**attempt)
 
     def expire(self, name: str, keep: int = 2) -> None:
         """Delete all but the newest finished snapshots."""
         done = sorted(n for n, finished in self._snapshots(name) if finished)
         for number in done[:-keep]:
             self.delete(f"{self.root}/{name}/snapshot-{number:08d}")
+            self.delete(f"{self.root}/{name}/claim-{number:08d}")
+
+    def exists(self, name: str) -> bool:
+        """Whether the table was ever written."""
+        return self._exists(f"{self.root}/{name}")
 
     def merge(
         self, name: str, updates: DataFrame,
@@ -84,38 +115,33 @@ class Warehouse:
             old = self.in_partitions(name, self.read(name), updates)
             small = size <= BROADCAST_BYTES
             merged = upsert(old, updates, table.keys, refreshed, condition, small_updates=small)
-            # With few updates the old rows stay in the tasks that read them.
-            self.overwrite_partitions(name, merged, rebalance=not small)
+            self.overwrite_partitions(name, merged)
         self.delete(staged)
         return count
 
     def in_partitions(self, name: str, df: DataFrame, other: DataFrame) -> DataFrame:
-        """Rows of df in the partitions that occur in another frame: by a filter that
-        prunes partitions or, for very many of them, by a join."""
+        """Rows of df in the partitions that occur in another frame, by a filter that prunes
+        folders. The list is as long as the calendar, not as the table."""
         source_column, period_column = columns = TABLES[name].partitions
-        values = other.select(*columns).distinct()
-        rows = values.limit(LISTED_PARTITIONS + 1).collect()
-        if len(rows) > LISTED_PARTITIONS:
-            return df.join(values, list(columns), "left_semi").select(*df.columns)
         periods: dict[str, list[str]] = {}
-        for source, period in rows:
+        for source, period in other.select(*columns).distinct().collect():
+            if not source or not period:
+                raise ValueError(f"a row of {name} has no {source_column} or {period_column} to be stored under")
             periods.setdefault(source, []).append(period)
         listed = F.lit(False)
         for source, ids in periods.items():
             listed = listed | ((F.col(source_column) == source) & F.col(period_column).isin(ids))
         return df.filter(listed)
 
-    def overwrite_partitions(self, name: str, df: DataFrame, rebalance: bool = True) -> None:
+    def overwrite_partitions(self, name: str, df: DataFrame) -> None:
         """Replace the partitions that occur in df; df may be read from them.
 
         Rebalancing sends a partition to as many tasks as its size needs, so a period
         with a third of all rows is split. Rows are sorted for min/max skipping.
         """
         table = TABLES[name]
-        if rebalance:
-            df = df.hint("rebalance", *[F.col(c) for c in table.partitions])
         (
-            df.sortWithinPartitions(*table.partitions, *table.sort)
+            df.hint("rebalance", *[F.col(c) for c in table.partitions]).sortWithinPartitions(*table.partitions, *table.sort)
             .write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
             .partitionBy(*table.partitions)
@@ -148,17 +174,54 @@ class Warehouse:
     # --- helpers ---
 
     def _snapshot(self, name: str) -> str | None:
-        done = [n for n, finished in self._snapshots(name) if finished]
-        return f"{self.root}/{name}/snapshot-{max(done):08d}" if done else None
+        newest = self._newest(name)
+        if newest is None and self._snapshots(name):
+            raise RuntimeError(f"no snapshot of {name} under {self.root} is finished")
+        return None if newest is None else f"{self.root}/{name}/snapshot-{newest:08d}"
+
+    def _newest(self, name: str) -> int | None:
+        return max((n for n, finished in self._snapshots(name) if finished), default=None)
 
     def _snapshots(self, name: str) -> list[tuple[int, bool]]:
+        return [
+            (n, self._exists(f"{self.root}/{name}/snapshot-{n:08d}/{_DONE}"))
+            for kind, n in self._numbered(name) if kind == "snapshot"
+        ]
+
+    def _numbered(self, name: str) -> list[tuple[str, int]]:
         folder = f"{self.root}/{name}"
         if not self._exists(folder):
             return []
-        paths = [s.getPath() for s in self._fs(folder).listStatus(self._path(folder))]
-        return [
-            (int(p.getName().removeprefix("snapshot-")), self._exists(f"{p}/_SUCCESS")) for p in paths
-        ]
+        names = [s.getPath().getName() for s in self._fs(folder).listStatus(self._path(folder))]
+        return [(m[1], int(m[2])) for m in map(_SNAPSHOT.fullmatch, names) if m]
+
+    def _claim(self, name: str, base: int | None) -> int:
+        """The number of the next snapshot, taken for this writer alone."""
+        number = max((n for _, n in self._numbered(name)), default=0) + 1
+        if base is not None and (self._newest(name) != base or number != base + 1 and self._busy(name, base)):
+            raise ConcurrentWrite(f"{name} is no longer at snapshot {base}")
+        try:
+            self._touch(f"{self.root}/{name}/claim-{number:08d}")
+        except Py4JJavaError as error:
+            raise ConcurrentWrite(f"snapshot {number} of {name} is being written by another") from error
+        if base is not None and self._newest(name) != base:
+            raise ConcurrentWrite(f"{name} is no longer at snapshot {base}")
+        return number
+
+    def _busy(self, name: str, base: int) -> bool:
+        """Whether another writer claimed a snapshot after base within the last hour; an older claim
+        was left by a writer that died."""
+        now = time.time()
+        for kind, n in self._numbered(name):
+            path = f"{self.root}/{name}/claim-{n:08d}"
+            if kind == "claim" and n > base:
+                if now - self._fs(path).getFileStatus(self._path(path)).getModificationTime() / 1000 < 3600:
+                    return True
+        return False
+
+    def _touch(self, path: str) -> None:
+        """An empty file; fails where there is one."""
+        self._fs(path).create(self._path(path), False).close()
 
     def _path(self, path: str):
         return self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import hashlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame
@@ -25,7 +26,9 @@ def load_new(
     A batch that is run again after a failure merges the same rows to the same result.
     """
     options = {"maxFilesPerTrigger": str(files_per_batch)} if files_per_batch else {}
-    folder = checkpoint or f"{shared_dir(wh.spark)}/incremental/{load.__name__}"
+    # One folder of progress for each warehouse, landing folder and kind of load.
+    key = hashlib.sha256(f"{wh.root}\n{landing.rstrip('/')}\n{load.__name__}".encode()).hexdigest()[:32]
+    folder = checkpoint or f"{shared_dir(wh.spark)}/incremental/{key}"
     (
         stream_landing(wh.spark, landing, **options)
         .writeStream.foreachBatch(lambda batch, _: load(wh, batch, as_of))

@@ -2,6 +2,8 @@
 
 import datetime as dt
 import json
+import os
+import time
 
 import pytest
 from pyspark.errors import UnsupportedOperationException
@@ -9,11 +11,11 @@ from pyspark.sql import functions as F
 
 from careledger.plans import facts, metadata, runs
 from careledger.plans.checks import check_table
-from careledger.plans.work import reporting_work
+from careledger.plans.work import changed_values, reporting_work, value_work
 from careledger.schemas import ENVELOPE, TABLES
 from careledger.sources import payloads
 from careledger.sources.landing import check_pages, decode, read_landing
-from careledger.sources.warehouse import Warehouse, merge_catalog_table
+from careledger.sources.warehouse import KEPT_SNAPSHOTS, ConcurrentWrite, Warehouse, merge_catalog_table
 from careledger.streaming.incremental import load_new
 
 NOON = dt.datetime(2024, 3, 10, 12, 0)
@@ -28,8 +30,9 @@ def landed(spark, *rows):
     """Rows of (request_id, orgunit, body[, page, status, fetched_at]); bodies may be objects."""
     full = []
     for request, unit, body, *rest in rows:
-        page, status, at = (*rest, *(1, "ok", NOON)[len(rest):])
-        full.append((request, "hmis", unit, page, status, at, body if isinstance(body, (str, type(None))) else json.dumps(body)))
+        page, status, at, responses = (*rest, *(1, "ok", NOON, None)[len(rest):])
+        body = body if isinstance(body, (str, type(None))) else json.dumps(body)
+        full.append((request, "hmis", unit, page, status, at, body, responses))
     return spark.createDataFrame(full, ENVELOPE)
 
 
@@ -93,7 +96,6 @@ def test_merge_in_both_plans(spark, wh, monkeypatch):
     facts.load_values(wh, landed(spark, ("r", "u", values(value("u", value="1")))), NOON)
     for size, number in ((0, "2"), (1 << 30, "3")):
         monkeypatch.setattr("careledger.sources.warehouse.BROADCAST_BYTES", size)
-        monkeypatch.setattr("careledger.sources.warehouse.LISTED_PARTITIONS", 0 if size else 5000)
         facts.load_values(wh, landed(spark, ("r", "u", values(
             value("u", value=number), value("u", element=f"x{number}", value="9")))), NOON)
     assert got(wh.read("datavalues"), "dataelement", "value_double") == [("e", 3.0), ("x2", 9.0), ("x3", 9.0)]
@@ -258,7 +260,6 @@ def test_snapshots(spark, wh):
         wh.replace("numbers", spark.range(n + 1))
     # A snapshot that was not finished is not read.
     spark.range(9).write.parquet(f"{wh.root}/numbers/snapshot-00000009")
-    wh.delete(f"{wh.root}/numbers/snapshot-00000009/_SUCCESS")
     assert wh.read("numbers").count() == 3
     wh.expire("numbers", keep=1)
     assert wh.read("numbers").count() == 3
@@ -312,3 +313,132 @@ def test_table_check(spark, wh):
     assert got(check_table(wh, "datasets").filter("n > 0"), "check", "column_name", "n") == [
         ("duplicate key", None, 1), ("null in key", None, 1), ("too long", "categorycombo_id", 1),
         ("unknown source", "datasource_id", 1)]
+
+
+def marks(wh):
+    return {r["id"]: r["dv_downloadedat"] for r in wh.read("orgunits").collect()}
+
+
+def test_requests_count_only_when_complete(spark, wh):
+    units(spark, wh, "u1", "u2")
+    one, two = (values(value("u1", element=e)) for e in ("e1", "e2"))
+    # The first of two answers, beside a request that is complete.
+    facts.load_values(wh, landed(
+        spark, ("r1", "u1", one, 1, "ok", NOON, 2), ("r2", "u2", values(value("u2")), 1, "ok", NOON, 1)), NOON)
+    assert got(wh.read("datavalues"), "orgunit") == [("u2",)]
+    assert marks(wh) == {"u1": None, "u2": NOON.date()}
+    facts.load_values(wh, landed(spark, ("r3", "u2", values(value("u2")), 1, "ok", NOON, 1)), NOON)
+    facts.load_values(wh, landed(spark, ("r1", "u1", two, 2, "ok", NOON, 2)), NOON)
+    assert got(wh.read("datavalues"), "orgunit", "dataelement") == [("u1", "e1"), ("u1", "e2"), ("u2", "e")]
+    assert marks(wh) == {"u1": NOON.date(), "u2": NOON.date()}
+    assert wh.read("pending_datavalues").isEmpty()
+
+
+def test_retry_heals_a_request(spark, wh):
+    units(spark, wh, "u")
+    later = NOON + dt.timedelta(hours=1)
+    facts.load_values(wh, landed(spark, ("r", "u", None, 1, "error", NOON), ("r", "u", values(value("u", element="x")), 2)), NOON)
+    assert wh.read("datavalues").isEmpty() and marks(wh) == {"u": None}
+    facts.load_values(wh, landed(spark, ("r", "u", values(value("u")), 1, "ok", later)), NOON)
+    assert got(wh.read("datavalues"), "dataelement") == [("e",), ("x",)] and marks(wh) == {"u": NOON.date()}
+    both = landed(spark, ("s", "u", None, 1, "error", NOON), ("s", "u", values(value("u", element="y")), 1, "ok", later))
+    assert facts.load_values(wh, both, NOON) == {"rows": 1, "requests": 1, "failed": 0}
+
+
+def test_answers_without_a_request_are_rejected(spark, wh):
+    units(spark, wh, "u")
+    assert facts.load_values(wh, landed(spark, (None, "u", values(value("u")))), NOON)["failed"] == 1
+    assert wh.read("datavalues").isEmpty()
+
+
+def test_empty_period_fails_its_request_and_loses_nothing(spark, wh):
+    for unit in ("u1", "u2"):
+        facts.load_values(wh, landed(spark, (unit, unit, values(value(unit)))), NOON)
+    facts.load_values(wh, landed(spark, ("r", "u3", values(value("u3", period=""))), ("s", "u4", values(value("u4")))), NOON)
+    assert got(wh.read("datavalues"), "orgunit") == [("u1",), ("u2",), ("u4",)]
+    blank = wh.read("datavalues").limit(1).withColumn("period", F.lit(""))
+    with pytest.raises(ValueError, match="period"):
+        wh.merge("datavalues", blank)
+
+
+def test_old_files_and_two_warehouses(spark, wh, tmp_path):
+    folder = tmp_path / "landing"
+    for n, age in (("1", 0), ("2", 9)):
+        before = set(folder.glob("*.json"))
+        landed(spark, (f"r{n}", f"u{n}", values(value(f"u{n}")))).coalesce(1).write.mode("append").json(str(folder))
+        for file in set(folder.glob("*.json")) - before:
+            os.utime(file, (time.time() - age * 86400,) * 2)
+        load_new(wh, str(folder), NOON)
+    other = Warehouse(spark, str(tmp_path / "other"))
+    load_new(other, str(folder), NOON)
+    for warehouse in (wh, other):
+        assert got(warehouse.read("datavalues"), "orgunit") == [("u1",), ("u2",)]
+
+
+def test_tables_without_success_files(spark, wh):
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    conf.set("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false")
+    try:
+        units(spark, wh, "u1", "u2")
+    finally:
+        conf.unset("mapreduce.fileoutputcommitter.marksuccessfuljobs")
+    assert wh.read("orgunits").count() == 2
+    spark.range(1).write.parquet(f"{wh.root}/broken/snapshot-00000001")
+    with pytest.raises(RuntimeError, match="finished"):
+        wh.read("broken")
+
+
+def test_interleaved_writers_keep_both_changes(spark, wh, monkeypatch):
+    monkeypatch.setattr("time.sleep", lambda s: None)
+    wh.replace("numbers", spark.range(1))
+    other = Warehouse(spark, wh.root)
+    turns = []
+
+    def change(df):
+        if not turns:
+            turns.append(1)
+            other.update("numbers", lambda d: d.union(spark.range(10, 11)))
+        return df.union(spark.range(20, 21))
+
+    wh.update("numbers", change)
+    assert got(wh.read("numbers"), "id") == [(0,), (10,), (20,)]
+    with pytest.raises(ConcurrentWrite):
+        wh.replace("numbers", spark.range(1), base=1)
+    for _ in range(12):
+        wh.replace("numbers", spark.range(1))
+    assert len([n for n, _ in wh._snapshots("numbers")]) == KEPT_SNAPSHOTS
+
+
+def test_small_merges_do_not_add_files(spark, wh):
+    for n in range(4):
+        facts.load_values(wh, landed(spark, (f"r{n}", "u", values(value("u", element=f"e{n}")))), NOON)
+    assert len(wh.read("datavalues").inputFiles()) == 1
+
+
+def test_switches_may_be_text(spark, wh):
+    units(spark, wh, "u")
+    facts.load_values(wh, landed(spark, ("r", "u", values(value("u")))), NOON)
+    facts.prepare_rebuild(wh, "datavalues", "hmis", "false")
+    assert wh.read("datavalues").count() == 1 and marks(wh) == {"u": NOON.date()}
+    facts.prepare_rebuild(wh, "datavalues", "hmis", "yes")
+    assert wh.read("datavalues").isEmpty() and marks(wh) == {"u": None}
+
+
+def test_entities_without_id_make_no_rows(spark, wh):
+    body = {"id": "cc", "name": "n", "categories": [{"name": "no id", "categoryOptions": [{"id": "o"}]}, {"id": "c", "categoryOptions": [{"name": "x"}]}]}
+    parts = payloads.category_combos(decode(landed(spark, ("r", None, body)), "combo"), "category")
+    assert {k: [r[0] for r in v.collect()] for k, v in parts.items()} == {
+        "categorycombos": ["cc"], "categories": ["c"], "categoryoptions": ["o"],
+        "categorycombo_categories": ["cc"], "category_categoryoptions": [],
+    }
+
+
+def test_since_filter_of_ethiopian_work(spark):
+    marks_ = [("u1", dt.date(2023, 9, 8)), ("u2", dt.date(2023, 10, 10)), ("u3", None)]  # month 13, day 30
+    units_ = spark.createDataFrame([(i, "hmis", True, d) for i, d in marks_], "id string, datasource_id string, leaf boolean, dv_downloadedat date")
+    work = value_work(units_, "hmis", "2023-01-01", NOON, ethiopian=True, dated=True)
+    assert {r["since"][5:] for r in work.collect()} >= {"13-03"}
+    rows = [(u, "e", dt.datetime(2023, m, 20)) for u in ("u1", "u2", "u3") for m in (2, 9, 12)]
+    out = changed_values(spark.createDataFrame(rows, "orgunit string, dataelement string, lastupdated timestamp_ntz"), work)
+    assert sorted((r["orgunit"], r["lastupdated"].month) for r in out.collect()) == [
+        ("u1", 9), ("u1", 12), ("u2", 12), ("u3", 2), ("u3", 9), ("u3", 12)]
