@@ -19,18 +19,20 @@ _COLUMNS = {
 
 def _oracle(combo_type: str) -> str:
     # The view names both types after their part type in lower case.
-    pivot = ", ".join(
-        f"max(CASE WHEN cat.name = '{name}' THEN opt.name END) AS {column}"
-        for column, name in _COLUMNS[combo_type].items()
-    )
+    names = ", ".join(f"'{name}' AS {column}" for column, name in _COLUMNS[combo_type].items())
     return f"""
-    SELECT 'hmis' AS datasource_id, coc.id AS categoryoptioncombo_id, coc.name AS categoryoptioncombo_name,
-        coc.code AS categoryoptioncombo_code, coc.categorycombo_id, {pivot}
-    FROM {{brand_sizes}} coc JOIN {{coc_opt}} l ON coc.id = l.categoryoptioncombo_id
-    JOIN {{opt}} opt ON l.categoryoption_id = opt.id AND opt.combo_type = '{combo_type}'
-    JOIN {{cat_opt}} co ON opt.id = co.categoryoption_id
-    JOIN {{cat}} cat ON co.category_id = cat.id AND cat.combo_type = '{combo_type}'
-    GROUP BY coc.id, coc.name, coc.code, coc.categorycombo_id"""
+    WITH categories AS (SELECT id AS category_id, name AS category FROM {{cat}} WHERE combo_type = '{combo_type}'),
+    placed AS (SELECT categoryoption_id, category FROM {{cat_opt}} JOIN categories USING (category_id)),
+    named AS (SELECT id AS categoryoption_id, name AS option FROM {{opt}} WHERE combo_type = '{combo_type}'),
+    filled AS (
+        SELECT categoryoptioncombo_id, category, option
+        FROM {{coc_opt}} JOIN named USING (categoryoption_id) JOIN placed USING (categoryoption_id)
+    ), wide AS (
+        FROM (PIVOT filled ON category IN ({names}) USING max(option) GROUP BY categoryoptioncombo_id)
+    )
+    SELECT wide.*, 'hmis' AS datasource_id, categorycombo_id, code AS categoryoptioncombo_code,
+        name AS categoryoptioncombo_name
+    FROM wide JOIN {{brand_sizes}} combos ON combos.id = categoryoptioncombo_id"""
 
 
 def _built(spark, sf_dir, combo_type):

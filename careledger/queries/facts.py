@@ -15,8 +15,13 @@ from careledger.operators.watermarks import drop_source
 from careledger.plans.work import changed_values, value_work
 from careledger.queries.base import AS_OF, query, table, view
 
-_VALID = """EXISTS (SELECT 1 FROM {de} e JOIN {coc} c ON e.categorycombo_id = c.categorycombo_id
-    WHERE e.id = v.dataelement AND c.id = v.categoryoptioncombo)"""
+# Values beside whether their element and option combo share a combination.
+JUDGED = """(
+        SELECT * EXCLUDE (pair), pair IS NOT NULL AS allowed FROM {dv} LEFT JOIN (
+            SELECT DISTINCT {de}.id AS dataelement, {coc}.id AS categoryoptioncombo, true AS pair
+            FROM {de} JOIN {coc} USING (categorycombo_id)
+        ) USING (dataelement, categoryoptioncombo)
+    )"""
 
 
 def _ghosts(spark, sf_dir, **options):
@@ -25,13 +30,13 @@ def _ghosts(spark, sf_dir, **options):
 
 @query("ghost_delete", f"""
     SELECT orgunit, dataelement, period, categoryoptioncombo, attributeoptioncombo, value_double
-    FROM {{dv}} v WHERE {_VALID}""")
+    FROM {JUDGED} WHERE allowed""")
 def _ghost_delete(spark, sf_dir):
     return _ghosts(spark, sf_dir)[0].drop("lastupdated")
 
 
 @query("ghost_report", f"""
-    SELECT dataelement, period, count(*) AS ghosts FROM {{dv}} v WHERE NOT {_VALID} GROUP BY ALL""")
+    SELECT dataelement, period, count(*) AS ghosts FROM {JUDGED} WHERE NOT allowed GROUP BY ALL""")
 def _ghost_report(spark, sf_dir):
     return _ghosts(spark, sf_dir)[1].groupBy("dataelement", "period").agg(F.count("*").alias("ghosts"))
 
@@ -199,12 +204,12 @@ def _missing_periods(spark, sf_dir):
 
 
 @query("period_type_join", r"""
-    SELECT d.id AS dataset_id, p.id AS period FROM {ds} d JOIN {periods} p ON CASE
-        WHEN d.periodtype = 'Weekly' AND regexp_full_match(p.id, '\d{4}W\d{1,2}') THEN true
-        WHEN d.periodtype = 'Monthly' AND regexp_full_match(p.id, '\d{6}') THEN true
-        WHEN d.periodtype = 'Quarterly' AND regexp_full_match(p.id, '\d{4}Q\d') THEN true
-        WHEN d.periodtype = 'SixMonthly' AND regexp_full_match(p.id, '\d{4}S\d') THEN true
-        WHEN d.periodtype = 'Yearly' AND regexp_full_match(p.id, '\d{4}') THEN true ELSE false END""")
+    SELECT d.id AS dataset_id, typed.id AS period FROM (
+        SELECT id, translate(id, '0123456789', '9999999999') AS shape FROM {periods}
+    ) typed JOIN (VALUES
+        ('9999', 'Yearly'), ('999999', 'Monthly'), ('9999Q9', 'Quarterly'), ('9999S9', 'SixMonthly'),
+        ('9999W9', 'Weekly'), ('9999W99', 'Weekly')
+    ) shapes(shape, periodtype) USING (shape) JOIN {ds} d USING (periodtype)""")
 def _period_type_join(spark, sf_dir):
     return dataset_periods(view(spark, sf_dir, "ds"), view(spark, sf_dir, "periods"))
 

@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 from careledger.plans import facts, metadata, runs
 from careledger.queries import landing
 from careledger.queries.base import AS_OF, query, scratch_warehouse, table, view
+from careledger.queries.facts import JUDGED
+from careledger.queries.units import STEPS, level_columns
 from careledger.schemas import TABLES
 from careledger.session import shared_dir
 from careledger.sources.warehouse import Warehouse
@@ -116,10 +118,9 @@ def _load_periods(spark, sf_dir):
         "id", *[F.col(c).cast("string").alias(c) for c in ("start_date", "end_date")])
 
 
-@query("clean_ghosts", """
-    SELECT orgunit, dataelement, period, categoryoptioncombo, attributeoptioncombo, value_double FROM {dv} v
-    WHERE EXISTS (SELECT 1 FROM {de} e JOIN {coc} c ON e.categorycombo_id = c.categorycombo_id
-        WHERE e.id = v.dataelement AND c.id = v.categoryoptioncombo)""")
+@query("clean_ghosts", f"""
+    SELECT orgunit, dataelement, period, categoryoptioncombo, attributeoptioncombo, value_double
+    FROM {JUDGED} WHERE allowed""")
 def _clean_ghosts(spark, sf_dir):
     wh = scratch_warehouse(spark)
     hmis = F.lit("hmis").alias("datasource_id")
@@ -141,14 +142,14 @@ def _landed_metadata(spark, sf_dir):
     }
 
 
-@query("metadata_run", """
-    SELECT s.id, s.name, s.path AS oupath, s.level, split_part(s.path, '/', 2) AS oulevel1id, l1.name AS oulevel1name,
-        split_part(s.path, '/', 3) AS oulevel2id, l2.name AS oulevel2name, split_part(s.path, '/', 4) AS oulevel3id,
-        l3.name AS oulevel3name
-    FROM {staged} s LEFT JOIN {staged} l1 ON l1.id = split_part(s.path, '/', 2) AND l1.datasource_id = s.datasource_id
-    LEFT JOIN {staged} l2 ON l2.id = split_part(s.path, '/', 3) AND l2.datasource_id = s.datasource_id
-    LEFT JOIN {staged} l3 ON l3.id = split_part(s.path, '/', 4) AND l3.datasource_id = s.datasource_id
-    WHERE s.datasource_id = 'hmis' AND list_has_any(string_split(s.path, '/'), ['R1', 'N7'])""")
+@query("metadata_run", f"""
+    WITH {STEPS}, levels AS (
+        SELECT id, datasource_id, {level_columns(range(1, 4))}
+        FROM steps LEFT JOIN known USING (step, datasource_id) GROUP BY id, datasource_id
+    )
+    SELECT name, path AS oupath, level, levels.* EXCLUDE (datasource_id)
+    FROM levels JOIN {{staged}} USING (id, datasource_id)
+    WHERE datasource_id = 'hmis' AND list_has_any(string_split(path, '/'), ['R1', 'N7'])""")
 def _metadata_run(spark, sf_dir):
     wh = scratch_warehouse(spark)
     runs.metadata_run(wh, _landed_metadata(spark, sf_dir), "hmis", AS_OF, roots=["R1", "N7"])

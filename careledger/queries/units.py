@@ -13,13 +13,22 @@ from careledger.plans.work import value_work
 from careledger.queries.base import AS_OF, query, table, view
 from careledger.schemas import LEVELS, TABLES
 
-_LEVEL_IDS = ", ".join(f"split_part(b.path, '/', {i + 1}) AS oulevel{i}id" for i in LEVELS)
-_LEVEL_NAMES = ", ".join(f"l{i}.name AS oulevel{i}name" for i in LEVELS)
-_LEVEL_JOINS = " ".join(
-    f"LEFT JOIN {{staged}} l{i} ON split_part(b.path, '/', {i + 1}) = l{i}.id"
-    f" AND b.datasource_id = l{i}.datasource_id"
-    for i in LEVELS
-)
+
+
+def level_columns(levels) -> str:
+    """Ids and names by level, out of one row per unit and step of its path."""
+    return ", ".join(
+        f"max(step) FILTER (level_no = {i}) AS oulevel{i}id, max(known.name) FILTER (level_no = {i}) AS oulevel{i}name"
+        for i in levels
+    )
+
+
+# A path is taken apart into its steps, and each step looks up its name.
+STEPS = f"""
+    steps AS (
+        SELECT id, datasource_id, level_no, coalesce(string_split(path, '/')[level_no + 1], '') AS step
+        FROM {{staged}}, range(1, {max(LEVELS) + 1}) AS r(level_no)
+    ), known AS (SELECT id AS step, datasource_id, name FROM {{staged}})"""
 
 
 def _staged(spark, sf_dir):
@@ -33,9 +42,11 @@ def _staged(spark, sf_dir):
 
 
 @query("orgunit_flatten", f"""
-    SELECT b.id, b.datasource_id, b.name, b.parentid, b.path AS oupath, b.level, b.leaf,
-        {_LEVEL_IDS}, {_LEVEL_NAMES}
-    FROM {{staged}} b {_LEVEL_JOINS}""")
+    WITH {STEPS}, levels AS (
+        SELECT id, datasource_id, {level_columns(LEVELS)}
+        FROM steps LEFT JOIN known USING (step, datasource_id) GROUP BY id, datasource_id
+    )
+    SELECT name, parentid, path AS oupath, level, leaf, levels.* FROM levels JOIN {{staged}} USING (id, datasource_id)""")
 def _flatten(spark, sf_dir):
     return flatten(_staged(spark, sf_dir)).drop(
         "code", "shortname", "openingdate", "closeddate", "lastupdated", "_fetchedat"
