@@ -116,7 +116,7 @@ def load_periods_of(source: str) -> Callable[[Warehouse, DataFrame, dt.datetime]
 
 def load_periods(wh: Warehouse, responses: DataFrame, source: str) -> None:
     """Dates of the periods the values of a source use and the warehouse does not know."""
-    wanted = missing_periods(wh.read("datavalues", source), wh.read("periods", source))
+    wanted = missing_periods(wh.periods_of("datavalues", source), wh.read("periods", source))
     found = payloads.periods(decode(responses, "periods"), wanted)
     wh.merge("periods", found, order=["seq"])
 

@@ -70,7 +70,7 @@ def plan_requests(
             elements,
         ),
         "periods": work.period_requests(
-            missing_periods(wh.read("datavalues", source), wh.read("periods", source))
+            missing_periods(wh.periods_of("datavalues", source), wh.read("periods", source))
         ),
         "grid": work.reporting_requests(rates),
     }

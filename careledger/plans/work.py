@@ -124,7 +124,8 @@ def _work_lists(
             F.bit_or("bit").alias("types"),
         )
     )
-    return per_unit.join(_period_lists(typed), "types").select("orgunit", "datasets", "periods")
+    # 31 rows at most, whatever the estimate says.
+    return per_unit.join(F.broadcast(_period_lists(typed)), "types").select("orgunit", "datasets", "periods")
 
 
 def _period_lists(typed: DataFrame) -> DataFrame:

@@ -57,6 +57,19 @@ class Warehouse:
             df = df.select(*table.schema.names)
         return df if source is None else df.filter(F.col("datasource_id") == source)
 
+    def periods_of(self, name: str, source: str) -> DataFrame:
+        """(period) of a fact table for one source, from the names of its folders: no file is read."""
+        source_column, period_column = TABLES[name].partitions
+        names = self.spark.sparkContext._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils
+        folder = f"{self.root}/{name}/{source_column}={names.escapePathName(source)}"
+        found = []
+        if self._exists(folder):
+            for status in self._fs(folder).listStatus(self._path(folder)):
+                column, _, value = status.getPath().getName().partition("=")
+                if column == period_column and value != "__HIVE_DEFAULT_PARTITION__":
+                    found.append((names.unescapePathName(value),))
+        return self.spark.createDataFrame(found, "period string")
+
     # --- writing ---
 
     def replace(self, name: str, df: DataFrame, base: int | None = None) -> None:

@@ -442,3 +442,11 @@ def test_since_filter_of_ethiopian_work(spark):
     out = changed_values(spark.createDataFrame(rows, "orgunit string, dataelement string, lastupdated timestamp_ntz"), work)
     assert sorted((r["orgunit"], r["lastupdated"].month) for r in out.collect()) == [
         ("u1", 9), ("u1", 12), ("u2", 12), ("u3", 2), ("u3", 9), ("u3", 12)]
+
+
+def test_periods_are_listed_from_folders(spark, wh):
+    rows = [("hmis", "202401"), ("hmis", "2024 W1/x=%"), ("phem", "2023")]
+    fill(wh, "datavalues", spark.createDataFrame(rows, "datasource_id string, period string"))
+    assert got(wh.periods_of("datavalues", "hmis"), "period") == [("2024 W1/x=%",), ("202401",)]
+    assert wh.periods_of("datavalues", "other").isEmpty()
+    assert "FileScan" not in wh.periods_of("datavalues", "hmis")._jdf.queryExecution().executedPlan().toString()
