@@ -7,7 +7,7 @@ pass. Bands of the signature are bucket keys. Inside a bucket, candidate edges a
 around one centre, never all pairs; every edge is confirmed on the full sets.
 
 A star alone may miss a link between two members that are both unlike the centre. So buckets
-whose members do not yet form one component go on to further rounds, with the next 1, 2, 4, 8 ...
+whose members do not yet form one component go on to further rounds, with the next 2, 8, 32 ...
 members as centres, until each bucket is one component or each of its pairs was compared or
 excluded by a bound: shingles that a set has alone can't be common to a link. Identical sets are one node throughout, so copies cost one row each and no edge.
 
@@ -213,11 +213,9 @@ def _own_items(docs: DataFrame, nodes: DataFrame, some: DataFrame) -> DataFrame:
     return alone.groupBy("node").agg(F.count("*").alias("own"))
 
 
-def _members(rows: DataFrame, found: DataFrame | None) -> DataFrame:
-    """rows with comp, the component that the links found so far put their node in."""
-    if found is None or not any_row(found):
-        return rows.withColumn("comp", F.col("node"))
-    comps = staged(components(found), "comps").withColumnRenamed("node", "at")
+def _members(rows: DataFrame, comps: DataFrame) -> DataFrame:
+    """rows with comp, the component (node, comp) of their node."""
+    comps = comps.withColumnRenamed("node", "at")
     return rows.join(comps, F.col("node") == F.col("at"), "left").drop("at").withColumn("comp", F.coalesce("comp", "node"))
 
 
@@ -252,8 +250,9 @@ def links(docs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame | None:
     if not any_row(pairs):
         return None
     found = staged(_compare(docs, nodes, pairs, percent), "compared").where("linked").select("u", "v")
-    tried, first, width = pairs, 1, 1
-    left = _undecided(_members(members.select("key", "node", "n", "rank"), found), first)
+    tried, first, width = pairs, 1, 2
+    comps = components(found)
+    left = _undecided(_members(members.select("key", "node", "n", "rank"), comps), first)
     if not any_row(left):
         return found
     # What a set has alone among the undecided can't be common to a link: common <= n - own. That
@@ -266,7 +265,7 @@ def links(docs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame | None:
     )
     left = staged(left, "left")
     while True:
-        left = _undecided(_members(left, found), first)
+        left = _undecided(_members(left, comps), first)
         if not any_row(left):
             return found
         centres = left.where(f"rank BETWEEN {first + 1} AND {first + width}").select(
@@ -282,10 +281,13 @@ def links(docs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame | None:
             .join(tried.select(F.col("u").alias("v"), F.col("v").alias("u")), ["u", "v"], "left_anti"), "pairs",
         )
         if any_row(pairs):
-            found = found.union(staged(_compare(docs, nodes, pairs, percent), "compared").where("linked").select("u", "v"))
+            more = staged(_compare(docs, nodes, pairs, percent), "compared").where("linked").select("u", "v")
             tried = tried.union(pairs)
+            if any_row(more):
+                found = found.union(more)
+                comps = components(found)
         left = left.drop("comp")
-        first, width = first + width, width * 2
+        first, width = first + width, width * 4
 
 
 def near_duplicates(
