@@ -9,15 +9,18 @@ pairs, or of the paragraph's, that the other has.
 
 Defined results: null and empty texts have no paragraphs; a paragraph may hold several families and each is
 a row; a document without licence is returned with family null; repeated paragraphs count once each place;
-documents of any number of paragraphs are read line by line.
+documents of any number of paragraphs are read line by line, long lines by all stretches that hold enough
+of a template, and so are notices that are wrapped over several lines.
 """
 
 from __future__ import annotations
 
 import re
+from bisect import bisect_left, bisect_right, insort
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from itertools import accumulate, chain
 
 import numpy as np
 import pandas as pd
@@ -88,26 +91,44 @@ def grams(found: list[str]) -> Counter:
     return out
 
 
+def pairs(found: list[str]) -> set[tuple[str, str]]:
+    return set(zip(found, found[1:]))
+
+
 def overlap(family: str, found: list[str]) -> float:
     """The largest share of word pairs that a template and the paragraph have in common, of the shorter one."""
-    own, best = set(zip(found, found[1:])), 0.0
-    for template in TEMPLATES[family]:
-        theirs = words(template)
-        theirs = set(zip(theirs, theirs[1:]))
+    own, best = pairs(found), 0.0
+    for k, theirs in _PAIRS:
         small = min(len(own), len(theirs))
-        if small:
-            best = max(best, len(own & theirs) / small * (1.0 if len(own) >= 2 else 0.0))
+        # A single pair tells only if it is the whole of a template.
+        if FAMILIES[k] == family and small and (len(own) >= 2 or theirs <= own):
+            best = max(best, len(own & theirs) / small)
     return best
 
 
+def share_held(family: str, found: list[str]) -> float:
+    """The largest share of a template's word pairs that the paragraph holds."""
+    own = pairs(found)
+    return max(len(own & theirs) / len(theirs) for k, theirs in _PAIRS if FAMILIES[k] == family)
+
+
+#: The word pairs of each template with its family, and the templates that hold a pair.
+_PAIRS = [(k, pairs(words(t))) for k, ts in enumerate(TEMPLATES.values()) for t in ts]
+_HOLDS: dict[tuple[str, str], list[int]] = {}
+for _i, (_, _theirs) in enumerate(_PAIRS):
+    for _pair in _theirs:
+        _HOLDS.setdefault(_pair, []).append(_i)
+# Words of a paragraph up to which it is read whole; words by which a notice inside of a text may exceed its
+# template; least words of a notice that is cut off at the end of its paragraph.
+WHOLE, LONGER, LEAST_CUT = 32, 12, 6
+
+
 @dataclass
 class Model:
     vocabulary: dict[str, int] = field(default_factory=dict)
     weights: np.ndarray = field(default_factory=lambda: np.zeros((len(FAMILIES), 0)))
     bias: np.ndarray = field(default_factory=lambda: np.zeros(len(FAMILIES)))
     thresholds: np.ndarray = field(default_factory=lambda: np.ones(len(FAMILIES)))
-    #: A paragraph without one of these words scores below every threshold.
-    anchors: frozenset = frozenset()
 
     def chances(self, found: list[str]) -> np.ndarray:
         at, n = [], []
@@ -119,35 +140,93 @@ class Model:
         x = x / (np.sqrt((x * x).sum()) or 1)
         return 1 / (1 + np.exp(-(self.weights[:, at] @ x + self.bias)))
 
+    def notices(self, window: list[str]) -> list[tuple[str, float, float]]:
+        """(family, probability, overlap) of the families of a window."""
+        shares = {k: share for k, family in enumerate(FAMILIES) if (share := overlap(family, window)) >= OVERLAP}
+        if not shares:
+            return []
+        chances = self.chances(window)
+        return [(FAMILIES[k], float(chances[k]), s) for k, s in shares.items() if chances[k] >= self.thresholds[k]]
+
     def scan(self, text: str) -> list[tuple[int, str, float, float]]:
-        """(paragraph, family, probability, overlap) of each notice."""
-        out = []
-        for i, line in enumerate(text.split("\n")):
-            found = words(line)
-            if self.anchors.isdisjoint(found):
-                continue
-            for window in windows(found, self.anchors):
-                for k, chance in enumerate(self.chances(window)):
-                    if chance >= self.thresholds[k] and (share := overlap(FAMILIES[k], window)) >= OVERLAP:
-                        out.append((i, FAMILIES[k], float(chance), share))
+        """(paragraph, family, probability, overlap) of each notice; one over several lines counts for its
+        first line, unless one of its lines is a notice of the family by itself."""
+        lines = [words(line) for line in text.split("\n")]
+        stream = list(chain.from_iterable(lines))
+        # A stretch without a template's pair has no overlap, so nothing is lost by reading on from these only.
+        hits = [i for i, pair in enumerate(zip(stream, stream[1:])) if pair in _HOLDS]
+        if not hits:
+            return []
+        starts = list(accumulate((len(line) for line in lines), initial=0))
         best: dict[tuple[int, str], tuple[float, float]] = {}
-        for i, family, chance, share in out:
-            best[i, family] = max(best.get((i, family), (0.0, 0.0)), (chance, share))
-        return [(i, family, *both) for (i, family), both in sorted(best.items())]
-
 
-#: Words before and behind an anchor that are read with it, so that a notice inside a long line is seen.
-BEFORE, BEHIND = 8, 24
+        def keep(line: int, found: list[tuple[str, float, float]]) -> None:
+            for family, chance, share in found:
+                best[line, family] = max(best.get((line, family), (0.0, 0.0)), (chance, share))
+
+        for line in sorted({bisect_right(starts, i) - 1 for i in hits}):
+            if len(lines[line]) <= WHOLE:
+                keep(line, self.notices(lines[line]))
+        across = []
+        for first, end in sorted(windows(stream, hits)):
+            line, last = bisect_right(starts, first) - 1, bisect_right(starts, end - 1) - 1
+            if line < last:
+                across.append((line, last, first, end))
+            elif len(lines[line]) > WHOLE:
+                keep(line, self.notices(stream[first:end]))
+        for first in hits:
+            line = bisect_right(starts, first) - 1
+            if len(lines[line]) > WHOLE and LEAST_CUT <= starts[line + 1] - first <= WHOLE:
+                keep(line, self.notices(stream[first : starts[line + 1]]))
+        alone = {}
+        for line, family in sorted(best):
+            alone.setdefault(family, []).append(line)
+        for line, last, first, end in across:
+            read = self.notices(stream[first:end])
+            found = [n for n in read if not _between(alone.get(n[0], []), line, last)]
+            # A line that is a fragment of this notice is none of another family that begins alike.
+            for i in range(line, last + 1) if read else ():
+                if first <= starts[i] and starts[i + 1] <= end:
+                    for family in FAMILIES:
+                        if (i, family) in best and family not in {n[0] for n in read} and share_held(family, lines[i]) < OVERLAP:
+                            del best[i, family]
+            keep(line, found)
+            # The further windows of the same notice add nothing.
+            for family, *_ in found:
+                insort(alone.setdefault(family, []), last)
+        return [(i, family, *both) for (i, family), both in sorted(best.items())]
 
 
-def windows(found: list[str], anchors: frozenset) -> Iterator[list[str]]:
-    """The whole paragraph if it is short, else the surroundings of its anchors; all anchors are covered."""
-    if len(found) <= BEFORE + BEHIND:
-        yield found
-        return
-    for i, w in enumerate(found):
-        if w in anchors:
-            yield found[max(0, i - BEFORE) : i + BEHIND]
+def _between(lines: list[int], low: int, high: int) -> bool:
+    at = bisect_left(lines, low)
+    return at < len(lines) and lines[at] <= high
+
+
+def windows(stream: list[str], hits: list[int]) -> set[tuple[int, int]]:
+    """(first, end) of all stretches, up to LONGER words longer than a template and WHOLE at least, that hold
+    the share OVERLAP of the template's pairs, from their first such pair to their last; hits: where any
+    template's pair stands."""
+    at: dict[int, list[int]] = {}
+    for i in hits:
+        for t in _HOLDS[stream[i], stream[i + 1]]:
+            at.setdefault(t, []).append(i)
+    out = set()
+    for t, places in at.items():
+        need, size = OVERLAP * len(_PAIRS[t][1]), max(WHOLE, len(_PAIRS[t][1]) + 1 + LONGER)
+        if len(places) < need:
+            continue
+        inside, left = Counter(), 0
+        for i in places:
+            inside[stream[i], stream[i + 1]] += 1
+            while places[left] < i + 2 - size:
+                pair = stream[places[left]], stream[places[left] + 1]
+                inside[pair] -= 1
+                if not inside[pair]:
+                    del inside[pair]
+                left += 1
+            if len(inside) >= need:
+                out.add((places[left], i + 2))
+    return out
 
 
 def sample(docs: DataFrame, text_col: str, size: int) -> list[str]:
@@ -212,12 +291,6 @@ def fit(docs: DataFrame, text_col: str = "text", sample_paragraphs: int = SAMPLE
         other = np.sort(chance[y[held] != k, k])
         model.thresholds[k] = max(0.5, float(other[int(len(other) * (1 - FALSE_POSITIVES)) - 1]) + 1e-6) if len(other) else 0.5
         model.thresholds[k] = min(model.thresholds[k], 0.95)
-    # Each template holds one of these, and they are rare elsewhere.
-    common = Counter(w for p in plain for w in set(p))
-    anchors = set()
-    for t in templates:
-        anchors.add(min(t.split(), key=lambda w: (common[w], -len(w), w)))
-    model.anchors = frozenset(anchors | {"licensed", "license", "licence", "copyright", "spdx", "gpl", "mit", "apache", "bsd", "cc", "rights"})
     return model
 
 

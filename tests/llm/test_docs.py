@@ -318,3 +318,27 @@ def test_licences_on_altered_notices(spark):
         (1000, 1, "apache"), (1001, 0, "mit"), (1002, 0, "gpl"), (None, 0, "proprietary"),
     }
     assert licences.fit(docs(spark, [])).scan("Released under the MIT License.")
+
+
+MIT = (
+    "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files "
+    "(the \"Software\"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, "
+    "publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so"
+)
+
+
+def test_licences_in_long_and_wrapped_lines(spark):
+    draw = random.Random(8)
+    model = licences.fit(docs(spark, [(i, "\n".join(prose(draw, 12) for _ in range(4))) for i in range(200)]))
+    assert {h[:2] for h in model.scan(MIT)} == {(0, "mit")}
+    for family, templates in licences.TEMPLATES.items():
+        for t in templates:
+            before, behind = prose(draw, 60), prose(draw, 60)
+            assert {h[:2] for h in model.scan(t)} == {(0, family)}, t
+            assert {h[:2] for h in model.scan(f"{before} {t} {behind}")} == {(0, family)}, t
+            for width in (2, 3, 5, 8):
+                parts = t.split()
+                wrapped = "\n * ".join(" ".join(parts[i : i + width]) for i in range(0, len(parts), width))
+                found = model.scan(f"{before}\n\n * {wrapped}\n\n{behind}")
+                assert {h[1] for h in found} == {family} and 1 < found[0][0] < 3 + len(parts), (t, width)
+    assert model.scan("a permission is given, free of charge, by any person of this house\n" + prose(draw, 50)) == []
