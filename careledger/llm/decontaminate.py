@@ -7,6 +7,11 @@ numbers or names still meets its template. Then values are checked: within one a
 document with an item, an item's value must always stand for the same value of the document. A
 window without placeholders is evidence by itself.
 
+Whether a capital starts a name can't be told where a sentence starts, so texts and items are read in three
+forms, and windows of any two may meet: names as capitals inside a sentence, no names at all, and every
+capital a name (each of a run by itself) but for FUNCTION words. The first form's alignments decide by
+themselves; the others add documents that it misses.
+
 Only documents' windows that meet a benchmark window leave the map side.
 
 Defined results: null and empty texts have no windows; an item shorter than WINDOW is one window of
@@ -35,8 +40,20 @@ UNITS = (
     "dollars?", "euros?", "cents?", "usd", "eur", "mph", "kmh", "watts?", "volts?",
 )
 NAME, NUMBER, UNIT = "\u0001", "\u0002", "\u0003"
+# Any other capital: at the start of a sentence, or behind a name.
+CAPITAL = "\u0004"
 # A capital inside a sentence starts a name.
 _NAMES = r"([\p{Ll}\p{N},;:]['’]? )(\p{Lu}\p{Ll}+)"
+_CAPITALS = r"(?<![\p{L}\p{N}" + NAME + r"])(\p{Lu}\p{Ll}+)"
+# Words that start sentences and are no names.
+FUNCTION = (
+    "a an the this that these those what which who whom whose when where why how if in on at of to for from by with "
+    "as and or but so then there here it he she they we you i his her its their our my your is are was were do does "
+    "did has have had can could will would should may might must each every all some any no not one two after before "
+    "der die das ein eine wer wie wo wann warum welche welcher welches wenn und oder in im am an auf es er sie wir ist "
+    "le la les un une des du qui que quel quelle quels quelles comment pourquoi quand si et ou il elle ils elles est "
+    "el los las una uno quien cual como cuando donde por para se es y o qué quién cuál cómo cuándo dónde"
+).split()
 _NUMBERS = r"([0-9]+(?:[.,:/][0-9]+)*)"
 _UNITS = NUMBER + r"([0-9.,:/]+) +(" + "|".join(UNITS) + r")([^\p{L}\p{N}]|$)"
 # Signs count as units only next to a number.
@@ -44,12 +61,14 @@ _BEHIND = NUMBER + r"([0-9.,:/]+) *[%€$£°]"
 _BEFORE = r"[€$£] *" + NUMBER
 _LOOSE = r"[.,:/]+([^0-9]|$)"
 _PLAIN = r"[^\p{L}\p{N}" + NAME + NUMBER + UNIT + r".,:/]+"
-_PLAIN_WORDS = r"[^\p{L}\p{N}" + NAME + r"]+"
+_SPLIT = r"[^\p{L}\p{N}" + NAME + NUMBER + UNIT + CAPITAL + r".,:/]+"
+_SPLIT_WORDS = r"[^\p{L}\p{N}" + NAME + CAPITAL + r"]+"
 
 
 def canonical(text: Column) -> Column:
     """The text with placeholders for names, and for numbers and units where it has digits."""
-    out = F.lower(F.regexp_replace(text, _NAMES, "$1" + NAME + "$2"))
+    marked = F.regexp_replace(text, _NAMES, "$1" + NAME + "$2")
+    out = F.lower(F.regexp_replace(marked, _CAPITALS, CAPITAL + "$1"))
     numbered = F.regexp_replace(out, _NUMBERS, f" {NUMBER}$1 ")
     numbered = F.regexp_replace(numbered, _BEHIND, f"{NUMBER}$1 {UNIT}sign ")
     numbered = F.regexp_replace(numbered, _BEFORE, f" {UNIT}sign {NUMBER}")
@@ -59,31 +78,64 @@ def canonical(text: Column) -> Column:
 
 def with_tokens(rows: DataFrame, text: Column) -> DataFrame:
     """rows with _tokens (words and placeholders; a placeholder is its type's character, then its
-    value) and _kinds (hashes of the tokens without values)."""
+    value) and _forms (hashes of the tokens without values, in each form that differs)."""
     rows = rows.withColumn("_canonical", canonical(text))
-    numbered, named = F.contains("_canonical", F.lit(NUMBER)), F.contains("_canonical", F.lit(NAME))
+    numbered = F.contains("_canonical", F.lit(NUMBER))
+    named = F.contains("_canonical", F.lit(NAME)) | F.contains("_canonical", F.lit(CAPITAL))
     rows = rows.withColumn("_tokens", F.array_remove(
-        F.when(numbered, F.split("_canonical", _PLAIN)).otherwise(F.split("_canonical", _PLAIN_WORDS)), "",
+        F.when(numbered, F.split("_canonical", _SPLIT)).otherwise(F.split("_canonical", _SPLIT_WORDS)), "",
     ))
-    return rows.withColumn("_kinds", F.when(numbered | named, F.transform(
-        "_tokens", lambda t: F.xxhash64(F.when(_is_slot(t), F.substring(t, 1, 1)).otherwise(t)),
-    )).otherwise(F.transform("_tokens", lambda t: F.xxhash64(t)))).drop("_canonical")
+    forms = [_hashes(form) for form in range(FORMS)]
+    return rows.withColumn("_forms", F.when(named, F.array(*forms)).otherwise(F.array(forms[0]))).drop("_canonical")
+
+
+#: Names inside sentences; no names; every capital a name.
+INSIDE, BARE, EVERY = range(3)
+FORMS = 3
+
+
+def _is_slot(token: Column, form: int) -> Column:
+    code = F.ascii(token)
+    if form == INSIDE:
+        return code.between(1, 3)
+    if form == BARE:
+        return code.between(2, 3)
+    return code.between(2, 3) | (code.isin(1, 4) & ~F.substring(token, 2, 1_000_000_000).isin(FUNCTION))
+
+
+def _kind(token: Column, form: int) -> Column:
+    code = F.ascii(token)
+    kind = F.when(code == 4, F.lit(NAME)).otherwise(F.substring(token, 1, 1))
+    return F.when(~code.between(1, 4), token).when(_is_slot(token, form), kind).otherwise(F.substring(token, 2, 1_000_000_000))
 
 
-def _is_slot(token: Column) -> Column:
-    return F.ascii(token).between(1, 3)
+def _hashes(form: int) -> Column:
+    return F.transform("_tokens", lambda t: F.xxhash64(_kind(t, form)))
 
 
-def _slots(at: Column, size: int) -> Column:
-    return F.filter(F.slice("_tokens", at, size), _is_slot)
+def _value(token: Column) -> Column:
+    """A name is the same wherever it stands."""
+    return F.translate(token, CAPITAL, NAME)
+
+
+def _slots(at: Column, size: int, form: int) -> Column:
+    """Place and token of each placeholder of a window."""
+    window = F.transform(F.slice("_tokens", at, size), lambda t, i: F.struct(i.alias("i"), t.alias("t")))
+    return F.filter(window, lambda x: _is_slot(x["t"], form))
 
 
 def windows(rows: DataFrame, size: int, keep: list[str]) -> DataFrame:
-    """keep, at (from 0), template (hash) of the windows of rows' column _kinds."""
-    each = F.transform(
-        F.sequence(F.lit(1), F.size("_kinds") - (size - 1)), lambda i: F.xxhash64(F.slice("_kinds", i, size)),
-    )
-    return rows.where(F.size("_kinds") >= size).select(*keep, F.posexplode(each).alias("at", "template"))
+    """keep, at (from 0), form, template (hash) of the windows of rows; forms that say the same as INSIDE are left out."""
+    first, last = F.col("_forms")[0], F.size(F.col("_forms")[0]) - (size - 1)
+    at = F.sequence(F.lit(1), last)
+    alone = F.transform(at, lambda i: F.array(F.xxhash64(F.slice(first, i, size))))
+    three = F.transform(at, lambda i: F.array(*(F.xxhash64(F.slice(F.col("_forms")[k], i, size)) for k in range(FORMS))))
+    # No filter on the size: it would be moved before the tokens and compute them a second time.
+    each = F.when(last < 1, F.expr("CAST(array() AS array<array<bigint>>)")).when(F.size("_forms") == 1, alone).otherwise(three)
+    cut = rows.select(*keep, F.posexplode(each).alias("at", "_each"))
+    return cut.select(*keep, "at", F.col("_each")[0].alias("_first"), F.posexplode("_each").alias("form", "template")).where(
+        (F.col("form") == INSIDE) | (F.col("template") != F.col("_first"))
+    ).drop("_first")
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -96,8 +148,11 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     texts = with_tokens(plain, F.col("_t"))
     found = None
     for size in range(LITERALS, WINDOW + 1):
-        known = windows(items.where(F.col("_size") == size), size, ["item_id", "_tokens"]).select(
-            "item_id", "template", F.col("at").alias("item_at"), _slots(F.col("at") + 1, size).alias("item_slots"),
+        cut = windows(items.where(F.col("_size") == size), size, ["item_id", "_tokens"])
+        part = [_slots(F.col("at") + 1, size, form) for form in range(FORMS)]
+        slots = F.when(F.col("form") == INSIDE, part[INSIDE]).when(F.col("form") == BARE, part[BARE]).otherwise(part[EVERY])
+        known = cut.withColumn("item_slots", slots).select(
+            "item_id", "template", F.col("at").alias("item_at"), F.col("form").alias("item_form"), "item_slots",
         ).where(size - F.size("item_slots") >= LITERALS)
         n = known.count()
         if n == 0:
@@ -108,37 +163,53 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     if found is None:
         return _none(texts, items)
     found = staged(found, "met")
+    # What the form of names inside sentences finds, and what all forms find together.
+    first = F.col("first")
     aligned = _values(plain, found).withColumn("shift", F.col("at") - F.col("item_at")).select(
-        "doc_id", "item_id", "shift", "item_at", F.explode_outer("pairs").alias("slot"),
+        "doc_id", "item_id", "shift", "item_at", "first", F.explode_outer("pairs").alias("slot"),
     ).groupBy("doc_id", "item_id", "shift").agg(
         F.collect_set("item_at").alias("hits"), F.collect_set("slot").alias("slots"),
         F.max(F.when(F.col("slot").isNull(), 1).otherwise(0)).alias("literal"),
+        F.collect_set(F.when(first, F.col("item_at"))).alias("first_hits"), F.collect_set(F.when(first, F.col("slot"))).alias("first_slots"),
+        F.max(F.when(first & F.col("slot").isNull(), 1).otherwise(0)).alias("first_literal"),
     )
-    consistent = F.size(F.array_distinct(F.col("slots.item"))) == F.size("slots")
-    return aligned.where((F.col("literal") == 1) | consistent).groupBy("doc_id", "item_id").agg(
-        F.size(F.array_distinct(F.flatten(F.collect_set("hits")))).cast("bigint").alias("n_windows"),
-        F.max(F.size("slots")).cast("bigint").alias("n_slots"),
+
+    def steady(slots: str) -> Column:
+        return F.size(F.array_distinct(F.col(f"{slots}.item"))) == F.size(slots)
+
+    good = (F.size("first_hits") > 0) & ((F.col("first_literal") == 1) | steady("first_slots"))
+    judged = aligned.withColumn("good", good).where(F.col("good") | (F.col("literal") == 1) | steady("slots"))
+    counts = judged.groupBy("doc_id", "item_id").agg(
+        F.max("good").alias("good"),
+        *(F.size(F.array_distinct(F.flatten(F.collect_set(F.when(rows, F.col(f"{p}hits")))))).cast("bigint").alias(f"{p}windows")
+          for p, rows in (("first_", F.col("good")), ("", F.lit(True)))),
+        *(F.max(F.when(rows, F.size(f"{p}slots"))).cast("bigint").alias(f"{p}slots")
+          for p, rows in (("first_", F.col("good")), ("", F.lit(True)))),
     )
+    return counts.select("doc_id", "item_id", *(
+        F.when(F.col("good"), F.col(f"first_{c}")).otherwise(F.col(c)).alias(f"n_{c}") for c in ("windows", "slots")
+    ))
 
 
 def _values(docs: DataFrame, found: DataFrame) -> DataFrame:
-    """found with pairs: the values (item, own) that stand in the same slot. Texts are read again only for
-    documents that met a window with placeholders."""
+    """found with pairs: the values (item, own) that stand in the same slot, and first: both forms are INSIDE.
+    Texts are read again only for documents that met a window with placeholders."""
+    found = found.withColumn("first", (F.col("form") == INSIDE) & (F.col("item_form") == INSIDE))
     slotted = found.where(F.size("item_slots") > 0)
     wanted = staged(slotted.select(F.col("doc_id").alias("_id")).distinct(), "wanted")
     bare = found.where(F.size("item_slots") == 0).withColumn("pairs", F.expr("CAST(NULL AS array<struct<item:string,own:string>>)"))
-    columns = ["doc_id", "item_id", "at", "item_at", "pairs"]
+    columns = ["doc_id", "item_id", "at", "item_at", "first", "pairs"]
     n = wanted.count()
     if n == 0:
         return bare.select(*columns)
     wanted = F.broadcast(wanted) if n <= BROADCAST_WINDOWS else wanted
     again = with_tokens(docs.join(wanted, F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi"), F.col("_t"))
     # Rows may share a doc_id: the window must be there in this row's text.
-    there = F.expr("xxhash64(slice(_kinds, at + 1, size)) = template")
+    there = F.expr("form < size(_forms) AND xxhash64(slice(_forms[least(form, size(_forms) - 1)], at + 1, size)) = template")
     valued = slotted.join(again.withColumnRenamed("doc_id", "_id"), F.col("doc_id").eqNullSafe(F.col("_id"))).where(there)
-    pairs = F.arrays_zip(F.col("item_slots").alias("item"), F.expr(
-        "filter(slice(_tokens, at + 1, size), t -> ascii(t) BETWEEN 1 AND 3)"
-    ).alias("own"))
+    pairs = F.transform("item_slots", lambda s: F.struct(
+        _value(s["t"]).alias("item"), _value(F.get("_tokens", F.col("at") + s["i"])).alias("own"),
+    ))
     return bare.select(*columns).union(valued.withColumn("pairs", pairs).select(*columns))
 
 

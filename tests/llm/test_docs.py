@@ -248,6 +248,21 @@ def test_decontamination_slots_must_be_steady(spark):
     assert [r["doc_id"] for r in out] == [1]
 
 
+def test_decontamination_does_not_hang_on_what_stands_before_a_capital(spark):
+    items = [
+        (1, "What is the capital of France?"), (2, "Tom has 3 red pens. Ann has 5 blue pens. Who has more?"),
+        (3, "One day Anna Smith and Bob Jones sold 40 old chairs"),
+    ]
+    bench = spark.createDataFrame(items, "item_id bigint, text string")
+    rows = [
+        (1, "Question: What is the capital of France? Answer: Paris"), (2, "well, What is the capital of France"),
+        (3, "so I ask what is the capital of france"), (4, "Max has 4 red pens. Eva has 9 blue pens. Who has more?"),
+        (5, "One day Lisa Brown and Tim Black sold 70 old chairs"), (6, "London is the capital of England"),
+    ]
+    out = {(r["doc_id"], r["item_id"]) for r in decontaminate.contaminated(docs(spark, rows), bench).collect()}
+    assert out == {(1, 1), (2, 1), (3, 1), (4, 2), (5, 3)}
+
+
 def test_decontamination_without_rows(spark):
     bench = spark.createDataFrame([(1, ITEM)], "item_id bigint, text string")
     assert decontaminate.contaminated(docs(spark, []), bench).count() == 0
