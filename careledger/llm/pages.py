@@ -25,6 +25,8 @@ from pyspark.sql import functions as F
 # which one can't be; characters below which a block is ambiguous, and from which it is long.
 LINKS, HIGH, LOW = 0.35, 0.30, 0.20
 SHORT, LONG = 70, 200
+# Share of a page's text above which an element is no menu or advert, whatever its name.
+MOST = 0.5
 
 # Elements by what they do to blocks.
 BLOCKS = frozenset(
@@ -39,13 +41,19 @@ VOID = frozenset("area base br col embed hr img input link meta param source tra
 # Elements that end an open p, and those that end an open element of their own kind.
 ENDS_ITSELF = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"), "option": ("option",)}
 ENDS_P = BLOCKS - {"body", "html", "caption", "td", "th", "tr", "tbody", "thead", "tfoot", "option", "optgroup", "legend", "summary"}
-# Words in class, id or role that name what is not the article.
+# Words in class, id or role that name what is not the article; a name is one of them, or ends
+# or begins with one ("site-footer", "comments_list"), unless it says how a page is laid out.
 NAMED = re.compile(
-    r"(?:^|[\s_-])(?:ads?|advert\w*|banner|sponsor\w*|promo\w*|cookies?|consent|gdpr|notice|alert|popup|modal|overlay|"
+    r"(?:^|[_-])(?:ads?|advert\w*|banner|sponsor\w*|promo\w*|cookies?|consent|gdpr|notice|alert|popup|modal|overlay|"
     r"sidebar|side-?nav|nav\w*|menu\w*|breadcrumbs?|pagination|pager|footer|masthead|site-?header|toolbar|widget\w*|"
     r"related|recommend\w*|share|sharing|social|subscribe|newsletter|signup|login|search\w*|comments?|comment-?\w+|"
-    r"replies|disqus\w*|respond|complementary|contentinfo|navigation|hidden)(?:$|[\s_-])", re.IGNORECASE,
+    r"replies|disqus\w*|respond|complementary|contentinfo|navigation|hidden)(?:$|[_-])", re.IGNORECASE,
 )
+LAYOUT = re.compile(
+    r"^(?:overflow|no|has|with|without|not|is-not|backface)[_-]|[_-](?:overflow|no|has|with|without|not)[_-]|"
+    r"[_-](?:visible|open|closed|enabled|disabled)$|^(?:xs|sm|md|lg|xl)[_:-]|:", re.IGNORECASE,
+)
+HEAD = frozenset("base basefont bgsound link meta noframes noscript script style template title".split())
 # Frequent words of English, German, French and Spanish.
 STOP = frozenset(
     "the of and to in a is that for it as was with be by on not he this are or his from at which but have an had they "
@@ -68,6 +76,12 @@ class Block:
     article: bool
     outside: bool
     heading: bool
+    #: The elements named like what is not the article, around the block.
+    named: tuple[int, ...] = ()
+
+
+def named(names: str) -> bool:
+    return any(NAMED.search(n) and not LAYOUT.search(n) for n in names.split())
 
 
 class _Blocks(HTMLParser):
@@ -76,8 +90,11 @@ class _Blocks(HTMLParser):
     def __init__(self):
         super().__init__(convert_charrefs=True)
         self.blocks: list[Block] = []
-        self.stack: list[tuple[str, str]] = []  # element, what it is: skip, out, article, head, link or ""
-        self.count = {"skip": 0, "out": 0, "article": 0, "head": 0, "link": 0, "": 0}
+        self.stack: list[tuple[str, str]] = []  # element, what it is: skip, out, named, article, head, link or ""
+        self.count = {"skip": 0, "out": 0, "named": 0, "article": 0, "head": 0, "link": 0, "": 0}
+        self.wrappers: list[int] = []  # the open named elements
+        self.wraps: set[int] = set()  # the named elements that hold an article
+        self.n_named = 0
         self.parts: list[str] = []
         self.linked = 0
 
@@ -86,6 +103,7 @@ class _Blocks(HTMLParser):
         if text:
             self.blocks.append(Block(
                 text, self.linked, self.count["article"] > 0, self.count["out"] > 0, self.count["head"] > 0,
+                tuple(self.wrappers),
             ))
         self.parts, self.linked = [], 0
 
@@ -99,10 +117,10 @@ class _Blocks(HTMLParser):
             r"display\s*:\s*none|visibility\s*:\s*hidden", attrs.get("style") or "", re.IGNORECASE,
         ):
             return "skip"
-        if tag not in ("html", "body", "article", "main") and NAMED.search(
+        if tag not in ("html", "body", "article", "main") and named(
             " ".join(attrs.get(k) or "" for k in ("class", "id", "role")),
         ):
-            return "out"
+            return "named"
         if tag in ("article", "main") or (attrs.get("role") or "").lower() in ("main", "article"):
             return "article"
         return "head" if tag in HEADINGS else "link" if tag == "a" else ""
@@ -110,6 +128,8 @@ class _Blocks(HTMLParser):
     def _pop(self) -> None:
         _, kind = self.stack.pop()
         self.count[kind] -= 1
+        if kind == "named":
+            self.wrappers.pop()
 
     def _end(self, tags: tuple[str, ...], within: frozenset) -> None:
         """Close the innermost open element of tags, unless one of within is open inside of it."""
@@ -122,6 +142,9 @@ class _Blocks(HTMLParser):
                 return
 
     def handle_starttag(self, tag: str, attrs) -> None:
+        # An element that can't stand in a head ends it.
+        if tag not in HEAD and tag not in ("head", "html") and self.stack and self.stack[-1][0] == "head":
+            self._pop()
         if tag in BLOCKS:
             self.close_block()
         elif tag == "br":
@@ -135,6 +158,11 @@ class _Blocks(HTMLParser):
         kind = self._kind(tag, dict(attrs))
         self.stack.append((tag, kind))
         self.count[kind] += 1
+        if kind == "named":
+            self.wrappers.append(self.n_named)
+            self.n_named += 1
+        elif kind == "article":
+            self.wraps.update(self.wrappers)
 
     def handle_startendtag(self, tag: str, attrs) -> None:
         if tag in BLOCKS:
@@ -165,6 +193,18 @@ def blocks(html: str) -> list[Block]:
     parser.feed(html)
     parser.close()
     parser.close_block()
+    # A name says nothing of an element that holds an article, or most of the text.
+    sizes: dict[int, int] = {}
+    total = 0
+    for b in parser.blocks:
+        size = 0 if b.outside else max(0, len(b.text) - b.linked)
+        total += size
+        for w in b.named:
+            sizes[w] = sizes.get(w, 0) + size
+    articles = any(b.article for b in parser.blocks)
+    wide = parser.wraps | {w for w, size in sizes.items() if not articles and size > MOST * total}
+    for b in parser.blocks:
+        b.outside = b.outside or any(w not in wide for w in b.named)
     return parser.blocks
 
 

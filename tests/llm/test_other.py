@@ -125,6 +125,17 @@ def test_main_text_of_pages():
     assert pages.main_text("<article>" + "<div>" * 3000 + "x") == "x"
 
 
+def test_wrappers_and_open_heads_do_not_empty_a_page():
+    for name in ("content overflow-hidden", "no-sidebar", "col-8 with-sidebar", "page has-nav", "sidebar", "widget main"):
+        page = f"<body><div class='{name}'><article><p>{LONG}</p><div class='share'>Tell all</div></article></div></body>"
+        assert pages.main_text(page) == LONG.strip(), name
+        plain = f"<body><div class='{name}'><p>{LONG}</p><p>{LONG}</p></div><div class='site-footer'>{LONG}</div></body>"
+        assert pages.main_text(plain) == "\n".join([LONG.strip()] * 2), name
+    assert pages.main_text(f"<html><head><title>T</title><meta charset=x><body><article>{LONG}</article>") == LONG.strip()
+    assert pages.main_text(f"<head><title>T</title><style>p{{}}</style><p>{LONG}") == LONG.strip()
+    assert pages.main_text(f"<head><script>a</script></head><div class='ad'>{LONG}</div><div>{LONG}{LONG}</div>") == (LONG + LONG).strip()
+
+
 def test_pages_by_column(spark):
     rows = spark.createDataFrame([(1, None), (1, "<article>a</article>"), (None, "<article>bé</article>")], "page_id bigint, html string")
     assert sorted(r[0] for r in rows.select(pages.extracted("html")).collect()) == ["", "a", "bé"]
