@@ -4,7 +4,9 @@ A page is cut into blocks at block elements. The first pass decides a block by i
 density and stop-word density, and by where it stands: menus, headers, footers, sidebars, forms,
 adverts, notices and reader comments are never text, an article element or a heading in it is. The
 second pass gives blocks that are too short to tell the label of their nearest decided neighbours: text
-between two texts, none between two others, and the nearer one's otherwise.
+between two texts, none between two others, and the nearer one's otherwise. Stop words are of four
+languages: on pages in another one length and links decide alone; long blocks with few stop words (tables,
+code) are text beside text. In an article only lists of links are left out.
 
 Defined results: a null or empty page, or one with blocks of no text, gives an empty text; markup that
 is never closed ends with the page; repeated rows are each returned.
@@ -25,6 +27,8 @@ from pyspark.sql import functions as F
 # which one can't be; characters below which a block is ambiguous, and from which it is long.
 LINKS, HIGH, LOW = 0.35, 0.30, 0.20
 SHORT, LONG = 70, 200
+# Density of stop words in the page from which its language is taken for one of theirs.
+KNOWN = 0.1
 # Share of a page's text above which an element is no menu or advert, whatever its name.
 MOST = 0.5
 
@@ -66,6 +70,7 @@ STOP = frozenset(
     "esta ser son dos también fue había era muy".split()
 )
 _WORDS = re.compile(r"[^\W\d_]+")
+_WIDE = re.compile("[\u3040-\u30ff\u3400-\u9fff\uac00-\ud7af\uf900-\ufaff]")
 _SPACE = re.compile(r"\s+")
 
 
@@ -78,6 +83,9 @@ class Block:
     heading: bool
     #: The elements named like what is not the article, around the block.
     named: tuple[int, ...] = ()
+    links: int = 0
+    #: It stands in a list.
+    item: bool = False
 
 
 def named(names: str) -> bool:
@@ -90,22 +98,22 @@ class _Blocks(HTMLParser):
     def __init__(self):
         super().__init__(convert_charrefs=True)
         self.blocks: list[Block] = []
-        self.stack: list[tuple[str, str]] = []  # element, what it is: skip, out, named, article, head, link or ""
-        self.count = {"skip": 0, "out": 0, "named": 0, "article": 0, "head": 0, "link": 0, "": 0}
+        self.stack: list[tuple[str, str]] = []  # element, what it is: skip, out, named, article, head, link, item or ""
+        self.count = {"skip": 0, "out": 0, "named": 0, "article": 0, "head": 0, "link": 0, "item": 0, "": 0}
         self.wrappers: list[int] = []  # the open named elements
         self.wraps: set[int] = set()  # the named elements that hold an article
         self.n_named = 0
         self.parts: list[str] = []
-        self.linked = 0
+        self.linked = self.links = 0
 
     def close_block(self) -> None:
         text = _SPACE.sub(" ", "".join(self.parts)).strip()
         if text:
             self.blocks.append(Block(
                 text, self.linked, self.count["article"] > 0, self.count["out"] > 0, self.count["head"] > 0,
-                tuple(self.wrappers),
+                tuple(self.wrappers), self.links, self.count["item"] > 0,
             ))
-        self.parts, self.linked = [], 0
+        self.parts, self.linked, self.links = [], 0, 0
 
     def _kind(self, tag: str, attrs: dict) -> str:
         if tag in SKIPPED:
@@ -123,7 +131,7 @@ class _Blocks(HTMLParser):
             return "named"
         if tag in ("article", "main") or (attrs.get("role") or "").lower() in ("main", "article"):
             return "article"
-        return "head" if tag in HEADINGS else "link" if tag == "a" else ""
+        return "head" if tag in HEADINGS else "link" if tag == "a" else "item" if tag == "li" else ""
 
     def _pop(self) -> None:
         _, kind = self.stack.pop()
@@ -158,6 +166,7 @@ class _Blocks(HTMLParser):
         kind = self._kind(tag, dict(attrs))
         self.stack.append((tag, kind))
         self.count[kind] += 1
+        self.links += kind == "link"
         if kind == "named":
             self.wrappers.append(self.n_named)
             self.n_named += 1
@@ -208,29 +217,52 @@ def blocks(html: str) -> list[Block]:
     return parser.blocks
 
 
-def decide(block: Block) -> bool | None:
-    """First pass: True for text, False for none, None where the block is too short to tell."""
+def density(block: Block) -> float:
+    words = _WORDS.findall(block.text.lower())
+    return sum(w in STOP for w in words) / max(len(words), 1)
+
+
+def size(block: Block) -> int:
+    """Characters; one of Chinese, Japanese or Korean says as much as three."""
+    return len(block.text) + 2 * len(_WIDE.findall(block.text))
+
+
+def link_list(block: Block) -> bool:
+    """Links and hardly anything beside them: in a list, or several in a row."""
+    return block.linked > LINKS * len(block.text) and (block.item or block.links > 2)
+
+
+def known_language(found: list[Block]) -> bool:
+    """Whether the stop words are those of the page's language."""
+    plain = [b for b in found if not b.outside and b.linked <= LINKS * len(b.text)]
+    total = sum(len(b.text) for b in plain)
+    return total > 0 and sum(density(b) * len(b.text) for b in plain) >= KNOWN * total
+
+
+def decide(block: Block, known: bool = True) -> bool | None:
+    """First pass: True for text, False for none, None where it can't tell; known: the page is in a language of STOP."""
     if block.outside:
         return False
+    if block.article:
+        return not link_list(block)
     if block.linked > LINKS * len(block.text):
         return False
-    if block.article:
-        return True
-    words = _WORDS.findall(block.text.lower())
-    density = sum(w in STOP for w in words) / max(len(words), 1)
-    if len(block.text) < SHORT or block.heading:
+    if size(block) < SHORT or block.heading:
         return None
-    if density >= HIGH:
+    share = density(block)
+    if share >= HIGH or not known:
         return True
-    if density >= LOW:
-        return True if len(block.text) >= LONG else None
-    return False
+    if share >= LOW:
+        return True if size(block) >= LONG else None
+    # Tables, lists and code have few stop words.
+    return None if size(block) >= LONG else False
 
 
 def main_text(html: str | None) -> str:
     """The text of the blocks that both passes keep, joined by newlines."""
     found = blocks(html or "")
-    labels = [decide(b) for b in found]
+    known = any(b.article for b in found) or known_language(found)
+    labels = [decide(b, known) for b in found]
     # Where there is an article, what is outside of it is not the text.
     if any(b.article and label for b, label in zip(found, labels)):
         labels = [bool(label and b.article) for b, label in zip(found, labels)]
@@ -250,7 +282,10 @@ def main_text(html: str | None) -> str:
         if label is None:
             left, right = before[i], after[i]
             sides = [labels[j] for j in (left, right) if j is not None]
-            if len(set(sides)) < 2:
+            if not block.heading and size(block) >= LONG:
+                # Too long to go with a menu: text beside text, and where the page has no other.
+                label = any(sides) or True not in labels
+            elif len(set(sides)) < 2:
                 label = bool(sides) and sides[0]
             elif block.heading:
                 label = labels[right]

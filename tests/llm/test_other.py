@@ -136,6 +136,20 @@ def test_wrappers_and_open_heads_do_not_empty_a_page():
     assert pages.main_text(f"<head><script>a</script></head><div class='ad'>{LONG}</div><div>{LONG}{LONG}</div>") == (LONG + LONG).strip()
 
 
+def test_pages_in_other_languages_tables_and_links():
+    menu = "<ul><li><a href=a>one</a><li><a href=b>two</a></ul>"
+    russian = "Это один из абзацев, в которых достаточно слов, чтобы принять их за текст страницы, хотя они не на одном из четырёх языков."
+    chinese = "这是一个足够长的段落，可以被视为网页的正文，尽管它不是用四种语言之一写成的，因此必须保留下来。"
+    for text in (russian, chinese):
+        assert pages.main_text(f"<body>{menu}<p>{text}</p><p>{text}</p>{menu}</body>") == f"{text}\n{text}"
+    code = " ".join(f"x{i} = f{i}(y{i});" for i in range(40))
+    assert pages.main_text(f"<body>{menu}<p>{LONG}</p><pre>{code}</pre>{menu}</body>") == f"{LONG.strip()}\n{code}"
+    assert pages.main_text(f"<body>{menu}<pre>{code}</pre>{menu}</body>") == code
+    linked = "See <a href=x>the whole of the report</a> here."
+    article = f"<article><p>{LONG}</p><p>{linked}</p>{menu}<p><a>first</a> | <a>second</a> | <a>third</a></p></article>"
+    assert pages.main_text(article) == f"{LONG.strip()}\nSee the whole of the report here."
+
+
 def test_pages_by_column(spark):
     rows = spark.createDataFrame([(1, None), (1, "<article>a</article>"), (None, "<article>bé</article>")], "page_id bigint, html string")
     assert sorted(r[0] for r in rows.select(pages.extracted("html")).collect()) == ["", "a", "bé"]
