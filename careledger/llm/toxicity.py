@@ -2,7 +2,8 @@
 
 P(grade <= k) = sigmoid(threshold_k - w.x): one weight vector for all grades, ordered thresholds.
 x holds log(1 + count) of the words that go with toxic labels (or against them) by a z-test on
-document frequencies. The result is the expected grade, sum over k of P(grade >= k).
+document frequencies, counts in texts of more than RELATIVE words as for RELATIVE of them. A text of more
+than PASSAGE words is read in passages, and the highest score counts. The result is the expected grade, sum over k of P(grade >= k).
 
 Labels say toxic or not. grades() derives ordered grades from them: 0 for rows that aren't toxic; 1, 2,
 3 for toxic ones by thirds of how many words they hold that go with the label (1 without any). fit()
@@ -34,6 +35,8 @@ SAMPLE_ROWS = 50_000
 FEATURES = 2_048
 LEAST_DOCS, LEAST_Z = 6, 4.5
 GRADES = 4
+# Words of a text to which the counts of longer ones are scaled; words read together.
+RELATIVE, PASSAGE = 200, 2_000
 STEPS, RATE, PENALTY = 400, 0.1, 1e-4
 # Probability of grade 1 or more from which a document is toxic.
 TOXIC = 0.5
@@ -41,14 +44,27 @@ TOXIC = 0.5
 _WORDS = re.compile(r"[^\W\d_]+")
 
 
+def relative(n_words):
+    """The factor of counts in a text of so many words."""
+    return RELATIVE / np.maximum(n_words, RELATIVE)
+
+
 @dataclass
 class Model:
     weights: dict[str, float] = field(default_factory=dict)
     thresholds: list[float] = field(default_factory=list)
 
     def score(self, text: str | None) -> float:
-        counts = Counter(w for w in _WORDS.findall((text or "").lower()) if w in self.weights)
-        return sum(self.weights[w] * np.log1p(n) for w, n in sorted(counts.items()))
+        found = _WORDS.findall((text or "").lower())
+        # Passages of about one size, so that none is a short rest.
+        parts = max(1, -(-len(found) // PASSAGE))
+        cuts = [len(found) * i // parts for i in range(parts + 1)]
+        return max(self._passage(found[a:b]) for a, b in zip(cuts, cuts[1:]))
+
+    def _passage(self, found: list[str]) -> float:
+        counts = Counter(w for w in found if w in self.weights)
+        scale = relative(len(found))
+        return sum(self.weights[w] * np.log1p(n * scale) for w, n in sorted(counts.items()))
 
     def above(self, scores: np.ndarray) -> np.ndarray:
         """P(grade >= k) for k = 1, 2, ..., a row for each score."""
@@ -87,16 +103,19 @@ def indicators(rows: DataFrame) -> list[tuple[str, float]]:
 
 
 def features(rows: DataFrame, vocabulary: list[str]) -> DataFrame:
-    """toxic, at, n: the vocabulary words of each row, and how often they occur."""
+    """toxic, at, n, size: the vocabulary words of each row, how often they occur, and the number of its words."""
     place = {w: i for i, w in enumerate(vocabulary)}
 
-    @F.pandas_udf("struct<at:array<int>,n:array<int>>")
+    @F.pandas_udf("struct<at:array<int>,n:array<int>,size:int>")
     def counts(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for part in texts:
-            found = [sorted(Counter(place[w] for w in _WORDS.findall(t.lower()) if w in place).items()) for t in part]
-            yield pd.DataFrame({"at": [[i for i, _ in f] for f in found], "n": [[n for _, n in f] for f in found]})
+            split = [_WORDS.findall(t.lower()) for t in part]
+            found = [sorted(Counter(place[w] for w in words if w in place).items()) for words in split]
+            yield pd.DataFrame({
+                "at": [[i for i, _ in f] for f in found], "n": [[n for _, n in f] for f in found], "size": [len(w) for w in split],
+            })
 
-    return rows.select(*[c for c in rows.columns if c != "text"], counts("text").alias("x")).select("*", "x.at", "x.n").drop("x")
+    return rows.select(*[c for c in rows.columns if c != "text"], counts("text").alias("x")).select("*", "x.at", "x.n", "x.size").drop("x")
 
 
 def grades(toxic: np.ndarray, hits: np.ndarray) -> np.ndarray:
@@ -156,6 +175,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     row = np.repeat(np.arange(len(seen)), sizes)
     col = np.concatenate(seen["at"].to_numpy()).astype(np.int64)
     count = np.concatenate(seen["n"].to_numpy()).astype(np.float64)
+    count = count * relative(seen["size"].to_numpy(dtype=np.float64))[row]
     toward = np.array([z > 0 for _, z in words], dtype=float)
     hits = np.bincount(row, weights=count * toward[col], minlength=len(seen))
     y = grades(seen["toxic"].to_numpy(), hits)

@@ -300,6 +300,23 @@ def test_toxicity_on_held_out_rows(spark):
     assert kept.columns == docs(spark, []).columns and {7000, 7001} <= {r["doc_id"] for r in kept.collect()}
 
 
+def test_toxicity_of_very_long_texts(spark):
+    rows, marks = graded_rows()
+    model = toxicity.fit(docs(spark, rows), spark.createDataFrame(marks, "doc_id bigint, toxic int"))
+    draw = random.Random(5)
+    plain = [draw.choice(WORDS) for _ in range(300_000)]
+    clean, rude, part = list(plain), list(plain), list(plain)
+    for i in range(90):
+        clean[i * 3_333] = ("vile", "rotten", "dumb")[i % 3]
+    for i in range(0, len(rude), 70):
+        rude[i] = draw.choice(["vile", "rotten", "dumb"])
+    for i in range(150_000, 152_000, 20):
+        part[i] = draw.choice(["vile", "rotten", "dumb"])
+    long = [(1, " ".join(clean)), (2, " ".join(rude)), (3, " ".join(part))]
+    out = docs(spark, long).select("doc_id", toxicity.graded(model).alias("g")).select("doc_id", "g.toxic").collect()
+    assert {r["doc_id"]: r["toxic"] for r in out} == {1: False, 2: True, 3: True}
+
+
 def test_toxicity_without_labels(spark):
     rows, marks = graded_rows()
     for labels in ([], [(1, 0), (2, 0)], [(None, 1)]):
