@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 # The number spellings that count as numeric, as in a Python float literal.
 # Underscores may stand between digits; casting alone would also take 1d, 1f and 0x1p3.
-_DIGITS = r"[0-9]+(_[0-9]+)*"
+# The quantifiers are possessive: they match in a loop, where others take a stack frame per group.
+_DIGITS = r"[0-9]++(_[0-9]++)*+"
 NUMBER = rf"\A[+-]?({_DIGITS}(\.({_DIGITS})?)?|\.{_DIGITS})([eE][+-]?{_DIGITS})?\z"
 NOT_A_NUMBER = r"(?i)\A[+-]?nan\z"
 INFINITE = r"(?i)\A[+-]?inf(inity)?\z"

@@ -49,6 +49,15 @@ def test_parse_value_agrees_with_float(spark):
             assert num == want_num, value
 
 
+def test_parse_value_of_any_length(spark):
+    many = 1_000_000
+    values = ["1" + "_0" * many, "1_" * many, "." + "0_" * many + "1", "9" * many, "1." + "1_1" * many + "e_"]
+    out = spark.createDataFrame([(v,) for v in values], "v string").select(*parse_value(F.col("v"))).toDF("txt", "num").collect()
+    assert [(r["num"], r["txt"] is None) for r in out] == [
+        (math.inf, True), (None, False), (0.0, True), (math.inf, True), (None, False),
+    ]
+
+
 def test_ethiopian_date_known_days(spark):
     days = {
         "2007-09-12": "2000-01-01", "2023-09-11": "2015-13-06", "2023-09-12": "2016-01-01",

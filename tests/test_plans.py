@@ -2,18 +2,18 @@
 
 import pytest
 
-import __spark_entry__ as entry
+from careledger.queries import QUERIES
 
 SF_DIR = "/root/testdata/sf0.001"
 # Queries whose work is done when they return; their plan only reads the result.
-LOADS = {n for n in entry.queries() if n.startswith(("load_", "metadata_run", "data_run", "incremental", "clean_"))}
+LOADS = {n for n in QUERIES if n.startswith(("load_", "metadata_run", "data_run", "incremental", "clean_"))}
 
 
 def plan(spark, name):
-    return entry.queries()[name](spark, SF_DIR)._jdf.queryExecution().executedPlan().toString()
+    return QUERIES[name](spark, SF_DIR)._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(set(entry.queries()) - LOADS))
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - LOADS))
 def test_no_pairwise_joins(spark, name):
     text = plan(spark, name)
     assert "CartesianProduct" not in text
@@ -41,5 +41,5 @@ def test_json_is_parsed_once(spark):
 
 
 def test_only_names_leave_the_jvm(spark):
-    with_python = [n for n in sorted(set(entry.queries()) - LOADS) if "Python" in plan(spark, n)]
+    with_python = [n for n in sorted(set(QUERIES) - LOADS) if "Python" in plan(spark, n)]
     assert with_python == ["sanitize_names"]
