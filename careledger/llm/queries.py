@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from careledger.llm import (
-    chat, decontaminate, licences, neardup, oracles, packing, pages, pii, token_scan, topk, toxicity,
+    chat, decontaminate, licences, merkle, neardup, oracles, packing, pages, pii, token_scan, topk, toxicity,
 )
 from careledger.llm.common import staged, table
 
@@ -96,3 +96,11 @@ def op10_licence_paragraphs(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     model = licences.fit(docs)
     return docs.select("doc_id", F.explode_outer(licences.licences(model)).alias("hit")).select("doc_id", "hit.*")
+
+
+@query
+def op12_path_copying_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", "lang", "n_chars", "text")
+    digits = F.col("doc_id").cast("string").cast("binary")
+    cut = {"text": F.replace("text", F.lit("\n"), F.lit(""))}
+    return merkle.audit(docs, docs.columns, cut, F.crc32(digits) % 2 == 0).withColumnRenamed("id", "doc_id")
