@@ -155,4 +155,18 @@ SQL = {
             c.d AS folded_root, c.d = top.root AS verified
         FROM climbed c JOIN leaves f USING (doc_id) JOIN subroots r ON r.k = c.k, top
         WHERE c.up AND c.l = top.height""",
+    "op11_perfect_hash_lines": f"""
+        WITH lines AS (
+            SELECT doc_id, i, w[i] AS line, translate(trim(w[i], concat(' ', chr(9), chr(10), chr(11), chr(12), chr(13))),
+                '{_UPPER}', '{_LOWER}') AS key
+            FROM (SELECT doc_id, w, unnest(range(1, len(w) + 1)) AS i
+                FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS w FROM documents))
+        ), common AS (
+            SELECT key, max(doc_id) AS last FROM lines WHERE length(key) >= 40 GROUP BY key HAVING count(DISTINCT doc_id) >= 5
+        ), judged AS (
+            SELECT doc_id, i, line, last IS NOT NULL AND doc_id <> last AS gone FROM lines LEFT JOIN common USING (key)
+        )
+        SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
+            sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (NOT gone), '')) AS kept_sha256
+        FROM judged GROUP BY doc_id""",
 }

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from careledger.llm import (
-    chat, decontaminate, licences, merkle, neardup, oracles, packing, pages, pii, token_scan, topk, toxicity,
+    chat, decontaminate, licences, linededup, merkle, neardup, oracles, packing, pages, pii, token_scan, topk, toxicity,
 )
 from careledger.llm.common import staged, table
 
@@ -98,6 +98,12 @@ def op10_licence_paragraphs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs.select("doc_id", F.explode_outer(licences.licences(model)).alias("hit")).select("doc_id", "hit.*")
 
 
+@query
+def op11_perfect_hash_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = linededup.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
+
+
 @query
 def op12_path_copying_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "source", "lang", "n_chars", "text")
