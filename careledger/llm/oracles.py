@@ -169,4 +169,34 @@ SQL = {
         SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
             sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (NOT gone), '')) AS kept_sha256
         FROM judged GROUP BY doc_id""",
+    "op13_tiled_collocations": f"""
+        WITH pieces AS (
+            SELECT coalesce(lang, 'und') AS lang, unnest(string_split(translate(coalesce(text, ''),
+                concat('.,;:!?', chr(11), chr(12), chr(13), chr(9), '{_UPPER}'), concat(repeat(chr(10), 9), ' ', '{_LOWER}')), chr(10))) AS t
+            FROM documents
+        ), split AS (SELECT lang, [x FOR x IN string_split(t, ' ') IF x <> ''] AS w FROM pieces),
+        grams AS (
+            SELECT lang, k, array_to_string(w[i:i + k - 1], ' ') AS g
+            FROM (SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM split, range(1, 5) s(k) WHERE len(w) >= k)
+        ), counted AS (SELECT lang, k, g, count(*) AS f FROM grams GROUP BY ALL),
+        totals AS (SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM counted WHERE k = 1 GROUP BY lang),
+        frequent AS MATERIALIZED (SELECT *, string_split(g, ' ') AS w FROM counted WHERE f >= 30),
+        cut_at AS (
+            SELECT lang, g, f AS a, j, array_to_string(w[1:j], ' ') AS head, array_to_string(w[j + 1:], ' ') AS tail
+            FROM (SELECT *, unnest(range(1, k)) AS j FROM frequent)
+        ), cuts AS (
+            SELECT c.lang, c.g, a, x.f AS l, y.f AS r, j, CAST(2000000 * CAST(a AS HUGEINT) // (x.f + y.f) AS BIGINT) AS score
+            FROM cut_at c JOIN frequent x ON x.lang = c.lang AND x.g = c.head JOIN frequent y ON y.lang = c.lang AND y.g = c.tail
+        ), lowest AS (
+            SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, g ORDER BY score, j) = 1
+        ), around AS (
+            SELECT lang, array_to_string(w[i:i + m - 1], ' ') AS g, max(f) AS most
+            FROM (SELECT *, unnest(range(1, k - m + 2)) AS i FROM (SELECT *, unnest(range(2, k)) AS m FROM frequent))
+            GROUP BY ALL
+        ), kept AS (
+            SELECT lang, g AS phrase, a, l, r, score
+            FROM lowest LEFT JOIN around USING (lang, g) WHERE most IS NULL OR 100 * most < 80 * a
+        )
+        SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score
+        FROM kept JOIN totals USING (lang) QUALIFY rank <= 2000""",
 }

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from careledger.llm import (
-    chat, decontaminate, licences, linededup, merkle, neardup, oracles, packing, pages, pii, token_scan, topk, toxicity,
+    chat, collocations, decontaminate, licences, linededup, merkle, neardup, oracles, packing, pages, pii, token_scan, topk, toxicity,
 )
 from careledger.llm.common import staged, table
 
@@ -110,3 +110,8 @@ def op12_path_copying_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     digits = F.col("doc_id").cast("string").cast("binary")
     cut = {"text": F.replace("text", F.lit("\n"), F.lit(""))}
     return merkle.audit(docs, docs.columns, cut, F.crc32(digits) % 2 == 0).withColumnRenamed("id", "doc_id")
+
+
+@query
+def op13_tiled_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents").select("lang", "text"))
