@@ -2,13 +2,15 @@
 
 Level 1 counts words per language. Frequent ones are ranked by frequency; the first HEAD get their rank as a code,
 which addresses a cell directly: pairs of ranks fall into SIDE x SIDE tiles, and a tile with many pairs is counted by
-one dense bincount, all sparse tiles together as sorted coordinates. Level 2 gives the frequent pairs, which are
-ranked anew. A text is then read as the codes of its overlapping pairs, so that pairs of pairs are the phrases of
-three words, and so on.
+one dense bincount, all sparse tiles together as sorted coordinates. Tasks send packed tiles, not pairs; a tile of all
+tasks is summed by one task, of SPAN tasks at a time, into a dense array or, while it is thin, into sorted coordinates.
+Level 2 gives the frequent pairs, which are ranked anew. A text is then read as the codes of its overlapping pairs, so
+that pairs of pairs are the phrases of three words, and so on; each level reads the streams of codes that the one
+before has written, without the stretches that hold nothing frequent.
 
 Only the HEAD ranks of a level and a bitmap of BITS bits are sent to the tasks, whatever the size of the vocabulary.
 Frequent words and pairs beyond HEAD are known by the bitmap and coded by their 63-bit hash; a word that meets a set
-bit by chance is only counted in vain. Tasks count what they read, and counts are summed by one shuffle a level.
+bit by chance is only counted in vain. Pairs with such a code are shuffled as rows.
 
 A phrase's counts need no other look at the texts: the parts of a frequent phrase are frequent, so two joins a level
 bring the counts of all beginnings and endings.
@@ -25,12 +27,15 @@ from dataclasses import dataclass
 from functools import cached_property
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from careledger.llm.common import any_row, slices, staged, text_of
+from careledger.llm.common import any_row, staged, text_of
 from careledger.llm.neardup import mix
 
 MIN_COUNT = 30
@@ -42,18 +47,21 @@ SCALE = 2_000_000
 UNKNOWN = "und"
 
 # Ranks with a code of their own, and the side of a tile.
-HEAD = 65_536
-SIDE = 1_024
+HEAD = 1 << 18
+SIDE = 1 << 11
 # Pairs from which a tile is counted densely.
 DENSE = SIDE * SIDE // 16
 # Bits of the map of frequent words or pairs beyond HEAD.
 BITS = 1 << 27
 # Bytes up to which a word may be among the ranked ones.
 WORD_BYTES = 64
-# Pairs, words and codes that a task holds.
-PAIRS, WORDS, CODES = 1_500_000, 300_000, 200_000
+# Tasks whose tiles are summed at a time.
+SPAN = 64
+# Pairs, words, codes and bytes of text that a task holds at once (or one text).
+PAIRS, WORDS, CODES, BYTES = 1_000_000, 200_000, 50_000, 1_000_000
 
 _TAIL = 1 << 62
+_ACROSS, _CELLS = HEAD // SIDE, SIDE * SIDE
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 _BREAK = b"\n"
 # Characters that end a piece, the other white space, and A-Z in lower case.
@@ -85,7 +93,7 @@ class Level:
     """What tasks know of a level: ids by rank, the words where it is the first, and the bitmap of all ids if there
     are more than ranks."""
     ids: np.ndarray
-    words: list[tuple[str, bytes]] | None
+    words: pa.Table | None
     bits: np.ndarray | None
 
     @cached_property
@@ -115,7 +123,9 @@ class _Codes(dict):
     def __init__(self, level: Level, lang: str):
         super().__init__({_BREAK: -1})
         self.level, self.lang = level, lang
-        self.update((word, rank) for rank, (of, word) in enumerate(level.words) if of == lang)
+        ranks = np.flatnonzero(pc.equal(level.words["lang"], lang).to_numpy())
+        own = level.words["word"].take(pa.array(ranks)).cast(pa.binary()).to_pylist()
+        self.update(zip(own, ranks.tolist()))
 
     def __missing__(self, word: bytes) -> int:
         own = word_id(self.lang, word)
@@ -128,15 +138,31 @@ class _Codes(dict):
 def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, list[bytes]]]:
     """Language and words of some texts at a time."""
     for batch in batches:
-        langs, texts = batch.column(0).to_pylist(), batch.column(1).cast(pa.binary()).to_pylist()
-        for part in slices(texts):
+        start = 0
+        # Only the texts of a part leave their batch.
+        for size in _parts(pc.binary_length(batch.column(1)).to_numpy()):
+            part = batch.slice(start, size)
+            start += size
             of: dict[str, list[bytes]] = {}
-            for i in part:
-                of.setdefault(langs[i], []).append(texts[i])
+            for lang, text in zip(part.column(0).to_pylist(), part.column(1).cast(pa.binary()).to_pylist()):
+                of.setdefault(lang, []).append(text)
             for lang, own in of.items():
                 yield lang, words_of(_BREAK.join(own))
 
 
+def _parts(sizes: np.ndarray) -> Iterator[int]:
+    """How many rows to take at a time, for at most BYTES or one row."""
+    count = total = 0
+    for size in sizes.tolist():
+        if count and total + size > BYTES:
+            yield count
+            count = total = 0
+        count += 1
+        total += size
+    if count:
+        yield count
+
+
 def _words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     counts: dict[str, Counter] = {}
 
@@ -158,75 +184,214 @@ def _words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield from flush()
 
 
-def tile_counts(left: np.ndarray, right: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """Different pairs of codes with their counts, in parts."""
-    ranked = (left < HEAD) & (right < HEAD)
-    a, b = left[ranked], right[ranked]
-    tile = ((a // SIDE) * (HEAD // SIDE) + b // SIDE).astype(np.uint16)
+def compacted(codes: np.ndarray) -> np.ndarray:
+    """The stream with one break where there are several."""
+    return codes[(codes >= 0) | np.append(True, codes[:-1] >= 0)]
+
+
+Tiles = tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]
+
+
+def tile_counts(left: np.ndarray, right: np.ndarray) -> Iterator[Tiles]:
+    """Counts of pairs of ranks, in parts: tiles, where their cells begin, different cells, their counts."""
+    tile = (left // SIDE) * _ACROSS + right // SIDE
+    cell = left % SIDE * SIDE + right % SIDE
     sizes = np.bincount(tile, minlength=1)
-    dense = np.flatnonzero(sizes >= DENSE)
-    for t in dense:
-        here = tile == t
-        cells = np.bincount(a[here] % SIDE * SIDE + b[here] % SIDE, minlength=SIDE * SIDE)
-        found = np.flatnonzero(cells)
-        yield t // (HEAD // SIDE) * SIDE + found // SIDE, t % (HEAD // SIDE) * SIDE + found % SIDE, cells[found]
+    for t in np.flatnonzero(sizes >= DENSE):
+        counts = np.bincount(cell[tile == t], minlength=_CELLS)
+        found = np.flatnonzero(counts)
+        yield np.array([t]), np.array([0]), found, counts[found]
     thin = sizes[tile] < DENSE
-    found, n = np.unique(a[thin] * HEAD + b[thin], return_counts=True)
-    yield found // HEAD, found % HEAD, n
-    a, b = left[~ranked], right[~ranked]
-    order = np.lexsort((b, a))
-    a, b = a[order], b[order]
-    new = np.flatnonzero(np.concatenate([[True], (a[1:] != a[:-1]) | (b[1:] != b[:-1])])) if len(a) else np.empty(0, np.int64)
-    yield a[new], b[new], np.diff(new, append=len(a))
+    found, counts = np.unique(tile[thin] * _CELLS + cell[thin], return_counts=True)
+    if len(found):
+        tiles = found // _CELLS
+        starts = np.flatnonzero(np.diff(tiles, prepend=-1))
+        yield tiles[starts], starts, found % _CELLS, counts
 
 
-def _pairs(levels) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """Counts of neighbouring codes of the last of these levels."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known: list[Level] = [level.value for level in levels]
+def tail_counts(left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Different pairs of any codes with their counts."""
+    order = np.lexsort((right, left))
+    left, right = left[order], right[order]
+    new = np.flatnonzero(np.append(True, (left[1:] != left[:-1]) | (right[1:] != right[:-1]))) if len(left) else np.empty(0, np.int64)
+    return left[new], right[new], np.diff(new, append=len(left))
+
+
+#: Of a level's counts: packed tiles of part (a number of tasks), pairs beyond the ranks, streams of codes.
+_COUNTED = pa.schema([
+    ("tile", pa.int32()), ("part", pa.int32()), ("cells", pa.binary()), ("counts", pa.binary()),
+    ("left", pa.int64()), ("right", pa.int64()), ("n", pa.int64()), ("codes", pa.binary()),
+])
+_COUNTED_SQL = "tile int, part int, cells binary, counts binary, left bigint, right bigint, n bigint, codes binary"
+
+
+def _rows(**columns) -> pa.RecordBatch:
+    n = len(next(iter(columns.values())))
+    return pa.RecordBatch.from_arrays(
+        [pa.array(columns[f.name], f.type) if f.name in columns else pa.nulls(n, f.type) for f in _COUNTED], schema=_COUNTED,
+    )
+
+
+def _pieces(values: np.ndarray, starts: np.ndarray) -> pa.Array:
+    """The bytes of values, cut at starts."""
+    offsets = (np.append(starts, len(values)) * values.itemsize).astype(np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(starts), [None, pa.py_buffer(offsets), pa.py_buffer(values.tobytes())])
+
+
+def _packed(tiles: Tiles, part: int) -> pa.RecordBatch:
+    names, starts, cells, counts = tiles
+    return _rows(tile=names, part=np.full(len(names), part), cells=_pieces(cells.astype("<u4"), starts), counts=_pieces(counts.astype("<i8"), starts))
+
+
+def _first_codes(level: Level):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[np.ndarray]:
         tables: dict[str, _Codes] = {}
+        for lang, words in _texts(batches):
+            if lang not in tables:
+                tables[lang] = _Codes(level, lang)
+            yield np.fromiter(map(tables[lang].__getitem__, words), np.int64, len(words))
+
+    return run
+
+
+def _next_codes(lower: Level, level: Level):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[np.ndarray]:
+        for batch in batches:
+            for stream in batch.column(0):
+                codes = np.frombuffer(stream.as_buffer(), "<i8")
+                left, right = codes[:-1], codes[1:]
+                both = np.flatnonzero((left >= 0) & (right >= 0))
+                out = np.full(len(codes), -1, dtype=np.int64)
+                out[both] = level.codes(pair_ids(lower.id_of(left[both]), lower.id_of(right[both])))
+                yield out
+
+    return run
+
+
+def _pairs(levels, onward: bool) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Counts of neighbouring codes of the last of these levels; with onward also the streams of codes."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        *lower, level = [x.value for x in levels]
+        part = TaskContext.get().partitionId()
         held: list[np.ndarray] = []
         size = 0
 
         def flush() -> Iterator[pa.RecordBatch]:
             # Streams end with a break, so no pair reaches from one into the next.
             codes = np.concatenate(held)
+            held.clear()
             left, right = codes[:-1], codes[1:]
             both = (left >= 0) & (right >= 0)
-            for a, b, n in tile_counts(left[both], right[both]):
-                a, b = known[-1].id_of(a), known[-1].id_of(b)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(pair_ids(a, b)), pa.array(a), pa.array(b), pa.array(n, pa.int64())], ["id", "left", "right", "n"],
-                )
-
-        for lang, words in _texts(batches):
-            if not words:
+            left, right = left[both], right[both]
+            ranked = (left < HEAD) & (right < HEAD)
+            for tiles in tile_counts(left[ranked], right[ranked]):
+                yield _packed(tiles, part)
+            a, b, n = tail_counts(left[~ranked], right[~ranked])
+            if len(n):
+                yield _rows(left=level.id_of(a), right=level.id_of(b), n=n)
+
+        for codes in (_next_codes(lower[-1], level) if lower else _first_codes(level))(batches):
+            codes = compacted(codes)
+            if len(codes) < 2:
                 continue
-            if lang not in tables:
-                tables[lang] = _Codes(known[0], lang)
-            codes = np.fromiter(map(tables[lang].__getitem__, words), np.int64, len(words))
-            for lower, level in zip(known, known[1:]):
-                left, right = codes[:-1], codes[1:]
-                both = np.flatnonzero((left >= 0) & (right >= 0))
-                codes = np.full(len(left) + 1, -1, dtype=np.int64)
-                codes[both] = level.codes(pair_ids(lower.id_of(left[both]), lower.id_of(right[both])))
+            if onward:
+                yield _rows(codes=[codes.astype("<i8").tobytes()])
             held.append(codes)
             size += len(codes)
             if size >= PAIRS:
                 yield from flush()
-                held, size = [], 0
+                size = 0
         if held:
             yield from flush()
 
     return run
 
 
+class _Sum:
+    """Counts of one tile: sorted coordinates, or a dense array once there are many."""
+
+    def __init__(self):
+        self.parts, self.size, self.dense = [], 0, None
+
+    def add(self, cells: np.ndarray, counts: np.ndarray) -> None:
+        if self.dense is None:
+            # Copies: a view would keep its whole batch.
+            self.parts.append((cells.copy(), counts.copy()))
+            self.size += len(cells)
+            if self.size >= DENSE:
+                self.dense = np.zeros(_CELLS, dtype=np.int64)
+                for a, n in self.parts:
+                    self.dense[a] += n
+                self.parts = []
+        else:
+            # The cells of a part are all different.
+            self.dense[cells] += counts
+
+    def counts(self) -> tuple[np.ndarray, np.ndarray]:
+        if self.dense is not None:
+            cells = np.flatnonzero(self.dense)
+            return cells, self.dense[cells]
+        cells, counts = (np.concatenate(x) for x in zip(*self.parts))
+        order = np.argsort(cells, kind="stable")
+        cells, counts = cells[order].astype(np.int64), counts[order]
+        starts = np.flatnonzero(np.diff(cells, prepend=-1))
+        return cells[starts], np.add.reduceat(counts, starts)
+
+
+def _sums(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """tile, part, cells, counts of rows sorted by tile and part."""
+    now, total = None, _Sum()
+    for batch in batches:
+        tiles, parts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
+        for i, key in enumerate(zip(tiles, parts)):
+            if key != now:
+                if now:
+                    yield *now, *total.counts()
+                now, total = key, _Sum()
+            total.add(np.frombuffer(batch.column(2)[i].as_buffer(), "<u4"), np.frombuffer(batch.column(3)[i].as_buffer(), "<i8"))
+    if now:
+        yield *now, *total.counts()
+
+
+def _partly(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for tile, part, cells, counts in _sums(batches):
+        yield _packed((np.array([tile]), np.array([0]), cells, counts), part).select(["tile", "part", "cells", "counts"])
+
+
+def _frequent(level, least: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for tile, _, cells, counts in _sums(batches):
+            many = counts >= least
+            cells, counts = cells[many], counts[many]
+            left = level.value.id_of(tile // _ACROSS * SIDE + cells // SIDE)
+            right = level.value.id_of(tile % _ACROSS * SIDE + cells % SIDE)
+            if len(cells):
+                yield pa.RecordBatch.from_arrays([pa.array(left), pa.array(right), pa.array(counts)], ["left", "right", "n"])
+
+    return run
+
+
+def _summed(counted: DataFrame, level, least: int) -> DataFrame:
+    """left, right, n of the pairs with enough counts."""
+    tiles = counted.where("tile IS NOT NULL").select("tile", "part", "cells", "counts")
+    parts = (tiles.agg(F.max("part")).first()[0] or 0) + 1
+    while True:
+        parts = -(-parts // SPAN)
+        together = tiles.withColumn("part", F.expr(f"part div {SPAN}")).repartition("tile", "part").sortWithinPartitions("tile", "part")
+        if parts == 1:
+            break
+        tiles = together.mapInArrow(_partly, "tile int, part int, cells binary, counts binary")
+    found = together.mapInArrow(_frequent(level, least), "left bigint, right bigint, n bigint")
+    rest = counted.where("left IS NOT NULL").groupBy("left", "right").agg(F.sum("n").alias("n")).where(f"n >= {least}")
+    return found.union(rest)
+
+
 def _known(frequent: DataFrame, first: bool) -> Level:
     """The ranks of a level and the bitmap of what has none; both of bounded size."""
     rows = frequent.where(f"octet_length(word) <= {WORD_BYTES}") if first else frequent
     columns = ["id", "lang", "word"] if first else ["id"]
     head = rows.orderBy(F.desc("n"), "id").limit(HEAD).select(*columns).toArrow()
-    words = [(of, w.encode()) for of, w in zip(head["lang"].to_pylist(), head["word"].to_pylist())] if first else None
+    words = head.select(["lang", "word"]) if first else None
     bits = None
     if frequent.count() > head.num_rows:
         bits = np.zeros(BITS // 8, dtype=np.uint8)
@@ -255,14 +420,19 @@ def phrases(docs: DataFrame, min_count: int = MIN_COUNT, longest: int = LONGEST)
         "id", F.lit(None).cast("bigint").alias("left"), F.lit(None).cast("bigint").alias("right"), "lang",
         F.col("word").alias("phrase"), F.col("word").alias("last"), "n", F.array("n").alias("pre"), F.array("n").alias("suf"),
     )]
-    levels, current = [], words
+    @F.pandas_udf("bigint")
+    def ids(left: pd.Series, right: pd.Series) -> pd.Series:
+        return pd.Series(pair_ids(left.to_numpy(), right.to_numpy()))
+
+    levels, current, source = [], words, docs
     while len(found) < longest and any_row(current):
         levels.append(spark.sparkContext.broadcast(_known(current, len(found) == 1)))
-        pairs = (
-            docs.mapInArrow(_pairs(list(levels)), "id bigint, left bigint, right bigint, n bigint")
-            .groupBy("id", "left", "right").agg(F.sum("n").alias("n")).where(f"n >= {min_count}")
+        onward = len(found) + 1 < longest
+        counted = staged(source.mapInArrow(_pairs(levels[-2:], onward), _COUNTED_SQL), "counted")
+        source = counted.where("codes IS NOT NULL").select("codes")
+        current = staged(
+            _summed(counted, levels[-1], min_count).withColumn("id", ids("left", "right")).select("id", "left", "right", "n"), "pairs",
         )
-        current = staged(pairs, "pairs")
         begin = found[-1].select(F.col("id").alias("left"), "lang", F.col("phrase").alias("begin"), "pre")
         end = found[-1].select(F.col("id").alias("right"), "last", "suf")
         found.append(staged(

@@ -265,12 +265,43 @@ def test_no_texts_have_no_phrases(spark):
 
 def test_tiles_count_all_pairs():
     draw = np.random.default_rng(7)
-    head = draw.zipf(1.3, 400_000) % collocations.HEAD
-    codes = np.where(draw.random(400_000) < 0.02, collocations._TAIL + draw.integers(0, 50, 400_000), head)
-    got = Counter()
-    for a, b, n in collocations.tile_counts(codes[:-1], codes[1:]):
-        for x, y, c in zip(a.tolist(), b.tolist(), n.tolist()):
+    codes = np.concatenate([draw.integers(0, 300, collocations.DENSE + 100), draw.zipf(1.3, 200_000) % collocations.HEAD])
+    got, thin = Counter(), 0
+    for tiles, starts, cells, counts in collocations.tile_counts(codes[:-1], codes[1:]):
+        of = np.repeat(tiles, np.diff(starts, append=len(cells)))
+        thin += len(tiles) > 1
+        left = of // collocations._ACROSS * collocations.SIDE + cells // collocations.SIDE
+        right = of % collocations._ACROSS * collocations.SIDE + cells % collocations.SIDE
+        for x, y, n in zip(left.tolist(), right.tolist(), counts.tolist()):
             assert (x, y) not in got
-            got[x, y] = c
-    assert got == Counter(zip(codes[:-1].tolist(), codes[1:].tolist()))
-    assert any(len(n) for *_, n in [next(collocations.tile_counts(codes[:-1], codes[1:]))])
+            got[x, y] = n
+    assert got == Counter(zip(codes[:-1].tolist(), codes[1:].tolist())) and thin == 1
+    tail = collocations._TAIL + draw.integers(0, 50, 1000)
+    a, b, n = collocations.tail_counts(tail[:-1], tail[1:])
+    assert Counter(dict(zip(zip(a.tolist(), b.tolist()), n.tolist()))) == Counter(zip(tail[:-1].tolist(), tail[1:].tolist()))
+
+
+def test_sums_of_tiles_thin_and_dense():
+    draw = np.random.default_rng(8)
+    for parts in (3, 40):
+        total, want = collocations._Sum(), np.zeros(collocations._CELLS, dtype=np.int64)
+        for _ in range(parts):
+            cells = np.unique(draw.integers(0, collocations._CELLS, 20_000)).astype("<u4")
+            counts = draw.integers(1, 9, len(cells))
+            total.add(cells, counts)
+            want[cells] += counts
+        cells, counts = total.counts()
+        assert (cells == np.flatnonzero(want)).all() and (counts == want[cells]).all() and (total.dense is None) == (parts == 3)
+
+
+def test_many_tasks_are_summed_in_steps(spark, monkeypatch):
+    monkeypatch.setattr(collocations, "SPAN", 2)
+    rows = [("en", f"alpha beta gamma. beta gamma delta {i}") for i in range(40)]
+    df = spark.createDataFrame(rows, "lang string, text string").repartition(9)
+    assert mined(df, 5) == plain_phrases(rows, 5, 2000)
+
+
+def test_streams_keep_one_break():
+    codes = np.array([-1, -1, 4, 5, -1, -1, -1, 6, -1])
+    assert collocations.compacted(codes).tolist() == [-1, 4, 5, -1, 6, -1]
+    assert collocations.compacted(codes[:0]).tolist() == []
