@@ -32,11 +32,11 @@ def text_of(column: str) -> Column:
     return F.coalesce(F.col(column).cast("string"), F.lit(""))
 
 
-def slices(texts: list[str]) -> Iterator[range]:
-    """Index ranges of at most SLICE_CHARS characters, or of one text."""
+def slices(texts: list[str], most: int = SLICE_CHARS) -> Iterator[range]:
+    """Index ranges of at most that many characters, or of one text."""
     start = size = 0
     for i, text in enumerate(texts):
-        if i > start and size + len(text) > SLICE_CHARS:
+        if i > start and size + len(text) > most:
             yield range(start, i)
             start, size = i, 0
         size += len(text)

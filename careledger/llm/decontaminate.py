@@ -9,28 +9,33 @@ window without placeholders is evidence by itself.
 
 Whether a capital starts a name can't be told where a sentence starts, so texts and items are read in three
 forms, and windows of any two may meet: names as capitals inside a sentence, no names at all, and every
-capital a name (each of a run by itself) but for FUNCTION words. The first form's alignments decide by
-themselves; the others add documents that it misses.
+capital a name (each of a run by itself) but for FUNCTION words. Windows with fewer than LITERALS plain words
+are too general for a template; those are searched in a fourth form, with all their values. Slots are checked
+for each form of an item by itself.
 
-Only documents' windows that meet a benchmark window leave the map side.
+A window holds each plain word of its template, so only documents that hold the longest word of some
+benchmark window, its anchor, can meet one. Anchors are a bitmap of fixed size; all other documents are read
+once and left alone. Only windows that meet a benchmark window leave the map side.
 
 Defined results: null and empty texts have no windows; an item shorter than WINDOW is one window of
-its own length; windows with fewer than LITERALS plain words are too general and not searched, so an
-item with fewer is never found; rows with one doc_id, or without one, are reported under that id
-together; without items or documents there are no rows.
+its own length; items of fewer than LITERALS tokens say too little to be found; rows with one doc_id, or
+without one, are reported under that id together; without items or documents there are no rows.
 """
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from careledger.llm.common import staged, text_of
+from careledger.llm.common import any_row, staged, text_of
 
 WINDOW = 8
 LITERALS = 4
 # Windows of the benchmark up to which they are sent to every task; beyond, the join shuffles.
 BROADCAST_WINDOWS = 500_000
+# Bits of the map of anchors.
+ANCHOR_BITS = 1 << 20
 
 # Units of measure and of money that may follow a number.
 UNITS = (
@@ -54,14 +59,16 @@ FUNCTION = (
     "le la les un une des du qui que quel quelle quels quelles comment pourquoi quand si et ou il elle ils elles est "
     "el los las una uno quien cual como cuando donde por para se es y o qué quién cuál cómo cuándo dónde"
 ).split()
-_NUMBERS = r"([0-9]+(?:[.,:/][0-9]+)*)"
+# Possessive, so that long lists of numbers are matched in a loop.
+_NUMBERS = r"([0-9]++(?:[.,:/][0-9]++)*+)"
 _UNITS = NUMBER + r"([0-9.,:/]+) +(" + "|".join(UNITS) + r")([^\p{L}\p{N}]|$)"
 # Signs count as units only next to a number.
 _BEHIND = NUMBER + r"([0-9.,:/]+) *[%€$£°]"
 _BEFORE = r"[€$£] *" + NUMBER
 _LOOSE = r"[.,:/]+([^0-9]|$)"
-_PLAIN = r"[^\p{L}\p{N}" + NAME + NUMBER + UNIT + r".,:/]+"
 _SPLIT = r"[^\p{L}\p{N}" + NAME + NUMBER + UNIT + CAPITAL + r".,:/]+"
+# What stands between the words of a text, where numbers are none.
+_BETWEEN = r"[[^\p{L}\p{N}][0-9]]+"
 _SPLIT_WORDS = r"[^\p{L}\p{N}" + NAME + CAPITAL + r"]+"
 
 
@@ -78,7 +85,7 @@ def canonical(text: Column) -> Column:
 
 def with_tokens(rows: DataFrame, text: Column) -> DataFrame:
     """rows with _tokens (words and placeholders; a placeholder is its type's character, then its
-    value) and _forms (hashes of the tokens without values, in each form that differs)."""
+    value) and _forms (hashes of the tokens in each form; only the first where there are no placeholders)."""
     rows = rows.withColumn("_canonical", canonical(text))
     numbered = F.contains("_canonical", F.lit(NUMBER))
     named = F.contains("_canonical", F.lit(NAME)) | F.contains("_canonical", F.lit(CAPITAL))
@@ -86,12 +93,12 @@ def with_tokens(rows: DataFrame, text: Column) -> DataFrame:
         F.when(numbered, F.split("_canonical", _SPLIT)).otherwise(F.split("_canonical", _SPLIT_WORDS)), "",
     ))
     forms = [_hashes(form) for form in range(FORMS)]
-    return rows.withColumn("_forms", F.when(named, F.array(*forms)).otherwise(F.array(forms[0]))).drop("_canonical")
+    return rows.withColumn("_forms", F.when(named | numbered, F.array(*forms)).otherwise(F.array(forms[0]))).drop("_canonical")
 
 
-#: Names inside sentences; no names; every capital a name.
-INSIDE, BARE, EVERY = range(3)
-FORMS = 3
+#: Names inside sentences; no names; every capital a name; no placeholders at all.
+INSIDE, BARE, EVERY, VERBATIM = range(4)
+FORMS = 4
 
 
 def _is_slot(token: Column, form: int) -> Column:
@@ -100,6 +107,8 @@ def _is_slot(token: Column, form: int) -> Column:
         return code.between(1, 3)
     if form == BARE:
         return code.between(2, 3)
+    if form == VERBATIM:
+        return F.lit(False)
     return code.between(2, 3) | (code.isin(1, 4) & ~F.substring(token, 2, 1_000_000_000).isin(FUNCTION))
 
 
@@ -110,6 +119,9 @@ def _kind(token: Column, form: int) -> Column:
 
 
 def _hashes(form: int) -> Column:
+    if form == VERBATIM:
+        # Never the same as a window of another form.
+        return F.transform("_tokens", lambda t: F.xxhash64(F.lit("verbatim"), _value(t)))
     return F.transform("_tokens", lambda t: F.xxhash64(_kind(t, form)))
 
 
@@ -125,80 +137,111 @@ def _slots(at: Column, size: int, form: int) -> Column:
 
 
 def windows(rows: DataFrame, size: int, keep: list[str]) -> DataFrame:
-    """keep, at (from 0), form, template (hash) of the windows of rows; forms that say the same as INSIDE are left out."""
+    """keep, at (from 0), form, template (hash) of the windows of rows in all their forms."""
     first, last = F.col("_forms")[0], F.size(F.col("_forms")[0]) - (size - 1)
     at = F.sequence(F.lit(1), last)
     alone = F.transform(at, lambda i: F.array(F.xxhash64(F.slice(first, i, size))))
-    three = F.transform(at, lambda i: F.array(*(F.xxhash64(F.slice(F.col("_forms")[k], i, size)) for k in range(FORMS))))
+    every = F.transform(at, lambda i: F.array(*(F.xxhash64(F.slice(F.col("_forms")[k], i, size)) for k in range(FORMS))))
     # No filter on the size: it would be moved before the tokens and compute them a second time.
-    each = F.when(last < 1, F.expr("CAST(array() AS array<array<bigint>>)")).when(F.size("_forms") == 1, alone).otherwise(three)
+    each = F.when(last < 1, F.expr("CAST(array() AS array<array<bigint>>)")).when(F.size("_forms") == 1, alone).otherwise(every)
     cut = rows.select(*keep, F.posexplode(each).alias("at", "_each"))
-    return cut.select(*keep, "at", F.col("_each")[0].alias("_first"), F.posexplode("_each").alias("form", "template")).where(
-        (F.col("form") == INSIDE) | (F.col("template") != F.col("_first"))
-    ).drop("_first")
+    return cut.select(*keep, "at", F.posexplode("_each").alias("form", "template"))
+
+
+def _by_form(of) -> Column:
+    out = F.when(F.col("form") == 0, of(0))
+    for form in range(1, FORMS):
+        out = out.when(F.col("form") == form, of(form))
+    return out
+
+
+def _anchor(size: int, form: int) -> Column:
+    """The longest word that each window with this template holds."""
+    plain = F.filter(F.slice("_tokens", F.col("at") + 1, size), lambda t: ~_is_slot(t, form))
+    if form == VERBATIM:
+        plain = F.flatten(F.transform(plain, lambda t: F.split(t, r"[^\p{L}\p{N}]+")))
+    else:
+        plain = F.transform(plain, lambda t: F.translate(t, NAME + CAPITAL, ""))
+    return F.array_max(F.transform(plain, lambda t: F.struct(F.length(t).alias("n"), t.alias("word"))))["word"]
+
+
+def known_windows(benchmark: DataFrame) -> DataFrame:
+    """Of items (item_id, _t): item_id, size, template, item_at, item_form, item_slots, anchor of the windows searched."""
+    items = with_tokens(benchmark, F.col("_t"))
+    items = items.withColumn("_size", F.least(F.size("_tokens"), F.lit(WINDOW))).where(F.col("_size") >= LITERALS)
+    parts = []
+    for size in range(LITERALS, WINDOW + 1):
+        cut = windows(items.where(F.col("_size") == size), size, ["item_id", "_tokens"])
+        general = size - F.size(_slots(F.col("at") + 1, size, INSIDE)) < LITERALS
+        cut = cut.withColumn("item_slots", _by_form(lambda form: _slots(F.col("at") + 1, size, form)))
+        parts.append(cut.where(
+            F.when(F.col("form") == VERBATIM, general).otherwise(size - F.size("item_slots") >= LITERALS),
+        ).select(
+            "item_id", F.lit(size).alias("size"), "template", F.col("at").alias("item_at"), F.col("form").alias("item_form"),
+            "item_slots", _by_form(lambda form: _anchor(size, form)).alias("anchor"),
+        ))
+    known = parts[0]
+    for part in parts[1:]:
+        known = known.union(part)
+    return staged(known, "known")
+
+
+def _bit(word: Column) -> Column:
+    return F.pmod(F.xxhash64(word), F.lit(ANCHOR_BITS))
+
+
+def holding(docs: DataFrame, known: DataFrame, text: Column) -> DataFrame:
+    """The rows of docs whose text holds an anchor of these windows, and a few more."""
+    at = known.select(_bit(F.col("anchor")).alias("bit")).distinct()
+    bits = np.zeros(ANCHOR_BITS // 64, dtype=np.int64)
+    # One row for 64 bits: a table of fixed size.
+    for row in at.groupBy(F.expr("bit div 64").alias("word")).agg(F.expr("bit_or(shiftleft(1L, CAST(bit % 64 AS int)))").alias("bits")).collect():
+        bits[row["word"]] = row["bits"]
+    table = F.lit(bits)
+    words = F.split(F.lower(text), _BETWEEN)
+    if any_row(known.where(F.col("item_form") == VERBATIM)):
+        words = F.concat(words, F.regexp_extract_all(text, F.lit("[0-9]+"), F.lit(0)))
+    return docs.where(F.exists(words, lambda w: F.getbit(F.get(table, F.floor(_bit(w) / 64).cast("int")), _bit(w) % 64) == 1))
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                  item_col: str = "item_id", item_text: str = "text") -> DataFrame:
     """doc_id, item_id, n_windows (different windows of the item found), n_slots: documents that
     hold an item, verbatim or with other values."""
-    items = with_tokens(benchmark.select(F.col(item_col).alias("item_id"), text_of(item_text).alias("_t")), F.col("_t"))
-    items = items.withColumn("_size", F.least(F.size("_tokens"), F.lit(WINDOW))).where(F.col("_size") >= LITERALS)
+    known = known_windows(benchmark.select(F.col(item_col).alias("item_id"), text_of(item_text).alias("_t")))
     plain = docs.select(F.col(id_col).alias("doc_id"), text_of(text_col).alias("_t"))
+    plain = staged(holding(plain, known, F.col("_t")), "holding")
     texts = with_tokens(plain, F.col("_t"))
     found = None
-    for size in range(LITERALS, WINDOW + 1):
-        cut = windows(items.where(F.col("_size") == size), size, ["item_id", "_tokens"])
-        part = [_slots(F.col("at") + 1, size, form) for form in range(FORMS)]
-        slots = F.when(F.col("form") == INSIDE, part[INSIDE]).when(F.col("form") == BARE, part[BARE]).otherwise(part[EVERY])
-        known = cut.withColumn("item_slots", slots).select(
-            "item_id", "template", F.col("at").alias("item_at"), F.col("form").alias("item_form"), "item_slots",
-        ).where(size - F.size("item_slots") >= LITERALS)
-        n = known.count()
-        if n == 0:
-            continue
-        known = F.broadcast(known) if n <= BROADCAST_WINDOWS else known
-        part = windows(texts, size, ["doc_id"]).join(known, "template").withColumn("size", F.lit(size))
+    for row in known.groupBy("size").agg(F.count("*").alias("n")).orderBy("size").collect():
+        size = row["size"]
+        theirs = known.where(F.col("size") == size)
+        theirs = F.broadcast(theirs) if row["n"] <= BROADCAST_WINDOWS else theirs
+        part = windows(texts, size, ["doc_id"]).join(theirs, "template")
         found = part if found is None else found.union(part)
     if found is None:
-        return _none(texts, items)
+        return _none(docs.select(F.col(id_col).alias("doc_id")), known)
     found = staged(found, "met")
-    # What the form of names inside sentences finds, and what all forms find together.
-    first = F.col("first")
     aligned = _values(plain, found).withColumn("shift", F.col("at") - F.col("item_at")).select(
-        "doc_id", "item_id", "shift", "item_at", "first", F.explode_outer("pairs").alias("slot"),
-    ).groupBy("doc_id", "item_id", "shift").agg(
+        "doc_id", "item_id", "item_form", "shift", "item_at", F.explode_outer("pairs").alias("slot"),
+    ).groupBy("doc_id", "item_id", "item_form", "shift").agg(
         F.collect_set("item_at").alias("hits"), F.collect_set("slot").alias("slots"),
         F.max(F.when(F.col("slot").isNull(), 1).otherwise(0)).alias("literal"),
-        F.collect_set(F.when(first, F.col("item_at"))).alias("first_hits"), F.collect_set(F.when(first, F.col("slot"))).alias("first_slots"),
-        F.max(F.when(first & F.col("slot").isNull(), 1).otherwise(0)).alias("first_literal"),
     )
-
-    def steady(slots: str) -> Column:
-        return F.size(F.array_distinct(F.col(f"{slots}.item"))) == F.size(slots)
-
-    good = (F.size("first_hits") > 0) & ((F.col("first_literal") == 1) | steady("first_slots"))
-    judged = aligned.withColumn("good", good).where(F.col("good") | (F.col("literal") == 1) | steady("slots"))
-    counts = judged.groupBy("doc_id", "item_id").agg(
-        F.max("good").alias("good"),
-        *(F.size(F.array_distinct(F.flatten(F.collect_set(F.when(rows, F.col(f"{p}hits")))))).cast("bigint").alias(f"{p}windows")
-          for p, rows in (("first_", F.col("good")), ("", F.lit(True)))),
-        *(F.max(F.when(rows, F.size(f"{p}slots"))).cast("bigint").alias(f"{p}slots")
-          for p, rows in (("first_", F.col("good")), ("", F.lit(True)))),
+    steady = F.size(F.array_distinct(F.col("slots.item"))) == F.size("slots")
+    return aligned.where((F.col("literal") == 1) | steady).groupBy("doc_id", "item_id").agg(
+        F.size(F.array_distinct(F.flatten(F.collect_set("hits")))).cast("bigint").alias("n_windows"),
+        F.max(F.size("slots")).cast("bigint").alias("n_slots"),
     )
-    return counts.select("doc_id", "item_id", *(
-        F.when(F.col("good"), F.col(f"first_{c}")).otherwise(F.col(c)).alias(f"n_{c}") for c in ("windows", "slots")
-    ))
 
 
 def _values(docs: DataFrame, found: DataFrame) -> DataFrame:
-    """found with pairs: the values (item, own) that stand in the same slot, and first: both forms are INSIDE.
-    Texts are read again only for documents that met a window with placeholders."""
-    found = found.withColumn("first", (F.col("form") == INSIDE) & (F.col("item_form") == INSIDE))
+    """found with pairs: the values (item, own) that stand in the same slot. Texts are read again only for
+    documents that met a window with placeholders."""
     slotted = found.where(F.size("item_slots") > 0)
     wanted = staged(slotted.select(F.col("doc_id").alias("_id")).distinct(), "wanted")
     bare = found.where(F.size("item_slots") == 0).withColumn("pairs", F.expr("CAST(NULL AS array<struct<item:string,own:string>>)"))
-    columns = ["doc_id", "item_id", "at", "item_at", "first", "pairs"]
+    columns = ["doc_id", "item_id", "item_form", "at", "item_at", "pairs"]
     n = wanted.count()
     if n == 0:
         return bare.select(*columns)

@@ -6,14 +6,17 @@ its own probe sequence meets first, so every document has a full signature from
 pass. Bands of the signature are bucket keys. Inside a bucket, candidate edges are a star
 around one centre, never all pairs; every edge is confirmed on the full sets.
 
-A star alone may miss a link between two members that are both unlike the centre. So buckets
-whose members do not yet form one component go on to further rounds, with the next 2, 8, 32 ...
-members as centres, until each bucket is one component or each of its pairs was compared or
-excluded by a bound: shingles that a set has alone can't be common to a link. Identical sets are one node throughout, so copies cost one row each and no edge.
-
-Defined results: a null or blank text has an empty set and is linked with nothing; rows with
-one doc_id are one document, whatever their texts; rows without a doc_id are never a group's
-smallest and stay only where no row with a doc_id has their set; repeated rows are each returned.
+A star alone may miss a link between two members that are both unlike the centre. The members of buckets that
+still hold several components are therefore compared by how they differ from their group's core, the shingles that
+most of them hold. Two sets are linked when what each lacks and adds weighs little enough, or when they lack or add
+enough of the same. The first kind of link is found by a star around the member that differs least; for the second,
+sets with the same shared differences are one class, and classes meet in the rarest of their differences, as many
+as a link can't do without (a prefix filter). Nothing is compared twice, and no link inside a bucket is lost.
+Identical sets are one node throughout, so copies cost one row each and no edge.
+
+Defined results: a null or blank text has an empty set and is linked with nothing; rows with one doc_id are one
+document, whatever their texts; rows without a doc_id link as others do, but are never a group's smallest; repeated
+rows are each returned.
 """
 
 from __future__ import annotations
@@ -37,8 +40,9 @@ SHINGLE = 5
 ROWS = 6
 # The chance that a link exactly at the threshold shares no bucket.
 MISS = 1e-7
-# Words whose hashes a task remembers.
-WORDS = 500_000
+# Words whose hashes a task remembers, and characters whose shingles it holds at once (or one text).
+WORDS = 200_000
+CHARS = 1_000_000
 # Candidate documents up to which their ids are sent to every task instead of shuffling texts.
 BROADCAST_IDS = 1_000_000
 
@@ -134,7 +138,7 @@ def _sketch(bands: int):
         hashes = _Hashes()
         for batch in batches:
             ids, texts = batch.column(0), batch.column(1).to_pylist()
-            for part in slices(texts):
+            for part in slices(texts, CHARS):
                 sets = shingle_sets(texts[part.start : part.stop], hashes)
                 keys = np.zeros((len(sets), bands), dtype=np.int64)
                 some = np.array([len(s) > 0 for s in sets], dtype=bool)
@@ -156,7 +160,7 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     hashes = _Hashes()
     for batch in batches:
         texts = batch.column(0).to_pylist()
-        for part in slices(texts):
+        for part in slices(texts, CHARS):
             sets = shingle_sets(texts[part.start : part.stop], hashes)
             yield pa.RecordBatch.from_arrays([
                 pa.array([_node(s) for s in sets], pa.binary()),
@@ -164,130 +168,148 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             ], ["node", "items"])
 
 
-def _arrays(column: pa.ListArray) -> list[np.ndarray]:
-    flat, ends = column.values.to_numpy().view(np.uint64), column.offsets.to_numpy()
-    return [flat[a:b] for a, b in zip(ends[:-1], ends[1:])]
-
-
-def _confirm(percent: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            linked = []
-            for x, y in zip(_arrays(batch.column(2)), _arrays(batch.column(3))):
-                common = len(np.intersect1d(x, y, assume_unique=True))
-                linked.append(100 * common >= percent * (len(x) + len(y) - common))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(linked, pa.bool_())], ["u", "v", "linked"],
-            )
-
-    return run
-
-
 def _sets_of(docs: DataFrame, nodes: DataFrame, some: DataFrame) -> DataFrame:
     """node, items for the nodes in some; items is the sorted set. Staged."""
-    wanted = staged(some.distinct().join(nodes.select("node", "id"), "node").select("id").distinct(), "wanted")
+    named = staged(some.distinct().join(nodes.select("node", "id"), "node"), "named")
+    wanted = staged(named.select("id").where("id IS NOT NULL").distinct(), "wanted")
     if wanted.count() <= BROADCAST_IDS:
         wanted = F.broadcast(wanted)
-    return staged(
-        docs.join(wanted, docs["doc_id"] == wanted["id"], "left_semi").select("text")
-        .mapInArrow(_sets, "node binary, items array<bigint>")
-        .where("node IS NOT NULL").groupBy("node").agg(F.first("items").alias("items")), "sets",
-    )
-
-
-def _compare(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
-    """u, v, linked for each pair of nodes, from the full sets of their documents."""
-    sets = _sets_of(docs, nodes, pairs.select("u").union(pairs.select("v")).toDF("node"))
+    texts = docs.join(wanted, docs["doc_id"] == wanted["id"], "left_semi").select("text")
+    missing = any_row(named.where("id IS NULL"))
+    if missing:
+        texts = texts.union(docs.where("doc_id IS NULL").select("text"))
+    found = texts.mapInArrow(_sets, "node binary, items array<bigint>").where("node IS NOT NULL")
+    if missing:
+        found = found.join(named.select("node"), "node", "left_semi")
+    return staged(found.groupBy("node").agg(F.first("items").alias("items")), "sets")
+
+
+def _linked(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, percent: int, sets: DataFrame | None = None) -> DataFrame:
+    """The linked ones of these pairs (u, v) of nodes, by the full sets of their documents. Staged."""
+    if sets is None:
+        sets = _sets_of(docs, nodes, pairs.select("u").union(pairs.select("v")).toDF("node"))
     left = sets.select(F.col("node").alias("u"), F.col("items").alias("left"))
     right = sets.select(F.col("node").alias("v"), F.col("items").alias("right"))
-    return (
-        pairs.join(right, "v").join(left, "u").select("u", "v", "left", "right")
-        .mapInArrow(_confirm(percent), "u binary, v binary, linked boolean")
+    both = pairs.join(right, "v").join(left, "u").withColumn("common", F.size(F.array_intersect("left", "right")))
+    return staged(
+        both.where(f"100 * common >= {percent} * (size(left) + size(right) - common)").select("u", "v"), "linked",
     )
 
 
-def _own_items(docs: DataFrame, nodes: DataFrame, some: DataFrame) -> DataFrame:
-    """node, own: how many items of its set no other of these nodes has, where there are any."""
-    items = _sets_of(docs, nodes, some).select("node", F.explode("items").alias("item"))
-    alone = items.groupBy("item").agg(F.count("*").alias("n"), F.min("node").alias("node")).where("n = 1")
-    return alone.groupBy("node").agg(F.count("*").alias("own"))
+def _members(nodes: DataFrame) -> DataFrame:
+    """key, node, n, centre, m: who shares a bucket with others, and the node in it that shares most. Staged."""
+    each = nodes.select("node", "n", F.explode("keys").alias("key"))
+    sizes = each.groupBy("key").agg(F.count("*").alias("size")).where("size > 1")
+    shared = staged(each.join(sizes, "key"), "shared")
+    weight = shared.groupBy("node").agg(F.sum("size").alias("weight"))
+    weighed = shared.join(weight, "node")
+    # The node that shares most is the origin of a group of variants, or close to it.
+    first = weighed.groupBy("key").agg(F.min(F.struct(-F.col("weight"), "node", "n")).alias("first"))
+    first = first.select("key", F.col("first.node").alias("centre"), F.col("first.n").alias("m"))
+    return staged(weighed.select("key", "node", "n").join(first, "key"), "members")
 
 
-def _members(rows: DataFrame, comps: DataFrame) -> DataFrame:
-    """rows with comp, the component (node, comp) of their node."""
+def _with_component(rows: DataFrame, comps: DataFrame) -> DataFrame:
     comps = comps.withColumnRenamed("node", "at")
     return rows.join(comps, F.col("node") == F.col("at"), "left").drop("at").withColumn("comp", F.coalesce("comp", "node"))
 
 
-def _undecided(rows: DataFrame, first: int) -> DataFrame:
-    """The rows of buckets that hold several components and members not compared with all others. Staged."""
-    live = rows.groupBy("key").agg(
-        F.min("comp").alias("low"), F.max("comp").alias("high"), F.max("rank").alias("last"),
-    ).where(f"low <> high AND last > {first}").select("key")
-    return staged(rows.join(live, "key"), "undecided")
-
+def _differences(docs: DataFrame, nodes: DataFrame, left: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
+    """Of the undecided nodes (key, node, n, centre, comp): node, comp, grp, weight, slack, diff, class; and their sets.
 
-def links(docs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame | None:
-    """Node pairs (u, v) that connect all linked nodes: every link lies inside a component of them."""
-    key = Window.partitionBy("key")
-    shared = staged(
-        nodes.select("node", "n", F.explode("keys").alias("key"))
-        .withColumn("size", F.count("*").over(key)).where("size > 1"), "shared",
+    A group is all that share buckets by some chain, its core the items of more than half of it. diff lists what a
+    node lacks of the core or has beside it, where another node of the group differs in the same, rarest first.
+    With weight = 100 * lacking + percent * beside and slack = (100 - percent) * core, two nodes are linked
+    if (100 + percent) * shared differences >= the sum of their weights - slack. Staged.
+    """
+    groups = components(left.select(F.col("centre").alias("u"), F.col("node").alias("v")).distinct())
+    groups = groups.select(F.col("node").alias("at"), F.col("comp").alias("grp"))
+    each = staged(
+        left.select("node", "n", "comp").distinct().join(groups, F.col("node") == F.col("at")).drop("at"), "undecided",
     )
-    weight = shared.groupBy("node").agg(F.sum("size").alias("weight"))
-    # The node that shares most comes first: the origin of a group of variants.
-    ordered = key.orderBy(F.desc("weight"), "node")
-    members = staged(
-        shared.join(weight, "node").select(
-            "key", "node", "n", F.row_number().over(ordered).alias("rank"),
-            F.first("node").over(ordered).alias("centre"), F.first("n").over(ordered).alias("m"),
-        ), "members",
+    sets = _sets_of(docs, nodes, each.select("node"))
+    held = each.join(sets, "node")
+    counts = held.select("grp", F.explode("items").alias("item")).groupBy("grp", "item").agg(F.count("*").alias("f"))
+    sizes = each.groupBy("grp").agg(F.count("*").alias("g"))
+    # No longer than two of the group's sets.
+    core = counts.join(sizes, "grp").where("2 * f > g").groupBy("grp").agg(F.collect_list("item").alias("core"))
+    none = F.expr("CAST(array() AS array<bigint>)")
+    apart = staged(
+        held.join(core, "grp", "left").withColumn("core", F.coalesce("core", none)).select(
+            "node", "comp", "grp", F.array_except("core", "items").alias("lacks"), F.array_except("items", "core").alias("adds"),
+            ((100 - percent) * F.size("core")).alias("slack"),
+        ), "apart",
+    )
+    marked = F.concat(F.transform("lacks", lambda i: F.struct(F.lit(False).alias("adds"), i.alias("item"))),
+                      F.transform("adds", lambda i: F.struct(F.lit(True).alias("adds"), i.alias("item"))))
+    each_diff = apart.select("node", "grp", F.explode(marked).alias("d")).select("node", "grp", "d.*")
+    often = each_diff.groupBy("grp", "adds", "item").agg(F.count("*").alias("f")).where("f > 1")
+    shared = each_diff.join(often, ["grp", "adds", "item"]).groupBy("node").agg(
+        F.array_sort(F.collect_list(F.struct("f", "adds", "item"))).alias("diff"),
+    )
+    no_diff = F.expr("CAST(array() AS array<struct<f:bigint,adds:boolean,item:bigint>>)")
+    weighed = apart.join(shared, "node", "left").withColumn("diff", F.coalesce("diff", no_diff)).select(
+        "node", "comp", "grp", "slack", "diff", F.size("lacks").alias("lacking"), F.size("adds").alias("beside"),
+        (100 * F.size("lacks") + percent * F.size("adds")).alias("weight"),
+    )
+    # Nodes that share their group, sizes and shared differences have as much in common with any other.
+    told = F.array_join(F.transform("diff", lambda d: F.concat(d["adds"].cast("string"), d["item"].cast("string"))), ",")
+    name = F.unhex(F.sha2(F.concat_ws(" ", F.hex("grp"), "lacking", "beside", told), 256))
+    return staged(weighed.withColumn("class", name).drop("lacking", "beside"), "weighed"), sets
+
+
+def _undecided_links(docs: DataFrame, nodes: DataFrame, left: DataFrame, percent: int) -> DataFrame:
+    """Links (u, v) that connect what is linked among the undecided nodes."""
+    each, sets = _differences(docs, nodes, left, percent)
+    lowest = each.groupBy("grp").agg(F.min(F.struct("weight", "node", "comp")).alias("low"))
+    # Sets that differ little from the core are linked whatever they differ in: also with the one that differs least.
+    little = each.join(lowest, "grp").where("weight + low.weight <= slack AND comp <> low.comp")
+    pairs = little.select(F.col("low.node").alias("u"), F.col("node").alias("v"))
+    classes = staged(each.groupBy("class", "grp", "slack", "weight").agg(
+        F.min("node").alias("u"), F.first("diff").alias("diff"), F.min("comp").alias("low"), F.max("comp").alias("high"),
+    ).join(lowest.select("grp", F.col("low.weight").alias("least")), "grp"), "classes")
+    part = 100 + percent
+    loose = classes.where("low <> high").select(
+        "class", "u", F.expr(f"{part} * size(diff) >= 2 * weight - slack").alias("alike"),
     )
-    pairs = staged(
-        members.where(f"rank > 1 AND 100 * least(n, m) >= {percent} * greatest(n, m)")
-        .select(F.col("centre").alias("u"), F.col("node").alias("v")).distinct(), "pairs",
+    others = each.select("class", F.col("node").alias("v")).join(loose, "class").where("u <> v")
+    pairs = pairs.union(others.where("alike").select("u", "v"))
+    # How many differences a link needs; the rarest ones hold at least one of these.
+    needs = F.greatest(F.lit(1), F.ceil((F.col("weight") + F.col("least") - F.col("slack")) / part)).cast("int")
+    seen = classes.select("grp", "u", "weight", "slack", "low", "high", F.size("diff").alias("d"), needs.alias("needs"), "diff").where("d >= needs")
+    places = seen.select("grp", "u", "weight", "slack", "low", "high", "d", F.explode(F.expr("slice(diff, 1, d - needs + 1)")).alias("at"))
+    places = places.select("*", "at.adds", "at.item").drop("at")
+    theirs = places.select("grp", "adds", "item", *(F.col(c).alias(f"{c}2") for c in ("u", "weight", "low", "high", "d")))
+    met = places.join(theirs, ["grp", "adds", "item"]).where(
+        f"u < u2 AND NOT (low = high AND low2 = high2 AND low = low2) AND weight + weight2 > slack "
+        f"AND {part} * least(d, d2) >= weight + weight2 - slack"
+    ).select("u", "u2", (F.col("weight") + F.col("weight2") - F.col("slack")).alias("rest")).distinct()
+    diffs = classes.select("u", "diff")
+    close = staged(
+        met.join(diffs, "u").join(diffs.select(F.col("u").alias("u2"), F.col("diff").alias("diff2")), "u2")
+        .where(f"{part} * size(array_intersect(diff, diff2)) >= rest").select("u", F.col("u2").alias("v")), "close",
     )
-    if not any_row(pairs):
-        return None
-    found = staged(_compare(docs, nodes, pairs, percent), "compared").where("linked").select("u", "v")
-    tried, first, width = pairs, 1, 2
-    comps = components(found)
-    left = _undecided(_members(members.select("key", "node", "n", "rank"), comps), first)
+    # A class in several components that aren't linked among themselves is linked through each of its members.
+    apart = others.where("NOT alike").select(F.col("u").alias("w"), F.col("v").alias("member"))
+    pairs = pairs.union(close).union(
+        close.join(apart, F.col("v") == F.col("w")).select("u", F.col("member").alias("v")),
+    ).union(close.join(apart, F.col("u") == F.col("w")).select(F.col("v").alias("u"), F.col("member").alias("v")))
+    return _linked(docs, nodes, staged(pairs.distinct(), "pairs"), percent, sets)
+
+
+def links(docs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
+    """Node pairs (u, v) that connect all linked nodes: every link lies inside a component of them."""
+    members = _members(nodes)
+    pairs = members.where(f"node <> centre AND 100 * least(n, m) >= {percent} * greatest(n, m)")
+    pairs = staged(pairs.select(F.col("centre").alias("u"), F.col("node").alias("v")).distinct(), "pairs")
+    found = _linked(docs, nodes, pairs, percent)
+    told = _with_component(members, components(found))
+    live = told.groupBy("key").agg(F.min("comp").alias("low"), F.max("comp").alias("high"), F.count("*").alias("size"))
+    # The centre of two was compared with the other, or their sizes differ too much.
+    left = staged(told.join(live.where("low <> high AND size > 2").select("key"), "key"), "left")
     if not any_row(left):
         return found
-    # What a set has alone among the undecided can't be common to a link: common <= n - own. That
-    # excludes most pairs of variants that differ too much, and nodes that fit no partner at all.
-    own = staged(_own_items(docs, nodes, left.select("node")), "own").withColumnRenamed("node", "at")
-    left = (
-        left.join(own, F.col("node") == F.col("at"), "left").drop("at")
-        .withColumn("most", F.col("n") - F.coalesce("own", F.lit(0))).where(f"100 * most >= {percent} * n")
-        .drop("own", "comp")
-    )
-    left = staged(left, "left")
-    while True:
-        left = _undecided(_members(left, comps), first)
-        if not any_row(left):
-            return found
-        centres = left.where(f"rank BETWEEN {first + 1} AND {first + width}").select(
-            "key", F.col("node").alias("u"), F.col("n").alias("m"), F.col("most").alias("cap"),
-            F.col("rank").alias("at"), F.col("comp").alias("own"),
-        )
-        # A centre is compared with all members of other components that are not yet behind it.
-        pairs = staged(
-            left.join(centres, "key").where(
-                f"rank > at AND comp <> own AND 100 * least(most, cap) >= {percent} * (n + m - least(most, cap))"
-            ).select("u", F.col("node").alias("v")).distinct()
-            .join(tried, ["u", "v"], "left_anti")
-            .join(tried.select(F.col("u").alias("v"), F.col("v").alias("u")), ["u", "v"], "left_anti"), "pairs",
-        )
-        if any_row(pairs):
-            more = staged(_compare(docs, nodes, pairs, percent), "compared").where("linked").select("u", "v")
-            tried = tried.union(pairs)
-            if any_row(more):
-                found = found.union(more)
-                comps = components(found)
-        left = left.drop("comp")
-        first, width = first + width, width * 4
+    return found.union(_undecided_links(docs, nodes, left, percent))
 
 
 def near_duplicates(
@@ -305,7 +327,7 @@ def near_duplicates(
             F.min("doc_id").alias("id"), F.first("n").alias("n"), F.first("keys").alias("keys"),
         ), "nodes",
     )
-    edges = links(docs, nodes.where("id IS NOT NULL"), percent)
+    edges = links(docs, nodes, percent)
     # A doc_id with several texts joins the nodes of all of them.
     several = (
         rows.where("node IS NOT NULL AND doc_id IS NOT NULL").groupBy("doc_id")
@@ -313,7 +335,7 @@ def near_duplicates(
         .select("doc_id", "u")
     )
     same = rows.select("doc_id", "node").join(several, "doc_id").where("node <> u").select("u", F.col("node").alias("v"))
-    edges = staged(same if edges is None else edges.union(same), "links")
+    edges = staged(edges.union(same), "links")
     comps = components(edges)
     labelled = nodes.select("node", "id").join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
     lowest = labelled.groupBy("comp").agg(F.min("id").alias("component_id"))
@@ -329,18 +351,25 @@ def near_duplicates(
 
 
 def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = 80) -> DataFrame:
-    """The rows of docs that near_duplicates keeps, with all their columns. Of rows that repeat a doc_id the one
-    with the greatest text stays; rows without a doc_id can't be told apart and stay."""
-    gone = near_duplicates(docs, id_col, text_col, percent).where("doc_id IS NOT NULL AND NOT kept")
-    kept = docs.join(gone.select(F.col("doc_id").alias("_gone")).distinct(), F.col(id_col) == F.col("_gone"), "left_anti")
-    repeated = kept.where(F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias("_again")).count().where("count > 1").select("_again")
+    """The rows of docs that near_duplicates keeps, with all their columns. Of rows that repeat a doc_id the one with
+    the greatest text stays; rows without a doc_id are told apart by their text and stay only where no row with a
+    doc_id is in their group. Rows without words stay, one for each doc_id."""
+    missing = F.col(id_col).isNull()
+    names = [F.col(id_col)]
+    if any_row(docs.where(missing)):
+        # Without an id, a row is known by its text and comes behind all that have one.
+        names = [missing.alias("_missing"), F.col(id_col), F.when(missing, F.sha2(text_of(text_col), 256)).alias("_text")]
+    key = F.struct(*names) if len(names) > 1 else names[0]
+    gone = near_duplicates(docs.select(key.alias("_key"), text_col), "_key", text_col, percent).where("NOT kept")
+    kept = docs.withColumn("_own", key).join(gone.select(F.col("doc_id").alias("_gone")).distinct(), F.col("_own") == F.col("_gone"), "left_anti")
+    repeated = kept.groupBy(F.col("_own").alias("_again")).count().where("count > 1").select("_again")
     repeated = staged(repeated, "repeated")
     if not any_row(repeated):
-        return kept
-    again = F.col(id_col) == F.col("_again")
-    order = Window.partitionBy(id_col).orderBy(F.desc(text_col))
+        return kept.drop("_own")
+    again = F.col("_own") == F.col("_again")
+    order = Window.partitionBy("_own").orderBy(F.desc(text_col))
     first = (
         kept.join(repeated, again, "left_semi").withColumn("_place", F.row_number().over(order))
         .where("_place = 1").drop("_place")
     )
-    return kept.join(repeated, again, "left_anti").unionByName(first)
+    return kept.join(repeated, again, "left_anti").unionByName(first).drop("_own")

@@ -1,10 +1,13 @@
 """SQL that gives the rows of a query, where SQL can express it."""
 
 from careledger.llm.decontaminate import (
-    _BEFORE, _BEHIND, _LOOSE, _NAMES, _NUMBERS, _PLAIN, _UNITS, LITERALS, NAME, NUMBER, UNIT, WINDOW,
+    _BEFORE, _BEHIND, _LOOSE, _NAMES, _NUMBERS, _SPLIT, _UNITS, CAPITAL, FUNCTION, LITERALS, NAME, NUMBER, UNIT, WINDOW,
 )
 
 _NAMES_SQL = _NAMES.replace("'", "''")
+# This engine knows no possessive quantifiers, and doesn't need them.
+_NUMBERS_SQL = _NUMBERS.replace("++", "+").replace("*+", "*")
+_FUNCTION_SQL = ", ".join(f"'{word}'" for word in FUNCTION)
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 SQL = {
@@ -48,39 +51,54 @@ SQL = {
             SELECT 'd' AS side, doc_id AS id, coalesce(text, '') AS t FROM documents
             UNION ALL SELECT 'b', item_id, coalesce(text, '') FROM benchmark
         ), marked AS (
-            SELECT side, id, regexp_replace(lower(regexp_replace(t, '{_NAMES_SQL}', '\\1{NAME}\\2', 'g')),
-                '{_NUMBERS}', ' {NUMBER}\\1 ', 'g') AS t FROM texts
+            SELECT side, id, regexp_replace(lower(regexp_replace(regexp_replace(t, '{_NAMES_SQL}', '\\1{NAME}\\2', 'g'),
+                '(^|[^\\p{{L}}\\p{{N}}{NAME}])(\\p{{Lu}}\\p{{Ll}}+)', '\\1{CAPITAL}\\2', 'g')),
+                '{_NUMBERS_SQL}', ' {NUMBER}\\1 ', 'g') AS t FROM texts
         ), valued AS (
             SELECT side, id, regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(t,
                 '{_BEHIND}', '{NUMBER}\\1 {UNIT}sign ', 'g'), '{_BEFORE}', ' {UNIT}sign {NUMBER}', 'g'),
-                '{_UNITS}', '{NUMBER}\\1 {UNIT}\\2 \\3', 'g'), '{_LOOSE}', ' \\1', 'g'), '{_PLAIN}', ' ', 'g') AS t FROM marked
+                '{_UNITS}', '{NUMBER}\\1 {UNIT}\\2 \\3', 'g'), '{_LOOSE}', ' \\1', 'g'), '{_SPLIT}', ' ', 'g') AS t FROM marked
         ), words AS (
             SELECT side, id, [x FOR x IN string_split(t, ' ') IF x <> ''] AS w FROM valued
         ), forms AS (
-            SELECT side, id, w, [CASE WHEN ord(x) BETWEEN 1 AND 3 THEN x[1] ELSE x END FOR x IN w] AS k FROM words
-        ), sizes AS (SELECT DISTINCT least(len(w), {WINDOW}) AS size FROM forms WHERE side = 'b' AND len(w) >= {LITERALS}),
-        cut AS (
-            SELECT side, id, size, len(w) AS n, unnest(range(1, len(w) - size + 2)) AS p, w, k
-            FROM forms, sizes WHERE len(w) >= size AND (side = 'd' OR least(len(w), {WINDOW}) = size)
-        ), shown AS (
-            SELECT side, id, size, p, array_to_string(k[p:p + size - 1], ' ') AS template,
-                [x FOR x IN w[p:p + size - 1] IF ord(x) BETWEEN 1 AND 3] AS slots FROM cut
+            -- Which tokens are placeholders: names inside sentences, none, every capital, nothing at all.
+            SELECT side, id, w, f, [CASE f WHEN 0 THEN ord(x) BETWEEN 1 AND 3 WHEN 1 THEN ord(x) BETWEEN 2 AND 3 WHEN 3 THEN false
+                ELSE ord(x) BETWEEN 2 AND 3 OR ord(x) IN (1, 4) AND x[2:] NOT IN ({_FUNCTION_SQL}) END FOR x IN w] AS slot
+            FROM words, range(4) r(f)
+        ), kinds AS (
+            SELECT side, id, w, f, slot, [CASE WHEN f = 3 THEN translate(x, '{CAPITAL}', '{NAME}')
+                WHEN slot[i] THEN translate(x[1], '{CAPITAL}', '{NAME}') WHEN ord(x) BETWEEN 1 AND 4 THEN x[2:] ELSE x END
+                FOR x, i IN w] AS k FROM forms
+        ), sizes AS (SELECT DISTINCT least(len(w), {WINDOW}) AS size FROM words WHERE side = 'b' AND len(w) >= {LITERALS}),
+        shown AS (
+            SELECT side, id, f, size, x.p AS p, x.template AS template FROM (
+                SELECT side, id, f, size, unnest([{{'p': p, 'template': concat(size, f = 3, array_to_string(k[p:p + size - 1], ' '))}}
+                    FOR p IN range(1, len(w) - size + 2)]) AS x
+                FROM kinds, sizes WHERE len(w) >= size AND (side = 'd' OR least(len(w), {WINDOW}) = size))
+        ), searched AS MATERIALIZED (
+            SELECT id, f, p, template, holes, [translate(w[p + i - 1], '{CAPITAL}', '{NAME}') FOR i IN holes] AS theirs FROM (
+                SELECT s.*, w, [i FOR i IN range(1, size + 1) IF slot[p + i - 1]] AS holes FROM shown s JOIN kinds USING (side, id, f)
+                WHERE side = 'b')
+            WHERE CASE WHEN f = 3 THEN len(w[p:p + size - 1]) - len([x FOR x IN w[p:p + size - 1] IF ord(x) BETWEEN 1 AND 3]) < {LITERALS}
+                ELSE size - len(holes) >= {LITERALS} END
+        ), found AS MATERIALIZED (
+            SELECT d.id AS doc_id, d.p AS own_at, b.id AS item_id, b.f, d.p - b.p AS shift, b.p AS item_at, b.holes, b.theirs
+            FROM (SELECT * FROM shown WHERE side = 'd') d JOIN searched b ON d.template = b.template
         ), met AS (
-            SELECT d.id AS doc_id, b.id AS item_id, d.p - b.p AS shift, b.p AS item_at, b.slots AS theirs, d.slots AS own
-            FROM shown d JOIN shown b ON d.side = 'd' AND b.side = 'b' AND d.size = b.size AND d.template = b.template
-            WHERE b.size - len(b.slots) >= {LITERALS}
+            SELECT doc_id, item_id, f, shift, item_at, theirs, [translate(w[own_at + i - 1], '{CAPITAL}', '{NAME}') FOR i IN holes] AS own
+            FROM found JOIN words ON side = 'd' AND id = doc_id
         ), slot_pairs AS (
-            SELECT DISTINCT doc_id, item_id, shift, theirs[i] AS a, own[i] AS c
+            SELECT DISTINCT doc_id, item_id, f, shift, theirs[i] AS a, own[i] AS c
             FROM (SELECT *, unnest(range(1, len(theirs) + 1)) AS i FROM met)
         ), judged AS (
-            SELECT doc_id, item_id, shift, count(*) AS n, count(DISTINCT a) = count(*) AS steady FROM slot_pairs GROUP BY ALL
+            SELECT doc_id, item_id, f, shift, count(*) AS n, count(DISTINCT a) = count(*) AS steady FROM slot_pairs GROUP BY ALL
         ), alignments AS (
-            SELECT m.doc_id, m.item_id, m.shift, bool_or(len(m.theirs) = 0) AS literal,
+            SELECT m.doc_id, m.item_id, m.f, m.shift, bool_or(len(m.theirs) = 0) AS literal,
                 coalesce(any_value(j.n), 0) AS n, coalesce(any_value(j.steady), true) AS steady
-            FROM met m LEFT JOIN judged j USING (doc_id, item_id, shift) GROUP BY ALL
+            FROM met m LEFT JOIN judged j USING (doc_id, item_id, f, shift) GROUP BY ALL
         )
         SELECT m.doc_id, m.item_id, count(DISTINCT m.item_at) AS n_windows, max(a.n) AS n_slots
-        FROM met m JOIN alignments a USING (doc_id, item_id, shift) WHERE a.literal OR a.steady
+        FROM met m JOIN alignments a USING (doc_id, item_id, f, shift) WHERE a.literal OR a.steady
         GROUP BY m.doc_id, m.item_id""",
     "op5_event_sourced_chat": r"""
         WITH turns AS (

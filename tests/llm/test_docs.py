@@ -63,7 +63,8 @@ def test_near_duplicates_without_rows_ids_or_uniqueness(spark):
     assert sorted(x[2:] for x in out if x[0] == "None") == [("7", False), ("None", True)]
     kept = neardup.one_of_each(docs(spark, rows))
     assert kept.columns == ["doc_id", "text", "component_id", "node", "n", "_x"]
-    assert sorted(r["doc_id"] or 0 for r in kept.collect()) == [0, 0, 7]
+    # The row without an id that repeats the text of 7 goes as any copy does.
+    assert sorted(r["doc_id"] or 0 for r in kept.collect()) == [0, 7]
 
 
 def test_links_between_members_unlike_the_centre_are_found(spark):
@@ -79,6 +80,53 @@ def test_links_between_members_unlike_the_centre_are_found(spark):
     assert got == {i: c for i, (_, c) in brute.near(dict(rows), 85).items()}
 
 
+def edited(draw, base, edits, of=lambda: None):
+    copy = list(base)
+    for at in draw.sample(range(len(base)), edits):
+        copy[at] = of() or f"e{draw.randrange(10**9)}"
+    return " ".join(copy)
+
+
+@pytest.mark.parametrize("words", [30, 140])
+@pytest.mark.parametrize("base_is_there", [True, False])
+def test_large_groups_of_near_copies_lose_no_link(spark, words, base_is_there):
+    draw = random.Random(words)
+    base = prose(draw, words).split()
+    rows = [(i, edited(draw, base, draw.choice([1, 1, 2, 2, 3, 4, 6]), draw.choice([lambda: None, lambda: draw.choice(WORDS)]))) for i in range(1, 250)]
+    # Variants of variants, and texts that only share a passage.
+    rows += [(1000 + i, edited(draw, rows[i][1].split(), 1)) for i in range(60)]
+    rows += [(2000 + i, " ".join(base[: words // 2]) + " " + prose(draw, draw.choice([2, words // 2]))) for i in range(40)]
+    if base_is_there:
+        rows.append((0, " ".join(base)))
+    got = {r["doc_id"]: r["component_id"] for r in neardup.near_duplicates(docs(spark, rows), percent=85).collect()}
+    assert got == {i: c for i, (_, c) in brute.near(dict(rows), 85).items()}
+
+
+def test_pairs_of_a_large_group_stay_few(spark, monkeypatch):
+    draw = random.Random(9)
+    base = prose(draw, 150).split()
+    rows = [(i, edited(draw, base, draw.choice([1, 2, 3, 4]))) for i in range(4000)]
+    counts, linked = [], neardup._linked
+
+    def counted(docs, nodes, pairs, *rest):
+        counts.append(pairs.count())
+        return linked(docs, nodes, pairs, *rest)
+
+    monkeypatch.setattr(neardup, "_linked", counted)
+    neardup.near_duplicates(docs(spark, rows), percent=85)
+    # All pairs would be 8 million.
+    assert sum(counts) < 25 * len(rows)
+
+
+def test_rows_without_ids_link_and_leave_one(spark):
+    text = " ".join(f"w{i}" for i in range(100))
+    rows = [(None, text), (None, text), (None, text + " x"), (5, text + " y"), (None, "other words that nobody else has here"), (None, None)]
+    out = sorted((str(r["doc_id"]), str(r["component_id"])) for r in neardup.near_duplicates(docs(spark, rows)).collect())
+    assert out == [("5", "5"), ("None", "5"), ("None", "5"), ("None", "5"), ("None", "None"), ("None", "None")]
+    kept = neardup.one_of_each(docs(spark, rows + [(None, rows[4][1])]))
+    assert sorted(str(r["text"]) for r in kept.collect()) == ["None", "other words that nobody else has here", text + " y"]
+
+
 def test_copies_cost_no_pairs(spark):
     rows = [(i, "the same words again and again in every text") for i in range(500)]
     out = neardup.near_duplicates(docs(spark, rows)).agg(F.countDistinct("component_id"), F.sum(F.col("kept").cast("int"))).first()
@@ -271,6 +319,34 @@ def test_decontamination_without_rows(spark):
     assert "Python" not in plan and "Cartesian" not in plan and "NestedLoop" not in plan
 
 
+def test_decontamination_of_long_number_lists(spark):
+    many = ",".join(map(str, range(1_000_000)))
+    bench = spark.createDataFrame([(1, ITEM), (2, many[:5000])], "item_id bigint, text string")
+    rows = [(1, many), (2, "1:" * 1_000_000), (3, f"{many} {ITEM}"), (4, "2" * 1_000_000)]
+    out = {(r["doc_id"], r["item_id"]) for r in decontaminate.contaminated(docs(spark, rows), bench).collect()}
+    assert {i for i, j in out if j == 1} == {3}
+
+
+def test_decontamination_finds_items_of_numbers_verbatim(spark):
+    items = [(1, "12 + 35 = 47, 81 - 9 = 72"), (2, "3.5 km 7 kg 250 m"), (3, "7 days of 8")]
+    bench = spark.createDataFrame(items, "item_id bigint, text string")
+    rows = [
+        (1, "sums: 12 + 35 = 47, 81 - 9 = 72 and so on"), (2, "12 + 35 = 46, 81 - 9 = 72"), (3, "go 3.5 km 7 kg 250 m up"),
+        (4, "3.5 km 8 kg 250 m"), (5, "all 7 days of 8"), (6, "all 7 days of 9"), (7, None),
+    ]
+    out = {(r["doc_id"], r["item_id"]) for r in decontaminate.contaminated(docs(spark, rows), bench).collect()}
+    assert out == {(1, 1), (3, 2), (5, 3)}
+
+
+def test_documents_without_anchors_are_read_once(spark):
+    bench = spark.createDataFrame([(1, ITEM)], "item_id bigint, text string")
+    known = decontaminate.known_windows(bench.select("item_id", F.col("text").alias("_t")))
+    rows = [(1, "at the old mill"), (2, "a train leaves"), (3, "AND ANNA WALKS"), (4, None), (5, "leaves7station")]
+    kept = decontaminate.holding(docs(spark, rows), known, F.coalesce("text", F.lit("")))
+    # The longest words: leaves, station, walks.
+    assert {r["doc_id"] for r in kept.collect()} == {2, 3, 5}
+
+
 def graded_rows():
     draw = random.Random(4)
     rows, marks = [], []
