@@ -11,11 +11,11 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from careledger.functions.text import flag
-from careledger.operators.ghosts import split_ghosts
+from careledger.operators.ghosts import ghost_counts, split_ghosts
 from careledger.operators.periods import missing_periods
 from careledger.operators.rates import pivot_rates
 from careledger.operators.watermarks import advance, finished_units, reset, settled_requests
@@ -47,50 +47,52 @@ def _load(
 ) -> Counts:
     folders = []
 
-    def stage(df: DataFrame) -> DataFrame:
-        staged, folder = wh.stage(df)
+    def stage(df: DataFrame, **measures: Column) -> tuple[DataFrame, dict]:
+        staged, folder, found = wh.stage_counted(df, **measures)
         folders.append(folder)
-        return staged
+        return staged, found
 
     try:
-        answers, waiting = _with_pending(wh, table, responses, stage)
-        # Bodies are parsed once, and rows are checked once for the short log of requests.
-        decoded = stage(decode(answers, kind))
-        rows = parse(decoded)
+        # Bodies are parsed once, as they come, and kept beside what they say for requests that must wait.
+        answers, waiting = _answers(wh, kind, table, responses, stage)
+        rows = parse(answers)
         bad = F.lit(False) if "usable" not in rows.columns else ~F.col("usable")
         for key in TABLES[table].keys:
             bad = bad | F.col(key).isNull()
         for column in TABLES[table].partitions:
             if column in rows.columns:
                 bad = bad | (F.col(column) == "")
-        settled = stage(settled_requests(decoded, rows.filter(bad)))
-        fine = settled.filter("ok")
-        merged = wh.merge(table, shape(rows.join(fine, "request_id", "left_semi")), order=order)
-        done = stage(finished_units(decoded, settled))
+        settled, tally = stage(
+            settled_requests(answers, rows.filter(bad)), requests=F.count("*"), failed=F.count_if(~F.col("ok")),
+        )
+        merged = wh.merge(table, shape(rows.join(settled.filter("ok"), "request_id", "left_semi")), order=order)
+        done = finished_units(answers, settled)
         wh.update("orgunits", lambda units: advance(units, done, WATERMARKS[table], as_of.date()))
-        tally = settled.agg(F.count("*"), F.count_if(~F.col("ok"))).first()
-        _keep_pending(wh, table, answers, settled, waiting, tally[1])
-        return {"rows": merged, "requests": tally[0], "failed": tally[1]}
+        _keep_pending(wh, table, answers, settled, waiting, tally["failed"])
+        return {"rows": merged, **tally}
     finally:
         for folder in folders:
             wh.delete(folder)
 
 
-def _with_pending(
-    wh: Warehouse, table: str, responses: DataFrame, stage: Callable[[DataFrame], DataFrame],
+def _answers(
+    wh: Warehouse, kind: str, table: str, responses: DataFrame, stage: Callable[..., tuple[DataFrame, dict]],
 ) -> tuple[DataFrame, DataFrame | None]:
-    """The last answer of each page, of these responses and of earlier ones of the same requests; and
-    the kept answers of all other requests."""
+    """The last answer of each page, decoded and with its body, of these responses and of earlier ones of the
+    same requests; and the kept answers of all other requests."""
     if "responses" not in responses.columns:
         responses = responses.withColumn("responses", F.lit(None).cast("int"))
-    responses = stage(responses)
+    decoded, _ = stage(decode(responses, kind, keep_body=True))
     if not wh.exists(f"pending_{table}"):
-        return latest_answers(responses), None
+        return latest_answers(decoded), None
     pending = wh.read(f"pending_{table}")
-    now = responses.select("request_id").distinct()
+    now = decoded.select("request_id").distinct()
     earlier = pending.join(now, "request_id", "left_semi").select(*responses.columns)
+    again, found = stage(decode(earlier, kind, keep_body=True), rows=F.count("*"))
+    if not found["rows"]:
+        return latest_answers(decoded), pending.select(*responses.columns)
     waiting = pending.join(now, "request_id", "left_anti").select(*responses.columns)
-    return stage(latest_answers(responses.unionByName(earlier))), waiting
+    return stage(latest_answers(decoded.unionByName(again)))[0], waiting
 
 
 def _keep_pending(
@@ -100,7 +102,7 @@ def _keep_pending(
     if waiting is None and not failed:
         return
     unsettled = settled.filter("NOT ok AND request_id IS NOT NULL").select("request_id")
-    kept = answers.join(unsettled, "request_id", "left_semi").select(*answers.columns)
+    kept = answers.join(unsettled, "request_id", "left_semi").drop("payload", "failed")
     wh.replace(f"pending_{table}", kept if waiting is None else waiting.unionByName(kept))
 
 
@@ -132,19 +134,15 @@ def clean_ghosts(
     elements, combos = wh.read("dataelements"), wh.read("categoryoptioncombos", source)
     if guard_empty and (elements.isEmpty() or combos.isEmpty()):
         return
-    values = wh.read("datavalues", source)
-    columns = list(TABLES["datavalues"].partitions)
-    _, ghosts = split_ghosts(values, elements, combos, split_combos)
-    haunted, staged = wh.stage(ghosts.groupBy(*columns).agg(F.count("*").alias("ghosts")))
-    if not haunted.isEmpty():
-        affected = wh.in_partitions("datavalues", values, haunted)
-        kept, _ = split_ghosts(affected, elements, combos, split_combos)
-        emptied = haunted.join(
-            affected.groupBy(*columns).agg(F.count("*").alias("all")), columns
-        ).filter("ghosts = all").select(*columns).collect()
+    columns = wh.partition_columns("datavalues")
+    counts = ghost_counts(wh.placed("datavalues", source), elements, combos, columns, split_combos)
+    haunted, staged, found = wh.stage_counted(counts, partitions=F.count("*"))
+    if found["partitions"]:
+        # Only the partitions with a ghost are read whole and written again.
+        kept, _ = split_ghosts(wh.touched("datavalues", haunted), elements, combos, split_combos)
         wh.overwrite_partitions("datavalues", kept)
         # A partition left without rows is not part of the write above.
-        wh.drop_partitions("datavalues", emptied)
+        wh.drop_partitions("datavalues", haunted.filter("ghosts = rows").select(*columns).collect())
     wh.delete(staged)
 
 

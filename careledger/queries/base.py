@@ -208,6 +208,6 @@ def query(name: str, sql: str | None = None):
     return register
 
 
-def scratch_warehouse(spark: SparkSession) -> Warehouse:
+def scratch_warehouse(spark: SparkSession, buckets: int = 1) -> Warehouse:
     """An empty warehouse in the shared folder."""
-    return Warehouse(spark, f"{shared_dir(spark)}/warehouse-{uuid.uuid4().hex}")
+    return Warehouse(spark, f"{shared_dir(spark)}/warehouse-{uuid.uuid4().hex}", buckets)

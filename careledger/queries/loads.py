@@ -132,6 +132,33 @@ def _clean_ghosts(spark, sf_dir):
         "orgunit", "dataelement", "period", "categoryoptioncombo", "attributeoptioncombo", "value_double")
 
 
+_LATE = "l_linestatus = 'O' AND l_suppkey % 7 = 0"
+
+
+@query("merge_bucketed_values", f"""
+    WITH v AS (SELECT concat('OU', l_suppkey) AS orgunit, concat('DE', l_partkey) AS dataelement, strftime(l_shipdate, '%Y') AS period,
+            l_returnflag AS coc, l_linestatus = 'O' AND l_suppkey % 7 = 0 AS late, l_extendedprice AS value,
+            CAST(l_orderkey AS VARCHAR) AS comment, l_orderkey AS k, l_linenumber AS n FROM {{lineitem}}),
+    ranked AS (SELECT *, row_number() OVER (PARTITION BY orgunit, dataelement, period, coc, late ORDER BY k DESC, n DESC) AS rn FROM v),
+    old AS (SELECT * FROM ranked WHERE rn = 1 AND NOT late), new AS (SELECT * FROM ranked WHERE rn = 1 AND late)
+    SELECT coalesce(o.orgunit, w.orgunit) AS orgunit, coalesce(o.dataelement, w.dataelement) AS dataelement,
+        coalesce(o.period, w.period) AS period, coalesce(o.coc, w.coc) AS categoryoptioncombo,
+        coalesce(w.value, o.value) AS value_double, CASE WHEN o.orgunit IS NULL THEN w.comment ELSE o.comment END AS comment
+    FROM old o FULL OUTER JOIN new w ON o.orgunit = w.orgunit AND o.dataelement = w.dataelement AND o.period = w.period AND o.coc = w.coc""")
+def _merge_bucketed(spark, sf_dir):
+    """Late values merged into a table whose periods are split by reporting unit."""
+    wh = scratch_warehouse(spark, buckets=8)
+    lines = table(spark, sf_dir, "lineitem").selectExpr(
+        "concat('OU', l_suppkey) AS orgunit", "concat('DE', l_partkey) AS dataelement", "date_format(l_shipdate, 'yyyy') AS period",
+        "l_returnflag AS categoryoptioncombo", "'a' AS attributeoptioncombo", "'hmis' AS datasource_id",
+        "l_extendedprice AS value_double", "CAST(l_orderkey AS STRING) AS comment", "l_orderkey", "l_linenumber",
+        f"{_LATE} AS late")
+    for late in (False, True):
+        wh.merge("datavalues", lines.filter(F.col("late") == late), order=["l_orderkey", "l_linenumber"])
+    return wh.read("datavalues").select(
+        "orgunit", "dataelement", "period", "categoryoptioncombo", "value_double", "comment")
+
+
 def _landed_metadata(spark, sf_dir):
     return {
         "dataelement": landing.element_responses(spark, sf_dir),

@@ -82,6 +82,8 @@ class Table:
     refreshed: tuple[str, ...] = ()
     # Tables with partitions are merged partition by partition instead of as a whole.
     partitions: tuple[str, ...] = ()
+    # Whose rows stay together where a warehouse splits its partitions into buckets.
+    unit: str | None = None
     sort: tuple[str, ...] = ()
     limits: dict[str, int] = field(default_factory=dict)
 
@@ -174,6 +176,7 @@ TABLES = {
               "attributeoptioncombo", "datasource_id"),
         refreshed=("value_string", "value_double", "lastupdated", "deleted"),
         partitions=("datasource_id", "period"),
+        unit="orgunit",
         sort=("dataelement", "orgunit"),
         limits={"orgunit": 50, "dataelement": 50, "period": 50, "categoryoptioncombo": 50,
                 "attributeoptioncombo": 50},
@@ -185,6 +188,7 @@ TABLES = {
         keys=("dataset_id", "orgunit_id", "period", "attributeoptioncombo", "datasource_id"),
         refreshed=("date_submitted", "lastupdated", "completed"),
         partitions=("datasource_id", "period"),
+        unit="orgunit_id",
         sort=("dataset_id", "orgunit_id"),
         limits={"dataset_id": 50, "orgunit_id": 50, "period": 50, "attributeoptioncombo": 50},
     ),
@@ -196,6 +200,7 @@ TABLES = {
         refreshed=("expected_reports", "actual_reports", "actual_reports_on_time",
                    "_ingestedat"),
         partitions=("datasource_id", "period"),
+        unit="orgunit_id",
         sort=("dataset_id", "orgunit_id"),
         limits={"dataset_id": 50, "orgunit_id": 50, "period": 50},
     ),

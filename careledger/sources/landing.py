@@ -28,15 +28,18 @@ def stream_landing(spark: SparkSession, path: str, **options: str) -> DataFrame:
 
 
 def latest_answers(responses: DataFrame) -> DataFrame:
-    """The last answer of each page of a request: a retry takes the place of what failed."""
+    """The last answer of each page of a request: a retry takes the place of what failed, and of answers
+    of the same time a good one counts. Answers without a page can't be told apart and all count."""
     keys = ["request_id", "page"]
     # Ids are counted first, so that bodies are only moved where something was answered twice.
-    if responses.groupBy(*keys).count().filter("count > 1").isEmpty():
+    if responses.filter("page IS NOT NULL").groupBy(*keys).count().filter("count > 1").isEmpty():
         return responses
-    return keep_last(responses, keys, ["fetched_at"])
+    good = responses.withColumn("__good", F.col("status").eqNullSafe("ok"))
+    last = keep_last(good.filter("page IS NOT NULL"), keys, ["fetched_at", "__good"])
+    return last.unionByName(good.filter("page IS NULL")).drop("__good")
 
 
-def decode(responses: DataFrame, kind: str) -> DataFrame:
+def decode(responses: DataFrame, kind: str, keep_body: bool = False) -> DataFrame:
     """Add payload, the typed body, and failed, TRUE for a response that cannot be used.
 
     A body that breaks off keeps no partial content: its payload is NULL.
@@ -47,9 +50,10 @@ def decode(responses: DataFrame, kind: str) -> DataFrame:
     parsed = responses.withColumn("payload", body)
     broken = F.col("payload").isNull() | F.col(f"payload.{_CORRUPT}").isNotNull()
     failed = ~F.col("status").eqNullSafe("ok") | broken
-    return parsed.select(
+    decoded = parsed.select(
         *responses.columns, F.when(~failed, F.col("payload")).alias("payload"), failed.alias("failed")
-    ).drop("body")
+    )
+    return decoded if keep_body else decoded.drop("body")
 
 
 def seq(position: str | None = None) -> F.Column:

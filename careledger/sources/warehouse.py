@@ -15,7 +15,7 @@ import uuid
 from collections.abc import Callable, Iterable, Sequence
 
 from py4j.protocol import Py4JJavaError
-from pyspark.sql import Column, DataFrame, Row, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 
 from careledger.operators.merge import keep_last, upsert
@@ -28,6 +28,9 @@ BROADCAST_BYTES = 64 * 1024 * 1024
 KEPT_SNAPSHOTS = 8
 _DONE = "_DONE"
 _SNAPSHOT = re.compile(r"(snapshot|claim)-(\d+)")
+# The column of folders below the period, and the marker that says how many there are.
+BUCKET = "bucket"
+_BUCKETS = re.compile(r"_buckets-(\d+)")
 
 
 class ConcurrentWrite(RuntimeError):
@@ -35,14 +38,27 @@ class ConcurrentWrite(RuntimeError):
 
 
 class Warehouse:
-    def __init__(self, spark: SparkSession, root: str):
+    def __init__(self, spark: SparkSession, root: str, buckets: int = 1):
+        """buckets: into how many parts new fact tables split each period; as many as keep the largest
+        period's parts at a few 100 MB. A table keeps the number it was first written with."""
         self.spark = spark
         self.root = root.rstrip("/")
+        self.buckets = buckets
 
     # --- reading ---
 
     def read(self, name: str, source: str | None = None) -> DataFrame:
         """The current table, empty when nothing was written yet."""
+        df = self._current(name)
+        if name in TABLES:
+            df = df.select(*TABLES[name].schema.names)
+        return df if source is None else df.filter(F.col("datasource_id") == source)
+
+    def placed(self, name: str, source: str) -> DataFrame:
+        """The rows of a fact table for one source, with all its partition columns."""
+        return self._bucketed(name, self.read(name, source))
+
+    def _current(self, name: str) -> DataFrame:
         table = TABLES.get(name)
         partitioned = table is not None and table.partitions
         path = f"{self.root}/{name}" if partitioned else self._snapshot(name)
@@ -53,9 +69,24 @@ class Warehouse:
         else:
             reader = self.spark.read.schema(table.schema) if table else self.spark.read
             df = reader.parquet(path)
-        if table is not None:
-            df = df.select(*table.schema.names)
-        return df if source is None else df.filter(F.col("datasource_id") == source)
+        return df
+
+    def buckets_of(self, name: str) -> int:
+        """Into how many buckets the periods of a fact table are split."""
+        folder = f"{self.root}/{name}"
+        if not self._exists(folder):
+            return self.buckets
+        names = (s.getPath().getName() for s in self._fs(folder).listStatus(self._path(folder)))
+        return next((int(m[1]) for m in map(_BUCKETS.fullmatch, names) if m), 1)
+
+    def partition_columns(self, name: str) -> list[str]:
+        return [*TABLES[name].partitions, *([BUCKET] if self.buckets_of(name) > 1 else [])]
+
+    def _bucketed(self, name: str, df: DataFrame) -> DataFrame:
+        count = self.buckets_of(name)
+        if count == 1:
+            return df
+        return df.withColumn(BUCKET, F.pmod(F.xxhash64(TABLES[name].unit), F.lit(count)).cast("int"))
 
     def periods_of(self, name: str, source: str) -> DataFrame:
         """(period) of a fact table for one source, from the names of its folders: no file is read."""
@@ -122,29 +153,41 @@ class Warehouse:
             self.replace(name, upsert(self.read(name), updates, table.keys, refreshed, condition))
             return None
         # Used three times below: for the partitions, the size and the merge itself.
-        updates, staged = self.stage(updates)
-        count, size = self._measure(updates)
+        updates, staged, found = self.stage_counted(updates, rows=F.count("*"), bytes=_text_bytes(updates))
+        count = found["rows"]
         if count:
-            old = self.in_partitions(name, self.read(name), updates)
-            small = size <= BROADCAST_BYTES
+            old = self.touched(name, updates)
+            small = found["bytes"] + count * 16 * len(updates.columns) <= BROADCAST_BYTES
             merged = upsert(old, updates, table.keys, refreshed, condition, small_updates=small)
             self.overwrite_partitions(name, merged)
         self.delete(staged)
         return count
 
-    def in_partitions(self, name: str, df: DataFrame, other: DataFrame) -> DataFrame:
-        """Rows of df in the partitions that occur in another frame, by a filter that prunes
-        folders. The list is as long as the calendar, not as the table."""
-        source_column, period_column = columns = TABLES[name].partitions
-        periods: dict[str, list[str]] = {}
-        for source, period in other.select(*columns).distinct().collect():
+    def touched(self, name: str, other: DataFrame) -> DataFrame:
+        """Rows of a fact table in the partitions that occur in another frame, by a filter that prunes
+        folders. The list is as long as the calendar times the buckets, not as the table."""
+        table, columns = TABLES[name], self.partition_columns(name)
+        source_column, period_column = columns[:2]
+        if len(columns) > 2 and BUCKET not in other.columns:
+            other = self._bucketed(name, other)
+        found: dict[str, dict[str, set[int]]] = {}
+        for source, period, *bucket in other.select(*columns).distinct().collect():
             if not source or not period:
                 raise ValueError(f"a row of {name} has no {source_column} or {period_column} to be stored under")
-            periods.setdefault(source, []).append(period)
+            found.setdefault(source, {}).setdefault(period, set()).update(bucket)
         listed = F.lit(False)
-        for source, ids in periods.items():
-            listed = listed | ((F.col(source_column) == source) & F.col(period_column).isin(ids))
-        return df.filter(listed)
+        for source, periods in found.items():
+            # Periods of which the same buckets are touched are one condition.
+            alike: dict[frozenset[int], list[str]] = {}
+            for period, buckets in periods.items():
+                alike.setdefault(frozenset(buckets), []).append(period)
+            for buckets, ids in alike.items():
+                here = (F.col(source_column) == source) & F.col(period_column).isin(ids)
+                listed = listed | (here & F.col(BUCKET).isin(sorted(buckets)) if buckets else here)
+        current = self._current(name)
+        if len(columns) > 2 and BUCKET not in current.columns:
+            current = self._bucketed(name, current)
+        return current.filter(listed).select(*table.schema.names)
 
     def overwrite_partitions(self, name: str, df: DataFrame) -> None:
         """Replace the partitions that occur in df; df may be read from them.
@@ -152,13 +195,17 @@ class Warehouse:
         Rebalancing sends a partition to as many tasks as its size needs, so a period
         with a third of all rows is split. Rows are sorted for min/max skipping.
         """
-        table = TABLES[name]
+        table, columns, folder = TABLES[name], self.partition_columns(name), f"{self.root}/{name}"
+        df = self._bucketed(name, df.select(*table.schema.names))
+        marker = f"{folder}/_buckets-{self.buckets_of(name)}"
+        if len(columns) > 2 and not self._exists(marker):
+            self._touch(marker)
         (
-            df.hint("rebalance", *[F.col(c) for c in table.partitions]).sortWithinPartitions(*table.partitions, *table.sort)
+            df.hint("rebalance", *[F.col(c) for c in columns]).sortWithinPartitions(*columns, *table.sort)
             .write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
-            .partitionBy(*table.partitions)
-            .parquet(f"{self.root}/{name}")
+            .partitionBy(*columns)
+            .parquet(folder)
         )
 
     def drop_partitions(self, name: str, partitions: Iterable[Row]) -> None:
@@ -166,7 +213,7 @@ class Warehouse:
         escape = self.spark.sparkContext._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils
         for row in partitions:
             folder = "/".join(
-                f"{c}={escape.escapePathName(row[c])}" for c in TABLES[name].partitions if c in row
+                f"{c}={escape.escapePathName(str(row[c]))}" for c in self.partition_columns(name) if c in row
             )
             self.delete(f"{self.root}/{name}/{folder}")
 
@@ -181,6 +228,14 @@ class Warehouse:
         df.write.parquet(path)
         return self.spark.read.schema(df.schema).parquet(path), path
 
+    def stage_counted(self, df: DataFrame, **measures: Column) -> tuple[DataFrame, str, dict]:
+        """stage(), and aggregates over the rows taken while they are written, so that they cost no job."""
+        if not measures:
+            return *self.stage(df), {}
+        seen = Observation()
+        staged, path = self.stage(df.observe(seen, *[value.alias(name) for name, value in measures.items()]))
+        return staged, path, seen.get
+
     def delete(self, path: str) -> None:
         self._fs(path).delete(self._path(path), True)
 
@@ -245,13 +300,11 @@ class Warehouse:
     def _exists(self, path: str) -> bool:
         return self._fs(path).exists(self._path(path))
 
-    def _measure(self, df: DataFrame) -> tuple[int, int]:
-        """Rows, and their bytes in memory: text by its length, 16 bytes for any field."""
-        texts = [F.coalesce(F.octet_length(c), F.lit(0)) for c, kind in df.dtypes if kind == "string"]
-        count, text = df.agg(
-            F.count("*"), F.coalesce(F.sum(sum(texts, F.lit(0))), F.lit(0))
-        ).first()
-        return count, text + count * 16 * len(df.columns)
+
+def _text_bytes(df: DataFrame) -> Column:
+    """The bytes of all texts of a frame."""
+    texts = [F.coalesce(F.octet_length(c), F.lit(0)) for c, kind in df.dtypes if kind == "string"]
+    return F.coalesce(F.sum(sum(texts, F.lit(0))), F.lit(0))
 
 
 def merge_catalog_table(

@@ -9,6 +9,7 @@ import pytest
 from pyspark.errors import UnsupportedOperationException
 from pyspark.sql import functions as F
 
+from careledger.operators.ghosts import ghost_counts
 from careledger.plans import facts, metadata, runs
 from careledger.plans.checks import check_table
 from careledger.plans.work import changed_values, reporting_work, value_work
@@ -101,6 +102,88 @@ def test_merge_in_both_plans(spark, wh, monkeypatch):
     assert got(wh.read("datavalues"), "dataelement", "value_double") == [("e", 3.0), ("x2", 9.0), ("x3", 9.0)]
 
 
+def files(wh, name):
+    return set(wh.read(name).inputFiles())
+
+
+def test_late_value_rewrites_one_bucket(spark, tmp_path):
+    wh = Warehouse(spark, str(tmp_path / "wh"), buckets=4)
+    units_ = [f"u{i}" for i in range(40)]
+    for period in ("202401", "202402"):
+        facts.load_values(wh, landed(spark, *((u, u, values(value(u, period=period))) for u in units_)), NOON)
+    before = files(wh, "datavalues")
+    assert len(before) == 8 and wh.buckets_of("datavalues") == 4
+    # Another writer's setting doesn't change the table's own.
+    again = Warehouse(spark, wh.root, buckets=16)
+    facts.load_values(again, landed(spark, ("r", "u7", values(value("u7", value="9")))), NOON)
+    after = files(wh, "datavalues")
+    assert len(before - after) == 1 and len(after - before) == 1 and "period=202401" in (after - before).pop()
+    assert got(wh.read("datavalues").filter("value_double = 9"), "orgunit", "period") == [("u7", "202401")]
+    assert wh.read("datavalues").count() == 80 and wh.read("datavalues").columns == TABLES["datavalues"].schema.names
+    assert got(wh.periods_of("datavalues", "hmis"), "period") == [("202401",), ("202402",)]
+    # A new unit makes its row in one bucket of one period as well.
+    facts.load_values(wh, landed(spark, ("r", "new", values(value("new", period="202402")))), NOON)
+    assert len(after - files(wh, "datavalues")) == 1 and wh.read("datavalues").count() == 81
+
+
+def test_merge_of_a_bucket_reads_its_folder_only(spark, tmp_path):
+    wh = Warehouse(spark, str(tmp_path / "wh"), buckets=4)
+    facts.load_values(wh, landed(spark, *((f"u{i}", f"u{i}", values(value(f"u{i}"))) for i in range(40))), NOON)
+    late = wh.read("datavalues").filter("orgunit = 'u3'")
+    touched = wh.touched("datavalues", late)
+    plan = touched._jdf.queryExecution().executedPlan().toString()
+    assert "bucket" in plan[plan.index("PartitionFilters"):plan.index("PushedFilters")]
+    assert 0 < touched.count() < 25
+
+
+def test_ghosts_in_buckets(spark, tmp_path):
+    wh = Warehouse(spark, str(tmp_path / "wh"), buckets=3)
+    rows = [value(f"u{i}", coc="wrong" if i in (4, 9) else "c", period=p) for i in range(12) for p in ("202401", "202402")]
+    facts.load_values(wh, landed(spark, ("r", "u", values(*[r for r in rows if r["period"] == "202402" or r["categoryOptionCombo"] == "c"]))), NOON)
+    fill(wh, "dataelements", spark.createDataFrame([("e", "cc", "hmis")], "id string, categorycombo_id string, datasource_id string"))
+    fill(wh, "categoryoptioncombos", spark.createDataFrame([("c", "cc", "hmis")], "id string, categorycombo_id string, datasource_id string"))
+    before = files(wh, "datavalues")
+    facts.clean_ghosts(wh, "hmis")
+    assert got(wh.read("datavalues"), "orgunit", "period") == sorted((r["orgUnit"], r["period"]) for r in rows if r["categoryOptionCombo"] == "c")
+    assert all("period=202402" in f for f in before ^ files(wh, "datavalues"))
+    facts.load_values(wh, landed(spark, ("x", "u0", values(value("u0", period="202403", coc="wrong")))), NOON)
+    facts.clean_ghosts(wh, "hmis")
+    assert wh.read("datavalues").filter("period = '202403'").isEmpty()
+
+
+def test_ghosts_are_counted_by_pairs_in_one_scan(spark, wh):
+    facts.load_values(wh, landed(spark, ("r", "u", values(value("u"), value("u", coc="wrong")))), NOON)
+    counts = ghost_counts(
+        wh.placed("datavalues", "hmis"), wh.read("dataelements"), wh.read("categoryoptioncombos", "hmis"), ["datasource_id", "period"])
+    plan = counts._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan parquet") == 1 and "ReadSchema: struct<dataelement:string,categoryoptioncombo:string>" in plan
+    assert got(counts, "period", "rows", "ghosts") == [("202401", 2, 2)]
+
+
+def test_a_load_counts_while_it_writes(spark, wh, monkeypatch):
+    jobs = []
+    monkeypatch.setattr(Warehouse, "stage", lambda self, df, stage=Warehouse.stage: jobs.append(1) or stage(self, df))
+    counts = facts.load_values(wh, landed(spark, ("r1", "u1", values(value("u1"))), ("r2", "u2", None, 1, "failed", NOON)), NOON)
+    assert counts == {"rows": 1, "requests": 2, "failed": 1}
+    assert len(jobs) == 3
+    assert facts.load_values(wh, landed(spark), NOON) == {"rows": 0, "requests": 0, "failed": 0}
+
+
+def test_answers_without_a_page_all_count(spark, wh):
+    units(spark, wh, "u")
+    later = NOON + dt.timedelta(hours=1)
+    facts.load_values(wh, landed(
+        spark, ("r", "u", values(value("u", element="a")), None), ("r", "u", values(value("u", element="b")), None, "ok", later),
+        ("s", "u", None, 1, "error", NOON), ("s", "u", values(value("u", element="c")), 1, "ok", NOON)), NOON)
+    assert got(wh.read("datavalues"), "dataelement") == [("a",), ("b",), ("c",)] and marks(wh) == {"u": NOON.date()}
+
+
+def test_one_endless_value_fails_no_load(spark, wh):
+    many = "1" + "_0" * 200_000 + "_"
+    assert facts.load_values(wh, landed(spark, ("r", "u", values(value("u", value=many), value("v")))), NOON)["failed"] == 0
+    assert got(wh.read("datavalues").filter("orgunit = 'u'"), "value_string") == [(many,)]
+
+
 def test_rates(spark, wh):
     units(spark, wh, "u1", "u2", "u3", "u4")
     grid = lambda *rows: {"rows": list(rows)}
