@@ -3,29 +3,16 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-from careledger.operators.quality import duplicate_keys, null_keys, orphans, too_long
+from careledger.operators.quality import table_report
 from careledger.schemas import TABLES
 from careledger.sources.warehouse import Warehouse
 
 
 def check_table(wh: Warehouse, name: str) -> DataFrame:
-    """(check, column_name, n): violations of key, reference and length limits."""
+    """(check, column_name, n): violations of key, reference and length limits, from one scan of the table."""
     table, df = TABLES[name], wh.read(name)
-
-    def counted(check: str, rows: DataFrame, column: str | None = None) -> DataFrame:
-        return rows.agg(F.count("*").alias("n")).select(
-            F.lit(check).alias("check"), F.lit(column).cast("string").alias("column_name"), "n"
-        )
-
-    report = counted("duplicate key", duplicate_keys(df, table.keys)).unionByName(
-        counted("null in key", null_keys(df, table.keys))
-    )
-    if "datasource_id" in df.columns:
-        unknown = orphans(df, "datasource_id", wh.read("datasource"), "id")
-        report = report.unionByName(counted("unknown source", unknown, "datasource_id"))
-    if table.limits:
-        lengths = too_long(df, table).select(F.lit("too long").alias("check"), "column_name", "n")
-        report = report.unionByName(lengths)
-    return report
+    references = {}
+    if "datasource_id" in df.columns and name != "datasource":
+        references["datasource_id"] = (wh.read("datasource"), "id")
+    return table_report(df, table.keys, table.limits, references, {"datasource_id": "unknown source"})

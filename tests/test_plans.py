@@ -6,7 +6,7 @@ from careledger.queries import QUERIES
 
 SF_DIR = "/root/testdata/sf0.001"
 # Queries whose work is done when they return; their plan only reads the result.
-LOADS = {n for n in QUERIES if n.startswith(("load_", "metadata_run", "data_run", "incremental", "clean_"))}
+LOADS = {n for n in QUERIES if n.startswith(("load_", "metadata_run", "data_run", "incremental", "clean_", "stateful_", "merge_"))}
 
 
 def plan(spark, name):
@@ -35,6 +35,11 @@ def test_filters_and_columns_reach_the_scan(spark):
     assert "ReadSchema: struct<l_orderkey:bigint,l_suppkey:bigint>" in text
 
 
+def test_checks_scan_a_table_once(spark):
+    text = plan(spark, "table_checks")
+    assert text.count("o_orderpriority") and text.count("/orders.parquet") == 1
+
+
 def test_json_is_parsed_once(spark):
     text = plan(spark, "explode_values")
     assert text.count("from_json") == 1
