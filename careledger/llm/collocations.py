@@ -58,7 +58,7 @@ WORD_BYTES = 64
 # Tasks whose tiles are summed at a time.
 SPAN = 64
 # Pairs, words, codes and bytes of text that a task holds at once (or one text).
-PAIRS, WORDS, CODES, BYTES = 1_000_000, 200_000, 50_000, 1_000_000
+PAIRS, WORDS, CODES, BYTES = 2_500_000, 200_000, 50_000, 1_000_000
 
 _TAIL = 1 << 62
 _ACROSS, _CELLS = HEAD // SIDE, SIDE * SIDE
