@@ -4,13 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from careledger.operators.hierarchy import flatten, within
+from careledger.operators.hierarchy import flatten, paths_of_parents, within
 from careledger.operators.merge import upsert
 from careledger.operators.watermarks import (
     advance, finished_units, reset, settled_requests, stale,
 )
 from careledger.plans.work import value_work
-from careledger.queries.base import AS_OF, query, table, view
+from careledger.queries.base import AS_OF, query, scratch_warehouse, table, view
 from careledger.schemas import LEVELS, TABLES
 
 
@@ -163,3 +163,31 @@ def _reset(spark, sf_dir):
         "id", "datasource_id", F.col("rr_downloadedat").cast("string").alias("rr_downloadedat"),
         F.col("dc_downloadedat").cast("string").alias("dc_downloadedat"),
     )
+
+
+# Two nations that name each other, and one whose region is missing.
+_BENT = "CASE id WHEN 'N3' THEN 'N4' WHEN 'N4' THEN 'N3' WHEN 'N5' THEN 'missing' ELSE parentid END"
+
+
+@query("parent_paths", f"""
+    SELECT * FROM (
+        WITH RECURSIVE u AS (SELECT id, datasource_id, path AS given, {_BENT} AS parentid FROM {{staged}}),
+        down AS (
+            SELECT id, datasource_id, concat('/', id) AS path, 1 AS level, parentid IS NOT NULL AS lost FROM u a
+            WHERE NOT EXISTS (SELECT 1 FROM u b WHERE b.id = a.parentid AND b.datasource_id = a.datasource_id)
+            UNION ALL
+            SELECT u.id, u.datasource_id, concat(down.path, '/', u.id), level + 1, lost
+            FROM down JOIN u ON u.parentid = down.id AND u.datasource_id = down.datasource_id
+        )
+        SELECT u.id, u.datasource_id, down.path, down.level, coalesce(down.path = given, false) AS agrees,
+            CASE WHEN down.id IS NULL THEN 'cycle' WHEN lost THEN 'orphan' END AS problem
+        FROM u LEFT JOIN down ON u.id = down.id AND u.datasource_id = down.datasource_id
+    )""")
+def _parent_paths(spark, sf_dir):
+    """Paths by parent links, beside whether the delivered path says the same."""
+    wh = scratch_warehouse(spark)
+    units = view(spark, sf_dir, "staged")
+    found = paths_of_parents(units.withColumn("parentid", F.expr(_BENT)), lambda df: wh.stage(df)[0])
+    given = units.select("id", "datasource_id", F.col("path").alias("given"))
+    return found.join(given, ["id", "datasource_id"]).select(
+        "id", "datasource_id", "path", "level", F.coalesce(F.col("path") == F.col("given"), F.lit(False)).alias("agrees"), "problem")

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from careledger.operators.dimensions import build_dimension, safe_names
 from careledger.operators.ghosts import split_ghosts
-from careledger.operators.hierarchy import flatten, within
+from careledger.operators.hierarchy import flatten, paths_of_parents, within
 from careledger.operators.numbering import batch_rows, chunks
 from careledger.operators.quality import (
     duplicate_keys, failure_share, null_keys, orphans, require_successes, too_long,
@@ -15,6 +15,7 @@ from careledger.operators.quality import (
 from careledger.operators.rates import pivot_rates
 from careledger.operators.watermarks import advance, finished_units, reset, settled_requests, stale
 from careledger.schemas import TABLES, Table
+from careledger.sources.warehouse import Warehouse
 
 
 def got(df, *columns):
@@ -207,3 +208,21 @@ def test_failure_gate(spark):
     require_successes(log.limit(0))
     with pytest.raises(RuntimeError):
         require_successes(log.filter("status = 'failed'"))
+
+
+def test_paths_of_parent_links(spark, tmp_path):
+    wh = Warehouse(spark, str(tmp_path / "wh"))
+    chain = [(f"d{i}", "s", f"d{i - 1}" if i else None) for i in range(37)]
+    odd = [("a", "s", "b"), ("b", "s", "c"), ("c", "s", "a"), ("in", "s", "a"), ("deep", "s", "in"), ("self", "s", "self"),
+           ("o", "s", "gone"), ("p", "s", "o"), ("d3", "t", None), ("q", "t", "d3"), ("r", "t", "d4")]
+    df = spark.createDataFrame(chain + odd, "id string, datasource_id string, parentid string")
+    rows = {(r["id"], r["datasource_id"]): (r["path"], r["level"], r["problem"])
+            for r in paths_of_parents(df, lambda x: wh.stage(x)[0]).collect()}
+    assert rows == {
+        **{(f"d{i}", "s"): ("/" + "/".join(f"d{j}" for j in range(i + 1)), i + 1, None) for i in range(37)},
+        **{(i, "s"): (None, None, "cycle") for i in ("a", "b", "c", "in", "deep", "self")},
+        ("o", "s"): ("/o", 1, "orphan"), ("p", "s"): ("/o/p", 2, "orphan"), ("d3", "t"): ("/d3", 1, None),
+        ("q", "t"): ("/d3/q", 2, None), ("r", "t"): ("/r", 1, "orphan"),
+    }
+    empty = df.limit(0)
+    assert paths_of_parents(empty, lambda x: wh.stage(x)[0]).count() == 0
