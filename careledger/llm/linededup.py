@@ -240,12 +240,20 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     lines = staged(lines, "lines")
     shards, number = index_of(lines, min_docs)
     word = F.concat(F.lpad(F.hex("high"), 16, "0"), F.lpad(F.hex("low"), 16, "0"))
-    gone = dropped(lines, shards, number, min_docs).groupBy(F.col("id").alias("_id")).agg(
-        F.collect_list(F.unhex(word)).alias("_gone"),
+    own, lost, done = (_free(docs, c) for c in ("_id", "_gone", "_cut"))
+    gone = dropped(lines, shards, number, min_docs).groupBy(F.col("id").alias(own)).agg(
+        F.collect_list(F.unhex(word)).alias(lost),
     )
-    joined = docs.join(gone, F.col(id_col) == F.col("_id"), "left").drop("_id")
-    done = joined.withColumn("_cut", cut(text_of(text_col), F.col("_gone"))).drop("_gone")
+    joined = docs.join(gone, F.col(id_col) == F.col(own), "left").drop(own)
+    out = joined.withColumn(done, cut(text_of(text_col), F.col(lost))).drop(lost)
     clash = [c for c in docs.columns if c in ("n_lines", "n_dropped")]
-    return done.drop(*clash).withColumns({
-        text_col: F.col("_cut.text"), "n_lines": F.col("_cut.n_lines"), "n_dropped": F.col("_cut.n_dropped"),
-    }).drop("_cut")
+    return out.drop(*clash).withColumns({
+        text_col: F.col(f"{done}.text"), "n_lines": F.col(f"{done}.n_lines"), "n_dropped": F.col(f"{done}.n_dropped"),
+    }).drop(done)
+
+
+def _free(docs: DataFrame, name: str) -> str:
+    """A column name that docs don't have."""
+    while name in docs.columns:
+        name = f"_{name}"
+    return name

@@ -197,11 +197,11 @@ def test_versions_share_all_but_the_path():
 def plain_phrases(rows, least, top):
     counts, totals = {}, Counter()
     for lang, text in rows:
-        own = counts.setdefault(lang or "und", Counter())
+        own = counts.setdefault("und" if lang is None else lang, Counter())
         low = re.sub("[A-Z]", lambda m: m[0].lower(), text or "")
         for piece in re.split("[.,;:!?\n-\r]", low):
             words = re.findall("[^ \t]+", piece)
-            totals[lang or "und"] += len(words)
+            totals["und" if lang is None else lang] += len(words)
             for k in range(1, 5):
                 own.update(tuple(words[i:i + k]) for i in range(len(words) - k + 1))
     out = []
@@ -233,7 +233,7 @@ TEXTS = [
 @pytest.mark.parametrize("least, top", [(1, 2000), (2, 2000), (2, 3)])
 def test_phrases_of_edge_texts(spark, least, top):
     df = spark.createDataFrame(TEXTS, "lang string, text string")
-    assert mined(df, least, top) == plain_phrases([(x if x is not None else None, t) for x, t in TEXTS], least, top)
+    assert mined(df, least, top) == plain_phrases(TEXTS, least, top)
 
 
 def test_phrases_of_random_texts(spark):
