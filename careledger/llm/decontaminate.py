@@ -13,9 +13,10 @@ capital a name (each of a run by itself) but for FUNCTION words. Windows with fe
 are too general for a template; those are searched in a fourth form, with all their values. Slots are checked
 for each form of an item by itself.
 
-A window holds each plain word of its template, so only documents that hold the longest word of some
-benchmark window, its anchor, can meet one. Anchors are a bitmap of fixed size; all other documents are read
-once and left alone. Only windows that meet a benchmark window leave the map side.
+A window holds each plain word of its template, so only windows that hold the longest word of some
+benchmark window, its anchor, can meet one. Anchors are a bitmap of fixed size: documents without any are read
+once and left alone, and of the others only windows around an anchor are hashed. Only windows that meet a
+benchmark window leave the map side.
 
 Defined results: null and empty texts have no windows; an item shorter than WINDOW is one window of
 its own length; items of fewer than LITERALS tokens say too little to be found; rows with one doc_id, or
@@ -136,16 +137,23 @@ def _slots(at: Column, size: int, form: int) -> Column:
     return F.filter(window, lambda x: _is_slot(x["t"], form))
 
 
-def windows(rows: DataFrame, size: int, keep: list[str]) -> DataFrame:
-    """keep, at (from 0), form, template (hash) of the windows of rows in all their forms."""
+def windows(rows: DataFrame, size: int, keep: list[str], hits: str | None = None) -> DataFrame:
+    """keep, at (from 0), form, template (hash) of the windows of rows in all their forms; with hits, the name of a
+    column of places (from 1), only of windows that hold one of them."""
     first, last = F.col("_forms")[0], F.size(F.col("_forms")[0]) - (size - 1)
     at = F.sequence(F.lit(1), last)
-    alone = F.transform(at, lambda i: F.array(F.xxhash64(F.slice(first, i, size))))
-    every = F.transform(at, lambda i: F.array(*(F.xxhash64(F.slice(F.col("_forms")[k], i, size)) for k in range(FORMS))))
+    if hits:
+        reach = F.transform(hits, lambda p: F.sequence(F.greatest(p - (size - 1), F.lit(1)), F.greatest(F.least(p, last), F.lit(1))))
+        at = F.array_distinct(F.flatten(reach))
+    alone = F.transform(at, lambda i: F.struct((i - 1).alias("at"), F.array(F.xxhash64(F.slice(first, i, size))).alias("forms")))
+    every = F.transform(at, lambda i: F.struct((i - 1).alias("at"), F.array(
+        *(F.xxhash64(F.slice(F.col("_forms")[k], i, size)) for k in range(FORMS)),
+    ).alias("forms")))
     # No filter on the size: it would be moved before the tokens and compute them a second time.
-    each = F.when(last < 1, F.expr("CAST(array() AS array<array<bigint>>)")).when(F.size("_forms") == 1, alone).otherwise(every)
-    cut = rows.select(*keep, F.posexplode(each).alias("at", "_each"))
-    return cut.select(*keep, "at", F.posexplode("_each").alias("form", "template"))
+    none = F.expr("CAST(array() AS array<struct<at:int,forms:array<bigint>>>)")
+    each = F.when(last < 1, none).when(F.size("_forms") == 1, alone).otherwise(every)
+    cut = rows.select(*keep, F.explode(each).alias("_each"))
+    return cut.select(*keep, F.col("_each.at").alias("at"), F.posexplode("_each.forms").alias("form", "template"))
 
 
 def _by_form(of) -> Column:
@@ -187,21 +195,41 @@ def known_windows(benchmark: DataFrame) -> DataFrame:
 
 
 def _bit(word: Column) -> Column:
-    return F.pmod(F.xxhash64(word), F.lit(ANCHOR_BITS))
+    return F.xxhash64(word).bitwiseAND(F.lit(ANCHOR_BITS - 1))
 
 
-def holding(docs: DataFrame, known: DataFrame, text: Column) -> DataFrame:
-    """The rows of docs whose text holds an anchor of these windows, and a few more."""
-    at = known.select(_bit(F.col("anchor")).alias("bit")).distinct()
-    bits = np.zeros(ANCHOR_BITS // 64, dtype=np.int64)
-    # One row for 64 bits: a table of fixed size.
-    for row in at.groupBy(F.expr("bit div 64").alias("word")).agg(F.expr("bit_or(shiftleft(1L, CAST(bit % 64 AS int)))").alias("bits")).collect():
-        bits[row["word"]] = row["bits"]
-    table = F.lit(bits)
-    words = F.split(F.lower(text), _BETWEEN)
-    if any_row(known.where(F.col("item_form") == VERBATIM)):
-        words = F.concat(words, F.regexp_extract_all(text, F.lit("[0-9]+"), F.lit(0)))
-    return docs.where(F.exists(words, lambda w: F.getbit(F.get(table, F.floor(_bit(w) / 64).cast("int")), _bit(w) % 64) == 1))
+class Anchors:
+    """The anchors of benchmark windows as a table of bits."""
+
+    def __init__(self, known: DataFrame):
+        at = known.select(_bit(F.col("anchor")).alias("bit")).distinct()
+        bits = np.zeros(ANCHOR_BITS // 64, dtype=np.int64)
+        # One row for 64 bits: a table of fixed size.
+        for row in at.groupBy(F.expr("bit div 64").alias("word")).agg(F.expr("bit_or(shiftleft(1L, CAST(bit % 64 AS int)))").alias("bits")).collect():
+            bits[row["word"]] = row["bits"]
+        self.table, self.verbatim = F.lit(bits), any_row(known.where(F.col("item_form") == VERBATIM))
+
+    def has(self, word: Column) -> Column:
+        """Whether the word may be an anchor."""
+        bit = F.xxhash64(word)
+        place = F.shiftrightunsigned(bit, 6).bitwiseAND(F.lit(ANCHOR_BITS // 64 - 1)).cast("int")
+        return F.getbit(F.get(self.table, place), bit.bitwiseAND(F.lit(63))) == 1
+
+    def among(self, text: Column) -> Column:
+        """Whether a text holds an anchor."""
+        words = F.split(F.lower(text), _BETWEEN)
+        if self.verbatim:
+            words = F.concat(words, F.regexp_extract_all(text, F.lit("[0-9]+"), F.lit(0)))
+        return F.exists(words, self.has)
+
+    def places(self) -> Column:
+        """Where anchors stand among _tokens, from 1; numbers and units may hold one."""
+        def hit(token: Column) -> Column:
+            own = self.has(F.translate(token, NAME + CAPITAL, ""))
+            return own | F.ascii(token).between(2, 3) if self.verbatim else own
+
+        marked = F.transform("_tokens", lambda t, i: F.when(hit(t), i + 1))
+        return F.array_compact(marked)
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -210,14 +238,15 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     hold an item, verbatim or with other values."""
     known = known_windows(benchmark.select(F.col(item_col).alias("item_id"), text_of(item_text).alias("_t")))
     plain = docs.select(F.col(id_col).alias("doc_id"), text_of(text_col).alias("_t"))
-    plain = staged(holding(plain, known, F.col("_t")), "holding")
-    texts = with_tokens(plain, F.col("_t"))
+    anchors = Anchors(known)
+    plain = staged(plain.where(anchors.among(F.col("_t"))), "holding")
+    texts = with_tokens(plain, F.col("_t")).withColumn("_hits", anchors.places())
     found = None
     for row in known.groupBy("size").agg(F.count("*").alias("n")).orderBy("size").collect():
         size = row["size"]
         theirs = known.where(F.col("size") == size)
         theirs = F.broadcast(theirs) if row["n"] <= BROADCAST_WINDOWS else theirs
-        part = windows(texts, size, ["doc_id"]).join(theirs, "template")
+        part = windows(texts, size, ["doc_id"], "_hits").join(theirs, "template")
         found = part if found is None else found.union(part)
     if found is None:
         return _none(docs.select(F.col(id_col).alias("doc_id")), known)
