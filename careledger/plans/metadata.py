@@ -33,18 +33,22 @@ def _request_log(decoded: DataFrame) -> DataFrame:
 def load_data_elements(wh: Warehouse, responses: DataFrame) -> None:
     """Later versions only. Raises after loading when most requests failed."""
     decoded, staged = wh.stage(decode(responses, "dataelement"))
-    wh.merge("dataelements", payloads.data_elements(decoded), condition=newer,
-             order=["lastupdated", "seq"])
-    wh.merge("dataset_dataelements", payloads.dataset_elements(decoded))
-    require_successes(_request_log(decoded))
-    wh.delete(staged)
+    try:
+        wh.merge("dataelements", payloads.data_elements(decoded), condition=newer,
+                 order=["lastupdated", "seq"])
+        wh.merge("dataset_dataelements", payloads.dataset_elements(decoded))
+        require_successes(_request_log(decoded))
+    finally:
+        wh.delete(staged)
 
 
 def load_data_sets(wh: Warehouse, responses: DataFrame) -> None:
     decoded, staged = wh.stage(decode(responses, "dataset"))
-    wh.merge("datasets", payloads.data_sets(decoded), condition=newer, order=["lastupdated", "seq"])
-    require_successes(_request_log(decoded))
-    wh.delete(staged)
+    try:
+        wh.merge("datasets", payloads.data_sets(decoded), condition=newer, order=["lastupdated", "seq"])
+        require_successes(_request_log(decoded))
+    finally:
+        wh.delete(staged)
 
 
 def load_combos(wh: Warehouse, responses: DataFrame, combo_type: str) -> None:
