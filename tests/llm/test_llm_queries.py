@@ -38,7 +38,7 @@ def tokenizer():
 
 
 def test_registered():
-    assert sorted(QUERIES, key=lambda n: int(n[2:].split("_")[0])) and {n[2:].split("_")[0] for n in QUERIES} == set(map(str, range(1, 11)))
+    assert sorted(QUERIES, key=lambda n: int(n[2:].split("_")[0])) and {n[2:].split("_")[0] for n in QUERIES} == set(map(str, range(1, 14)))
     assert set(QUERIES) | {"pipeline"} <= set(entry.queries()) and set(ORACLES) <= set(entry.oracle_sql())
 
 
