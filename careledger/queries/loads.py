@@ -15,7 +15,6 @@ from careledger.schemas import TABLES
 from careledger.session import shared_dir
 from careledger.sources.warehouse import Warehouse
 from careledger.streaming.incremental import load_new
-from careledger.streaming.requests import load_whole
 
 
 def _fill(wh: Warehouse, name: str, df) -> None:
@@ -113,39 +112,8 @@ def _load_completeness(spark, sf_dir):
     return wh.read("dataset_completeness").select("dataset_id", "orgunit_id", "period", "storedby", "completed")
 
 
-def _load_in_halves(spark, wh, answers, kind, load, rest):
-    """Every request in two answers, the second ones landed later and with nothing new in them."""
-    folder = f"{shared_dir(spark)}/landing-{uuid.uuid4().hex}"
-    answers = answers.withColumn("responses", F.lit(2))
-    second = answers.withColumns({"page": F.col("page") + 1, "body": F.lit(rest)})
-    # A third of the second answers comes first.
-    early = F.pmod(F.xxhash64("request_id"), F.lit(3)) == 0
-    for landed in (answers.unionByName(second.filter(early)), second.filter(~early)):
-        landed.write.mode("append").option("timestampNTZFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").json(folder)
-        load_whole(wh, folder, kind, AS_OF, load, checkpoint=f"{folder}-progress")
-
-
-@query("stateful_values", _LAST_VALUES)
-def _stateful_values(spark, sf_dir):
-    wh = scratch_warehouse(spark)
-    _load_in_halves(spark, wh, landing.value_responses(spark, sf_dir), "values", facts.load_values, '{"dataValues": []}')
-    return _values(wh)
 
 
-@query("stateful_rates", _LAST_RATES)
-def _stateful_rates(spark, sf_dir):
-    wh = scratch_warehouse(spark)
-    _load_in_halves(spark, wh, landing.grid_responses(spark, sf_dir), "grid", facts.load_rates, '{"rows": []}')
-    return wh.read("reporting_rates").drop("_ingestedat", "datasource_id")
-
-
-@query("stateful_completeness", _LAST_COMPLETENESS)
-def _stateful_completeness(spark, sf_dir):
-    wh = scratch_warehouse(spark)
-    _load_in_halves(
-        spark, wh, landing.completeness_responses(spark, sf_dir), "completeness", facts.load_completeness,
-        '{"completeDataSetRegistrations": []}')
-    return wh.read("dataset_completeness").select("dataset_id", "orgunit_id", "period", "storedby", "completed")
 
 
 @query("load_periods", """
