@@ -11,33 +11,37 @@ from careledger.llm.common import any_row, staged
 def components(edges: DataFrame) -> DataFrame:
     """node, comp: the smallest node reachable, for every node that an edge (u, v) names.
 
-    Each pass gives a node the smallest label around it, then the label's own label, so a
-    chain of n nodes takes about log n passes and a star one. Labels are written out after
-    each pass. A hub's edges are only joined, and summed up in the map task first.
+    Each pass merges every node into the first one of itself and its neighbours, in an order that
+    is drawn anew for the pass, and goes on with the different edges between merged nodes. A pass
+    leaves about half of the nodes or fewer whatever they form, chain or star, so all passes
+    together read little more than the edges once. A hub's edges are only joined, and summed up in
+    the map task first.
     """
-    both = staged(
-        edges.select("u", "v").union(edges.select(F.col("v").alias("u"), F.col("u").alias("v"))).distinct(),
-        "edges",
-    )
-    labels = staged(
-        both.groupBy(F.col("u").alias("node")).agg(F.min("v").alias("v"))
-        .select("node", F.least("node", "v").alias("comp")), "labels",
-    )
-    while True:
-        around = (
-            both.join(labels, F.col("u") == F.col("node"))
-            .groupBy(F.col("v").alias("at")).agg(F.min("comp").alias("near"))
-        )
-        lower = (
-            labels.join(around, F.col("node") == F.col("at"))
-            .select("node", "comp", F.least("comp", "near").alias("lower"))
+    left = staged(edges.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct(), "edges")
+    passes = []
+    while any_row(left):
+        both = left.union(left.select("v", "u")).toDF("node", "near")
+
+        def drawn(column: str):
+            return F.struct(F.xxhash64(F.lit(len(passes)), column).alias("place"), F.col(column).alias("node"))
+
+        first = both.groupBy("node").agg(F.min(drawn("near")).alias("near"))
+        merged = staged(first.select("node", F.least("near", drawn("node"))["node"].alias("into")), "merged")
+        passes.append(merged)
+        a, b = merged.toDF("u", "a"), merged.toDF("v", "b")
+        left = staged(
+            left.join(a, "u").join(b, "v").where("a <> b").select(F.least("a", "b").alias("u"), F.greatest("a", "b").alias("v")).distinct(),
+            "edges",
         )
-        own = labels.select(F.col("node").alias("at"), F.col("comp").alias("next"))
-        moved = staged(
-            lower.join(own, F.col("lower") == F.col("at"))
-            .select("node", F.least("lower", "next").alias("comp"), (F.least("lower", "next") != F.col("comp")).alias("moved")),
-            "labels",
+    if not passes:
+        return left.toDF("node", "comp")
+    ends = passes.pop()
+    while passes:
+        # Nodes that had no edge left after a pass stay what they were merged into.
+        further = ends.toDF("at", "end")
+        merged = passes.pop()
+        ends = staged(
+            merged.join(further, F.col("into") == F.col("at"), "left").select("node", F.coalesce("end", "into").alias("into")), "ends",
         )
-        labels = moved.select("node", "comp")
-        if not any_row(moved.where("moved")):
-            return labels
+    lowest = ends.groupBy("into").agg(F.min("node").alias("comp"))
+    return staged(ends.join(lowest, "into").select("node", "comp"), "labels")

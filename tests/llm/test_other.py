@@ -7,6 +7,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from careledger.llm import chat, pages, topk
+from careledger.llm import components as components_module
+from careledger.llm.common import staged
 from careledger.llm.components import components
 from tests.llm import brute
 
@@ -154,3 +156,27 @@ def test_pages_by_column(spark):
     rows = spark.createDataFrame([(1, None), (1, "<article>a</article>"), (None, "<article>bé</article>")], "page_id bigint, html string")
     assert sorted(r[0] for r in rows.select(pages.extracted("html")).collect()) == ["", "a", "bé"]
     assert rows.where("false").select(pages.extracted("html")).count() == 0
+
+
+@pytest.mark.parametrize("shape", ["chain", "star", "buckets"])
+def test_components_read_merged_edges_only(spark, monkeypatch, shape):
+    n = 3000
+    draw = random.Random(6)
+    edges = {
+        "chain": [(i, i + 1) for i in range(n)], "star": [(n, i) for i in range(n)],
+        # Each node in five buckets of many, as near copies are.
+        "buckets": [(i, draw.randrange(n)) for i in range(n) for _ in range(5)] + [(n + 7, n + 7)],
+    }[shape]
+    written = []
+
+    def counted(df, name):
+        out = staged(df, name)
+        if name == "edges":
+            written.append(out.count())
+        return out
+
+    monkeypatch.setattr(components_module, "staged", counted)
+    got = {r["node"]: r["comp"] for r in components(spark.createDataFrame(edges, "u bigint, v bigint")).collect()}
+    assert got == brute.components({x for e in edges for x in e}, edges)
+    # Read in every pass, they were three times as many and more.
+    assert sum(written) < 2.5 * len(edges) and written[-1] == 0
