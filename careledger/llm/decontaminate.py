@@ -14,9 +14,9 @@ are too general for a template; those are searched in a fourth form, with all th
 for each form of an item by itself.
 
 A window holds each plain word of its template, so only windows that hold the longest word of some
-benchmark window, its anchor, can meet one. Anchors are a bitmap of fixed size: documents without any are read
-once and left alone, and of the others only windows around an anchor are hashed. Only windows that meet a
-benchmark window leave the map side.
+benchmark window, its anchor, can meet one; and they hold the second longest as well, as many tokens away. Both are
+bitmaps of fixed size: documents without an anchor are read once and left alone, and of the others only windows
+around such a pair are hashed. Only windows that meet a benchmark window leave the map side.
 
 Defined results: null and empty texts have no windows; an item shorter than WINDOW is one window of
 its own length; items of fewer than LITERALS tokens say too little to be found; rows with one doc_id, or
@@ -35,7 +35,7 @@ WINDOW = 8
 LITERALS = 4
 # Windows of the benchmark up to which they are sent to every task; beyond, the join shuffles.
 BROADCAST_WINDOWS = 500_000
-# Bits of the map of anchors.
+# Bits of the map of anchors, and of that of their pairs.
 ANCHOR_BITS = 1 << 20
 
 # Units of measure and of money that may follow a number.
@@ -86,15 +86,17 @@ def canonical(text: Column) -> Column:
 
 def with_tokens(rows: DataFrame, text: Column) -> DataFrame:
     """rows with _tokens (words and placeholders; a placeholder is its type's character, then its
-    value) and _forms (hashes of the tokens in each form; only the first where there are no placeholders)."""
+    value), _single (whether there are no placeholders) and _forms (hashes of the tokens in each form; only the first
+    where there are no placeholders)."""
     rows = rows.withColumn("_canonical", canonical(text))
     numbered = F.contains("_canonical", F.lit(NUMBER))
     named = F.contains("_canonical", F.lit(NAME)) | F.contains("_canonical", F.lit(CAPITAL))
     rows = rows.withColumn("_tokens", F.array_remove(
         F.when(numbered, F.split("_canonical", _SPLIT)).otherwise(F.split("_canonical", _SPLIT_WORDS)), "",
     ))
-    forms = [_hashes(form) for form in range(FORMS)]
-    return rows.withColumn("_forms", F.when(named | numbered, F.array(*forms)).otherwise(F.array(forms[0]))).drop("_canonical")
+    rows = rows.withColumn("_single", ~(named | numbered))
+    forms = [_hashes(F.col("_tokens"), form) for form in range(FORMS)]
+    return rows.withColumn("_forms", F.when(F.col("_single"), F.array(forms[0])).otherwise(F.array(*forms))).drop("_canonical")
 
 
 #: Names inside sentences; no names; every capital a name; no placeholders at all.
@@ -119,11 +121,11 @@ def _kind(token: Column, form: int) -> Column:
     return F.when(~code.between(1, 4), token).when(_is_slot(token, form), kind).otherwise(F.substring(token, 2, 1_000_000_000))
 
 
-def _hashes(form: int) -> Column:
+def _hashes(tokens: Column, form: int) -> Column:
     if form == VERBATIM:
         # Never the same as a window of another form.
-        return F.transform("_tokens", lambda t: F.xxhash64(F.lit("verbatim"), _value(t)))
-    return F.transform("_tokens", lambda t: F.xxhash64(_kind(t, form)))
+        return F.transform(tokens, lambda t: F.xxhash64(F.lit("verbatim"), _value(t)))
+    return F.transform(tokens, lambda t: F.xxhash64(_kind(t, form)))
 
 
 def _value(token: Column) -> Column:
@@ -139,19 +141,27 @@ def _slots(at: Column, size: int, form: int) -> Column:
 
 def windows(rows: DataFrame, size: int, keep: list[str], hits: str | None = None) -> DataFrame:
     """keep, at (from 0), form, template (hash) of the windows of rows in all their forms; with hits, the name of a
-    column of places (from 1), only of windows that hold one of them."""
-    first, last = F.col("_forms")[0], F.size(F.col("_forms")[0]) - (size - 1)
+    column of pairs of places (low, high, from 1), only of windows that hold both places of one."""
+    last = F.size("_tokens") - (size - 1)
     at = F.sequence(F.lit(1), last)
     if hits:
-        reach = F.transform(hits, lambda p: F.sequence(F.greatest(p - (size - 1), F.lit(1)), F.greatest(F.least(p, last), F.lit(1))))
+        near = F.filter(hits, lambda h: h["high"] - h["low"] < size)
+        reach = F.transform(near, lambda h: F.sequence(F.greatest(h["high"] - (size - 1), F.lit(1)), F.least(h["low"], last)))
         at = F.array_distinct(F.flatten(reach))
-    alone = F.transform(at, lambda i: F.struct((i - 1).alias("at"), F.array(F.xxhash64(F.slice(first, i, size))).alias("forms")))
+
+    def template(i: Column, form: int) -> Column:
+        if hits:
+            # Few windows: their tokens are hashed one by one.
+            return F.xxhash64(_hashes(F.slice("_tokens", i, size), form))
+        return F.xxhash64(F.slice(F.col("_forms")[form], i, size))
+
+    alone = F.transform(at, lambda i: F.struct((i - 1).alias("at"), F.array(template(i, 0)).alias("forms")))
     every = F.transform(at, lambda i: F.struct((i - 1).alias("at"), F.array(
-        *(F.xxhash64(F.slice(F.col("_forms")[k], i, size)) for k in range(FORMS)),
+        *(template(i, k) for k in range(FORMS)),
     ).alias("forms")))
     # No filter on the size: it would be moved before the tokens and compute them a second time.
     none = F.expr("CAST(array() AS array<struct<at:int,forms:array<bigint>>>)")
-    each = F.when(last < 1, none).when(F.size("_forms") == 1, alone).otherwise(every)
+    each = F.when(last < 1, none).when(F.col("_single"), alone).otherwise(every)
     cut = rows.select(*keep, F.explode(each).alias("_each"))
     return cut.select(*keep, F.col("_each.at").alias("at"), F.posexplode("_each.forms").alias("form", "template"))
 
@@ -173,8 +183,24 @@ def _anchor(size: int, form: int) -> Column:
     return F.array_max(F.transform(plain, lambda t: F.struct(F.length(t).alias("n"), t.alias("word"))))["word"]
 
 
+def _word(token: Column) -> Column:
+    """The same for a word whichever capital it has."""
+    return F.translate(token, NAME + CAPITAL, "")
+
+
+def _pair(size: int, form: int) -> Column:
+    """The two longest words that each window with this template holds, and how far the second is from the first."""
+    plain = F.transform(F.slice("_tokens", F.col("at") + 1, size), lambda t, i: F.struct(
+        F.length(_word(t)).alias("n"), _word(t).alias("word"), i.alias("i"), _is_slot(t, form).alias("slot"),
+    ))
+    longest = F.sort_array(F.filter(plain, lambda x: ~x["slot"]), asc=False)
+    first, second = F.get(longest, F.lit(0)), F.get(longest, F.lit(1))
+    return F.struct(first["word"].alias("first"), second["word"].alias("second"), (second["i"] - first["i"]).alias("apart"))
+
+
 def known_windows(benchmark: DataFrame) -> DataFrame:
-    """Of items (item_id, _t): item_id, size, template, item_at, item_form, item_slots, anchor of the windows searched."""
+    """Of items (item_id, _t): item_id, size, template, item_at, item_form, item_slots, anchor, pair of the windows
+    searched."""
     items = with_tokens(benchmark, F.col("_t"))
     items = items.withColumn("_size", F.least(F.size("_tokens"), F.lit(WINDOW))).where(F.col("_size") >= LITERALS)
     parts = []
@@ -187,6 +213,7 @@ def known_windows(benchmark: DataFrame) -> DataFrame:
         ).select(
             "item_id", F.lit(size).alias("size"), "template", F.col("at").alias("item_at"), F.col("form").alias("item_form"),
             "item_slots", _by_form(lambda form: _anchor(size, form)).alias("anchor"),
+            _by_form(lambda form: _pair(size, form)).alias("pair"),
         ))
     known = parts[0]
     for part in parts[1:]:
@@ -194,42 +221,60 @@ def known_windows(benchmark: DataFrame) -> DataFrame:
     return staged(known, "known")
 
 
-def _bit(word: Column) -> Column:
-    return F.xxhash64(word).bitwiseAND(F.lit(ANCHOR_BITS - 1))
-
-
-class Anchors:
-    """The anchors of benchmark windows as a table of bits."""
+class Bits:
+    """A set of rows (hashes of columns) as a table of bits: more may seem to be in it, none is missed."""
 
-    def __init__(self, known: DataFrame):
-        at = known.select(_bit(F.col("anchor")).alias("bit")).distinct()
+    def __init__(self, rows: DataFrame):
+        bit = F.xxhash64(*rows.columns).bitwiseAND(F.lit(ANCHOR_BITS - 1))
+        at = rows.select(bit.alias("bit")).distinct()
         bits = np.zeros(ANCHOR_BITS // 64, dtype=np.int64)
         # One row for 64 bits: a table of fixed size.
         for row in at.groupBy(F.expr("bit div 64").alias("word")).agg(F.expr("bit_or(shiftleft(1L, CAST(bit % 64 AS int)))").alias("bits")).collect():
             bits[row["word"]] = row["bits"]
-        self.table, self.verbatim = F.lit(bits), any_row(known.where(F.col("item_form") == VERBATIM))
+        self.table = F.lit(bits)
 
-    def has(self, word: Column) -> Column:
-        """Whether the word may be an anchor."""
-        bit = F.xxhash64(word)
+    def has(self, *columns: Column) -> Column:
+        bit = F.xxhash64(*columns)
         place = F.shiftrightunsigned(bit, 6).bitwiseAND(F.lit(ANCHOR_BITS // 64 - 1)).cast("int")
         return F.getbit(F.get(self.table, place), bit.bitwiseAND(F.lit(63))) == 1
 
+
+class Anchors:
+    """The anchors of benchmark windows, and the pairs of words they hold."""
+
+    def __init__(self, known: DataFrame):
+        self.words = Bits(known.select("anchor"))
+        self.firsts, self.pairs = Bits(known.select("pair.first")), Bits(known.select("pair.*"))
+        self.verbatim = any_row(known.where(F.col("item_form") == VERBATIM))
+
     def among(self, text: Column) -> Column:
         """Whether a text holds an anchor."""
         words = F.split(F.lower(text), _BETWEEN)
         if self.verbatim:
             words = F.concat(words, F.regexp_extract_all(text, F.lit("[0-9]+"), F.lit(0)))
-        return F.exists(words, self.has)
+        return F.exists(words, lambda word: self.words.has(word))
+
+    def with_hits(self, rows: DataFrame) -> DataFrame:
+        """rows with _hits: the places (low, high, from 1) of pairs among _tokens."""
+        rows = rows.withColumn("_words", F.transform("_tokens", _word))
+        rows = rows.withColumn("_firsts", F.array_compact(F.transform("_words", lambda w, i: F.when(self.firsts.has(w), i + 1))))
+
+        def second(p: Column, apart: Column) -> Column:
+            word = F.get("_words", p + apart - 1)
+            return word.isNotNull() & (apart != 0) & self.pairs.has(F.get("_words", p - 1), word, apart)
+
+        def pairs(p: Column) -> Column:
+            far = F.filter(F.sequence(F.lit(1 - WINDOW), F.lit(WINDOW - 1)), lambda apart: second(p, apart))
+            return F.transform(far, lambda apart: F.struct(
+                F.least(p, p + apart).alias("low"), F.greatest(p, p + apart).alias("high"),
+            ))
+
+        return rows.withColumn("_hits", F.flatten(F.transform("_firsts", pairs))).drop("_words", "_firsts")
 
-    def places(self) -> Column:
-        """Where anchors stand among _tokens, from 1; numbers and units may hold one."""
-        def hit(token: Column) -> Column:
-            own = self.has(F.translate(token, NAME + CAPITAL, ""))
-            return own | F.ascii(token).between(2, 3) if self.verbatim else own
 
-        marked = F.transform("_tokens", lambda t, i: F.when(hit(t), i + 1))
-        return F.array_compact(marked)
+def holding(docs: DataFrame, known: DataFrame, text: Column, anchors: Anchors | None = None) -> DataFrame:
+    """The rows of docs whose text holds an anchor of known windows."""
+    return docs.where((anchors or Anchors(known)).among(text))
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -239,8 +284,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     known = known_windows(benchmark.select(F.col(item_col).alias("item_id"), text_of(item_text).alias("_t")))
     plain = docs.select(F.col(id_col).alias("doc_id"), text_of(text_col).alias("_t"))
     anchors = Anchors(known)
-    plain = staged(plain.where(anchors.among(F.col("_t"))), "holding")
-    texts = with_tokens(plain, F.col("_t")).withColumn("_hits", anchors.places())
+    plain = staged(holding(plain, known, F.col("_t"), anchors), "holding")
+    texts = anchors.with_hits(with_tokens(plain, F.col("_t")))
     found = None
     for row in known.groupBy("size").agg(F.count("*").alias("n")).orderBy("size").collect():
         size = row["size"]
