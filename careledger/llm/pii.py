@@ -8,18 +8,20 @@ around it, and a threshold for each kind, calibrated on held-out rows, selects w
 
 There are no labels for such spans, so the trees learn from the corpus itself: valid base spans,
 rewritten into the forms that the generators look for, are positive; matches that fail the checks
-and rewritten spans with a broken check are negative. Rows come from a bounded sample of documents
-(SAMPLE_DOCS). Everything runs as column expressions: a document's spans are arrays of structs, trees
-are CASE expressions over them, and no row moves.
+and rewritten spans with a broken check are negative. Rows come from the base spans of all documents; rows with
+the same features are one with a weight, and features say so little about a span that there are few.
+Everything runs as column expressions: a document's spans are arrays of structs, trees
+are CASE expressions over them, and no document moves.
 
 Defined results: a null text is empty; an empty text has no span; offsets count code points, ends are
 exclusive; spans of different kinds may overlap, added ones are never inside a base span; where
-the sample has no positive or no negative row, nothing is added.
+the documents have no positive or no negative row, nothing is added.
 """
 
 from __future__ import annotations
 
 import re
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.ml.classification import GBTClassifier
@@ -30,8 +32,6 @@ from pyspark.sql import functions as F
 from careledger.llm.common import staged, text_of
 
 KINDS = ("email", "ip", "card", "phone")
-# Documents whose spans the trees are fitted on, on average.
-SAMPLE_DOCS = 20_000
 TREES, DEPTH = 12, 4
 # Precision on held-out rows that a kind's threshold must reach.
 PRECISION = 0.99
@@ -180,28 +180,31 @@ def base_spans(docs: DataFrame, text_col: str) -> DataFrame:
     })
 
 
-def training_rows(docs: DataFrame, id_col: str, text_col: str, sample_docs: int = SAMPLE_DOCS) -> DataFrame:
-    """kind, v, b, a, label, held: spans of a bounded sample of documents, rewritten."""
-    total = docs.count()
-    sample = docs.select(text_of(text_col).alias("_t"), F.col(id_col).alias("_id"))
-    if total > sample_docs:
-        sample = sample.where(
-            F.pmod(F.xxhash64("_id", "_t"), F.lit(1_000_000)) < F.lit(int(1_000_000 * sample_docs / total))
-        )
-    rows = None
-    for k in KINDS:
-        spans = sample.select(F.explode(F.expr(_spans(BASE[k], _HINTS.get(k)))).alias("x")).select(
-            "x.v", "x.b", "x.a", F.expr(CHECKS[k]("x.v")).alias("good"),
-        )
-        forms = ", ".join(
+def training_rows(docs: DataFrame, text_col: str = "text") -> DataFrame:
+    """kind, held, label, f, n: the features of all documents' spans, rewritten, and how many spans have them."""
+    none = "CAST(array() AS array<struct<kind:string,v:string,b:string,a:string,good:boolean>>)"
+    found = docs.select(text_of(text_col).alias("_t")).withColumns({f"_{k}": F.expr(_spans(BASE[k], _HINTS.get(k))) for k in KINDS})
+    parts = [f"transform(_{k}, x -> named_struct('kind', '{k}', 'v', x.v, 'b', x.b, 'a', x.a, 'good', {CHECKS[k]('x.v')}))" for k in KINDS]
+    spans = found.select(F.explode(F.expr(f"concat({none}, {', '.join(parts)})")).alias("x")).select("x.*")
+
+    def by_kind(of: Callable[[str], str]) -> Column:
+        return F.expr(f"CASE kind {' '.join(f"WHEN '{k}' THEN {of(k)}" for k in KINDS)} END")
+
+    def forms(kind: str) -> str:
+        each = ", ".join(
             f"named_struct('v', {good}, 'label', IF(good, 1, 0)), named_struct('v', IF(good, {bad}, v), 'label', 0)"
-            for good, bad in _REWRITES[k]
+            for good, bad in _REWRITES[kind]
         )
-        part = spans.select("b", "a", F.explode(F.expr(f"array({forms})")).alias("y")).select(
-            F.lit(k).alias("kind"), "y.v", "b", "a", "y.label",
-        )
-        rows = part if rows is None else rows.union(part)
-    return rows.withColumn("held", F.pmod(F.xxhash64("v", "b"), F.lit(4)) == 0)
+        return f"array({each})"
+
+    rows = spans.select("kind", "b", "a", F.explode(by_kind(forms)).alias("y")).select(
+        "kind", "y.v", "b", "a", F.col("y.label").cast("double").alias("label"),
+    )
+    # Features are numbers: equal ones are one row.
+    return rows.select(
+        "kind", (F.pmod(F.xxhash64("v", "b"), F.lit(4)) == 0).alias("held"), "label",
+        by_kind(lambda k: f"array({', '.join(_features(k, ''))})").alias("f"),
+    ).groupBy("kind", "held", "label", "f").agg(F.count("*").alias("n"))
 
 
 def as_sql(model, at: str = "f") -> str:
@@ -241,25 +244,18 @@ def _closed(tree: str) -> str:
     return "".join(out)
 
 
-def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sample_docs: int = SAMPLE_DOCS) -> Model | None:
-    rows = training_rows(docs, id_col, text_col, sample_docs)
-    parts = None
-    for k in KINDS:
-        part = rows.where(F.col("kind") == k).select(
-            "kind", "held", F.col("label").cast("double").alias("label"), F.expr(f"array({', '.join(_features(k, ''))})").alias("f"),
-        )
-        parts = part if parts is None else parts.union(part)
-    seen = staged(parts, "spans")
+def fit(docs: DataFrame, text_col: str = "text") -> Model | None:
+    seen = staged(training_rows(docs, text_col), "spans")
     train = seen.where("NOT held")
     labels = {r["label"] for r in train.select("label").distinct().collect()}
     if labels != {0.0, 1.0}:
         return None
     trees = GBTClassifier(
-        featuresCol="x", labelCol="label", maxIter=TREES, maxDepth=DEPTH, stepSize=0.5, seed=1, maxBins=32,
-    ).fit(train.select("label", array_to_vector("f").alias("x")).repartition(4))
+        featuresCol="x", labelCol="label", weightCol="n", maxIter=TREES, maxDepth=DEPTH, stepSize=0.5, seed=1, maxBins=32,
+    ).fit(train.select("label", array_to_vector("f").alias("x"), F.col("n").cast("double").alias("n")))
     score = f"(1 / (1 + exp(-2 * ({as_sql(trees)}))))"
-    bins = seen.where("held").select("kind", "label", F.floor(F.expr(score) * 100).alias("bin")).groupBy("kind", "bin").agg(
-        F.sum("label").alias("right"), F.count("*").alias("n"),
+    bins = seen.where("held").select("kind", "label", "n", F.floor(F.expr(score) * 100).alias("bin")).groupBy("kind", "bin").agg(
+        F.sum(F.col("label") * F.col("n")).alias("right"), F.sum("n").alias("n"),
     ).collect()
     thresholds = {}
     for k in KINDS:
