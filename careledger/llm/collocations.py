@@ -57,8 +57,10 @@ BITS = 1 << 27
 WORD_BYTES = 64
 # Tasks whose tiles are summed at a time.
 SPAN = 64
-# Pairs, words, codes and bytes of text that a task holds at once (or one text).
-PAIRS, WORDS, CODES, BYTES = 2_500_000, 200_000, 50_000, 1_000_000
+# Pairs of ranks, pairs beyond them, words, codes and bytes of text that a task holds at once (or one text).
+PAIRS, TAILS, WORDS, CODES, BYTES = 4_000_000, 500_000, 200_000, 50_000, 1_000_000
+# Pairs that are worked on at once while they are counted; a thin tile has fewer.
+STEP = 2 * DENSE
 
 _TAIL = 1 << 62
 _ACROSS, _CELLS = HEAD // SIDE, SIDE * SIDE
@@ -118,19 +120,22 @@ class Level:
 
 
 class _Codes(dict):
-    """Codes of one language's words."""
+    """Codes of one language's words; room is how many words without a rank all languages of a task remember."""
 
-    def __init__(self, level: Level, lang: str):
+    def __init__(self, level: Level, lang: str, room: list[int]):
         super().__init__({_BREAK: -1})
-        self.level, self.lang = level, lang
+        self.level, self.lang, self.room = level, lang, room
         ranks = np.flatnonzero(pc.equal(level.words["lang"], lang).to_numpy())
         own = level.words["word"].take(pa.array(ranks)).cast(pa.binary()).to_pylist()
         self.update(zip(own, ranks.tolist()))
 
     def __missing__(self, word: bytes) -> int:
+        if self.level.bits is None:
+            return -1
         own = word_id(self.lang, word)
         code = own if self.level.known(np.array([own]))[0] else -1
-        if len(self) < HEAD + CODES:
+        if self.room[0]:
+            self.room[0] -= 1
             self[word] = code
         return code
 
@@ -192,21 +197,42 @@ def compacted(codes: np.ndarray) -> np.ndarray:
 Tiles = tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]
 
 
+def _steps(values: np.ndarray) -> Iterator[np.ndarray]:
+    for at in range(0, len(values), STEP):
+        yield values[at : at + STEP]
+
+
 def tile_counts(left: np.ndarray, right: np.ndarray) -> Iterator[Tiles]:
     """Counts of pairs of ranks, in parts: tiles, where their cells begin, different cells, their counts."""
-    tile = (left // SIDE) * _ACROSS + right // SIDE
-    cell = left % SIDE * SIDE + right % SIDE
-    sizes = np.bincount(tile, minlength=1)
+    # Tile and cell in one number; beside these numbers only a step's are held.
+    places, sizes = np.empty(len(left), dtype=np.int64), np.zeros(_ACROSS * _ACROSS, dtype=np.int64)
+    for own, a, b in zip(_steps(places), _steps(left), _steps(right)):
+        a, b = a.astype(np.int64), b.astype(np.int64)
+        own[:] = (a // SIDE * _ACROSS + b // SIDE) * _CELLS + a % SIDE * SIDE + b % SIDE
+        sizes += np.bincount(own // _CELLS, minlength=len(sizes))
     for t in np.flatnonzero(sizes >= DENSE):
-        counts = np.bincount(cell[tile == t], minlength=_CELLS)
+        counts = np.bincount(np.concatenate([own[own // _CELLS == t] % _CELLS for own in _steps(places)]), minlength=_CELLS)
         found = np.flatnonzero(counts)
         yield np.array([t]), np.array([0]), found, counts[found]
-    thin = sizes[tile] < DENSE
-    found, counts = np.unique(tile[thin] * _CELLS + cell[thin], return_counts=True)
-    if len(found):
+    end = 0
+    for own in _steps(places):
+        rest = own[sizes[own // _CELLS] < DENSE]
+        places[end : end + len(rest)] = rest
+        end += len(rest)
+    thin = places[:end]
+    thin.sort()
+    ends = np.searchsorted(thin, np.arange(1, len(sizes) + 1) * _CELLS)
+    start = 0
+    while start < end:
+        # Whole tiles, as many as a step holds.
+        stop = ends[np.searchsorted(ends, start + STEP, side="right") - 1]
+        own = thin[start:stop]
+        new = np.flatnonzero(np.append(True, own[1:] != own[:-1]))
+        found, counts = own[new], np.diff(new, append=len(own))
         tiles = found // _CELLS
         starts = np.flatnonzero(np.diff(tiles, prepend=-1))
         yield tiles[starts], starts, found % _CELLS, counts
+        start = stop
 
 
 def tail_counts(left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -246,9 +272,10 @@ def _packed(tiles: Tiles, part: int) -> pa.RecordBatch:
 def _first_codes(level: Level):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[np.ndarray]:
         tables: dict[str, _Codes] = {}
+        room = [CODES]
         for lang, words in _texts(batches):
             if lang not in tables:
-                tables[lang] = _Codes(level, lang)
+                tables[lang] = _Codes(level, lang, room)
             yield np.fromiter(map(tables[lang].__getitem__, words), np.int64, len(words))
 
     return run
@@ -273,22 +300,15 @@ def _pairs(levels, onward: bool) -> Callable[[Iterator[pa.RecordBatch]], Iterato
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         *lower, level = [x.value for x in levels]
         part = TaskContext.get().partitionId()
-        held: list[np.ndarray] = []
+        # Ranks are held in arrays of fixed size, pairs beyond them as they come.
+        held = np.empty((2, PAIRS), dtype=np.int32)
         size = 0
+        tails: list[np.ndarray] = []
 
-        def flush() -> Iterator[pa.RecordBatch]:
-            # Streams end with a break, so no pair reaches from one into the next.
-            codes = np.concatenate(held)
-            held.clear()
-            left, right = codes[:-1], codes[1:]
-            both = (left >= 0) & (right >= 0)
-            left, right = left[both], right[both]
-            ranked = (left < HEAD) & (right < HEAD)
-            for tiles in tile_counts(left[ranked], right[ranked]):
-                yield _packed(tiles, part)
-            a, b, n = tail_counts(left[~ranked], right[~ranked])
-            if len(n):
-                yield _rows(left=level.id_of(a), right=level.id_of(b), n=n)
+        def flush_tails() -> Iterator[pa.RecordBatch]:
+            a, b, n = tail_counts(*np.concatenate(tails, axis=1))
+            tails.clear()
+            yield _rows(left=level.id_of(a), right=level.id_of(b), n=n)
 
         for codes in (_next_codes(lower[-1], level) if lower else _first_codes(level))(batches):
             codes = compacted(codes)
@@ -296,13 +316,28 @@ def _pairs(levels, onward: bool) -> Callable[[Iterator[pa.RecordBatch]], Iterato
                 continue
             if onward:
                 yield _rows(codes=[codes.astype("<i8").tobytes()])
-            held.append(codes)
-            size += len(codes)
-            if size >= PAIRS:
-                yield from flush()
-                size = 0
-        if held:
-            yield from flush()
+            # Streams end with a break, so no pair reaches from one into the next.
+            pairs = np.stack([codes[:-1], codes[1:]])
+            pairs = pairs[:, (pairs >= 0).all(axis=0)]
+            ranked = (pairs < HEAD).all(axis=0)
+            if not ranked.all():
+                tails.append(pairs[:, ~ranked])
+                if sum(t.shape[1] for t in tails) >= TAILS:
+                    yield from flush_tails()
+                pairs = pairs[:, ranked]
+            at = 0
+            while at < pairs.shape[1]:
+                taken = min(pairs.shape[1] - at, PAIRS - size)
+                held[:, size : size + taken] = pairs[:, at : at + taken]
+                at, size = at + taken, size + taken
+                if size == PAIRS:
+                    for tiles in tile_counts(*held):
+                        yield _packed(tiles, part)
+                    size = 0
+        for tiles in tile_counts(*held[:, :size]):
+            yield _packed(tiles, part)
+        if tails:
+            yield from flush_tails()
 
     return run
 

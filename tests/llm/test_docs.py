@@ -347,6 +347,29 @@ def test_documents_without_anchors_are_read_once(spark):
     assert {r["doc_id"] for r in kept.collect()} == {2, 3, 5}
 
 
+def test_windows_are_hashed_only_around_two_words_of_an_item(spark):
+    bench = spark.createDataFrame([(1, ITEM)], "item_id bigint, text string")
+    known = decontaminate.known_windows(bench.select("item_id", F.col("text").alias("_t")))
+    words = [r["anchor"] for r in known.select("anchor").distinct().collect()]
+    rows = [(1, " ".join(f"{w} and then some more" for w in words * 20)), (2, f"so {ITEM} it ends"), (3, words[0])]
+    texts = decontaminate.with_tokens(docs(spark, rows).select("doc_id", F.col("text").alias("_t")), F.col("_t"))
+    hit = decontaminate.Anchors(known).with_hits(texts)
+    size = known.agg(F.max("size")).first()[0]
+    cut = decontaminate.windows(hit, size, ["doc_id"], "_hits").join(known.select("template").distinct(), "template", "left_semi")
+    every = decontaminate.windows(texts, size, ["doc_id"]).join(known.select("template").distinct(), "template", "left_semi")
+    assert sorted(map(tuple, cut.collect())) == sorted(map(tuple, every.collect()))
+    assert {r["doc_id"]: r["n"] > 0 for r in hit.select("doc_id", F.size("_hits").alias("n")).collect()} == {1: False, 2: True, 3: False}
+
+
+def test_trees_learn_from_all_documents(spark):
+    rows = [(i, f"mail anna{i}@host{i % 7}.org or call +1 212 555 {i:04d}") for i in range(300)]
+    spans = pii.training_rows(docs(spark, rows))
+    assert {r["kind"]: r["n"] for r in spans.where("label = 1").groupBy("kind").agg(F.sum("n").alias("n")).collect()} == {
+        "email": 300 * 4, "phone": 300 * 3,
+    }
+    # Rows alike count together, so the table that the trees read hardly grows with the documents.
+    assert spans.count() < 600
+
 def graded_rows():
     draw = random.Random(4)
     rows, marks = [], []

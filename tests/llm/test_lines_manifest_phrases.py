@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import tracemalloc
 import re
 import zlib
 from collections import Counter
@@ -281,6 +282,26 @@ def test_tiles_count_all_pairs():
     assert Counter(dict(zip(zip(a.tolist(), b.tolist()), n.tolist()))) == Counter(zip(tail[:-1].tolist(), tail[1:].tolist()))
 
 
+def test_tiles_are_counted_in_little_memory():
+    draw = np.random.default_rng(9)
+    n = 3_000_000
+    left, right = draw.integers(0, collocations.HEAD, (2, n), dtype=np.int32)
+    tracemalloc.start()
+    total = sum(int(counts.sum()) for _, _, _, counts in collocations.tile_counts(left, right))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert total == n and peak < 30 * n
+
+
+def test_pairs_of_a_task_beyond_its_arrays(spark, monkeypatch):
+    rows = [("en", "alpha beta gamma alpha beta. " * 40)] * 3
+    df = spark.createDataFrame(rows, "lang string, text string").coalesce(1)
+    out = []
+    for name, value in (("HEAD", collocations.HEAD), ("PAIRS", 7)):
+        monkeypatch.setattr(collocations, name, value)
+        out.append(mined(df, 5))
+    assert out[0] == out[1] == plain_phrases(rows, 5, 2000)
+
 def test_sums_of_tiles_thin_and_dense():
     draw = np.random.default_rng(8)
     for parts in (3, 40):
