@@ -10,7 +10,8 @@ before has written, without the stretches that hold nothing frequent.
 
 Only the HEAD ranks of a level and a bitmap of BITS bits are sent to the tasks, whatever the size of the vocabulary.
 Frequent words and pairs beyond HEAD are known by the bitmap and coded by their 63-bit hash; a word that meets a set
-bit by chance is only counted in vain. Pairs with such a code are shuffled as rows.
+bit by chance is only counted in vain. Pairs with such a code are packed by buckets of their hash, of which there are
+more with more such words and pairs, and a bucket is summed in sorted order.
 
 A phrase's counts need no other look at the texts: the parts of a frequent phrase are frequent, so two joins a level
 bring the counts of all beginnings and endings.
@@ -27,7 +28,6 @@ from dataclasses import dataclass
 from functools import cached_property
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
@@ -53,6 +53,8 @@ SIDE = 1 << 11
 DENSE = SIDE * SIDE // 16
 # Bits of the map of frequent words or pairs beyond HEAD.
 BITS = 1 << 27
+# Buckets of pairs beyond the ranks, at least, and frequent words or pairs beyond the ranks for each.
+BUCKETS, A_BUCKET = 1 << 10, 1 << 12
 # Bytes up to which a word may be among the ranked ones.
 WORD_BYTES = 64
 # Tasks whose tiles are summed at a time.
@@ -92,11 +94,12 @@ def pair_ids(left: np.ndarray, right: np.ndarray) -> np.ndarray:
 
 @dataclass
 class Level:
-    """What tasks know of a level: ids by rank, the words where it is the first, and the bitmap of all ids if there
-    are more than ranks."""
+    """What tasks know of a level: ids by rank, the words where it is the first, the bitmap of all ids if there
+    are more than ranks, and the number of buckets for pairs of such ids."""
     ids: np.ndarray
     words: pa.Table | None
     bits: np.ndarray | None
+    buckets: int = BUCKETS
 
     @cached_property
     def order(self) -> np.ndarray:
@@ -235,20 +238,21 @@ def tile_counts(left: np.ndarray, right: np.ndarray) -> Iterator[Tiles]:
         start = stop
 
 
-def tail_counts(left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Different pairs of any codes with their counts."""
+def tail_counts(left: np.ndarray, right: np.ndarray, n: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Different pairs of any codes with their counts, or the sums of n."""
     order = np.lexsort((right, left))
     left, right = left[order], right[order]
     new = np.flatnonzero(np.append(True, (left[1:] != left[:-1]) | (right[1:] != right[:-1]))) if len(left) else np.empty(0, np.int64)
-    return left[new], right[new], np.diff(new, append=len(left))
+    return left[new], right[new], np.diff(new, append=len(left)) if n is None else np.add.reduceat(n[order], new)
 
 
-#: Of a level's counts: packed tiles of part (a number of tasks), pairs beyond the ranks, streams of codes.
+#: Of a level's counts: packed tiles of part (a number of tasks), packed buckets of pairs beyond the ranks, streams of codes.
 _COUNTED = pa.schema([
     ("tile", pa.int32()), ("part", pa.int32()), ("cells", pa.binary()), ("counts", pa.binary()),
-    ("left", pa.int64()), ("right", pa.int64()), ("n", pa.int64()), ("codes", pa.binary()),
+    ("bucket", pa.int32()), ("lefts", pa.binary()), ("rights", pa.binary()), ("codes", pa.binary()),
 ])
-_COUNTED_SQL = "tile int, part int, cells binary, counts binary, left bigint, right bigint, n bigint, codes binary"
+_COUNTED_SQL = "tile int, part int, cells binary, counts binary, bucket int, lefts binary, rights binary, codes binary"
+_FOUND_SQL = "id bigint, left bigint, right bigint, n bigint"
 
 
 def _rows(**columns) -> pa.RecordBatch:
@@ -269,6 +273,15 @@ def _packed(tiles: Tiles, part: int) -> pa.RecordBatch:
     return _rows(tile=names, part=np.full(len(names), part), cells=_pieces(cells.astype("<u4"), starts), counts=_pieces(counts.astype("<i8"), starts))
 
 
+def _bucketed(left: np.ndarray, right: np.ndarray, n: np.ndarray, buckets: int) -> pa.RecordBatch:
+    own = pair_ids(left, right) % buckets
+    order = np.argsort(own, kind="stable")
+    own = own[order]
+    starts = np.flatnonzero(np.diff(own, prepend=-1))
+    lefts, rights, counts = (_pieces(x[order].astype("<i8"), starts) for x in (left, right, n))
+    return _rows(bucket=own[starts], lefts=lefts, rights=rights, counts=counts)
+
+
 def _first_codes(level: Level):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[np.ndarray]:
         tables: dict[str, _Codes] = {}
@@ -308,7 +321,7 @@ def _pairs(levels, onward: bool) -> Callable[[Iterator[pa.RecordBatch]], Iterato
         def flush_tails() -> Iterator[pa.RecordBatch]:
             a, b, n = tail_counts(*np.concatenate(tails, axis=1))
             tails.clear()
-            yield _rows(left=level.id_of(a), right=level.id_of(b), n=n)
+            yield _bucketed(level.id_of(a), level.id_of(b), n, level.buckets)
 
         for codes in (_next_codes(lower[-1], level) if lower else _first_codes(level))(batches):
             codes = compacted(codes)
@@ -401,13 +414,46 @@ def _frequent(level, least: int):
             left = level.value.id_of(tile // _ACROSS * SIDE + cells // SIDE)
             right = level.value.id_of(tile % _ACROSS * SIDE + cells % SIDE)
             if len(cells):
-                yield pa.RecordBatch.from_arrays([pa.array(left), pa.array(right), pa.array(counts)], ["left", "right", "n"])
+                yield _found(left, right, counts)
+
+    return run
+
+
+def _found(left: np.ndarray, right: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(x) for x in (pair_ids(left, right), left, right, n)], ["id", "left", "right", "n"])
+
+
+def _frequent_tails(least: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Of rows bucket, lefts, rights, counts sorted by bucket; what is held of one is summed up as it grows."""
+        now, held, size, room = None, [], 0, TAILS
+
+        def flush() -> Iterator[pa.RecordBatch]:
+            left, right, n = tail_counts(*np.concatenate(held, axis=1))
+            many = n >= least
+            if many.any():
+                yield _found(left[many], right[many], n[many])
+
+        for batch in batches:
+            for i, bucket in enumerate(batch.column(0).to_pylist()):
+                if bucket != now:
+                    if held:
+                        yield from flush()
+                    now, held, size, room = bucket, [], 0, TAILS
+                held.append(np.stack([np.frombuffer(batch.column(c)[i].as_buffer(), "<i8") for c in (1, 2, 3)]))
+                size += held[-1].shape[1]
+                if size >= room:
+                    held = [np.stack(tail_counts(*np.concatenate(held, axis=1)))]
+                    size = held[0].shape[1]
+                    room = max(TAILS, 2 * size)
+        if held:
+            yield from flush()
 
     return run
 
 
 def _summed(counted: DataFrame, level, least: int) -> DataFrame:
-    """left, right, n of the pairs with enough counts."""
+    """id, left, right, n of the pairs with enough counts."""
     tiles = counted.where("tile IS NOT NULL").select("tile", "part", "cells", "counts")
     parts = (tiles.agg(F.max("part")).first()[0] or 0) + 1
     while True:
@@ -416,9 +462,10 @@ def _summed(counted: DataFrame, level, least: int) -> DataFrame:
         if parts == 1:
             break
         tiles = together.mapInArrow(_partly, "tile int, part int, cells binary, counts binary")
-    found = together.mapInArrow(_frequent(level, least), "left bigint, right bigint, n bigint")
-    rest = counted.where("left IS NOT NULL").groupBy("left", "right").agg(F.sum("n").alias("n")).where(f"n >= {least}")
-    return found.union(rest)
+    found = together.mapInArrow(_frequent(level, least), _FOUND_SQL)
+    tails = counted.where("bucket IS NOT NULL").select("bucket", "lefts", "rights", "counts")
+    tails = tails.repartition("bucket").sortWithinPartitions("bucket")
+    return found.union(tails.mapInArrow(_frequent_tails(least), _FOUND_SQL))
 
 
 def _known(frequent: DataFrame, first: bool) -> Level:
@@ -428,7 +475,8 @@ def _known(frequent: DataFrame, first: bool) -> Level:
     head = rows.orderBy(F.desc("n"), "id").limit(HEAD).select(*columns).toArrow()
     words = head.select(["lang", "word"]) if first else None
     bits = None
-    if frequent.count() > head.num_rows:
+    beyond = frequent.count() - head.num_rows
+    if beyond:
         bits = np.zeros(BITS // 8, dtype=np.uint8)
         at = frequent.select((F.pmod("id", F.lit(BITS)) + 1).alias("at"))
         parts = at.groupBy(F.bitmap_bucket_number("at").alias("part")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("at")).alias("bits"))
@@ -437,7 +485,7 @@ def _known(frequent: DataFrame, first: bool) -> Level:
             start = (row["part"] - 1) * len(part)
             bits[start:start + len(part)] = part
     # One id more than there are, so that there is always one to compare with.
-    return Level(np.append(head["id"].to_numpy(), np.int64(-1)), words, bits)
+    return Level(np.append(head["id"].to_numpy(), np.int64(-1)), words, bits, max(BUCKETS, beyond // A_BUCKET))
 
 
 def phrases(docs: DataFrame, min_count: int = MIN_COUNT, longest: int = LONGEST) -> tuple[DataFrame, list[DataFrame]]:
@@ -455,19 +503,13 @@ def phrases(docs: DataFrame, min_count: int = MIN_COUNT, longest: int = LONGEST)
         "id", F.lit(None).cast("bigint").alias("left"), F.lit(None).cast("bigint").alias("right"), "lang",
         F.col("word").alias("phrase"), F.col("word").alias("last"), "n", F.array("n").alias("pre"), F.array("n").alias("suf"),
     )]
-    @F.pandas_udf("bigint")
-    def ids(left: pd.Series, right: pd.Series) -> pd.Series:
-        return pd.Series(pair_ids(left.to_numpy(), right.to_numpy()))
-
     levels, current, source = [], words, docs
     while len(found) < longest and any_row(current):
         levels.append(spark.sparkContext.broadcast(_known(current, len(found) == 1)))
         onward = len(found) + 1 < longest
         counted = staged(source.mapInArrow(_pairs(levels[-2:], onward), _COUNTED_SQL), "counted")
         source = counted.where("codes IS NOT NULL").select("codes")
-        current = staged(
-            _summed(counted, levels[-1], min_count).withColumn("id", ids("left", "right")).select("id", "left", "right", "n"), "pairs",
-        )
+        current = staged(_summed(counted, levels[-1], min_count), "pairs")
         begin = found[-1].select(F.col("id").alias("left"), "lang", F.col("phrase").alias("begin"), "pre")
         end = found[-1].select(F.col("id").alias("right"), "last", "suf")
         found.append(staged(

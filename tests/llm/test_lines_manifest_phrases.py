@@ -8,12 +8,13 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from careledger.llm import collocations, linededup, merkle
+from careledger.llm import collocations, common, linededup, merkle
 
 LONG = "a line that is long enough to be dropped {} times over"
 
@@ -302,6 +303,37 @@ def test_pairs_of_a_task_beyond_its_arrays(spark, monkeypatch):
         out.append(mined(df, 5))
     assert out[0] == out[1] == plain_phrases(rows, 5, 2000)
 
+
+def test_pairs_beyond_the_ranks_are_packed_and_summed(monkeypatch):
+    monkeypatch.setattr(collocations, "TAILS", 500)
+    draw = np.random.default_rng(10)
+    want, rows = Counter(), []
+    for _ in range(30):
+        left, right = collocations._TAIL + draw.integers(0, 40, (2, 400))
+        n = draw.integers(1, 5, 400)
+        for x, y, k in zip(left.tolist(), right.tolist(), n.tolist()):
+            want[x, y] += k
+        packed = collocations._bucketed(*collocations.tail_counts(left, right, n), 16)
+        # One row a bucket, not one a pair.
+        assert packed.num_rows <= 16
+        rows += packed.select(["bucket", "lefts", "rights", "counts"]).to_pylist()
+    batch = pa.RecordBatch.from_pylist(sorted(rows, key=lambda row: row["bucket"]))
+    got = {}
+    for found in collocations._frequent_tails(20)(iter([batch.slice(0, 7), batch.slice(7)])):
+        ids, left, right, n = (c.to_numpy() for c in found.columns)
+        assert (ids == collocations.pair_ids(left, right)).all()
+        got.update(zip(zip(left.tolist(), right.tolist()), n.tolist()))
+    assert got == {pair: n for pair, n in want.items() if n >= 20} and len(got) < len(want)
+
+
+def test_a_stage_of_pairs_starts_one_python_worker_a_task(spark, monkeypatch):
+    plans = []
+    monkeypatch.setattr(collocations, "staged", lambda df, name: (plans.append((name, df)), common.staged(df, name))[1])
+    mined(spark.createDataFrame([("en", "alpha beta gamma. " * 9)], "lang string, text string"), 5)
+    pairs = [df._jdf.queryExecution().executedPlan().toString() for name, df in plans if name == "pairs"]
+    assert pairs and all("MapInArrow" in plan and "ArrowEvalPython" not in plan for plan in pairs)
+
+
 def test_sums_of_tiles_thin_and_dense():
     draw = np.random.default_rng(8)
     for parts in (3, 40):
