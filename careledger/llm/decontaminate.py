@@ -221,12 +221,21 @@ def known_windows(benchmark: DataFrame) -> DataFrame:
     return staged(known, "known")
 
 
+def place_of(*columns: Column | str) -> Column:
+    """Of a row among ANCHOR_BITS bits."""
+    return F.xxhash64(*columns).bitwiseAND(F.lit(ANCHOR_BITS - 1))
+
+
+def _beside(place: Column, apart: Column) -> Column:
+    return (place + apart).bitwiseAND(F.lit(ANCHOR_BITS - 1))
+
+
 class Bits:
     """A set of rows (hashes of columns) as a table of bits: more may seem to be in it, none is missed."""
 
-    def __init__(self, rows: DataFrame):
-        bit = F.xxhash64(*rows.columns).bitwiseAND(F.lit(ANCHOR_BITS - 1))
-        at = rows.select(bit.alias("bit")).distinct()
+    def __init__(self, rows: DataFrame, bit: Column | None = None):
+        """bit: the place of a row, instead of its hash."""
+        at = rows.select((place_of(*rows.columns) if bit is None else bit).alias("bit")).distinct().dropna()
         bits = np.zeros(ANCHOR_BITS // 64, dtype=np.int64)
         # One row for 64 bits: a table of fixed size.
         for row in at.groupBy(F.expr("bit div 64").alias("word")).agg(F.expr("bit_or(shiftleft(1L, CAST(bit % 64 AS int)))").alias("bits")).collect():
@@ -234,7 +243,9 @@ class Bits:
         self.table = F.lit(bits)
 
     def has(self, *columns: Column) -> Column:
-        bit = F.xxhash64(*columns)
+        return self.at(F.xxhash64(*columns))
+
+    def at(self, bit: Column) -> Column:
         place = F.shiftrightunsigned(bit, 6).bitwiseAND(F.lit(ANCHOR_BITS // 64 - 1)).cast("int")
         return F.getbit(F.get(self.table, place), bit.bitwiseAND(F.lit(63))) == 1
 
@@ -245,6 +256,8 @@ class Anchors:
     def __init__(self, known: DataFrame):
         self.words = Bits(known.select("anchor"))
         self.firsts, self.pairs = Bits(known.select("pair.first")), Bits(known.select("pair.*"))
+        # Distances at which a first word has a second one: bits beside the word's own.
+        self.aparts = Bits(known, _beside(place_of("pair.first"), F.col("pair.apart")))
         self.verbatim = any_row(known.where(F.col("item_form") == VERBATIM))
 
     def among(self, text: Column) -> Column:
@@ -257,14 +270,20 @@ class Anchors:
     def with_hits(self, rows: DataFrame) -> DataFrame:
         """rows with _hits: the places (low, high, from 1) of pairs among _tokens."""
         rows = rows.withColumn("_words", F.transform("_tokens", _word))
-        rows = rows.withColumn("_firsts", F.array_compact(F.transform("_words", lambda w, i: F.when(self.firsts.has(w), i + 1))))
+        rows = rows.withColumn("_firsts", F.array_compact(F.transform("_words", lambda w, i: F.when(
+            self.firsts.has(w), F.struct((i + 1).alias("p"), place_of(w).alias("place")),
+        ))))
 
-        def second(p: Column, apart: Column) -> Column:
+        def second(first: Column, apart: Column) -> Column:
+            p = first["p"]
             word = F.get("_words", p + apart - 1)
-            return word.isNotNull() & (apart != 0) & self.pairs.has(F.get("_words", p - 1), word, apart)
+            # Words are hashed only at the distances that the first word has.
+            near = (apart != 0) & self.aparts.at(_beside(first["place"], apart))
+            return near & word.isNotNull() & self.pairs.has(F.get("_words", p - 1), word, apart)
 
-        def pairs(p: Column) -> Column:
-            far = F.filter(F.sequence(F.lit(1 - WINDOW), F.lit(WINDOW - 1)), lambda apart: second(p, apart))
+        def pairs(first: Column) -> Column:
+            p = first["p"]
+            far = F.filter(F.sequence(F.lit(1 - WINDOW), F.lit(WINDOW - 1)), lambda apart: second(first, apart))
             return F.transform(far, lambda apart: F.struct(
                 F.least(p, p + apart).alias("low"), F.greatest(p, p + apart).alias("high"),
             ))

@@ -361,6 +361,17 @@ def test_windows_are_hashed_only_around_two_words_of_an_item(spark):
     assert {r["doc_id"]: r["n"] > 0 for r in hit.select("doc_id", F.size("_hits").alias("n")).collect()} == {1: False, 2: True, 3: False}
 
 
+def test_pairs_are_sought_only_at_the_distances_of_their_first_word(spark):
+    bench = spark.createDataFrame([(1, ITEM)], "item_id bigint, text string")
+    known = decontaminate.known_windows(bench.select("item_id", F.col("text").alias("_t")))
+    theirs = {(r["first"], r["apart"]) for r in known.select("pair.*").collect()}
+    rows = [(w, d) for w in {w for w, _ in theirs} for d in range(1 - decontaminate.WINDOW, decontaminate.WINDOW)]
+    sought = spark.createDataFrame(rows, "word string, apart int").where(
+        decontaminate.Anchors(known).aparts.at(decontaminate._beside(decontaminate.place_of("word"), F.col("apart"))),
+    )
+    assert {tuple(r) for r in sought.collect()} == theirs and len(theirs) < len(rows) / 2
+
+
 def test_trees_learn_from_all_documents(spark):
     rows = [(i, f"mail anna{i}@host{i % 7}.org or call +1 212 555 {i:04d}") for i in range(300)]
     spans = pii.training_rows(docs(spark, rows))
