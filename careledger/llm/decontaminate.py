@@ -15,8 +15,8 @@ for each form of an item by itself.
 
 A window holds each plain word of its template, so only windows that hold the longest word of some
 benchmark window, its anchor, can meet one; and they hold the second longest as well, as many tokens away. Both are
-bitmaps of fixed size: documents without an anchor are read once and left alone, and of the others only windows
-around such a pair are hashed. Only windows that meet a benchmark window leave the map side.
+bitmaps of fixed size: documents without such two words near each other are read once and left alone, and of the others
+only windows around such a pair are hashed. Only windows that meet a benchmark window leave the map side.
 
 Defined results: null and empty texts have no windows; an item shorter than WINDOW is one window of
 its own length; items of fewer than LITERALS tokens say too little to be found; rows with one doc_id, or
@@ -70,6 +70,9 @@ _LOOSE = r"[.,:/]+([^0-9]|$)"
 _SPLIT = r"[^\p{L}\p{N}" + NAME + NUMBER + UNIT + CAPITAL + r".,:/]+"
 # What stands between the words of a text, where numbers are none.
 _BETWEEN = r"[[^\p{L}\p{N}][0-9]]+"
+# Texts whose words can't be told without their placeholders: they hold placeholders' own characters, or the
+# letter whose lower case rests on what is beside it.
+_ODD = "[" + NAME + NUMBER + UNIT + CAPITAL + "Σ]"
 _SPLIT_WORDS = r"[^\p{L}\p{N}" + NAME + CAPITAL + r"]+"
 
 
@@ -188,19 +191,32 @@ def _word(token: Column) -> Column:
     return F.translate(token, NAME + CAPITAL, "")
 
 
-def _pair(size: int, form: int) -> Column:
-    """The two longest words that each window with this template holds, and how far the second is from the first."""
+def _longest(size: int, form: int) -> Column:
+    """The words that each window with this template holds, the longest first."""
     plain = F.transform(F.slice("_tokens", F.col("at") + 1, size), lambda t, i: F.struct(
         F.length(_word(t)).alias("n"), _word(t).alias("word"), i.alias("i"), _is_slot(t, form).alias("slot"),
     ))
-    longest = F.sort_array(F.filter(plain, lambda x: ~x["slot"]), asc=False)
+    return F.sort_array(F.filter(plain, lambda x: ~x["slot"]), asc=False)
+
+
+def _pair(longest: Column) -> Column:
+    """The two longest words of a window, and how far the second is from the first."""
     first, second = F.get(longest, F.lit(0)), F.get(longest, F.lit(1))
     return F.struct(first["word"].alias("first"), second["word"].alias("second"), (second["i"] - first["i"]).alias("apart"))
 
 
+def _distances(longest: Column) -> Column:
+    """How far the second may be from the first in a text's words: numbers are none, and units may be signs."""
+    first, second = F.get(longest, F.lit(0))["i"], F.get(longest, F.lit(1))["i"]
+    between = F.slice("_tokens", F.col("at") + 1 + F.least(first, second), F.abs(second - first))
+    most = F.abs(second - first) - F.size(F.filter(between, lambda t: F.ascii(t) == 2))
+    least = most - F.size(F.filter(between, lambda t: F.ascii(t) == 3))
+    return F.transform(F.sequence(least, most), lambda n: F.when(second > first, n).otherwise(-n))
+
+
 def known_windows(benchmark: DataFrame) -> DataFrame:
-    """Of items (item_id, _t): item_id, size, template, item_at, item_form, item_slots, anchor, pair of the windows
-    searched."""
+    """Of items (item_id, _t): item_id, size, template, item_at, item_form, item_slots, anchor, pair, distances of the
+    windows searched."""
     items = with_tokens(benchmark, F.col("_t"))
     items = items.withColumn("_size", F.least(F.size("_tokens"), F.lit(WINDOW))).where(F.col("_size") >= LITERALS)
     parts = []
@@ -208,12 +224,14 @@ def known_windows(benchmark: DataFrame) -> DataFrame:
         cut = windows(items.where(F.col("_size") == size), size, ["item_id", "_tokens"])
         general = size - F.size(_slots(F.col("at") + 1, size, INSIDE)) < LITERALS
         cut = cut.withColumn("item_slots", _by_form(lambda form: _slots(F.col("at") + 1, size, form)))
+        cut = cut.withColumn("_longest", _by_form(lambda form: _longest(size, form)))
         parts.append(cut.where(
             F.when(F.col("form") == VERBATIM, general).otherwise(size - F.size("item_slots") >= LITERALS),
         ).select(
             "item_id", F.lit(size).alias("size"), "template", F.col("at").alias("item_at"), F.col("form").alias("item_form"),
             "item_slots", _by_form(lambda form: _anchor(size, form)).alias("anchor"),
-            _by_form(lambda form: _pair(size, form)).alias("pair"),
+            _pair(F.col("_longest")).alias("pair"),
+            F.when(F.col("form") != VERBATIM, _distances(F.col("_longest"))).alias("distances"),
         ))
     known = parts[0]
     for part in parts[1:]:
@@ -258,14 +276,41 @@ class Anchors:
         self.firsts, self.pairs = Bits(known.select("pair.first")), Bits(known.select("pair.*"))
         # Distances at which a first word has a second one: bits beside the word's own.
         self.aparts = Bits(known, _beside(place_of("pair.first"), F.col("pair.apart")))
-        self.verbatim = any_row(known.where(F.col("item_form") == VERBATIM))
-
-    def among(self, text: Column) -> Column:
-        """Whether a text holds an anchor."""
+        verbatim = known.where(F.col("item_form") == VERBATIM)
+        self.verbatim = any_row(verbatim)
+        self.literals = Bits(verbatim.select("anchor")) if self.verbatim else None
+        self.seconds = Bits(known.select("pair.second"))
+        far = known.select("pair.first", "pair.second", F.explode("distances").alias("far"))
+        self.beside = Bits(far, place_of(F.xxhash64("first"), F.xxhash64("second"), "far"))
+
+    def among(self, text: Column, anchors: Bits | None = None) -> Column:
+        """Whether a text holds an anchor, or one of some anchors."""
         words = F.split(F.lower(text), _BETWEEN)
         if self.verbatim:
             words = F.concat(words, F.regexp_extract_all(text, F.lit("[0-9]+"), F.lit(0)))
-        return F.exists(words, lambda word: self.words.has(word))
+        return F.exists(words, lambda word: (anchors or self.words).has(word))
+
+    def near(self, text: Column) -> Column:
+        """Whether a text holds the two words of some window, as far from each other as there, or the anchor of a
+        verbatim one."""
+        hashes = F.transform(F.split(F.lower(text), _BETWEEN), lambda word: F.xxhash64(word))
+
+        def firsts(words: Column) -> Column:
+            return F.array_compact(F.transform(words, lambda w, i: F.when(self.firsts.at(w), i)))
+
+        def beside(words: Column, i: Column) -> Column:
+            def second(far: Column) -> Column:
+                word = F.get(words, i + far)
+                return self.seconds.at(word) & self.beside.at(place_of(F.get(words, i), word, far))
+
+            return F.exists(F.sequence(F.lit(1 - WINDOW), F.lit(WINDOW - 1)), second)
+
+        # An array of one array, so that the words are hashed once.
+        found = F.exists(F.array(hashes), lambda words: F.exists(firsts(words), lambda i: beside(words, i)))
+        found = F.coalesce(found, F.lit(False))
+        if self.verbatim:
+            found = found | self.among(text, self.literals)
+        return found | text.rlike(_ODD)
 
     def with_hits(self, rows: DataFrame) -> DataFrame:
         """rows with _hits: the places (low, high, from 1) of pairs among _tokens."""
@@ -303,7 +348,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     known = known_windows(benchmark.select(F.col(item_col).alias("item_id"), text_of(item_text).alias("_t")))
     plain = docs.select(F.col(id_col).alias("doc_id"), text_of(text_col).alias("_t"))
     anchors = Anchors(known)
-    plain = staged(holding(plain, known, F.col("_t"), anchors), "holding")
+    plain = staged(plain.where(anchors.near(F.col("_t"))), "holding")
     texts = anchors.with_hits(with_tokens(plain, F.col("_t")))
     found = None
     for row in known.groupBy("size").agg(F.count("*").alias("n")).orderBy("size").collect():

@@ -361,6 +361,27 @@ def test_windows_are_hashed_only_around_two_words_of_an_item(spark):
     assert {r["doc_id"]: r["n"] > 0 for r in hit.select("doc_id", F.size("_hits").alias("n")).collect()} == {1: False, 2: True, 3: False}
 
 
+def test_only_texts_with_two_words_of_an_item_at_their_distance_are_searched(spark):
+    item = "The shop sold 25 kg of yellow potatoes for $40 to Anna Baker and 7% of onions within 3 days to Omar"
+    bench = spark.createDataFrame([(1, item), (2, "in 10 20 30 40 50 60 70")], "item_id bigint, text string")
+    known = decontaminate.known_windows(bench.select("item_id", F.col("text").alias("_t")))
+    words = [r["first"] for r in known.select("pair.first").distinct().collect() if r["first"]]
+    rows = [
+        (1, "So: " + item.replace("25 kg", "3.5%").replace("$40", "1,200 euros").replace("Anna", "Zoe") + "; the end"),
+        (2, item.lower().replace("yellow potatoes", "Yellow-Potatoes").replace("7%", "8 USD")), (3, item.upper()),
+        (4, "x in 10 20 30 40 50 60 70 y"), (5, "foo\u0001bar \u0002"), (6, "ΑΣ'Βα"), (7, None), (8, "potatoes yellow of"),
+        (9, " ".join(f"{w} and then some more of it" for w in words)), (10, "potatoes"), (11, "7"), (12, ""),
+    ]
+    texts = docs(spark, rows).select("doc_id", F.coalesce("text", F.lit("")).alias("_t"))
+    near = {r["doc_id"] for r in texts.where(decontaminate.Anchors(known).near(F.col("_t"))).collect()}
+    tokens, met = decontaminate.with_tokens(texts, F.col("_t")), set()
+    for size in range(decontaminate.LITERALS, decontaminate.WINDOW + 1):
+        theirs = known.where(F.col("size") == size).select("template").distinct()
+        met |= {r["doc_id"] for r in decontaminate.windows(tokens, size, ["doc_id"]).join(theirs, "template", "left_semi").collect()}
+    assert met == {1, 2, 3, 4}
+    assert met <= near and near <= met | {5, 6}
+
+
 def test_pairs_are_sought_only_at_the_distances_of_their_first_word(spark):
     bench = spark.createDataFrame([(1, ITEM)], "item_id bigint, text string")
     known = decontaminate.known_windows(bench.select("item_id", F.col("text").alias("_t")))
