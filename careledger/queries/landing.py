@@ -29,6 +29,13 @@ def respond(
     )
 
 
+def spread(rows: DataFrame) -> DataFrame:
+    """The rows dealt evenly over four tasks a core. A body takes far more work to write and to read than the row
+    it's made from, and a file of millions of rows may be no more than a few parts to a scan: all of a load would
+    run in as many tasks, as answers are staged in the parts they come in."""
+    return rows.repartition(4 * rows.sparkSession.sparkContext.defaultParallelism)
+
+
 def value_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two values per event. The body of an 'error' event breaks off."""
     stamp = F.date_format("ts", _ISO)
@@ -46,7 +53,7 @@ def value_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
         value("k", F.get_json_object("props", "$.k")), value("type", F.col("event_type"))
     ).alias("dataValues")))
     broken = F.when(F.col("event_type") == "error", F.expr("left(body, length(body) - 5)")).otherwise(F.col("body"))
-    events = table(spark, sf_dir, "events").withColumn("body", body)
+    events = spread(table(spark, sf_dir, "events")).withColumn("body", body)
     return respond(events, "concat('r', event_id)", broken, "concat('U', user_id)", fetched_at="ts")
 
 
@@ -90,7 +97,7 @@ def grid_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
         WHEN '4-NOT SPECIFIED' THEN array({expected}, {cell("' without dot'", "'1'")})
         ELSE array({expected}, {cell("'.ACTUAL_REPORTS'", "'n/a'")}) END""")
     body = F.to_json(F.struct(rows.alias("rows")))
-    return respond(table(spark, sf_dir, "orders"), "concat('g', o_orderkey)", body, "concat('C', o_custkey)",
+    return respond(spread(table(spark, sf_dir, "orders")), "concat('g', o_orderkey)", body, "concat('C', o_custkey)",
                    fetched_at="o_orderdate")
 
 
@@ -130,7 +137,7 @@ def period_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
             'endDate', date_format(last_day(o_orderdate), "yyyy-MM-dd'T'00:00:00.000")),
         'dx', named_struct('name', 'Data', 'startDate', CAST(NULL AS STRING), 'endDate', CAST(NULL AS STRING)))""")
     body = F.to_json(F.struct(F.struct(items.alias("items")).alias("metaData")))
-    return respond(table(spark, sf_dir, "orders"), "concat('p', o_orderkey)", body)
+    return respond(spread(table(spark, sf_dir, "orders")), "concat('p', o_orderkey)", body)
 
 
 @query("period_payload", """
@@ -159,7 +166,7 @@ def completeness_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit("").alias("lastUpdated"),
         F.when(F.col("o_orderstatus") != "P", F.col("o_orderstatus") == "F").alias("completed"),
     )).alias("completeDataSetRegistrations")))
-    return respond(table(spark, sf_dir, "orders"), "concat('c', o_custkey)", body, "concat('C', o_custkey)",
+    return respond(spread(table(spark, sf_dir, "orders")), "concat('c', o_custkey)", body, "concat('C', o_custkey)",
                    page="o_orderkey", fetched_at="o_orderdate")
 
 
@@ -356,7 +363,7 @@ def _option_combo_links(spark, sf_dir):
     FROM {orders} GROUP BY o_custkey""")
 def _page_check(spark, sf_dir):
     body = F.lit('{"pager": {"page": 1, "pageCount": 8}, "organisationUnits": []}')
-    answers = respond(table(spark, sf_dir, "orders"), "concat('q', o_custkey)", body, page="o_orderkey",
+    answers = respond(spread(table(spark, sf_dir, "orders")), "concat('q', o_custkey)", body, page="o_orderkey",
                       status="CASE WHEN o_orderstatus = 'P' THEN 'failed' ELSE 'ok' END")
     return check_pages(decode(answers, "orgunits"))
 

@@ -157,8 +157,12 @@ class Warehouse:
         count = found["rows"]
         if count:
             old = self.touched(name, updates)
-            small = found["bytes"] + count * 16 * len(updates.columns) <= BROADCAST_BYTES
-            merged = upsert(old, updates, table.keys, refreshed, condition, small_updates=small)
+            if old.isEmpty():
+                # Nothing to compare with, as in a first load: the updates are the partitions.
+                merged = updates.unionByName(old.limit(0), allowMissingColumns=True)
+            else:
+                small = found["bytes"] + count * 16 * len(updates.columns) <= BROADCAST_BYTES
+                merged = upsert(old, updates, table.keys, refreshed, condition, small_updates=small)
             self.overwrite_partitions(name, merged)
         self.delete(staged)
         return count

@@ -13,8 +13,9 @@ from careledger.operators.ghosts import ghost_counts
 from careledger.plans import facts, metadata, runs
 from careledger.plans.checks import check_table
 from careledger.plans.work import changed_values, reporting_work, value_work
+from careledger.queries import landing
 from careledger.schemas import ENVELOPE, TABLES
-from careledger.sources import payloads
+from careledger.sources import payloads, warehouse
 from careledger.sources.landing import check_pages, decode, read_landing
 from careledger.sources.warehouse import KEPT_SNAPSHOTS, ConcurrentWrite, Warehouse, merge_catalog_table
 from careledger.streaming.incremental import load_new
@@ -533,3 +534,48 @@ def test_periods_are_listed_from_folders(spark, wh):
     assert got(wh.periods_of("datavalues", "hmis"), "period") == [("2024 W1/x=%",), ("202401",)]
     assert wh.periods_of("datavalues", "other").isEmpty()
     assert "FileScan" not in wh.periods_of("datavalues", "hmis")._jdf.queryExecution().executedPlan().toString()
+
+
+def test_answers_are_dealt_over_all_cores(spark, tmp_path):
+    """A table in one part, as a file of one row group is, is staged by all cores."""
+    spark.range(4000).selectExpr(
+        "id AS event_id", "TIMESTAMP '2001-01-01 00:00:00' AS ts", "id % 9 AS user_id", "'view' AS event_type", "1.0D AS value",
+        "'{\"k\": 3}' AS props",
+    ).coalesce(1).write.parquet(f"{tmp_path}/events.parquet")
+    spark.range(4000).selectExpr(
+        "id AS o_orderkey", "id % 9 AS o_custkey", "'F' AS o_orderstatus", "1.0D AS o_totalprice",
+        "TIMESTAMP '2001-01-01 00:00:00' AS o_orderdate", "'2-HIGH' AS o_orderpriority",
+    ).coalesce(1).write.parquet(f"{tmp_path}/orders.parquet")
+    cores = spark.sparkContext.defaultParallelism
+    for answers in (landing.value_responses, landing.period_responses, landing.completeness_responses, landing.grid_responses):
+        made = answers(spark, str(tmp_path))
+        parts = [r["count"] for r in made.groupBy(F.spark_partition_id().alias("at")).count().collect()]
+        assert sum(parts) == 4000 == made.select("request_id", "page").distinct().count()
+        assert len(parts) >= cores and max(parts) <= 4000 / cores
+
+
+def test_first_merge_compares_nothing(spark, wh, monkeypatch):
+    upsert, calls = warehouse.upsert, []
+
+    def noted(*args, **kwargs):
+        calls.append(1)
+        return upsert(*args, **kwargs)
+
+    monkeypatch.setattr(warehouse, "upsert", noted)
+
+    def rates(*rows):
+        return spark.createDataFrame(rows, "dataset_id string, orgunit_id string, actual_reports double, datasource_id string, period string")
+
+    def held():
+        return sorted(map(tuple, wh.read("reporting_rates").select("dataset_id", "orgunit_id", "expected_reports", "actual_reports", "period").collect()))
+
+    assert wh.merge("reporting_rates", rates(("d", "u", 1.0, "hmis", "2001"), ("d", "v", 2.0, "hmis", "2001"))) == 2
+    assert held() == [("d", "u", None, 1.0, "2001"), ("d", "v", None, 2.0, "2001")] and not calls
+    # A period without rows so far stands alone; rows of a known one are compared.
+    wh.merge("reporting_rates", rates(("d", "u", 3.0, "hmis", "2002")))
+    assert not calls
+    wh.merge("reporting_rates", rates(("d", "u", 4.0, "hmis", "2001"), ("e", "u", 5.0, "hmis", "2003")))
+    assert len(calls) == 1
+    assert held() == [
+        ("d", "u", None, 3.0, "2002"), ("d", "u", None, 4.0, "2001"), ("d", "v", None, 2.0, "2001"), ("e", "u", None, 5.0, "2003"),
+    ]
